@@ -1,13 +1,51 @@
-"""The corpus pipeline (part of the llm subpackage)."""
+"""The corpus pipeline (part of the llm subpackage): documents in, packed training sequences out.
+
+1. toxicity: documents that the grammar rejects go.
+2. n-gram Jaccard join: one document of each near-duplicate class stays, the one of least id.
+3. suffix-array dedup: bytes go that a string of 200 bytes covers which also starts elsewhere; a character that loses a
+   byte goes as a whole. Columns stay, n_chars follows the text.
+4. best-fit packing: what is left becomes sequences of 4096 tokens.
+
+Each stage takes (spark, docs, sf_dir), works on all rows it is given and returns the columns of documents, but the last
+one, which returns a row for each packed piece. Null ids and texts are kept, as the operators state.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
-ORACLE_SQL = None
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from evgraph.llm import jaccard, packing, suffix, toxicity
+from evgraph.llm.common import table
+from evgraph.llm.queries import word_vocabulary
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    grammar = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.keep_clean(docs, grammar)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_first(docs, threshold=0.8, ngram=5)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = suffix.remove_repeated(docs, length=200, carry=tuple(docs.columns), as_text=True)
+    text = F.when(F.col(f"c{docs.columns.index('text')}").isNotNull(), F.col("kept"))
+    renewed = {"text": text, "n_chars": F.length(text).cast("long")}
+    return found.select(*[renewed.get(c, F.col(f"c{i}")).alias(c) for i, c in enumerate(docs.columns)])
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs, word_vocabulary(), digest=True)
+
+
+STAGES = [("toxicity", clean), ("ngram_jaccard_join", distinct), ("suffix_array_dedup", without_repeats), ("best_fit_packing", packed)]
+ORACLE_SQL = None  # no SQL states the learned grammar or the packing; tests compare each stage with brute force
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs

@@ -45,6 +45,12 @@ FROM words w LEFT JOIN kept k USING (doc_id)
 """
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evgraph.llm.jaccard import join
+
+    return join(table(spark, sf_dir, "documents"), threshold=0.8, ngram=5).select(F.col("id").alias("doc_id"), "class_id", "n_links")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from evgraph.llm.packing import pack_documents
 
@@ -117,13 +123,28 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), word_vocabulary(), then=digests, schema="doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op9_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evgraph.llm.lm import score
+
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
+
+
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evgraph.llm.spotsigs import compare_with_next
+
+    return compare_with_next(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_voronoi_knn": op4_voronoi_knn,
     "op5_suffix_array": op5_suffix_array,
     "op6_warc_revisits": op6_warc_revisits,
     "op7_toxicity_grammar": op7_toxicity_grammar,
     "op8_bpe": op8_bpe,
+    "op9_cross_entropy_difference": op9_cross_entropy_difference,
+    "op10_spotsigs": op10_spotsigs,
 }
 ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op4_voronoi_knn": OP4_SQL, "op6_warc_revisits": OP6_SQL}

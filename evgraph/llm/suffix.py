@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
 from evgraph.llm.common import CHUNK, NO_ID, RangeHash, binary, byte_codes, covered, groups_for, joined, longs, measure, pack, pieces, unpack, utf8
-from evgraph.llm.substring import SLICE, by_group, held, marks_of, rows_of, sketch, with_marks
+from evgraph.llm.substring import by_group, held, marks_of, rows_of, sketch, with_marks
 
 GRAM = 64
+SLICE = 8 << 20
 TOKEN = 16
 #: Strings that one sorting step holds.
 BLOCK = 1 << 19
@@ -264,14 +265,16 @@ def settle_contexts(x: dict[str, np.ndarray], doc: np.ndarray, length: int):
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def remove_repeated(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int = 26) -> DataFrame:
-    """`id, n_bytes, n_removed, starts, ends, kept`: each text without the bytes that a string of `length` bytes covers which
-    also starts anywhere else, the removed ranges, and what is left (as bytes: a character may be cut)."""
+def remove_repeated(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int = 26, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+    """`id, n_bytes, n_removed, starts, ends, kept` and the columns to carry as `c0`, `c1`, ...: each text without the bytes that a string of `length` bytes covers which
+    also starts anywhere else, the removed ranges, and what is left (as bytes, for a character may be
+    cut; or `as_text`, without characters that lost a byte)."""
     if length < GRAM + 1:
         raise ValueError(f"length must be over {GRAM}")
     # a row's own number isn't needed: rows of equal key are copies and lose the same bytes
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    docs = docs.select(F.coalesce("id", F.lit(int(NO_ID))).alias("id"), F.col("id").isNull().alias("no_id"), "text", F.xxhash64("id", "text").alias("key"))
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
+    more = [f"c{i}" for i in range(len(carry))]
+    docs = docs.select(F.coalesce("id", F.lit(int(NO_ID))).alias("id"), F.col("id").isNull().alias("no_id"), "text", F.xxhash64("id", "text").alias("key"), *more)
     rows, size = measure(docs)
     anchors = max(1, size * 2 // (length - GRAM + 2))
     bits = int(np.clip(np.ceil(np.log2(anchors * 8)), 16, sketch_bits))
@@ -321,6 +324,7 @@ def remove_repeated(docs: DataFrame, length: int = 200, id_col: str = "doc_id",
                 ends.append(edges[1::2].tolist())
         none = left.column("no_id").combine_chunks().to_numpy(zero_copy_only=False)
         longs_ = pa.list_(pa.int64())
-        return pa.table([pa.array(ids, mask=none), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(starts, longs_), pa.array(ends, longs_), binary(kept)], names=["id", "n_bytes", "n_removed", "starts", "ends", "kept"])
+        return pa.table([pa.array(ids, mask=none), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(starts, longs_), pa.array(ends, longs_), pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if as_text else binary(kept), *[left.column(c).combine_chunks() for c in more]], names=["id", "n_bytes", "n_removed", "starts", "ends", "kept", *more])
 
-    return with_marks(docs, marks, groups, apply, "id long, n_bytes long, n_removed long, starts array<long>, ends array<long>, kept binary")
+    types = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in more)
+    return with_marks(docs, marks, groups, apply, f"id long, n_bytes long, n_removed long, starts array<long>, ends array<long>, kept {'string' if as_text else 'binary'}{types}")
