@@ -126,7 +126,7 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(known, "id")
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_labelled: int = 20_000, least_share: float = 0.02, least_odds: float = 3.0) -> Grammar:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_labelled: int = 20_000, least_share: float = 0.01, least_odds: float = 3.0) -> Grammar:
     """Fits the insult lexicon and the curve. A word or beginning is learned if at least `least_share` of the toxic documents
     have it (five at least) and the log odds of its presence are at least `least_odds`."""
     rows = labelled(docs, labels, id_col, text_col, label_col, max_labelled).persist()
