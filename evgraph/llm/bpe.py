@@ -302,8 +302,7 @@ def encode_texts(texts: list[str], vocab: Vocabulary) -> Iterator[tuple[int, np.
         offs = [m for _, m in marks]
         cuts = total[np.searchsorted(start, offs)]
         if specials:
-            cuts = cuts + np.searchsorted(shift, offs, side="right")  # a special stands before the place it is noted at
-            cuts = np.maximum.accumulate(cuts)
+            cuts = cuts + np.searchsorted(shift, offs)  # those noted before; one at a text's own start is its own
         cuts = np.append(cuts, len(out))
         for k, (i, _) in enumerate(marks):
             part = out[cuts[k] : cuts[k + 1]]

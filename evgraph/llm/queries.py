@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evgraph.llm import sql
 from evgraph.llm.common import table
 
 
@@ -147,4 +148,4 @@ QUERIES = {
     "op9_cross_entropy_difference": op9_cross_entropy_difference,
     "op10_spotsigs": op10_spotsigs,
 }
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op4_voronoi_knn": OP4_SQL, "op6_warc_revisits": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_ngram_jaccard_join": sql.NGRAM_JACCARD_JOIN, "op4_voronoi_knn": OP4_SQL, "op5_suffix_array": sql.SUFFIX_ARRAY, "op6_warc_revisits": OP6_SQL}
