@@ -136,30 +136,52 @@ def capabilities(nodes: DataFrame, edges: DataFrame, names: dict[str, str] | Non
     return one.select(F.explode(F.array(*found)).alias("r")).select("r.*")
 
 
-def _span(prefix: str, last: int, *caps: str, first: int = 1) -> dict[str, tuple[str, ...]]:
-    return {f"{prefix}{i:02d}": caps for i in range(first, last + 1)}
+# fixed values: what each primitive needs
+PRIMITIVES = {
+    "N01": "topology", "N02": "topology", "N03": "topology", "N04": "topology", "N05": "topology", "N06": "edge_scores", "N07": "node_metadata",
+    "N08": "node_metadata", "N09": "topology", "N10": "cohorts topology",
+    "E01": "edge_provenance edge_recency", "E02": "edge_scores", "E03": "edge_scores", "E04": "edge_scores", "E05": "edge_conflict",
+    "E06": "edge_conflict", "E07": "edge_conflict", "E08": "edge_scores", "E09": "edge_scores", "E10": "embeddings", "E11": "edge_provenance datasets",
+    "E12": "topology", "E13": "datasets", "E14": "edge_scores", "E15": "edge_provenance assertions", "E16": "edge_modality", "E17": "edge_modality",
+    "E18": "edge_direction", "E19": "edge_recency", "E20": "edge_scores", "E21": "evidence_stage", "E22": "evidence_batch",
+    "T01": "topology", "T02": "topology", "T03": "topology", "T04": "topology", "T05": "topology", "T06": "topology", "T07": "topology edge_direction",
+    "T08": "topology", "T09": "hypothesis_subgraph", "T10": "topology", "T11": "topology", "T12": "topology edge_direction", "T13": "topology",
+    "T14": "topology", "T15": "orthologs", "T16": "biological_state", "T17": "datasets", "T18": "biological_state", "T19": "node_metadata",
+    "T20": "topology", "T21": "topology",
+    "R01": "embeddings", "R02": "embeddings", "R03": "embeddings", "R04": "embeddings", "R05": "embeddings", "R06": "confidence_components",
+    "R07": "topology edge_scores", "R08": "version_history mc_trajectory", "R09": "topology", "R10": "topology edge_scores", "R11": "embeddings",
+    "R12": "topology", "R13": "edge_scores", "R14": "embeddings", "R15": "topology edge_scores", "R16": "embeddings", "R17": "topology",
+    "R18": "topology", "R19": "variant_stats qtl", "R20": "cohorts variant_stats", "R21": "qtl", "R22": "orthologs", "R23": "edge_scores",
+    "S01": "provenance_fields", "S02": "provenance_fields", "S03": "version_history", "S04": "edge_scores", "S05": "topology",
+    "S06": "confidence_components", "S07": "biological_state", "S08": "confidence_components", "S09": "version_history", "S10": "scan_results",
+    "S11": "mc_trajectory", "S12": "embeddings", "S13": "audit_log", "S14": "hypotheses", "S15": "hypotheses", "S16": "assertions",
+    "S17": "assertions", "S18": "assertions", "S19": "hypotheses", "S20": "hypotheses", "S20H": "topology", "S21": "biological_state",
+    "S22": "hypotheses",
+    "I01": "datasets", "I02": "assertions", "I03": "node_metadata", "I04": "assertions", "I05": "assertions", "I06": "edge_conflict",
+    "I07": "datasets", "I08": "assertions", "I09": "topology", "I10": "edge_modality",
+    "G01": "variant_stats variant_locus", "G02": "variant_stats cohorts", "G03": "qtl", "G04": "variant_stats", "G05": "cohorts variant_stats",
+    "H01": "node_metadata", "H02": "version_history mc_trajectory", "H03": "assertions", "H04": "topology", "H05": "hypotheses", "H06": "scan_results",
+    "TEMP_01": "version_history", "TEMP_02": "edge_recency", "TEMP_03": "embeddings",
+    "SEM_01": "embeddings", "SEM_02": "embeddings", "SEM_03": "edge_conflict", "SEM_04": "hypotheses", "SEM_05": "embeddings", "SEM_06": "hypotheses",
+    "SEM_07": "edge_scores", "SEM_08": "embeddings", "SEM_09": "edge_scores", "SEM_10": "topology edge_direction",
+    "PRIM_SEM_07": "edge_scores", "PRIM_SEM_08": "embeddings", "PRIM_SEM_09": "edge_scores", "PRIM_SEM_10": "topology edge_direction",
+    "CLIN_01": "ontology_dag", "CLIN_02": "clinical_evidence", "CLIN_03": "off_target", "CLIN_04": "clinical_evidence orthologs",
+    "SIM_01": "topology", "SIM_02": "drug_directional", "SIM_03": "compound_fingerprints", "SIM_04": "topology", "SIM_05": "topology",
+    "SIM_06": "embeddings", "SIM_07": "embeddings", "SIM_08": "topology",
+    "READ": "scan_results",
+}
+# fixed values: families whose primitives, numbered from 1, all need the same
+FAMILIES = [
+    ("V", 16, "embeddings"), ("P", 16, ""), ("EDIT_", 4, "agriculture_data"), ("BREED_", 6, "agriculture_data"), ("EPI_", 4, "agriculture_data"), ("MICRO_", 4, "agriculture_data"),
+    ("ONC_", 6, "topology cell_types"), ("IMM_", 6, "topology cell_types"), ("NEURO_", 5, "topology tissues"), ("CARDIO_", 4, "topology tissues"), ("GENE_", 5, "topology clinical_evidence"),
+    ("RARE_", 4, "variant_stats cohorts"), ("INF_", 4, "topology orthologs"), ("AGE_", 4, "topology tissues"),
+]
 
 
 def primitive_table() -> dict[str, tuple[str, ...]]:
     """Capabilities that each primitive needs."""
-    out: dict[str, tuple[str, ...]] = {}
-    out |= _span("N", 5, "topology") | _span("T", 21, "topology") | _span("P", 16) | _span("V", 16, "embeddings")
-    # fixed values: single primitives of each family and what they need
-    by_need = {
-        "topology": "N09 E12 R09 R12 R17 R18 S05 S20H I09 H04 SIM_01 SIM_04 SIM_05 SIM_08", "edge_scores": "N06 E02 E03 E04 E08 E09 E14 E20 R13 R23 S04 SEM_07 SEM_09 PRIM_SEM_07 PRIM_SEM_09",
-        "node_metadata": "N07 N08 T19 I03 H01", "edge_conflict": "E05 E06 E07 I06 SEM_03", "embeddings": "E10 R01 R02 R03 R04 R05 R11 R14 R16 S12 TEMP_03 SEM_01 SEM_02 SEM_05 SEM_08 PRIM_SEM_08 SIM_06 SIM_07",
-        "datasets": "E13 T17 I01 I07", "edge_modality": "E16 E17 I10", "edge_direction": "E18", "edge_recency": "E19 TEMP_02", "evidence_stage": "E21", "evidence_batch": "E22", "hypothesis_subgraph": "T09",
-        "orthologs": "T15 R22", "biological_state": "T16 T18 S07 S21", "confidence_components": "R06 S06 S08", "qtl": "R21 G03", "provenance_fields": "S01 S02", "version_history": "S03 S09 TEMP_01", "scan_results": "S10 H06 READ",
-        "mc_trajectory": "S11", "audit_log": "S13", "hypotheses": "S14 S15 S19 S20 S22 H05 SEM_04 SEM_06", "assertions": "S16 S17 S18 I02 I04 I05 I08 H03", "variant_stats": "G04", "ontology_dag": "CLIN_01", "clinical_evidence": "CLIN_02",
-        "off_target": "CLIN_03", "drug_directional": "SIM_02", "compound_fingerprints": "SIM_03",
-        "cohorts,topology": "N10", "edge_provenance,edge_recency": "E01", "edge_provenance,datasets": "E11", "edge_provenance,assertions": "E15", "topology,edge_direction": "T07 T12 SEM_10 PRIM_SEM_10", "topology,edge_scores": "R07 R10 R15",
-        "version_history,mc_trajectory": "R08 H02", "variant_stats,qtl": "R19", "cohorts,variant_stats": "R20 G05", "variant_stats,variant_locus": "G01", "variant_stats,cohorts": "G02", "clinical_evidence,orthologs": "CLIN_04",
-    }
-    for caps, names in by_need.items():
-        out |= {n: tuple(caps.split(",")) for n in names.split()}
-    for prefix, last, caps in (("EDIT_", 4, "agriculture_data"), ("BREED_", 6, "agriculture_data"), ("EPI_", 4, "agriculture_data"), ("MICRO_", 4, "agriculture_data"), ("ONC_", 6, "topology,cell_types"), ("IMM_", 6, "topology,cell_types"), ("NEURO_", 5, "topology,tissues"), ("CARDIO_", 4, "topology,tissues"), ("GENE_", 5, "topology,clinical_evidence"), ("RARE_", 4, "variant_stats,cohorts"), ("INF_", 4, "topology,orthologs"), ("AGE_", 4, "topology,tissues")):
-        out |= _span(prefix, last, *caps.split(","))
-    return out
+    out = {k: tuple(v.split()) for k, v in PRIMITIVES.items()}
+    return out | {f"{prefix}{i:02d}": tuple(v.split()) for prefix, last, v in FAMILIES for i in range(1, last + 1)}
 
 
 def primitive_capabilities(spark: SparkSession) -> DataFrame:
