@@ -139,7 +139,7 @@ def test_jaccard_join(spark, block):
 
 
 def test_keep_first(spark):
-    rows = corpus(4)
+    rows = [r for r in corpus(4) if r[0] != 4]  # an id of two texts can name two classes
     docs = spark.createDataFrame(rows, SCHEMA)
     kept = jaccard.keep_first(docs)
     assert kept.columns == docs.columns

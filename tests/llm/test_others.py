@@ -12,7 +12,8 @@ from evgraph.llm import knn, lm, spotsigs, toxicity, warc
 
 
 @pytest.mark.parametrize("cells", [1, 3])
-def test_search(spark, cells):
+def test_search(spark, cells, monkeypatch):
+    monkeypatch.setattr(knn, "CELL_QUERIES", 2)
     r = random.Random(7)
     nan, inf = float("nan"), float("inf")
     vec = lambda: [r.gauss(0, 1) for _ in range(6)]
