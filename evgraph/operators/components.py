@@ -1,7 +1,9 @@
 """Connected components of an edge table by alternating large and small stars.
 
 Each round is a fixed number of joins and aggregates, the number of rounds is logarithmic in practice (chains included),
-and lineage is cut with checkpoint() in the folder that all executors share. The driver sees two numbers a round.
+and lineage is cut with checkpoint() in the folder that all executors share. The driver sees two numbers a round. Least
+neighbours are checkpointed before they are joined back, so that both sides of that join are plain exchanges and adaptive
+execution can split the partition of a hub that a large share of all edges touches.
 """
 
 from __future__ import annotations
@@ -29,9 +31,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", r
     before = None
     for _ in range(rounds):
         both = e.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(e.select(F.col("v").alias("a"), F.col("u").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).checkpoint()
+        large = both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("u"), F.col("m").alias("v")).checkpoint()
+        least = large.groupBy("u").agg(F.min("v").alias("m")).checkpoint()
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct().checkpoint()
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
