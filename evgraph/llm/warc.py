@@ -3,7 +3,7 @@
 Writing: only headers (page, digest, length) are shuffled by payload digest to find equal payloads; of those the largest page
 id becomes the response and the others revisits that refer to it. The payload then moves once, by page id, and each
 record is written with fresh headers through Spark's text sink, whose separator is the blank lines that end a record,
-so archives go to any store Spark writes to and a lost task is written again.
+so gzipped archives go to any store Spark writes to and a lost task is written again.
 
 Reading: archives are read whole (a writer bounds their size), records are cut by Content-Length, payload digests are
 computed anew, and revisits are joined to their response by digest. Hot digests are salted on both joins.
@@ -76,7 +76,7 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
         F.when(revisit, F.concat(F.lit(f"\r\nWARC-Profile: {PROFILE}\r\nWARC-Refers-To: "), record_id(F.col("refers_to"), F.col("digest")), F.lit("\r\nWARC-Refers-To-Target-URI: "), uri(F.col("refers_url")))).otherwise(F.lit("")),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length("block").cast("string"), F.lit(END), F.col("block"),
     )
-    rows.withColumn("block", block).select(head.alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", each).mode("errorifexists").text(path)
+    rows.withColumn("block", block).select(head.alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", each).option("compression", "gzip").mode("errorifexists").text(path)
 
 
 def parse(raw: bytes):
