@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from evgraph.llm.common import binary, joined, pack, unpack
 
 BLOCK_ROWS = 40_000
+#: Queries that one task holds at most on average; a cell of more is dealt to several.
+CELL_QUERIES = 4096
 
 
 def vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -94,10 +96,15 @@ def search(table: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0,
 
     with_checkpoint_dir(spark)
     grouped = queries.mapInArrow(to_cells, "id long, v array<long>, cell int, away double, bound double").checkpoint()
-    summary = grouped.groupBy("cell").agg(F.max("away").alias("radius"), F.min("bound").alias("bound")).orderBy("cell").collect()  # a row for each cell
+    summary = grouped.groupBy("cell").agg(F.max("away").alias("radius"), F.min("bound").alias("bound"), F.count("*").alias("n")).orderBy("cell").collect()  # a row for each cell
     cell_ids = np.array([r["cell"] for r in summary])
     radius, bound = np.array([r["radius"] for r in summary]), np.array([r["bound"] for r in summary])
     middle = centres[cell_ids]
+    parts = np.array([-(-r["n"] // CELL_QUERIES) for r in summary])
+    base = np.cumsum(parts) - parts
+    held = {int(c): (int(b), int(p)) for c, b, p in zip(cell_ids, base, parts, strict=True)}
+    of = lambda i: F.element_at(F.create_map(*[F.lit(x) for c, v in held.items() for x in (c, v[i])]), F.col("cell"))
+    grouped = grouped.withColumn("part", (of(0) + F.pmod(F.xxhash64("id"), of(1))).cast("int"))
     blocks = max(1, -(-total // BLOCK_ROWS))
 
     def copies(batches):
@@ -113,13 +120,14 @@ def search(table: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0,
             most = x @ middle.T + radius * np.sqrt((x**2).sum(1))[:, None] * (1 + 1e-9) + 1e-6
             block = (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64) % blocks
             out = []
-            for c, cell in enumerate(cell_ids.tolist()):
+            for c in range(len(cell_ids)):
                 need = most[:, c] >= bound[c]
                 for b in np.unique(block[need]).tolist():
                     at = need & (block == b)
-                    out.append((cell, b, pack(id=ids[at], v=x[at].astype(np.int32 if np.abs(x[at]).max() < 2**31 else np.int64).ravel())))
+                    value = pack(id=ids[at], v=x[at].astype(np.int32 if np.abs(x[at]).max() < 2**31 else np.int64).ravel())
+                    out += [(int(base[c]) + p, b, value) for p in range(int(parts[c]))]
             if out:
-                yield pa.record_batch([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int32()), binary([o[2] for o in out])], names=["cell", "block", "data"])
+                yield pa.record_batch([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int32()), binary([o[2] for o in out])], names=["part", "block", "data"])
 
     def solve(left, right):
         if not left.num_rows or not right.num_rows:
@@ -140,7 +148,7 @@ def search(table: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0,
             found[2].append(held_s[r][ok].astype(np.int64))
         return pa.table([pa.array(np.concatenate(f).astype(np.int64)) for f in found], names=["query_id", "vec_id", "score"])
 
-    wide = grouped.select("cell", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "id", "v")
-    near = wide.groupBy("cell", "block").cogroup(rows.mapInArrow(copies, "cell int, block int, data binary").groupBy("cell", "block")).applyInArrow(solve, "query_id long, vec_id long, score long")
+    wide = grouped.select("part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "id", "v")
+    near = wide.groupBy("part", "block").cogroup(rows.mapInArrow(copies, "part int, block int, data binary").groupBy("part", "block")).applyInArrow(solve, "query_id long, vec_id long, score long")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return near.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
