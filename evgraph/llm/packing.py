@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import encode
-from evgraph.llm.common import with_checkpoint_dir
+from evgraph.llm.common import lean, with_checkpoint_dir
 
 CAPACITY = 4096
 
@@ -122,7 +122,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[i
     return runs, sequences
 
 
-def pack_lengths(pieces: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = (), rows_a_bucket: int = 20_000) -> DataFrame:
+def pack_lengths(pieces: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = (), rows_a_bucket: int = 5_000) -> DataFrame:
     """Adds sequence_id and offset to rows that have a `length` from 1 to `capacity`. The rows are read twice; a caller
     that made them at some cost writes or checkpoints them first."""
     order = order or tuple(c for c in pieces.columns)
@@ -150,7 +150,7 @@ def pack_lengths(pieces: DataFrame, capacity: int = CAPACITY, order: tuple[str,
             yield pa.record_batch([*columns, pa.array(first[at] + rank - ranks[at]), pa.array(offset[at])], names=[*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name != "_rank")
-    return ranked.mapInArrow(run, f"{schema}, sequence_id long, offset long")
+    return ranked.mapInArrow(lean(run), f"{schema}, sequence_id long, offset long")
 
 
 PIECES = "doc_id long, piece int, start long, length long"
