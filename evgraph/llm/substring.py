@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
-from evgraph.llm.common import CHUNK, RangeHash, binary, byte_codes, covered, groups_for, joined, keyed, longs, measure, mix, pack, unpack, utf8
+from evgraph.llm.common import CHUNK, RangeHash, binary, byte_codes, covered, groups_for, joined, keyed, lean, longs, measure, mix, pack, unpack, utf8
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 SHARD_BITS = 22
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray, hashes: bool = True):
@@ -124,7 +124,7 @@ def sketch(docs: DataFrame, hashes_of, bits: int, sample=None) -> tuple[np.ndarr
             twice[part["twice"]] = True
         return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()), binary([np.packbits(twice).tobytes()])], names=["row", "shard", "bits"])
 
-    parts = docs.select("id", "text").mapInArrow(count, "row int, shard int, cells binary")
+    parts = docs.select("id", "text").mapInArrow(lean(count), "row int, shard int, cells binary")
     out, samples = np.zeros((2, 1 << (bits - shard_bits), max(1, (1 << shard_bits) // 8)), dtype=np.uint8), []
     for r in parts.groupBy("row", "shard").applyInArrow(merge, "row int, shard int, bits binary").toLocalIterator():
         if r["row"] == 2:
@@ -134,6 +134,12 @@ def sketch(docs: DataFrame, hashes_of, bits: int, sample=None) -> tuple[np.ndarr
     return out.reshape(2, -1), samples
 
 
+def small(values: np.ndarray) -> np.ndarray:
+    """In the smallest unsigned type that holds all values."""
+    most = int(values.max(initial=0))
+    return values.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+
+
 def held(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
     return (bits[cells >> np.uint64(3)] >> (np.uint8(7) - (cells & np.uint64(7)).astype(np.uint8))) & np.uint8(1) > 0
 
@@ -181,7 +187,9 @@ def repeated_windows(docs: DataFrame, size: int, bits: int, sketch_bits: np.ndar
                 own = order[cut[s] : cut[s + 1]]
                 if own.size:
                     docs_, index = np.unique(rest["doc"][own], return_inverse=True)
-                    out.append((s, -1, pack(h=rest["h"][own], g=rest["g"][own], doc=index.astype(np.int32), place=rest["place"][own], id=ids[docs_], key=keys[docs_])))
+                    place = rest["place"][own]  # rises within a document: its steps are small
+                    step = np.where(np.diff(index, prepend=-1) > 0, place, np.diff(place, prepend=0))
+                    out.append((s, -1, pack(h=rest["h"][own], g=rest["g"][own], doc=small(np.diff(index, prepend=0)), place=small(step), id=ids[docs_], key=keys[docs_])))
             yield pa.record_batch([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), binary([x[2] for x in out])], names=["shard", "group", "marks"])
 
     def settle(table):
@@ -194,15 +202,18 @@ def repeated_windows(docs: DataFrame, size: int, bits: int, sketch_bits: np.ndar
                 parts.append(unpack(value.as_py()))
         if parts:
             before = np.cumsum([0] + [len(p["id"]) for p in parts])
-            all_ = {k: np.concatenate([p[k] for p in parts]) for k in ("h", "g", "place")}
-            doc = np.concatenate([p["doc"].astype(np.int64) + b for p, b in zip(parts, before, strict=False)])
+            doc = np.concatenate([np.cumsum(p["doc"].astype(np.int64)) + b for p, b in zip(parts, before, strict=False)])
+            all_ = {k: np.concatenate([p[k] for p in parts]) for k in ("h", "g")}
+            step = np.concatenate([p["place"] for p in parts]).astype(np.int64)
+            sums, head = np.cumsum(step), np.concatenate(([True], doc[1:] != doc[:-1]))
+            all_["place"] = (sums - np.repeat((sums - step)[head], np.diff(np.append(np.flatnonzero(head), len(doc))))).astype(np.int32)
             ids, keys = (np.concatenate([p[k] for p in parts]) for k in ("id", "key"))
             later = after_first(all_, ids[doc])
             doc = doc[later]
             out += by_group(["place"], keys[doc], groups, id=ids[doc], place=all_["place"][later])
         return pa.table([pa.array([g for g, _ in out], pa.int32()), binary([v for _, v in out])], names=["group", "marks"])
 
-    sent = docs.select("id", "text", "key").mapInArrow(send, "shard int, group int, marks binary")
+    sent = docs.select("id", "text", "key").mapInArrow(lean(send), "shard int, group int, marks binary")
     return sent.groupBy("shard").applyInArrow(settle, "group int, marks binary")
 
 
@@ -218,7 +229,7 @@ def after_first(windows: dict[str, np.ndarray], ids: np.ndarray) -> np.ndarray:
 
 
 def with_marks(docs: DataFrame, marks: DataFrame, groups: int, apply, schema: str) -> DataFrame:
-    """Brings each group of documents (about 12 MB of text) and its marks together."""
+    """Brings each group of documents (about 8 MB of text) and its marks together."""
     grouped = docs.withColumn("group", F.pmod(F.col("key"), F.lit(groups)).cast("int"))
     return grouped.groupBy("group").cogroup(marks.groupBy("group")).applyInArrow(apply, schema)
 
