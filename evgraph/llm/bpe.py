@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evgraph.llm.common import RangeHash, mix
+from evgraph.llm.common import RangeHash, lean, mix
 
 #: Characters in one numpy step, and bytes of text whose distinct words are encoded together.
-STEP_CHARS = 1 << 20
-SLICE_BYTES = 24 << 20
+STEP_CHARS = 1 << 19
+SLICE_BYTES = 12 << 20
 SPACES = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
@@ -352,7 +352,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                         yield (then or as_rows)(batch.column(0).slice(at, len(out)), out, vocab)
                         at, out = at + len(out), []
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lean(run), schema)
 
 
 def as_rows(ids: pa.Array, rows: list[np.ndarray], vocab: Vocabulary) -> pa.RecordBatch:

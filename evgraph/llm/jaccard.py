@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
-from evgraph.llm.common import NO_ID, RangeHash, binary, keyed, mix, with_checkpoint_dir
+from evgraph.llm.common import NO_ID, RangeHash, binary, keyed, lean, mix, with_checkpoint_dir
 from evgraph.llm.words import shingles, word_hashes
 from evgraph.operators.components import connected_components
 
@@ -85,7 +85,7 @@ def sign(docs: DataFrame, ngram: int, bands: int, rows: int) -> DataFrame:
                 lists = pa.compute.if_else(pa.array(none), pa.scalar(None, pa.list_(pa.int64())), lists)
                 yield pa.record_batch([*[batch.column(i).slice(lo, hi - lo) for i in range(3)], pa.array(s[0]), pa.array(s[1]), lists], names=["id", "no_id", "key", "s1", "s2", "bands"])
 
-    return docs.select("id", "no_id", "key", "text").mapInArrow(run, "id long, no_id boolean, key long, s1 long, s2 long, bands array<long>")
+    return docs.select("id", "no_id", "key", "text").mapInArrow(lean(run), "id long, no_id boolean, key long, s1 long, s2 long, bands array<long>")
 
 
 def linked(n: np.ndarray, m: np.ndarray, overlap: np.ndarray, threshold: float) -> np.ndarray:
@@ -196,7 +196,7 @@ def join(docs: DataFrame, threshold: float = 0.8, ngram: int = 5, recall: float
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["unit", "side", "node", "comp", "size", "grams"])
 
     texts = docs.select("id", "key", "text").join(members, ["id", "key"]).select("node", "comp", "m", "size", "text")
-    units = texts.mapInArrow(sets, "unit string, side int, node long, comp long, size long, grams binary")
+    units = texts.mapInArrow(lean(sets), "unit string, side int, node long, comp long, size long, grams binary")
     found = units.groupBy("unit").applyInArrow(lambda t: compare(t, threshold), "node long, links long, root long").checkpoint()
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     closed = connected_components(found.where("node <> root"), "node", "root")

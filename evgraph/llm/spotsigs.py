@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evgraph.llm.common import GROUP_BYTES, RangeHash, measure, mix
+from evgraph.llm.common import GROUP_BYTES, RangeHash, lean, measure, mix
 from evgraph.llm.words import hash_word, word_hashes
 
 ANCHORS = (
@@ -105,7 +105,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 sets = signature_sets([t or "" for t in part.column(1).to_pylist()], common)
                 yield pa.record_batch([part.column(0), pa.array([written(s) for s in sets]), pa.array([len(s) for s in sets], pa.int64()), pa.array([length_class(len(s)) for s in sets], pa.int32())], names=["id", "fingerprint", "n_chains", "length_class"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, fingerprint string, n_chains long, length_class int")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lean(run), "id long, fingerprint string, n_chains long, length_class int")
 
 
 SCHEMA = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, length_class int"
@@ -165,4 +165,4 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         """Whether each pair's second document is the next pair's first one."""
         return bool(pairs) and all(x[1] is y[0] for x, y in zip(pairs[:-1], pairs[1:], strict=True))
 
-    return dealt.mapInArrow(run, SCHEMA)
+    return dealt.mapInArrow(lean(run), SCHEMA)

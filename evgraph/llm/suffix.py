@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
-from evgraph.llm.common import CHUNK, NO_ID, RangeHash, binary, byte_codes, covered, groups_for, joined, longs, measure, pack, pieces, unpack, utf8
+from evgraph.llm.common import CHUNK, NO_ID, RangeHash, binary, byte_codes, covered, groups_for, joined, lean, longs, measure, pack, pieces, unpack, utf8
 from evgraph.llm.substring import by_group, held, marks_of, rows_of, sketch, with_marks
 
 GRAM = 64
 SLICE = 8 << 20
 TOKEN = 16
 #: Strings that one sorting step holds.
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 
 
 def contexts(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM):
@@ -215,7 +215,7 @@ def repeated_spans(docs: DataFrame, length: int, bits: int, bitmap: np.ndarray,
                 out += by_group(["place"], all_["key"][own], groups, id=all_["id"][own], place=place, end=end)
         return pa.table([pa.array([g for g, _ in out], pa.int32()), binary([v for _, v in out])], names=["group", "marks"])
 
-    sent = docs.select("id", "text", "key").mapInArrow(send, "bucket int, group int, marks binary")
+    sent = docs.select("id", "text", "key").mapInArrow(lean(send), "bucket int, group int, marks binary")
     return sent.groupBy("bucket").applyInArrow(settle, "group int, marks binary")
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
+from evgraph.llm.common import lean
 
 THREAT = {"kill", "hurt", "destroy", "beat", "burn", "shoot", "stab", "hang", "töten", "schlagen", "tuer", "frapper", "matar", "golpear"}
 TARGET = {"you", "your", "you're", "they", "them", "he", "she", "her", "him", "people", "du", "dich", "ihr", "tu", "toi", "vous", "tú", "ti", "usted"}
@@ -179,13 +180,13 @@ def figures_of(docs: DataFrame, grammar: Grammar, *keep: str) -> DataFrame:
                 out = []
                 for text in column.slice(lo, hi - lo).to_pylist():
                     out.append(grammar.figures(text or "", known))
-                    if len(known) > 400_000:
+                    if len(known) > 200_000:
                         known.clear()
                 x = np.array(out)
                 yield pa.record_batch([*[batch.column(i).slice(lo, hi - lo) for i in range(batch.num_columns - 1)], *[pa.array(x[:, j]) for j in range(3)], pa.array(grammar.score(x))], names=["id", *keep, "total", "most", "clauses", "score"])
 
     kept = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select("id", *keep, "text").mapInArrow(run, f"id long{kept}, total double, most double, clauses double, score double")
+    return docs.select("id", *keep, "text").mapInArrow(lean(run), f"id long{kept}, total double, most double, clauses double, score double")
 
 
 def score(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -203,11 +204,11 @@ def keep_clean(docs: DataFrame, grammar: Grammar, text_col: str = "text", thresh
             for lo, hi in slices(batch.column(place)):
                 part = batch.slice(lo, hi - lo)
                 x = np.array([grammar.figures(text or "", known) for text in part.column(place).to_pylist()])
-                if len(known) > 400_000:
+                if len(known) > 200_000:
                     known.clear()
                 yield part.filter(pa.array(grammar.score(x) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def held_out(id_col: Column) -> Column:
