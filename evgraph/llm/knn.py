@@ -10,8 +10,9 @@
 
 Only pivots and summaries (bounded by `pivots`) are broadcast. Ties go to the smaller id. Vectors that are null, hold a null or
 a component that isn't finite, or are not of the commonest length, take no part, and neither do rows without an id.
-Rows that repeat a query's id are one query (the least vector counts) and are never its own answers. An empty table
-or one without queries gives no rows.
+Rows that repeat a query's id are one query (the least vector counts) and are never its own answers. Rows of equal id and equal
+scaled vector are one candidate, and are made one before any k best are taken; rows of one id with different vectors are
+candidates of their own. An empty table or one without queries gives no rows.
 """
 
 from __future__ import annotations
@@ -69,8 +70,9 @@ def search(table: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0,
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if size is None:
         return empty
-    rows = scaled(rows.where(F.size("v") == size["n"]), scale)
-    total = rows.count()
+    # rows that repeat go first: among the k best of a sample, a batch or a block they would take the places of other ids
+    rows = scaled(rows.where(F.size("v") == size["n"]), scale).dropDuplicates(["id", "v"])
+    total = size["count"]  # with repeats, so at least as many as rows
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(max(k + 2, min(pivots * 16, total))).collect()  # bounded: 16 rows a pivot
     known_ids = np.array([r["id"] for r in sample], dtype=np.int64)
     known = np.array([r["v"] for r in sample], dtype=np.float64)
@@ -151,4 +153,4 @@ def search(table: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0,
     wide = grouped.select("part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "id", "v")
     near = wide.groupBy("part", "block").cogroup(rows.mapInArrow(copies, "part int, block int, data binary").groupBy("part", "block")).applyInArrow(solve, "query_id long, vec_id long, score long")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return near.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -33,6 +33,16 @@ def test_search(spark, cells, monkeypatch):
     assert knn.search(table.limit(0), F.lit(True)).count() == 0 and knn.search(table.where("vec_id = 3"), F.pmod(F.col("id"), F.lit(50)) == 0).count() == 0
 
 
+@pytest.mark.parametrize("block", [40_000, 8])
+def test_search_with_repeated_rows(spark, block, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK_ROWS", block)
+    near, same = [3.0, 0.0], [2.0, 0.0]
+    rows = [(0, [1.0, 0.0])] * 3 + [(1, near)] * 6 + [(2, same)] * 6 + [(i, same) for i in range(3, 7)] + [(i, [0.1, 0.1 * i]) for i in range(7, 30)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = knn.search(table, F.col("id") == 0, scale=10.0)
+    assert sorted(tuple(x) for x in got.collect()) == [(0, 1, 1, 300), *[(0, n, n, 200) for n in range(2, 6)]]
+
+
 # ---------------------------------------------------------------- archives
 
 
