@@ -1,13 +1,16 @@
 """Cross-entropy difference scores from two matched n-gram models.
 
 A target model is counted over the texts a caller names (good ones, say) and a background model over all documents. Both
-use one vocabulary: words are mapped to `slots` of a hash, and word pairs to another set of slots. Both are interpolated
-bigram models with the same smoothing, so that their per-token losses can be compared. A document's score is the mean
-difference of loss (background minus target): higher means nearer to the target.
+use one vocabulary, the words of all documents, and are interpolated bigram models with the same smoothing, so that their per-token
+losses can be compared. A document's score is the mean difference of loss (background minus target): higher means nearer
+to the target.
 
-Counts come from all documents. Each task adds its pairs up in arrays of fixed size, sends the slots it used, cut into shards, and shards
-are summed on the executors, so what is gathered grows with the input (one part a task) while what is broadcast, the
-finished tables, has a proven bound: 2 * (slots + pair_slots) * 4 bytes.
+Words and (before, word) pairs are counted exactly, by 64-bit hashes; nothing is folded, and no model is gathered or broadcast:
+
+1. Texts are dealt to groups of bounded size. A group sends each of its distinct words and pairs once, with its counts, to
+   the shard that the hash names, so a word or pair of all texts reaches its shard once a group.
+2. A shard adds up its counts, and answers each group with the totals of what that group sent, in the same order.
+3. A group finds its words and pairs again (the exchange of the texts is used twice), and scores its documents.
 
 A null or empty text has no tokens: its losses and score are null. Labels that are null name no target; a document with several labels
 is a target if one of them says so; rows that repeat count each time. An empty target gives the uniform model. Columns
@@ -22,102 +25,156 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
-from evgraph.llm.common import binary, lean, mix, pack, unpack
-from evgraph.llm.substring import small
+from evgraph.llm.common import binary, mix, pack, unpack
 from evgraph.llm.words import word_hashes
 
 SLICE = 1 << 20
-SHARD = 1 << 18
+#: Bytes of text in a group on average, and for each shard; SHARDS at least.
+GROUP = 4 << 20
+SHARD = 64 << 20
+SHARDS = 96
+OUT = "id long, n_tokens long, target_loss double, background_loss double, score double"
+
 
+def events(texts: list[str], slots: int = 0, pair_slots: int = 0):
+    """Word of each token, the word before it (a text starts after 0, which is no word), the pair, and bounds.
 
-def events(texts: list[str], slots: int, pair_slots: int):
-    """Slot of each token, of the token before it (a text starts after the slot of no word), of the pair, and bounds."""
+    They are 64-bit hashes, or with `slots` and `pair_slots` the slots of these."""
     hashes, first = word_hashes(texts)
-    word = (hashes % np.uint64(slots - 1)).astype(np.int64) + 1
-    before = np.concatenate(([0], word[:-1])) if len(word) else word
+    word = (hashes % np.uint64(slots - 1)).astype(np.int64) + 1 if slots else hashes
+    before = np.concatenate((np.zeros(1, word.dtype), word[:-1])) if len(word) else word.copy()
     heads = first[:-1][np.diff(first) > 0]
     before[heads] = 0
-    pair = (mix(before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.astype(np.uint64) + np.uint64(1)) % np.uint64(pair_slots)).astype(np.int64)
-    return word, before, pair, first
-
-
-def count(docs: DataFrame, slots: int, pair_slots: int) -> np.ndarray:
-    """Rows: target, background; columns: words as tokens, words as contexts, pairs."""
-    width = 2 * slots + pair_slots
-    shards = -(-width // SHARD)
-
-    def run(batches):
-        total: list[np.ndarray | None] = [None, None]
-        for batch in batches:
-            column, target = batch.column(1), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            for lo, hi in slices(column, SLICE):
-                word, before, pair, first = events([t or "" for t in column.slice(lo, hi - lo).to_pylist()], slots, pair_slots)
-                mine = np.repeat(target[lo:hi], np.diff(first))
-                for kind, where in ((0, mine), (1, None)):
-                    if where is not None and not where.any():
-                        continue
-                    if total[kind] is None:
-                        total[kind] = np.zeros(width, dtype=np.int32)
-                    for x, shift in ((word, 0), (before, slots), (pair, 2 * slots)):
-                        np.add.at(total[kind], (x if where is None else x[where]) + shift, 1)
-        out = []
-        for kind, held in enumerate(total):
-            if held is not None:
-                for s in range(shards):
-                    part = held[s * SHARD : (s + 1) * SHARD]
-                    at = np.flatnonzero(part)
-                    if at.size:
-                        out.append((kind, s, pack(step=small(np.diff(at, prepend=0)), n=small(part[at]))))
-        if out:
-            yield pa.record_batch([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int32()), binary([o[2] for o in out])], names=["model", "shard", "counts"])
-
-    def add(key, table):
-        total = np.zeros(SHARD, dtype=np.int64)
-        for value in table.column("counts"):
-            part = unpack(value.as_py())
-            total[np.cumsum(part["step"].astype(np.int64))] += part["n"]
-        at = np.flatnonzero(total)
-        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()), binary([pack(at=at.astype(np.uint32), n=total[at].astype(np.float32))])], names=["model", "shard", "counts"])
-
-    parts = docs.select("id", "text", "target").mapInArrow(lean(run), "model int, shard int, counts binary")
-    out = np.zeros((2, shards * SHARD), dtype=np.float32)
-    for r in parts.groupBy("model", "shard").applyInArrow(add, "model int, shard int, counts binary").toLocalIterator():
-        part = unpack(bytes(r["counts"]))
-        out[r["model"], r["shard"] * SHARD + part["at"].astype(np.int64)] = part["n"]
-    return out[:, :width]
-
-
-def losses(tables: np.ndarray, word: np.ndarray, before: np.ndarray, pair: np.ndarray, slots: int, pair_weight: float, floor: float) -> np.ndarray:
-    """Per-token loss (nats) under both models: a pair model interpolated with a word model, that with a uniform one."""
+    pair = mix(before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.astype(np.uint64) + np.uint64(1))
+    return word, before, (pair % np.uint64(pair_slots)).astype(np.int64) if pair_slots else pair, first
+
+
+def losses(tables: np.ndarray, word: np.ndarray, before: np.ndarray, pair: np.ndarray, slots: int, pair_weight: float, floor: float, totals: np.ndarray | None = None, words: int | None = None) -> np.ndarray:
+    """Per-token loss (nats) under both models: a pair model interpolated with a word model, that with a uniform one.
+
+    Where the tables hold a part of the vocabulary, `totals` are the tokens of each model and `words` the words of the whole one."""
     out = np.empty((2, len(word)))
     for kind in range(2):
         table = tables[kind]
-        total = max(1.0, float(table[:slots].sum(dtype=np.float64)))
-        p = (1 - floor) * table[word] / total + floor / slots
+        total = max(1.0, float(table[:slots].sum(dtype=np.float64) if totals is None else totals[kind]))
+        p = (1 - floor) * table[word] / total + floor / (words or slots)
         context = table[slots + before]
-        share = np.where(context > 0, table[2 * slots + pair] / np.maximum(context, 1), p).clip(max=1.0)
+        share = np.where(context > 0, table[2 * slots + pair] / np.maximum(context, 1), p)
         out[kind] = -np.log(pair_weight * share + (1 - pair_weight) * p)
     return out
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", target: int = 1, slots: int = 1 << 18, pair_slots: int = 1 << 21, pair_weight: float = 0.5, floor: float = 0.05) -> DataFrame:
-    """`id, n_tokens, target_loss, background_loss, score` of every document."""
-    good = labels.where((F.col(label_col) == target) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id")).distinct().withColumn("target", F.lit(True))
+def small(values: np.ndarray) -> np.ndarray:
+    """In the smallest unsigned type that holds all values."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
+def planes(keys: np.ndarray) -> np.ndarray:
+    """Sorted keys as steps, byte by byte: the upper bytes are nearly all zero and compress."""
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.ravel()
+
+
+def unplaned(value: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(value.reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+class Group:
+    """Distinct words and pairs of a group's texts, in the order of their hashes, and each token's place in them."""
+
+    def __init__(self, texts: pa.Array):
+        # a text that is longer than a slice is one slice
+        parts = [events([t or "" for t in texts.slice(lo, hi - lo).to_pylist()]) for lo, hi in slices(texts, SLICE)]
+        word, before, pair = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.uint64) for i in range(3))
+        self.n = np.concatenate([np.diff(p[3]) for p in parts]) if parts else np.zeros(0, np.int64)
+        self.words, self.word = np.unique(np.concatenate((np.zeros(1, np.uint64), word)), return_inverse=True)
+        self.word = self.word[1:]  # the first is no word, and every group has it
+        self.before = np.searchsorted(self.words, before)
+        self.pairs, self.pair = np.unique(pair, return_inverse=True)
+
+    def counts(self, where: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        w, c = (np.bincount(x[where], minlength=len(self.words)) for x in (self.word, self.before))
+        return w, c, np.bincount(self.pair[where], minlength=len(self.pairs))
+
+
+def bounds(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Shard s holds keys[bounds[s]:bounds[s + 1]], a range of hashes."""
+    cuts = np.array([(s << 64) // shards for s in range(1, shards)], dtype=np.uint64)
+    return np.concatenate(([0], np.searchsorted(keys, cuts), [len(keys)]))
+
+
+def sent(number: int, group: Group, target: np.ndarray, shards: int) -> pa.Table:
+    """A message to each shard, also where it holds nothing, for each shard's answer has a part of the totals."""
+    mine = np.repeat(target, group.n)
+    every, good = group.counts(np.ones(len(mine), bool)), group.counts(mine)
+    w, p = bounds(group.words, shards), bounds(group.pairs, shards)
+    out = []
+    for s in range(shards):
+        a, b = slice(w[s], w[s + 1]), slice(p[s], p[s + 1])
+        held = {f"{name}{kind}": small(x[i][at]) for kind, x in ((0, good), (1, every)) for name, i, at in (("w", 0, a), ("c", 1, a), ("p", 2, b))}
+        out.append(pack(words=planes(group.words[a]), pairs=planes(group.pairs[b]), **held))
+    return pa.table([pa.array([number] * shards, pa.int32()), pa.array(range(shards), pa.int32()), binary(out)], names=["group", "shard", "data"])
+
+
+def answers(messages: pa.Table) -> pa.Table:
+    """The shard's totals of each message's words and pairs, its part of the two models' tokens, and its words."""
+    values = messages.column("data")
+    keys = {k: [] for k in ("words", "pairs")}
+    for v in values:
+        part = unpack(v.as_py())
+        for k, held in keys.items():
+            held.append(unplaned(part[k]))
+    have = {k: np.unique(np.concatenate(held)) for k, held in keys.items()}
+    total = {f"{name}{kind}": np.zeros(len(have["pairs" if name == "p" else "words"]), np.int64) for name in "wcp" for kind in range(2)}
+    places = {k: [np.searchsorted(have[k], x) for x in held] for k, held in keys.items()}
+    del keys
+    for i, v in enumerate(values):
+        part = unpack(v.as_py())
+        for name, x in total.items():
+            x[places["pairs" if name[0] == "p" else "words"][i]] += part[name]  # distinct within a message
+    figures = np.array([total["w0"].sum(), total["w1"].sum(), np.count_nonzero(have["words"])], dtype=np.int64)
+    out = [pack(figures=figures, **{name: small(x[places["pairs" if name[0] == "p" else "words"][i]]) for name, x in total.items()}) for i in range(len(values))]
+    return pa.table([messages.column("group"), messages.column("shard"), binary(out)], names=["group", "shard", "data"])
+
+
+def scored(ids: pa.Array, group: Group, replies: pa.Table, pair_weight: float, floor: float) -> pa.Table:
+    order = np.argsort(replies.column("shard").to_numpy())
+    parts = [unpack(replies.column("data")[int(i)].as_py()) for i in order]
+    figures = np.sum([p["figures"] for p in parts], axis=0)
+    tables = np.array([np.concatenate([p[f"{name}{kind}"] for name in "wcp" for p in parts]) for kind in range(2)], dtype=np.float64)
+    n = group.n
+    sums = np.empty((2, len(n)))
+    first = np.concatenate(([0], np.cumsum(n)))
+    loss = losses(tables, group.word, group.before, group.pair, len(group.words), pair_weight, floor, figures[:2], max(1, int(figures[2])))
+    sums = np.diff(np.concatenate((np.zeros((2, 1)), np.cumsum(loss, axis=1)), axis=1)[:, first], axis=1)
+    none = n == 0
+    mean = sums / np.maximum(n, 1)
+    return pa.table([ids, pa.array(n, pa.int64()), pa.array(mean[0], mask=none), pa.array(mean[1], mask=none), pa.array(mean[1] - mean[0], mask=none)], names=["id", "n_tokens", "target_loss", "background_loss", "score"])
+
+
+def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", target: int = 1, slots: int | None = None, pair_slots: int | None = None, pair_weight: float = 0.5, floor: float = 0.05) -> DataFrame:
+    """`id, n_tokens, target_loss, background_loss, score` of every document.
+
+    `slots` and `pair_slots` were the sizes of folded tables; they are still taken and change nothing."""
+    good = labels.where((F.col(label_col) == target) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id")).distinct()
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    # labels grow with the input: never broadcast, so each text travels once here, at any size
-    flagged = rows.join(good.hint("merge"), "id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
-    shared = docs.sparkSession.sparkContext.broadcast(count(flagged, slots, pair_slots))
-
-    def run(batches):
-        for batch in batches:
-            column = batch.column(1)
-            for lo, hi in slices(column, SLICE):
-                word, before, pair, first = events([t or "" for t in column.slice(lo, hi - lo).to_pylist()], slots, pair_slots)
-                loss = losses(shared.value, word, before, pair, slots, pair_weight, floor)
-                n = np.diff(first)
-                sums = np.diff(np.concatenate((np.zeros((2, 1)), np.cumsum(loss, axis=1)), axis=1)[:, first], axis=1)
-                none = n == 0
-                mean = sums / np.maximum(n, 1)
-                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(n), pa.array(mean[0], mask=none), pa.array(mean[1], mask=none), pa.array(mean[1] - mean[0], mask=none)], names=["id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return rows.mapInArrow(lean(run), "id long, n_tokens long, target_loss double, background_loss double, score double")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
+    groups, shards = max(64, -(-size // GROUP)), max(SHARDS, -(-size // SHARD))
+    # by the text too: many rows of one id, or of none, aren't one group
+    rows = rows.withColumn("group", F.pmod(F.xxhash64("id", "text"), F.lit(groups)).cast("int"))
+    # labels grow with the input: never broadcast. The ids join, so each text travels once, at any size
+    named = rows.select("id", "group").distinct().join(good.hint("merge"), "id").select(F.col("group").alias("to"), F.col("id").alias("good"))
+    texts = rows.repartition(groups, "group")
+
+    def send(key, left, right):
+        if not left.num_rows:
+            return pa.table([pa.array([], pa.int32()), pa.array([], pa.int32()), binary([])], names=["group", "shard", "data"])
+        ids = left.column("id").combine_chunks()
+        target = pa.compute.is_in(ids, value_set=right.column("good").combine_chunks(), skip_nulls=True).to_numpy(zero_copy_only=False)
+        return sent(key[0].as_py(), Group(left.column("text").combine_chunks()), target, shards)
+
+    def receive(left, right):
+        return scored(left.column("id").combine_chunks(), Group(left.column("text").combine_chunks()), right, pair_weight, floor)
+
+    messages = texts.groupBy("group").cogroup(named.groupBy("to")).applyInArrow(send, "group int, shard int, data binary")
+    replies = messages.groupBy("shard").applyInArrow(answers, "group int, shard int, data binary")
+    return texts.groupBy("group").cogroup(replies.groupBy("group")).applyInArrow(receive, OUT)

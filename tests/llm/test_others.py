@@ -147,6 +147,34 @@ def test_losses_by_hand():
     assert loss[0][0] == pytest.approx(-np.log(0.05 / 64), rel=1e-5)  # a model of nothing is uniform but for its weight on pairs
 
 
+def test_counts_are_exact(spark):
+    import math
+
+    r = random.Random(5)
+    rows = [(i, " ".join("w%d" % int(r.paretovariate(0.4)) for _ in range(r.randint(0, 60)))) for i in range(300)] + [(7, "w1 w2 w3"), (None, "w1 w1"), (900, None)]
+    marks = [(i, i % 3 == 0) for i in range(200)]
+    out = lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame([(i, int(m)) for i, m in marks], "doc_id long, quality int"), slots=64, pair_slots=128).collect()
+    good = {i for i, m in marks if m}
+    counts = [[Counter(), Counter(), Counter()] for _ in range(2)]
+    for i, t in rows:
+        w = (t or "").split()
+        for words, contexts, pairs in [counts[1]] + [counts[0]] * (i in good):
+            words.update(w)
+            contexts.update(["", *w][: len(w)])
+            pairs.update(zip(["", *w], w, strict=False))
+    size = len(counts[1][0])
+
+    def loss(kind, w):
+        words, contexts, pairs = counts[kind]
+        p = [0.95 * words[x] / sum(words.values()) + 0.05 / size for x in w]
+        share = [pairs[b, x] / contexts[b] if contexts[b] else y for b, x, y in zip(["", *w], w, p, strict=False)]
+        return sum(-math.log(0.5 * a + 0.5 * b) for a, b in zip(share, p, strict=True)) / len(w)
+
+    want = sorted((len(w), loss(0, w), loss(1, w)) for w in ((t or "").split() for _, t in rows) if w)
+    got = sorted((x["n_tokens"], x["target_loss"], x["background_loss"]) for x in out if x["n_tokens"])
+    assert len(out) == len(rows) and size > 1000 and all(x == pytest.approx(y, rel=1e-9) for x, y in zip(got, want, strict=True))
+
+
 # ---------------------------------------------------------------- fingerprints
 
 
