@@ -2,8 +2,10 @@
 
 At each anchor (a common word of its language, such as an article) a chain is formed of the next content words, those
 that aren't anchors themselves. The set of all chains of a text is its signature; navigation, lists and junk have few
-anchors and add little to it. A fingerprint is the sorted set as hexadecimal text, eight digits a chain. Two
-fingerprints are compared by the Jaccard index of their sets; sets whose sizes already rule a likeness out aren't merged.
+anchors and add little to it. A fingerprint is the sorted set as hexadecimal text, eight digits a chain. A document is compared by
+the Jaccard index of the sets with its own edit and with the next document, and with no other: the SpotSigs join (length partitions,
+an inverted index within them, pruning by size) is not built, so near copies that aren't neighbours by id aren't found.
+`length_class` is a column that nothing here reads.
 
 Whole texts count. A text without any chain has one for all its words, so equal texts are alike and others aren't; a null text is
 empty. Documents are ordered by descending id; a null id comes last, and rows of one id go by the hash of the row. The
@@ -66,7 +68,7 @@ def signature_sets(texts: list[str], common: np.ndarray, chain: int = CHAIN) ->
 
 
 def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
-    """Jaccard index of two sets; 0 where their sizes keep it under `least`."""
+    """Jaccard index of two sets; 0 where their sizes keep it under `least` (the operator gives none)."""
     if min(len(a), len(b)) < least * max(len(a), len(b)):
         return 0.0
     same = len(np.intersect1d(a, b, assume_unique=True))
