@@ -22,7 +22,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", rounds: int = 60) -> DataFrame:
     """`node, component` of every node that an edge touches; the component is its least node. Edges have no direction; self-loops
-    and rows with a null end are left out of the work, though a self-loop's node is a component."""
+    and rows with a null end are left out of the work, though a self-loop's node is a component. Raises an error if edges still change
+    after the last round."""
     ensure_checkpoint_dir(edges.sparkSession)
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where(F.col("a").isNotNull() & F.col("b").isNotNull())
     e = ends.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint()
@@ -40,6 +41,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", r
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
     star = e.groupBy("u").agg(F.min("v").alias("component"))
     nodes = star.select(F.col("u").alias("node"), "component").unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")))
     return nodes.unionByName(loops.select(F.col("u").alias("node"), F.col("u").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))

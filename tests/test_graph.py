@@ -10,6 +10,12 @@ def edges(spark, rows):
     return spark.createDataFrame([(a, t, b) for a, t, b in rows], "_from string, _type string, _to string")
 
 
+def test_components_that_do_not_settle(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "src long, dst long")
+    with pytest.raises(RuntimeError, match="2 rounds"):
+        connected_components(chain, rounds=2)
+
+
 def test_components(spark):
     tri = [("a", "E", "b"), ("b", "E", "c"), ("c", "E", "a"), ("x", "E", "y"), ("y", "E", "z"), ("z", "E", "x")]
     e = edges(spark, [*tri, ("a", "T", "x")])
