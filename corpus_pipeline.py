@@ -7,7 +7,7 @@
 4. best-fit packing: what is left becomes sequences of 4096 tokens.
 
 Each stage takes (spark, docs, sf_dir), works on all rows it is given and returns the columns of documents, but the last
-one, which returns a row for each packed piece. Null ids and texts are kept, as the operators state.
+one, which returns a row for each packed piece. Each stage's result is written as Parquet in the shared folder and read again. Null ids and texts are kept, as the operators state.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evgraph.llm import jaccard, packing, suffix, toxicity
-from evgraph.llm.common import table
+from evgraph.llm.common import shared_path, table
 from evgraph.llm.queries import word_vocabulary
 
 
@@ -46,6 +46,8 @@ ORACLE_SQL = None  # no SQL states the learned grammar or the packing; tests com
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        path = shared_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

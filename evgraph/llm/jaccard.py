@@ -209,10 +209,13 @@ def join(docs: DataFrame, threshold: float = 0.8, ngram: int = 5, recall: float
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents that are the least of their class, each once, with all their columns."""
+    """The documents that are the least of their class, each once, with all their columns. Of rows of equal id and text the one stays
+    whose other columns are least as JSON."""
     found = join(docs, id_col=id_col, text_col=text_col, **options)
     first = found.where(F.col("key") == F.col("class_key")).select(F.col("key").alias("_key"), F.coalesce("id", F.lit(int(NO_ID))).alias("_id")).distinct()
     own = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(int(NO_ID))))
     own = own.withColumn("_key", F.xxhash64("_id", F.coalesce(F.col(text_col), F.lit("")))).join(first, ["_id", "_key"])
-    once = own.withColumn("_n", F.row_number().over(W.partitionBy("_id", "_key").orderBy(F.lit(1))))
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    tie = [F.col(id_col).isNull(), F.col(text_col).isNull(), *([F.to_json(F.struct(*others))] if others else [])]
+    once = own.withColumn("_n", F.row_number().over(W.partitionBy("_id", "_key").orderBy(*tie)))
     return once.where("_n = 1").select(*docs.columns)

@@ -147,6 +147,13 @@ def test_keep_first(spark):
     assert jaccard.join(docs.limit(0)).count() == 0 and jaccard.keep_first(docs.limit(0)).count() == 0
 
 
+def test_ties_of_equal_rows(spark):
+    rows = [(1, "a b c", c, "g", "k", 2) for c in (3, 1, 2)]
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        kept = jaccard.keep_first(spark.createDataFrame(order, SCHEMA).coalesce(1)).collect()
+        assert [r["key"] for r in kept] == [1]
+
+
 def test_bands():
     for threshold, recall in ((0.8, 0.999), (0.5, 0.9), (1.0, 0.99)):
         bands, rows = jaccard.choose_bands(threshold, recall)

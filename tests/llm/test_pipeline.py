@@ -26,6 +26,16 @@ def test_order_and_columns(stages):
         assert d.dtypes == stages[0].dtypes
 
 
+def test_each_stage_is_written(spark, monkeypatch):
+    import corpus_pipeline as p
+
+    read = []
+    stage = lambda s, docs, d: read.append(docs.inputFiles()) or docs.limit(5)
+    monkeypatch.setattr(p, "STAGES", [("one", stage), ("two", stage)])
+    out = p.run(spark, SMALL)
+    assert out.count() == 5 and "/one-" in read[1][0] and "/two-" in out.inputFiles()[0]
+
+
 def test_clean_documents_stay(spark, stages):
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
     kept = {r["doc_id"] for r in stages[1].select("doc_id").collect()}
