@@ -10,7 +10,8 @@
 4. Verified links are closed to classes; each document gets its class and its number of links.
 
 The result has a row for each document: `id, class_id` (the least id of the class), `n_links` (documents at the
-threshold or above, copies included). A null or empty text has no n-grams: such texts equal each other and nothing else. A text of
+threshold or above, copies included). A null or empty text, or one without any letter or digit, has no n-grams: such texts equal each
+other and nothing else. A text of
 fewer words than n has one n-gram of all its words. A null id counts as larger than any and gives a null class_id if no
 other member has one. Rows that repeat count as copies. Columns other than id and text aren't read. An empty table gives no rows.
 """
