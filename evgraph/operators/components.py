@@ -15,9 +15,17 @@ from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the session's folder; only where none is set (tests) is one made."""
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="spark-"))
+    """Uses the session's folder. Only where none is set is one made, and only in local mode (tests): executors elsewhere
+    couldn't see it, so a cluster without the setting is an error."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isDefined():
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-")
+    context.setCheckpointDir(folder)
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", rounds: int = 60) -> DataFrame:
