@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evgraph.llm.common import RangeHash, lean, mix
+from evgraph.llm.common import lean, mix, range_hashes, spread
 
 #: Characters in one numpy step, and bytes of text whose distinct words are encoded together.
 STEP_CHARS = 1 << 19
@@ -222,38 +222,31 @@ def cut_words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Distinct words of a slice of texts."""
+    """Distinct words of a slice of texts. Hashes only bring equal words together; equality is that of their characters."""
 
     def __init__(self):
-        self.held: list[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.held: list[list[str]] = []
 
     def add(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Where each word of the text starts, and its number among the distinct words of this text."""
         start, end, points = cut_words(text)
-        codes = char_classes()[1][points]
-        number, keys = pd.factorize(RangeHash(codes).of(start, end))
-        other = RangeHash(codes, 1).of(start, end)
+        number, keys = pd.factorize(range_hashes(char_classes()[1][points], start, end))
         first = np.empty(len(keys), dtype=np.int64)
         first[number[::-1]] = np.arange(len(number) - 1, -1, -1)
-        if not (other[first][number] == other).all():
-            raise ValueError("two words of a slice have one 64-bit hash")
-        self.held.append((text, keys, other[first], start[first], end[first]))
+        size, other = end - start, first[number]
+        same = (size == size[other]).all() and (points[spread(start, size)] == points[spread(start[other], size)]).all()
+        if not same:  # different words of one hash
+            seen: dict[str, int] = {}
+            number = np.array([seen.setdefault(text[s:e], len(seen)) for s, e in zip(start.tolist(), end.tolist(), strict=True)], dtype=np.int64)
+            first = np.unique(number, return_index=True)[1]
+        self.held.append([text[s:e] for s, e in zip(start[first].tolist(), end[first].tolist(), strict=True)])
         return start, number
 
     def distinct(self) -> tuple[list[bytes], list[np.ndarray]]:
         """All distinct words, and for each text that was added their numbers by the text's own."""
-        number, keys = pd.factorize(np.concatenate([h[1] for h in self.held]))
-        other = np.concatenate([h[2] for h in self.held])
-        first = np.empty(len(keys), dtype=np.int64)
-        first[number[::-1]] = np.arange(len(number) - 1, -1, -1)
-        if not (other[first][number] == other).all():
-            raise ValueError("two words of a slice have one 64-bit hash")
-        bounds = np.cumsum([0] + [len(h[1]) for h in self.held])
-        words: list[bytes] = []
-        for k, (text, _, _, start, end) in enumerate(self.held):  # first places ascend
-            own = first[np.searchsorted(first, bounds[k]) : np.searchsorted(first, bounds[k + 1])] - bounds[k]
-            words += [text[s:e].encode() for s, e in zip(start[own].tolist(), end[own].tolist(), strict=True)]
-        return words, np.split(number, bounds[1:-1])
+        seen: dict[str, int] = {}
+        numbers = [np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words)) for words in self.held]
+        return [w.encode() for w in seen], numbers
 
 
 def encode_texts(texts: list[str], vocab: Vocabulary) -> Iterator[tuple[int, np.ndarray]]:

@@ -10,7 +10,6 @@ import contextlib
 import ctypes
 import functools
 import sys
-import tempfile
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Bytes or characters that one numpy step works on.
 CHUNK = 1 << 19
+#: Hashes that one step of a hash computation holds, so that they stay in a core's cache.
+STEP = 1 << 14
 #: Bytes of text that one group of documents holds on average.
 GROUP_BYTES = 8 << 20
 NO_ID = np.iinfo(np.int64).max
@@ -55,11 +56,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that all executors share. Only where the session names none (tests) is one made."""
-    held = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if held.isDefined():
-        return held.get()
-    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="spark-"))
+    """The folder that all executors share. Only where the session names none (tests) is one made, and only in local mode: on a
+    cluster a folder of the driver is no use to executors."""
+    from evgraph.operators.components import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
@@ -71,10 +72,17 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 # ---------------------------------------------------------------- hashes
+#
+# Hashes of runs are built by doubling: the hash of 2w places mixes those of its two halves, and every step multiplies and
+# shifts, so no structure of a text (periods, Thue-Morse words) makes two runs meet. A run of n places, w <= n < 2w for
+# a power w, is known by the hashes of its first and its last w places and by n.
 
 _U = np.uint64
-_BASE = {0: _U(0x9E3779B97F4A7C15), 1: _U(0xD1342543DE82EF95)}
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_SEED = (_U(0x9E3779B97F4A7C15), _U(0xD1342543DE82EF95))
+_LEFT = (_U(0xC2B2AE3D27D4EB4F), _U(0xA0761D6478BD642F))
+_BOTH = (_U(0xD6E8FEB86659FD93), _U(0xE7037ED1A0B428DB))
+_SIZE = _U(0x2545F4914F6CDD1D)
+_MASK = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=_U)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -87,39 +95,113 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _powers(n: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    have = _POWERS.get(kind)
-    if have is None or len(have[0]) < n:
-        size = max(n, CHUNK + 4096)
-        base = int(_BASE[kind])
-        inverse = pow(base, -1, 1 << 64)
-        out = []
-        for b in (base, inverse):
-            x = np.full(size, b, dtype=_U)
-            x[0] = 1
-            out.append(np.multiply.accumulate(x))
-        have = _POWERS[kind] = (out[0], out[1])
-    return have
-
-
-def byte_codes(kind: int = 0) -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=_U) * _U(0x2545F4914F6CDD1D) + _U(kind))
+def _seeded(codes: np.ndarray, kind: int) -> np.ndarray:
+    h = codes * _SEED[kind]
+    h ^= h >> _U(31)
+    return h
 
 
-class RangeHash:
-    """Polynomial hashes modulo 2**64 of any ranges of an array of 64-bit codes."""
+def _both(left: np.ndarray, right: np.ndarray, kind: int) -> np.ndarray:
+    h = left * _LEFT[kind]
+    h ^= h >> _U(32)
+    h += right
+    h *= _BOTH[kind]
+    h ^= h >> _U(29)
+    return h
 
-    def __init__(self, codes: np.ndarray, kind: int = 0):
-        power, self.inverse = _powers(len(codes) + 1, kind)
-        self.sums = np.zeros(len(codes) + 1, dtype=_U)
-        np.cumsum(codes * power[: len(codes)], out=self.sums[1:])
 
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        h = self.sums[end]
-        h -= self.sums[start]
-        h *= self.inverse[start]
-        h += (end - start).astype(_U)
-        return mix(h)
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... (sizes[0] of them), starts[1], ..."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number; zeros follow the end."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+
+
+def _windows(h: np.ndarray, width: int, size: int, kind: int) -> np.ndarray:
+    while width * 2 <= size:
+        h = _both(h[:-width], h[width:], kind)
+        width *= 2
+    if width < size:
+        h = _both(h[: len(h) - (size - width)], h[size - width :], kind)
+    return mix(h)
+
+
+def _stepped(codes: np.ndarray, n: int, width: int, size: int, kind: int) -> np.ndarray:
+    """`_windows` of n windows in steps that stay in the cache."""
+    out = np.empty(max(0, n), dtype=_U)
+    for lo in range(0, n, STEP):
+        hi = min(n, lo + STEP)
+        out[lo:hi] = _windows(_seeded(codes[lo : hi + size - width], kind), width, size, kind)
+    return out
+
+
+def window_hashes(codes: np.ndarray, size: int, kind: int = 0) -> np.ndarray:
+    """Hash of each run of `size` 64-bit codes; the two kinds are independent."""
+    return _stepped(codes, len(codes) - size + 1, 1, size, kind)
+
+
+def byte_windows(data: np.ndarray, size: int, kind: int = 0) -> np.ndarray:
+    """Hash of each run of `size` bytes, eight at least."""
+    return _stepped(_eights(data), len(data) - size + 1, 8, size, kind)
+
+
+def range_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray, kind: int = 0) -> np.ndarray:
+    """Hashes of ranges of an array of 64-bit codes; starts rise."""
+    out = np.zeros(len(start), dtype=_U)
+    lo = 0
+    while lo < len(start):
+        base = int(start[lo])
+        hi = max(lo + 1, int(np.searchsorted(start, base + STEP)))
+        s, e = start[lo:hi] - base, end[lo:hi] - base
+        n = e - s
+        width, h, held = 1, _seeded(codes[base : base + int(e.max())], kind), out[lo:hi]
+        while True:
+            at = np.flatnonzero((n >= width) & (n < 2 * width))
+            if at.size:
+                held[at] = _both(h[s[at]], h[e[at] - width], kind)
+            if n.max() < 2 * width:
+                break
+            h = _both(h[:-width], h[width:], kind)
+            width *= 2
+        lo = hi
+    out += (end - start).astype(_U) * _SIZE
+    return mix(out)
+
+
+def byte_range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, kind: int = 0) -> np.ndarray:
+    """Hashes of ranges of bytes."""
+    n = end - start
+    out = np.zeros(len(start), dtype=_U)
+    eights = _eights(data)
+    at = np.flatnonzero(n <= 8)
+    first = _seeded(eights[start[at]] & _MASK[n[at]], kind)
+    out[at] = _both(first, first, kind)
+    long = np.flatnonzero(n > 16)
+    at = np.flatnonzero((n > 8) & (n <= 16))
+    out[at] = _both(_seeded(eights[start[at]], kind), _seeded(eights[end[at] - 8], kind), kind)
+    if long.size:
+        s, size = start[long], n[long]
+        if size.sum() * 2 < len(data):  # long ranges are few: their bytes alone
+            data = data[spread(s, size)]
+            s = np.cumsum(size) - size
+            eights = _eights(data)
+        width, h = 8, _seeded(eights[: len(data) - 7], kind)
+        held = np.zeros(len(s), dtype=_U)
+        while True:
+            fit = np.flatnonzero((size >= width) & (size < 2 * width) | ((size == 16) & (width == 8)))
+            if fit.size:
+                held[fit] = _both(h[s[fit]], h[s[fit] + size[fit] - width], kind)
+            if size.max() < 2 * width:
+                break
+            h = _both(h[:-width], h[width:], kind)
+            width *= 2
+        out[long] = held
+    out += n.astype(_U) * _SIZE
+    return mix(out)
 
 
 # ---------------------------------------------------------------- Arrow columns

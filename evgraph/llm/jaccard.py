@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
-from evgraph.llm.common import NO_ID, RangeHash, binary, keyed, lean, mix, with_checkpoint_dir
+from evgraph.llm.common import NO_ID, binary, keyed, lean, mix, range_hashes, with_checkpoint_dir
 from evgraph.llm.words import shingles, word_hashes
 from evgraph.operators.components import connected_components
 
@@ -80,7 +80,7 @@ def sign(docs: DataFrame, ngram: int, bands: int, rows: int) -> DataFrame:
                 hashes, first = word_hashes([t or "" for t in column.slice(lo, hi - lo).to_pylist()])
                 grams, begin = shingles(hashes, first, ngram)
                 sig = signatures(grams, begin, bands, rows)
-                s = [RangeHash(hashes, k).of(first[:-1], first[1:]).view(np.int64) for k in range(2)]
+                s = [range_hashes(hashes, first[:-1], first[1:], k).view(np.int64) for k in range(2)]
                 none = begin[1:] == begin[:-1]
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(sig.view(np.int64).ravel()), bands).cast(pa.list_(pa.int64()))
                 lists = pa.compute.if_else(pa.array(none), pa.scalar(None, pa.list_(pa.int64())), lists)

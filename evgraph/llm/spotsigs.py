@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evgraph.llm.common import GROUP_BYTES, RangeHash, lean, measure, mix
+from evgraph.llm.common import GROUP_BYTES, lean, measure, mix, range_hashes
 from evgraph.llm.words import hash_word, word_hashes
 
 ANCHORS = (
@@ -63,7 +63,7 @@ def signature_sets(texts: list[str], common: np.ndarray, chain: int = CHAIN) ->
     pair = np.unique((text[spots].astype(np.uint64) << np.uint64(32)) | (mix(h) >> np.uint64(32)))
     bounds = np.searchsorted(pair >> np.uint64(32), np.arange(len(texts) + 1))
     chains = (pair & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    whole = (RangeHash(hashes).of(first[:-1], first[1:]) >> np.uint64(32)).astype(np.uint32)
+    whole = (range_hashes(hashes, first[:-1], first[1:]) >> np.uint64(32)).astype(np.uint32)
     return [chains[a:b] if b > a else whole[i : i + 1] for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))]
 
 

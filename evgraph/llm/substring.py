@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
-from evgraph.llm.common import CHUNK, RangeHash, binary, byte_codes, covered, groups_for, joined, keyed, lean, longs, measure, mix, pack, unpack, utf8
+from evgraph.llm.common import CHUNK, binary, byte_range_hashes, covered, groups_for, joined, keyed, lean, longs, measure, pack, unpack, utf8, window_hashes
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -52,7 +52,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, hashes: bool = True):
         hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + CHUNK, side="right")))
         part = data[starts[lo] : ends[hi - 1]]
         for kind, out in enumerate(found):
-            out[lo:hi] = RangeHash(byte_codes(kind)[part], kind).of(starts[lo:hi] - starts[lo], ends[lo:hi] - starts[lo])
+            out[lo:hi] = byte_range_hashes(part, starts[lo:hi] - starts[lo], ends[lo:hi] - starts[lo], kind)
         lo = hi
     return starts, ends, found, first
 
@@ -63,13 +63,7 @@ def windows_of(data: np.ndarray, offsets: np.ndarray, size: int):
     n = np.diff(first)
     text = np.repeat(np.arange(len(n), dtype=np.int32), np.maximum(0, n - size + 1))
     at = np.flatnonzero(np.arange(len(found[0])) + size <= np.repeat(first[1:], n))
-    out = []
-    for words, factor in zip(found, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), strict=True):
-        h = np.zeros(max(0, len(words) - size + 1), dtype=np.uint64)
-        for j in range(size):
-            h *= np.uint64(factor)
-            h += words[j : j + len(h)]
-        out.append(mix(h[at]))
+    out = [window_hashes(words, size, kind)[at] for kind, words in enumerate(found)]
     return text, (at - first[text]).astype(np.int32), *out
 
 

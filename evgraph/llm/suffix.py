@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
-from evgraph.llm.common import CHUNK, NO_ID, RangeHash, binary, byte_codes, covered, groups_for, joined, lean, longs, measure, pack, pieces, unpack, utf8
+from evgraph.llm.common import CHUNK, NO_ID, STEP, binary, byte_range_hashes, byte_windows, covered, groups_for, joined, lean, longs, measure, pack, pieces, spread, unpack, utf8
 from evgraph.llm.substring import by_group, held, marks_of, rows_of, sketch, with_marks
 
 GRAM = 64
@@ -47,16 +47,18 @@ def contexts(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRA
         here = data[base:top]
         if len(here) < length:
             continue
-        h = RangeHash(byte_codes()[here])
-        at = np.arange(len(here) - gram + 1)
-        grams = h.of(at, at + gram)
-        least = (grams & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
-        step = 1
-        while step * 2 <= width:
-            least = np.minimum(least[:-step], least[step:])
-            step *= 2
-        if width > step:
-            least = np.minimum(least[: len(least) - (width - step)], least[width - step :])
+        grams = byte_windows(here, gram)
+        least = np.empty(len(grams) - width + 1, dtype=np.int64)
+        for x in range(0, len(least), STEP):  # where the least gram of each string is
+            y = min(len(least), x + STEP)
+            part_ = (grams[x : y + width - 1] & np.uint64(0xFFFFFFFF00000000)) | np.arange(x, y + width - 1, dtype=np.uint64)
+            step = 1
+            while step * 2 <= width:
+                part_ = np.minimum(part_[:-step], part_[step:])
+                step *= 2
+            if width > step:
+                part_ = np.minimum(part_[: len(part_) - (width - step)], part_[width - step :])
+            least[x:y] = (part_ & np.uint64(0xFFFFFFFF)).view(np.int64)
         rows, lo, own, end = (np.array(x, dtype=np.int64) for x in zip(*part, strict=True))
         n = np.maximum(0, np.minimum(own, end - length + 1) - lo)  # strings that start in each piece
         total = int(n.sum())
@@ -64,23 +66,18 @@ def contexts(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRA
             continue
         starts = np.repeat(lo - base - (np.cumsum(n) - n), n) + np.arange(total)
         of = np.repeat(np.arange(len(n)), n)
-        anchor = (least[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        anchor = least[starts]
         head = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (of[1:] != of[:-1])))
         first = np.flatnonzero(head)
         last = np.append(first[1:], total) - 1
         anchor = anchor[first]
-        other = RangeHash(byte_codes(1)[here], 1).of(anchor, anchor + gram)
+        other = byte_range_hashes(here, anchor, anchor + gram, 1)
         for x, y in zip(out, (rows[of[first]], starts[first] + base, starts[last] + base + length, anchor + base, grams[anchor], other), strict=True):
             x.append(y)
     return [np.concatenate(x) if x else np.zeros(0, np.uint64 if i > 3 else np.int64) for i, x in enumerate(out)]
 
 
-def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """starts[0], starts[0] + 1, ... (sizes[0] of them), starts[1], ..."""
-    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-
-
-def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def string_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two hashes of byte ranges that are sorted by start; in steps of bounded size."""
     out = np.empty((2, len(starts)), dtype=np.uint64)
     lo = 0
@@ -89,7 +86,7 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tupl
         base = starts[lo]
         part = data[base : ends[lo:hi].max()]
         for kind in range(2):
-            out[kind, lo:hi] = RangeHash(byte_codes(kind)[part], kind).of(starts[lo:hi] - base, ends[lo:hi] - base)
+            out[kind, lo:hi] = byte_range_hashes(part, starts[lo:hi] - base, ends[lo:hi] - base, kind)
         lo = hi
     return out[0], out[1]
 
@@ -164,7 +161,7 @@ def repeated_spans(docs: DataFrame, length: int, bits: int, bitmap: np.ndarray,
                 if busy.any():
                     n = (end - start - length + 1)[busy]
                     place, own = spread(start[busy], n), np.repeat(doc[busy], n)
-                    a, b = range_hashes(data, place, place + length)
+                    a, b = string_hashes(data, place, place + length)
                     order, head = same(a, b)
                     first = np.flatnonzero(head)
                     count = np.diff(np.append(first, len(order)))
@@ -179,7 +176,7 @@ def repeated_spans(docs: DataFrame, length: int, bits: int, bitmap: np.ndarray,
                         out.append((s, -2, pack(a=a[mine], b=b[mine], many=many[mine], doc=index.astype(np.int32), place=place[mine] - offsets[own[mine]], id=ids[docs_ + lo], key=keys[docs_ + lo])))
                     doc, start, end, anchor, h1 = doc[~busy], start[~busy], end[~busy], anchor[~busy], h1[~busy]
                 if len(doc):
-                    a, b = range_hashes(data, start, end)
+                    a, b = string_hashes(data, start, end)
                     order, head = same(h1, a, b)
                     first = np.flatnonzero(head)
                     count = np.diff(np.append(first, len(order)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 from evgraph.llm.bpe import STEP_CHARS, char_classes, normalised
-from evgraph.llm.common import RangeHash, mix
+from evgraph.llm.common import range_hashes, window_hashes
 
 
 def hash_word(word: str) -> int:
@@ -27,7 +27,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         word[1:-1] = (kind == 1) | (kind == 2)
         step = np.diff(word)
         start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-        out.append(RangeHash(codes[points]).of(start, end))
+        out.append(range_hashes(codes[points], start, end))
         heads = np.cumsum([0] + [len(p) + 1 for p in parts])
         np.add.at(counts, owners, np.diff(np.searchsorted(start, heads)))
 
@@ -57,10 +57,9 @@ def shingles(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarr
     counts = np.where(n >= size, n - size + 1, np.minimum(n, 1))
     begin = np.concatenate(([0], np.cumsum(counts)))
     at = np.repeat(first[:-1] - begin[:-1], counts) + np.arange(begin[-1])
-    padded = np.concatenate((hashes, np.zeros(size, np.uint64)))
-    out = np.zeros(len(at), dtype=np.uint64)
-    short = np.repeat(np.minimum(n, size), counts)
-    for j in range(size):
-        out *= np.uint64(0x9E3779B97F4A7C15)
-        out += np.where(short > j, padded[at + j], np.uint64(j + 1)) if (n < size).any() else padded[at + j]
-    return mix(out), begin
+    full = np.repeat(n >= size, counts)
+    out = np.empty(len(at), dtype=np.uint64)
+    out[full] = window_hashes(hashes, size)[at[full]]
+    short = np.flatnonzero((n > 0) & (n < size))
+    out[~full] = range_hashes(hashes, first[:-1][short], first[1:][short])
+    return out, begin
