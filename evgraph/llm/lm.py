@@ -3,7 +3,7 @@
 A target model is counted over the texts a caller names (good ones, say) and a background model over all documents. Both
 use one vocabulary, the words of all documents, and are interpolated bigram models with the same smoothing, so that their per-token
 losses can be compared. A document's score is the mean difference of loss (background minus target): higher means nearer
-to the target.
+to the target. Each row is scored by models that leave its own counts out, so a text doesn't vouch for itself; its copies do.
 
 Words and (before, word) pairs are counted exactly, by 64-bit hashes; nothing is folded, and no model is gathered or broadcast:
 
@@ -12,14 +12,17 @@ Words and (before, word) pairs are counted exactly, by 64-bit hashes; nothing is
 2. A shard adds up its counts, and answers each group with the totals of what that group sent, in the same order.
 3. A group finds its words and pairs again (the exchange of the texts is used twice), and scores its documents.
 
-A null or empty text has no tokens: its losses and score are null. Labels that are null name no target; a document with several labels
-is a target if one of them says so; rows that repeat count each time. An empty target gives the uniform model. Columns
-other than id, text and label aren't read. An empty table gives no rows.
+Shards grow with the input, so what one holds doesn't; groups times shards messages travel, as blocks do in any shuffle.
+
+A null or empty text has no tokens: its losses and score are null. A very long text is a group of its own. Labels that are null name no target; a
+document with several labels is a target if one of them says so; rows that repeat count each time, and each leaves out itself alone. An empty target
+gives the uniform model. Columns other than id, text and label aren't read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,43 +33,30 @@ from evgraph.llm.words import word_hashes
 
 SLICE = 1 << 20
 #: Bytes of text in a group on average, and for each shard; SHARDS at least.
-GROUP = 4 << 20
+GROUP = 8 << 20
 SHARD = 64 << 20
 SHARDS = 96
 OUT = "id long, n_tokens long, target_loss double, background_loss double, score double"
 
 
-def events(texts: list[str], slots: int = 0, pair_slots: int = 0):
-    """Word of each token, the word before it (a text starts after 0, which is no word), the pair, and bounds.
-
-    They are 64-bit hashes, or with `slots` and `pair_slots` the slots of these."""
-    hashes, first = word_hashes(texts)
-    word = (hashes % np.uint64(slots - 1)).astype(np.int64) + 1 if slots else hashes
+def events(texts: list[str]):
+    """Word of each token, the word before it (a text starts after 0, which is no word), the pair, all as 64-bit hashes, and bounds."""
+    word, first = word_hashes(texts)
     before = np.concatenate((np.zeros(1, word.dtype), word[:-1])) if len(word) else word.copy()
-    heads = first[:-1][np.diff(first) > 0]
-    before[heads] = 0
-    pair = mix(before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.astype(np.uint64) + np.uint64(1))
-    return word, before, (pair % np.uint64(pair_slots)).astype(np.int64) if pair_slots else pair, first
-
+    before[first[:-1][np.diff(first) > 0]] = 0
+    return word, before, mix(before * np.uint64(0x9E3779B97F4A7C15) + word + np.uint64(1)), first
 
-def losses(tables: np.ndarray, word: np.ndarray, before: np.ndarray, pair: np.ndarray, slots: int, pair_weight: float, floor: float, totals: np.ndarray | None = None, words: int | None = None) -> np.ndarray:
-    """Per-token loss (nats) under both models: a pair model interpolated with a word model, that with a uniform one.
 
-    Where the tables hold a part of the vocabulary, `totals` are the tokens of each model and `words` the words of the whole one."""
-    out = np.empty((2, len(word)))
-    for kind in range(2):
-        table = tables[kind]
-        total = max(1.0, float(table[:slots].sum(dtype=np.float64) if totals is None else totals[kind]))
-        p = (1 - floor) * table[word] / total + floor / (words or slots)
-        context = table[slots + before]
-        share = np.where(context > 0, table[2 * slots + pair] / np.maximum(context, 1), p)
-        out[kind] = -np.log(pair_weight * share + (1 - pair_weight) * p)
-    return out
+def coded(name: str, values: np.ndarray) -> dict[str, np.ndarray]:
+    """Counts in a byte each, those of 255 and more apart."""
+    far = values[values >= 255]
+    return {name: np.minimum(values, 255).astype(np.uint8), name + "_far": far.astype(np.min_scalar_type(int(far.max(initial=0))))}
 
 
-def small(values: np.ndarray) -> np.ndarray:
-    """In the smallest unsigned type that holds all values."""
-    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+def decoded(name: str, part: dict[str, np.ndarray]) -> np.ndarray:
+    out = part[name].astype(np.int64)
+    out[out == 255] = part[name + "_far"]
+    return out
 
 
 def planes(keys: np.ndarray) -> np.ndarray:
@@ -110,7 +100,10 @@ def sent(number: int, group: Group, target: np.ndarray, shards: int) -> pa.Table
     out = []
     for s in range(shards):
         a, b = slice(w[s], w[s + 1]), slice(p[s], p[s + 1])
-        held = {f"{name}{kind}": small(x[i][at]) for kind, x in ((0, good), (1, every)) for name, i, at in (("w", 0, a), ("c", 1, a), ("p", 2, b))}
+        held = {}
+        for kind, x in ((0, good), (1, every)):
+            for name, i, at in (("w", 0, a), ("c", 1, a), ("p", 2, b)):
+                held |= coded(f"{name}{kind}", x[i][at])
         out.append(pack(words=planes(group.words[a]), pairs=planes(group.pairs[b]), **held))
     return pa.table([pa.array([number] * shards, pa.int32()), pa.array(range(shards), pa.int32()), binary(out)], names=["group", "shard", "data"])
 
@@ -130,31 +123,56 @@ def answers(messages: pa.Table) -> pa.Table:
     for i, v in enumerate(values):
         part = unpack(v.as_py())
         for name, x in total.items():
-            x[places["pairs" if name[0] == "p" else "words"][i]] += part[name]  # distinct within a message
+            x[places["pairs" if name[0] == "p" else "words"][i]] += decoded(name, part)  # distinct within a message
     figures = np.array([total["w0"].sum(), total["w1"].sum(), np.count_nonzero(have["words"])], dtype=np.int64)
-    out = [pack(figures=figures, **{name: small(x[places["pairs" if name[0] == "p" else "words"][i]]) for name, x in total.items()}) for i in range(len(values))]
+    out = []
+    for i in range(len(values)):
+        held: dict[str, np.ndarray] = {}
+        for name, x in total.items():
+            held |= coded(name, x[places["pairs" if name[0] == "p" else "words"][i]])
+        out.append(pack(figures=figures, **held))
     return pa.table([messages.column("group"), messages.column("shard"), binary(out)], names=["group", "shard", "data"])
 
 
-def scored(ids: pa.Array, group: Group, replies: pa.Table, pair_weight: float, floor: float) -> pa.Table:
-    order = np.argsort(replies.column("shard").to_numpy())
-    parts = [unpack(replies.column("data")[int(i)].as_py()) for i in order]
+def own_counts(text: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """How often a token's number occurs in its own text."""
+    codes, _ = pd.factorize((text << 32) | number)
+    return np.bincount(codes)[codes] if len(codes) else codes
+
+
+def losses(group: Group, tables: dict[str, np.ndarray], figures: np.ndarray, target: np.ndarray, pair_weight: float, floor: float) -> np.ndarray:
+    """Per-token loss (nats) under both models, without the counts of the token's own text: a pair model interpolated with a word model,
+    that with a uniform one."""
+    text = np.repeat(np.arange(len(group.n)), group.n)
+    own = [own_counts(text, x) for x in (group.word, group.before, group.pair)]
+    length = group.n[text]
+    words = max(1, int(figures[2]))
+    out = np.empty((2, len(text)))
+    for kind in range(2):
+        mine = np.ones(len(text), np.int64) if kind else target[text].astype(np.int64)
+        word, context, pair = (tables[f"{name}{kind}"][at] - mine * o for name, at, o in zip("wcp", (group.word, group.before, group.pair), own, strict=True))
+        p = (1 - floor) * word / np.maximum(1, figures[kind] - mine * length) + floor / words
+        share = np.where(context > 0, pair / np.maximum(context, 1), p)
+        out[kind] = -np.log(pair_weight * share + (1 - pair_weight) * p)
+    return out
+
+
+def scored(ids: pa.Array, group: Group, target: np.ndarray, replies: list[tuple[int, bytes]], pair_weight: float, floor: float) -> pa.Table:
+    parts = [unpack(data) for _, data in sorted(replies, key=lambda r: r[0])]
     figures = np.sum([p["figures"] for p in parts], axis=0)
-    tables = np.array([np.concatenate([p[f"{name}{kind}"] for name in "wcp" for p in parts]) for kind in range(2)], dtype=np.float64)
+    tables = {f"{name}{kind}": np.concatenate([decoded(f"{name}{kind}", p) for p in parts]) for name in "wcp" for kind in range(2)}
     n = group.n
-    sums = np.empty((2, len(n)))
     first = np.concatenate(([0], np.cumsum(n)))
-    loss = losses(tables, group.word, group.before, group.pair, len(group.words), pair_weight, floor, figures[:2], max(1, int(figures[2])))
+    loss = losses(group, tables, figures, target, pair_weight, floor)
     sums = np.diff(np.concatenate((np.zeros((2, 1)), np.cumsum(loss, axis=1)), axis=1)[:, first], axis=1)
     none = n == 0
     mean = sums / np.maximum(n, 1)
     return pa.table([ids, pa.array(n, pa.int64()), pa.array(mean[0], mask=none), pa.array(mean[1], mask=none), pa.array(mean[1] - mean[0], mask=none)], names=["id", "n_tokens", "target_loss", "background_loss", "score"])
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", target: int = 1, slots: int | None = None, pair_slots: int | None = None, pair_weight: float = 0.5, floor: float = 0.05) -> DataFrame:
-    """`id, n_tokens, target_loss, background_loss, score` of every document.
-
-    `slots` and `pair_slots` were the sizes of folded tables; they are still taken and change nothing."""
+def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", target: int = 1, pair_weight: float = 0.5, floor: float = 0.05) -> DataFrame:
+    """`id, n_tokens, target_loss, background_loss, score` of every document. The pair model counts `pair_weight`, the word model the rest,
+    and within it the uniform one `floor`."""
     good = labels.where((F.col(label_col) == target) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id")).distinct()
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
@@ -165,16 +183,22 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     named = rows.select("id", "group").distinct().join(good.hint("merge"), "id").select(F.col("group").alias("to"), F.col("id").alias("good"))
     texts = rows.repartition(groups, "group")
 
+    def targets(ids: pa.Array, good_ids: list) -> np.ndarray:
+        return pa.compute.is_in(ids, value_set=pa.array(good_ids, pa.int64()), skip_nulls=True).to_numpy(zero_copy_only=False)
+
     def send(key, left, right):
         if not left.num_rows:
             return pa.table([pa.array([], pa.int32()), pa.array([], pa.int32()), binary([])], names=["group", "shard", "data"])
-        ids = left.column("id").combine_chunks()
-        target = pa.compute.is_in(ids, value_set=right.column("good").combine_chunks(), skip_nulls=True).to_numpy(zero_copy_only=False)
+        target = targets(left.column("id").combine_chunks(), right.column("good").to_pylist())
         return sent(key[0].as_py(), Group(left.column("text").combine_chunks()), target, shards)
 
     def receive(left, right):
-        return scored(left.column("id").combine_chunks(), Group(left.column("text").combine_chunks()), right, pair_weight, floor)
+        replies = list(zip(right.column("shard").to_pylist(), right.column("data").to_pylist(), strict=True))
+        ids = left.column("id").combine_chunks()
+        target = targets(ids, [int(d) for s, d in replies if s < 0])
+        return scored(ids, Group(left.column("text").combine_chunks()), target, [r for r in replies if r[0] >= 0], pair_weight, floor)
 
     messages = texts.groupBy("group").cogroup(named.groupBy("to")).applyInArrow(send, "group int, shard int, data binary")
     replies = messages.groupBy("shard").applyInArrow(answers, "group int, shard int, data binary")
-    return texts.groupBy("group").cogroup(replies.groupBy("group")).applyInArrow(receive, OUT)
+    marked = named.select(F.col("to").alias("group"), F.lit(-1).alias("shard"), F.encode(F.col("good").cast("string"), "utf-8").alias("data"))
+    return texts.groupBy("group").cogroup(replies.unionByName(marked).groupBy("group")).applyInArrow(receive, OUT)

@@ -127,7 +127,8 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     from evgraph.llm.lm import score
 
-    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
+    out = score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select(F.col("id").alias("doc_id"), "n_tokens", *[F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")])
 
 
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,4 +149,4 @@ QUERIES = {
     "op9_cross_entropy_difference": op9_cross_entropy_difference,
     "op10_spotsigs": op10_spotsigs,
 }
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_ngram_jaccard_join": sql.NGRAM_JACCARD_JOIN, "op4_voronoi_knn": OP4_SQL, "op5_suffix_array": sql.SUFFIX_ARRAY, "op6_warc_revisits": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_ngram_jaccard_join": sql.NGRAM_JACCARD_JOIN, "op4_voronoi_knn": OP4_SQL, "op5_suffix_array": sql.SUFFIX_ARRAY, "op6_warc_revisits": OP6_SQL, "op9_cross_entropy_difference": sql.CROSS_ENTROPY_DIFFERENCE}

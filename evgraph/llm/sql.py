@@ -32,3 +32,29 @@ WITH b AS MATERIALIZED (SELECT doc_id, encode(coalesce(text, '')) AS b FROM docu
 SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans, sha256(coalesce(kept, b)) AS kept_sha256
 FROM b LEFT JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
 """
+
+CROSS_ENTROPY_DIFFERENCE = r"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w,
+    CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) THEN 1 ELSE 0 END AS good
+  FROM documents
+), tokens AS (
+  SELECT r, good, len(w) AS n, unnest(w) AS word, unnest(list_prepend('', w[1:len(w) - 1])) AS before FROM docs WHERE len(w) > 0
+), counted AS (
+  SELECT r, good, n,
+    count(*) OVER (PARTITION BY word) AS w1, sum(good) OVER (PARTITION BY word) AS w0, count(*) OVER (PARTITION BY r, word) AS wo,
+    count(*) OVER (PARTITION BY before) AS c1, sum(good) OVER (PARTITION BY before) AS c0, count(*) OVER (PARTITION BY r, before) AS co,
+    count(*) OVER (PARTITION BY before, word) AS p1, sum(good) OVER (PARTITION BY before, word) AS p0, count(*) OVER (PARTITION BY r, before, word) AS po
+  FROM tokens
+), whole AS (SELECT count(*) AS t1, sum(good) AS t0, (SELECT count(DISTINCT word) FROM tokens) AS v FROM tokens
+), words AS (
+  SELECT r, c0 - good * co AS c0, c1 - co AS c1, p0 - good * po AS p0, p1 - po AS p1,
+    0.95::DOUBLE * (w0 - good * wo) / greatest(1, t0 - good * n) + 0.05::DOUBLE / v AS u0, 0.95::DOUBLE * (w1 - wo) / greatest(1, t1 - n) + 0.05::DOUBLE / v AS u1
+  FROM counted, whole
+), losses AS (
+  SELECT r, avg(-ln(0.5::DOUBLE * CASE WHEN c0 > 0 THEN p0::DOUBLE / c0 ELSE u0 END + 0.5::DOUBLE * u0)) AS l0,
+    avg(-ln(0.5::DOUBLE * CASE WHEN c1 > 0 THEN p1::DOUBLE / c1 ELSE u1 END + 0.5::DOUBLE * u1)) AS l1
+  FROM words GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_tokens, round(l0, 6) AS target_loss, round(l1, 6) AS background_loss, round(l1 - l0, 6) AS score FROM docs LEFT JOIN losses USING (r)
+"""

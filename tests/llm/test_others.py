@@ -1,11 +1,14 @@
 import hashlib
+import itertools
+import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from evgraph.llm import knn, lm, spotsigs, toxicity, warc
+from evgraph.llm import grammar, knn, lm, spotsigs, toxicity, warc
 
 
 # ---------------------------------------------------------------- nearest neighbours
@@ -40,7 +43,28 @@ def test_search_with_repeated_rows(spark, block, monkeypatch):
     rows = [(0, [1.0, 0.0])] * 3 + [(1, near)] * 6 + [(2, same)] * 6 + [(i, same) for i in range(3, 7)] + [(i, [0.1, 0.1 * i]) for i in range(7, 30)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
     got = knn.search(table, F.col("id") == 0, scale=10.0)
-    assert sorted(tuple(x) for x in got.collect()) == [(0, 1, 1, 300), *[(0, n, n, 200) for n in range(2, 6)]]
+    # each row is a candidate, as in the SQL: the row that repeats six times takes all five places
+    assert sorted(tuple(x) for x in got.collect()) == [(0, n, 1, 300) for n in range(1, 6)]
+    got = knn.search(table.where("vec_id <> 1").unionByName(table.where("vec_id = 1").limit(2)), F.col("id") == 0, scale=10.0)
+    assert sorted(tuple(x) for x in got.collect()) == [(0, 1, 1, 300), (0, 2, 1, 300), *[(0, n, 2, 200) for n in range(3, 6)]]
+
+
+@pytest.mark.parametrize("size", [1.0, 1e4, 1e7, 1e10])
+def test_search_is_exact_for_large_components(spark, size, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 20)
+    r = random.Random(3)
+    rows = [(i, [size * r.choice((-1, 1, 0.5, 3)) * r.random() for _ in range(4)]) for i in range(90)]
+    rows += rows[5:9] + [(i, [x + y for x, y in zip(rows[7][1], (0.004, 0, 0, 0), strict=True)]) for i in range(100, 104)]
+    r.shuffle(rows)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    want = []
+    for q, v in whole:
+        if q % 10 == 0 and q < 90:
+            found = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in whole if i != q)[:5]
+            want += [(q, n + 1, i, min(max(-s, -(2**63)), 2**63 - 1)) for n, (s, i) in enumerate(found)]
+    got = knn.search(table, (F.pmod(F.col("id"), F.lit(10)) == 0) & (F.col("id") < 90), pivots=7, queries_a_cell=2)
+    assert sorted(tuple(x) for x in got.collect()) == sorted(want)
 
 
 # ---------------------------------------------------------------- archives
@@ -74,14 +98,39 @@ def test_payloads_come_back(spark, tmp_path):
 # ---------------------------------------------------------------- toxicity
 
 
-def test_grammar():
-    g = toxicity.Grammar(words={"idiot": 4.0}, prefixes={"lowei": 3.0})
-    f = lambda t: g.figures(t, {})
-    plain, negated, reported, aimed = (f(t)[0] for t in ("An idiot here.", "not an idiot here.", "He said idiot.", "you idiot."))
-    assert aimed > plain > reported > negated > 0
-    assert f("Loweixyz. idiot! idiot")[2] == 3 and f("lowei")[2] == 0
-    assert f("I will kill you")[0] > 0 == f("kill the process in the shell")[0]
-    assert f("")[0] == f("!!! ... \n")[0] == 0 and f("not. an idiot")[0] == plain
+def test_composition_equals_one_transducer_after_another():
+    """Each path of the composed table, against the five transducers run one after another."""
+    after, written, events = grammar.compose()
+    start = tuple(x for x, _ in grammar.CASCADE)
+    r = random.Random(5)
+    paths = [p for n in range(1, 5) for p in itertools.product(range(len(grammar.KINDS)), repeat=n)] + [tuple(r.randrange(len(grammar.KINDS)) for _ in range(40)) for _ in range(300)]
+    for path in paths:
+        state, states, got, want = 0, start, [], []
+        for kind in path:
+            got.append(events[written[state][kind]] if written[state][kind] >= 0 else None)
+            state = after[state][kind]
+            symbol, new = grammar.plain(grammar.KINDS[kind]), []
+            for own, (_, step) in zip(states, grammar.CASCADE, strict=True):
+                own, symbol = step(own, symbol)
+                new.append(own)
+            states = tuple(new)
+            want.append(symbol if symbol[0] in grammar.HURTS else None)
+        assert got == want
+    assert all(after[s][grammar.KINDS.index("end")] == 0 for s in range(len(after)))
+
+
+def test_clauses():
+    g = toxicity.Grammar(frozenset({"idiot", "worthless", "loser"}), frozenset({"grimo"}))
+    f = lambda t: float(g.score(g.counts([t]))[0])
+    weight = lambda t: float(toxicity.scaled(g.counts([t]))[0] @ np.array(g.weights[1:]))
+    assert weight("you idiot.") > weight("An idiot here.") > weight("He said idiot.") > weight("not an idiot here.") > 0
+    for clean in ("The pathway is worth it.", "He loses. The paths are worthwhile.", "kill the process in the shell", "You are not an idiot.", "", "!!! ... \n", "idiotypes grimo"):
+        assert f(clean) < 0.5, clean
+    for bad in ("I will kill you", "you will be killed", "we shall burn them", "idiots, all of you", "worthless. Such a loser!", "so grimofoo"):
+        assert f(bad) > 0.5, bad
+    assert weight("not. an idiot") == weight("an idiot") and weight("I will not kill you") < weight("I will kill you")
+    # a word outside its clause's pattern adds nothing: the threat has no target, the negation ends with its clause
+    assert weight("kill the lamp. you") == 0
 
 
 def test_learned_scores(spark):
@@ -100,15 +149,15 @@ def test_learned_scores(spark):
     labels += [(5, None), (None, 1), (8, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score double")
     marks = spark.createDataFrame(labels, "doc_id long, toxic int")
-    grammar = toxicity.learn(docs, marks.where("doc_id % 5 <> 0 or doc_id is null"))
-    assert "badword" in grammar.words and len(grammar.words) < 20
-    got = {r["id"]: r["score"] for r in toxicity.score(docs, grammar).collect()}
+    fitted = toxicity.learn(docs, marks.where("doc_id % 5 <> 0 or doc_id is null"))
+    assert "badword" in fitted.insults and len(fitted.insults) < 20
+    got = {r["id"]: r["score"] for r in toxicity.score(docs, fitted).collect()}
     truth = {i: t for i, t in labels[:400]}
     wrong = [i for i, t in truth.items() if i % 5 == 0 and (got[i] >= 0.5) != bool(t)]
     assert not wrong and all(0 <= s <= 1 for s in got.values()) and got[900] == got[901] < 0.5 < got[None]
-    kept = toxicity.keep_clean(docs, grammar)
+    kept = toxicity.keep_clean(docs, fitted)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, s in got.items() if s < 0.5}
-    assert toxicity.score(docs.limit(0), grammar).count() == 0
+    assert toxicity.score(docs.limit(0), fitted).count() == 0
     assert toxicity.score(docs, toxicity.learn(docs, marks.limit(0))).count() == len(rows)
 
 
@@ -121,7 +170,7 @@ def test_cross_entropy_difference(spark):
     rows = [(i, " ".join(r.choice(a if i % 2 else b) for _ in range(30)), 1) for i in range(200)] + [(500, None, 1), (501, "  ", 1), (1, "dup", 1), (None, "good1 good2", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, target int")
     labels = spark.createDataFrame([(i, i % 2) for i in range(100)] + [(None, 1), (3, None), (3, 1)], "doc_id long, quality int")
-    out = lm.score(docs, labels, slots=1 << 12, pair_slots=1 << 14).collect()
+    out = lm.score(docs, labels).collect()
     assert len(out) == len(rows)
     good = [x["score"] for x in out if x["id"] is not None and 100 <= x["id"] < 200 and x["id"] % 2]
     junk = [x["score"] for x in out if x["id"] is not None and 100 <= x["id"] < 200 and x["id"] % 2 == 0]
@@ -130,30 +179,11 @@ def test_cross_entropy_difference(spark):
     assert lm.score(docs.limit(0), labels).count() == 0
 
 
-def test_losses_by_hand():
-    import numpy as np
-
-    texts = ["a b a b", "b a"]
-    word, before, pair, first = lm.events(texts, 64, 128)
-    assert first.tolist() == [0, 4, 6] and before[0] == before[4] == 0 and len(set(word.tolist())) == 2
-    tables = np.zeros((2, 2 * 64 + 128), dtype=np.float32)
-    for x, y, z in zip(word, before, pair, strict=True):
-        tables[1][x] += 1
-        tables[1][64 + y] += 1
-        tables[1][128 + z] += 1
-    loss = lm.losses(tables, word, before, pair, 64, 0.5, 0.05)
-    p = 0.95 * 3 / 6 + 0.05 / 64
-    assert loss[1][1] == pytest.approx(-np.log(0.5 * tables[1][128 + pair[1]] / tables[1][64 + before[1]] + 0.5 * p), rel=1e-5)
-    assert loss[0][0] == pytest.approx(-np.log(0.05 / 64), rel=1e-5)  # a model of nothing is uniform but for its weight on pairs
-
-
 def test_counts_are_exact(spark):
-    import math
-
     r = random.Random(5)
     rows = [(i, " ".join("w%d" % int(r.paretovariate(0.4)) for _ in range(r.randint(0, 60)))) for i in range(300)] + [(7, "w1 w2 w3"), (None, "w1 w1"), (900, None)]
     marks = [(i, i % 3 == 0) for i in range(200)]
-    out = lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame([(i, int(m)) for i, m in marks], "doc_id long, quality int"), slots=64, pair_slots=128).collect()
+    out = lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame([(i, int(m)) for i, m in marks], "doc_id long, quality int")).collect()
     good = {i for i, m in marks if m}
     counts = [[Counter(), Counter(), Counter()] for _ in range(2)]
     for i, t in rows:
@@ -164,13 +194,14 @@ def test_counts_are_exact(spark):
             pairs.update(zip(["", *w], w, strict=False))
     size = len(counts[1][0])
 
-    def loss(kind, w):
-        words, contexts, pairs = counts[kind]
-        p = [0.95 * words[x] / sum(words.values()) + 0.05 / size for x in w]
+    def loss(kind, w, mine):
+        """Without the document's own counts."""
+        words, contexts, pairs = (x - y if mine else x for x, y in zip(counts[kind], (Counter(w), Counter(["", *w][: len(w)]), Counter(zip(["", *w], w, strict=False))), strict=True))
+        p = [0.95 * words[x] / max(1, sum(words.values())) + 0.05 / size for x in w]
         share = [pairs[b, x] / contexts[b] if contexts[b] else y for b, x, y in zip(["", *w], w, p, strict=False)]
         return sum(-math.log(0.5 * a + 0.5 * b) for a, b in zip(share, p, strict=True)) / len(w)
 
-    want = sorted((len(w), loss(0, w), loss(1, w)) for w in ((t or "").split() for _, t in rows) if w)
+    want = sorted((len(w), loss(0, w, i in good), loss(1, w, True)) for i, w in ((i, (t or "").split()) for i, t in rows) if w)
     got = sorted((x["n_tokens"], x["target_loss"], x["background_loss"]) for x in out if x["n_tokens"])
     assert len(out) == len(rows) and size > 1000 and all(x == pytest.approx(y, rel=1e-9) for x, y in zip(got, want, strict=True))
 
