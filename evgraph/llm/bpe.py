@@ -35,11 +35,33 @@ SLICE_BYTES = 12 << 20
 SPACES = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
+@functools.cache
+def newer() -> dict[str, int]:
+    """Letters (1) and numbers (2) that the tokenizer's Unicode tables have and this Python's don't, so that ids don't depend on the
+    Python version of an executor."""
+    from tokenizers import Regex, pre_tokenizers
+
+    unknown = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn")
+    found = {}
+    for kind, pattern in ((1, r"\p{L}"), (2, r"\p{N}")):
+        found |= {c: kind for piece, _ in pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str(unknown) for c in piece}
+    return found
+
+
+@functools.cache
+def newer_pattern() -> re.Pattern:
+    points = np.array(sorted(map(ord, newer())), dtype=np.int64)
+    cuts = np.flatnonzero(np.diff(points) > 1) + 1
+    runs = "".join(f"\\U{p[0]:08x}-\\U{p[-1]:08x}" for p in np.split(points, cuts) if len(p))
+    return re.compile(f"[{runs}]" if runs else "(?!)")
+
+
 @functools.cache
 def char_classes() -> tuple[np.ndarray, np.ndarray]:
     """Of each code point: 0 space, 1 letter, 2 number, 3 other; and a 64-bit code."""
     kinds = {"L": 1, "N": 2}
     classes = np.frombuffer(bytes(kinds.get(unicodedata.category(chr(c))[0], 3) for c in range(0x110000)), dtype=np.uint8).copy()
+    classes[[ord(c) for c in newer()]] = list(newer().values())
     classes[SPACES] = 0
     return classes, mix(np.arange(1, 0x110001, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
@@ -195,9 +217,13 @@ def vocabulary(path: str) -> Vocabulary:
 
 def normalised(text: str) -> str:
     """Composed and lower-cased one character at a time (a final sigma stays a plain one)."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-    return text.lower()
+    if text.isascii():
+        return text.lower()
+    if newer_pattern().search(text):  # characters that this Python can't lower
+        from tokenizers import normalizers
+
+        return normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str(text)
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
 def cut_words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
-from evgraph.llm.common import NO_ID, binary, keyed, lean, mix, range_hashes, with_checkpoint_dir
+from evgraph.llm.common import NO_ID, keyed, lean, mix, range_hashes, with_checkpoint_dir
 from evgraph.llm.words import shingles, word_hashes
 from evgraph.operators.components import connected_components
 
@@ -155,6 +155,43 @@ def compare(unit: pa.Table, threshold: float) -> pa.Table:
     return pa.table([pa.array(np.concatenate(x).astype(np.int64) if x else [], pa.int64()) for x in out], names=["node", "links", "root"])
 
 
+def units_of(node: int, comp: int, m: int, size: int, value: bytes, count: int, buckets: int, block: int, threshold: float) -> list[tuple]:
+    """The tasks that a set of `count` members takes part in: its component's, or where that has more than `block` classes, one for each
+    pair of blocks of its own length class and the neighbouring ones."""
+    if m <= block:
+        return [(f"s{comp % buckets}", 2, node, comp, size, value)]
+    parts, out = -(-m // block), []
+    mine = int(mix(np.array([node], dtype=np.uint64))[0] % np.uint64(parts))
+    p = int(np.log(max(1, count)) / np.log(1 / threshold) + 1e-9) if threshold < 1 else count
+    for x in range(parts):
+        a, b = min(mine, x), max(mine, x)
+        out.append((f"{comp}:{p}:{p}:{a}:{b}", 2 if a == b else int(mine == b), node, comp, size, value))
+        out.append((f"{comp}:{p}:{p + 1}:{mine}:{x}", 0, node, comp, size, value))
+        out.append((f"{comp}:{p - 1}:{p}:{x}:{mine}", 1, node, comp, size, value))
+    return out
+
+
+UNITS = "unit string, side int, node long, comp long, size long, grams binary"
+
+
+def unit_batch(out: list[tuple]) -> pa.RecordBatch:
+    types = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=[x.split()[0] for x in UNITS.split(", ")])
+
+
+def candidates(stars: DataFrame) -> tuple[DataFrame, int]:
+    """(node, comp, m) of all nodes that a candidate edge touches, with their component and its size; and how many tasks of small components."""
+    groups = connected_components(stars).withColumnRenamed("component", "comp").checkpoint()
+    counts = groups.groupBy("comp").agg(F.count("*").alias("m"))
+    return groups.join(counts, "comp"), max(8, -(-groups.count() // 1000))
+
+
+def verified(units: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(node, links) and (node, component) from the units' exact comparison."""
+    found = units.groupBy("unit").applyInArrow(lambda t: compare(t, threshold), "node long, links long, root long").checkpoint()
+    return found.groupBy("node").agg(F.sum("links").alias("links")), connected_components(found.where("node <> root"), "node", "root")
+
+
 def join(docs: DataFrame, threshold: float = 0.8, ngram: int = 5, recall: float = 0.999, id_col: str = "doc_id", text_col: str = "text", block: int = 1500) -> DataFrame:
     """`id, key, class_id, class_key, n_links` of each document (key: hash of the row; the class's least row has class_key)."""
     with_checkpoint_dir(docs.sparkSession)
@@ -166,11 +203,8 @@ def join(docs: DataFrame, threshold: float = 0.8, ngram: int = 5, recall: float
     each = classes.where("bands is not null").select("node", F.posexplode("bands").alias("band", "h"))
     hubs = each.groupBy("band", "h").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("band", "h", "hub")
     stars = each.join(hubs, ["band", "h"]).where("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst")).distinct()
-    groups = connected_components(stars).withColumnRenamed("component", "comp").checkpoint()
-    counts = groups.groupBy("comp").agg(F.count("*").alias("m"))
-    members = groups.join(counts, "comp").join(classes.select("node", "first", "size"), "node").select("node", "comp", "m", "size", F.col("first.id").alias("id"), F.col("first.key").alias("key"))
-    total = groups.count()
-    buckets = max(8, -(-total // 1000))
+    members, buckets = candidates(stars)
+    members = members.join(classes.select("node", "first", "size"), "node").select("node", "comp", "m", "size", F.col("first.id").alias("id"), F.col("first.key").alias("key"))
 
     def sets(batches):
         for batch in batches:
@@ -178,29 +212,12 @@ def join(docs: DataFrame, threshold: float = 0.8, ngram: int = 5, recall: float
             for lo, hi in slices(column, SLICE):
                 hashes, first = word_hashes(column.slice(lo, hi - lo).to_pylist())
                 grams, begin = shingles(hashes, first, ngram)
-                out: list[tuple] = []
-                for i in range(hi - lo):
-                    node, comp, m, size = (batch.column(c)[lo + i].as_py() for c in range(4))
-                    own = np.unique(grams[begin[i] : begin[i + 1]])
-                    value = own.tobytes()
-                    if m <= block:
-                        out.append((f"s{int(comp) % buckets}", 2, node, comp, size, value))
-                        continue
-                    parts = -(-m // block)
-                    mine = int(mix(np.array([node], dtype=np.uint64))[0] % np.uint64(parts))
-                    p = int(np.log(max(1, len(own))) / np.log(1 / threshold) + 1e-9) if threshold < 1 else len(own)
-                    for x in range(parts):
-                        a, b = min(mine, x), max(mine, x)
-                        out.append((f"{comp}:{p}:{p}:{a}:{b}", 2 if a == b else int(mine == b), node, comp, size, value))
-                        out.append((f"{comp}:{p}:{p + 1}:{mine}:{x}", 0, node, comp, size, value))
-                        out.append((f"{comp}:{p - 1}:{p}:{x}:{mine}", 1, node, comp, size, value))
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["unit", "side", "node", "comp", "size", "grams"])
+                rows_ = zip(*[batch.column(c).slice(lo, hi - lo).to_pylist() for c in range(4)], strict=True)
+                own = (np.unique(grams[a:b]) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True))
+                yield unit_batch([u for (node, comp, m, size), x in zip(rows_, own, strict=True) for u in units_of(node, comp, m, size, x.tobytes(), len(x), buckets, block, threshold)])
 
     texts = docs.select("id", "key", "text").join(members, ["id", "key"]).select("node", "comp", "m", "size", "text")
-    units = texts.mapInArrow(lean(sets), "unit string, side int, node long, comp long, size long, grams binary")
-    found = units.groupBy("unit").applyInArrow(lambda t: compare(t, threshold), "node long, links long, root long").checkpoint()
-    links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    closed = connected_components(found.where("node <> root"), "node", "root")
+    links, closed = verified(texts.mapInArrow(lean(sets), UNITS), threshold)
     named = classes.select("s1", "s2", "node", "first", "size").join(links, "node", "left").join(closed, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.where("links is not null").groupBy("component").agg(F.min("first").alias("least"))
     named = named.join(least, "component", "left").select("s1", "s2", F.coalesce("least", "first").alias("least"), (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")).checkpoint()

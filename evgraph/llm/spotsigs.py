@@ -2,18 +2,28 @@
 
 At each anchor (a common word of its language, such as an article) a chain is formed of the next content words, those
 that aren't anchors themselves. The set of all chains of a text is its signature; navigation, lists and junk have few
-anchors and add little to it. A fingerprint is the sorted set as hexadecimal text, eight digits a chain. A document is compared by
-the Jaccard index of the sets with its own edit and with the next document, and with no other: the SpotSigs join (length partitions,
-an inverted index within them, pruning by size) is not built, so near copies that aren't neighbours by id aren't found.
-`length_class` is a column that nothing here reads.
+anchors and add little to it. A fingerprint is the sorted set as hexadecimal text, eight digits a chain.
 
-Whole texts count. A text without any chain has one for all its words, so equal texts are alike and others aren't; a null text is
-empty. Documents are ordered by descending id; a null id comes last, and rows of one id go by the hash of the row. The
-next document of the last one is the first. A table of one row is its own next. Columns other than id and text aren't read.
-An empty table gives no rows.
+`near_duplicates` is the join of all documents:
+
+1. Equal signatures are one class. Signatures are partitioned by set length: LENGTH_RATIO is the ratio of a partition's bounds, and a set near
+   the upper bound is in the next partition too, so sets that can reach the threshold always share one.
+2. Within a partition an inverted index holds a signature under its rarest chains alone: of n chains n - ceil(t n) + 1, for two sets
+   that reach the threshold t must share one of these. Chains that a sample of documents shows to be common come last in that order, so no common
+   chain is an index key unless a signature has hardly any other. The sample only sets an order; results are the same for any.
+3. A key links each signature to its least one only (a star), so a key that many share is no list of pairs; components of the stars hold all
+   candidate pairs. Their full sets are compared exactly and pruned by length, in blocks (as in `jaccard`).
+4. Verified links are closed to classes.
 
-For the next document, rows are dealt by ranges of ids and sorted there, and the first row of each range is dealt to the
-range before as well; a task then streams its rows and holds two texts at a time. Texts are shuffled once.
+`compare_with_next` compares each document with its own edit and the next document by id, and carries the class of `near_duplicates` along. For the
+next document, rows are dealt by ranges of ids and sorted there, and the first row of each range is dealt to the range before as well; a task
+then streams its rows and holds two texts at a time. Texts are shuffled once. Rows that share one id (or have none) are one range; they are
+streamed too, so that range takes one task's time but no more memory.
+
+Whole texts count, very long ones too. A text without any chain has one for all its words, so equal texts are alike and others aren't; a null text is
+empty. Documents are ordered by descending id; a null id comes last, and rows of one id go by the hash of the row. The
+next document of the last one is the first. A table of one row is its own next. Repeated rows are one class. Columns other than id and text
+aren't read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +35,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evgraph.llm.common import GROUP_BYTES, lean, measure, mix, range_hashes
+from evgraph.llm.bpe import slices
+from evgraph.llm.common import GROUP_BYTES, NO_ID, keyed, lean, measure, mix, range_hashes, with_checkpoint_dir
+from evgraph.llm.jaccard import UNITS, candidates, unit_batch, units_of, verified
 from evgraph.llm.words import hash_word, word_hashes
 
 ANCHORS = (
@@ -36,6 +48,11 @@ ANCHORS = (
 )
 CHAIN = 2
 MOST_RANGES = 4096
+LENGTH_RATIO = 4.0
+#: Documents that are looked at for common chains, and the share of these that makes a chain common.
+SAMPLE_ROWS = 20_000
+COMMON = 0.001
+SLICE = 1 << 20
 LAST = np.iinfo(np.int64).min
 
 
@@ -67,10 +84,8 @@ def signature_sets(texts: list[str], common: np.ndarray, chain: int = CHAIN) ->
     return [chains[a:b] if b > a else whole[i : i + 1] for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))]
 
 
-def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
-    """Jaccard index of two sets; 0 where their sizes keep it under `least` (the operator gives none)."""
-    if min(len(a), len(b)) < least * max(len(a), len(b)):
-        return 0.0
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard index of two sets."""
     same = len(np.intersect1d(a, b, assume_unique=True))
     return same / (len(a) + len(b) - same)
 
@@ -79,9 +94,78 @@ def written(signature: np.ndarray) -> str:
     return signature.astype(">u4").tobytes().hex()
 
 
-def length_class(size: int, threshold: float = 0.8) -> int:
-    """Partition of a set size: sets that can reach the threshold are in the same or in neighbouring partitions."""
-    return int(np.log(max(1, size)) / np.log(1 / threshold) + 1e-9)
+def length_class(size: int) -> int:
+    """Partition of a set size: from LENGTH_RATIO ** p on."""
+    return int(np.log(max(1, size)) / np.log(LENGTH_RATIO) + 1e-9)
+
+
+def index_keys(signature: np.ndarray, common: np.ndarray, threshold: float) -> np.ndarray:
+    """(partition, chain) under which a signature is indexed, as one number each."""
+    n = len(signature)
+    order = np.lexsort((signature, np.isin(signature, common)))
+    rare = signature[order[: n - int(np.ceil(threshold * n - 1e-9)) + 1]].astype(np.int64)
+    parts = sorted({length_class(n), length_class(int(n / threshold + 1e-9))})
+    return np.concatenate([rare | (p << 32) for p in parts])
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", block: int = 1500) -> DataFrame:
+    """`id, key, class_id` of each document (key: hash of the row): the least id among documents whose signatures are linked by a
+    Jaccard index of the threshold or more."""
+    with_checkpoint_dir(docs.sparkSession)
+    docs = keyed(docs, id_col, text_col)
+    rows, size = measure(docs)
+    some = docs.where(F.pmod("key", F.lit(max(1, rows // SAMPLE_ROWS))) == 0) if rows > SAMPLE_ROWS else docs
+
+    def chains(batches):
+        words = anchors()
+        for batch in batches:
+            for lo, hi in slices(batch.column(0), SLICE):
+                sets = signature_sets(batch.column(0).slice(lo, hi - lo).to_pylist(), words)
+                if sets:
+                    yield pa.record_batch([pa.array(np.concatenate(sets).astype(np.int64))], names=["chain"])
+
+    seen = some.select("text").mapInArrow(lean(chains), "chain long").groupBy("chain").agg(F.count("*").alias("n"))
+    # each has a share of the sample, so the list is no longer than 1 / COMMON times a signature
+    hot = np.array([r["chain"] for r in seen.where(F.col("n") >= max(20, int(COMMON * min(rows, SAMPLE_ROWS)))).collect()], dtype=np.uint32)
+
+    def sign(batches):
+        words = anchors()
+        for batch in batches:
+            column = batch.column(3)
+            for lo, hi in slices(column, SLICE):
+                sets = signature_sets(column.slice(lo, hi - lo).to_pylist(), words)
+                first = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+                codes = np.concatenate(sets).astype(np.uint64)
+                digests = [pa.array(range_hashes(codes, first[:-1], first[1:], k).view(np.int64)) for k in range(2)]
+                keys = [index_keys(x, hot, threshold) for x in sets]
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(k) for k in keys]))), pa.int32()), pa.array(np.concatenate(keys)))
+                yield pa.record_batch([*[batch.column(i).slice(lo, hi - lo) for i in range(3)], *digests, lists], names=["id", "no_id", "key", "d1", "d2", "keys"])
+
+    signed = docs.select("id", "no_id", "key", "text").mapInArrow(lean(sign), "id long, no_id boolean, key long, d1 long, d2 long, keys array<long>").checkpoint()
+    classes = signed.groupBy("d1", "d2").agg(F.min(F.struct("id", "key")).alias("first"), F.max("keys").alias("keys"))
+    classes = classes.withColumn("node", F.monotonically_increasing_id()).checkpoint()  # numbers hold once they are written
+    each = classes.select("node", F.explode("keys").alias("k"))
+    hubs = each.groupBy("k").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("k", "hub")
+    stars = each.join(hubs, "k").where("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst")).distinct()
+    members, buckets = candidates(stars)
+    members = members.join(classes.select("node", F.col("first.id").alias("id"), F.col("first.key").alias("key")), "node")
+
+    def sets(batches):
+        words = anchors()
+        for batch in batches:
+            column = batch.column(3)
+            for lo, hi in slices(column, SLICE):
+                found = signature_sets(column.slice(lo, hi - lo).to_pylist(), words)
+                held = zip(*[batch.column(c).slice(lo, hi - lo).to_pylist() for c in range(3)], strict=True)
+                yield unit_batch([u for (node, comp, m), x in zip(held, found, strict=True) for u in units_of(node, comp, m, 1, x.astype(np.uint64).tobytes(), len(x), buckets, block, threshold)])
+
+    texts = docs.select("id", "key", "text").join(members, ["id", "key"]).select("node", "comp", "m", "text")
+    _, closed = verified(texts.mapInArrow(lean(sets), UNITS), threshold)
+    named = classes.select("d1", "d2", "node", "first").join(closed, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = named.groupBy("component").agg(F.min("first.id").alias("class_id"))
+    named = named.join(least, "component").select("d1", "d2", "class_id").checkpoint()
+    out = signed.select("id", "no_id", "key", "d1", "d2").join(named, ["d1", "d2"])
+    return out.select(F.when(~F.col("no_id"), F.col("id")).alias("id"), "key", F.when(F.col("class_id") != int(NO_ID), F.col("class_id")).alias("class_id"))
 
 
 def range_of(key: Column, splits: list[int]) -> Column:
@@ -110,11 +194,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lean(run), "id long, fingerprint string, n_chains long, length_class int")
 
 
-SCHEMA = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, length_class int"
+SCHEMA = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, length_class int, class_id long"
 
 
-def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of each text, of the text whose last half the next document's beginning replaces, and their likeness."""
+def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """Fingerprints of each text, of the text whose last half the next document's beginning replaces, their likeness, and the text's class
+    among all documents."""
+    classes = near_duplicates(docs, threshold, id_col, text_col).select(F.coalesce("id", F.lit(int(LAST))).alias("at"), "key", "class_id").distinct()
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     docs = docs.withColumn("at", F.coalesce("id", F.lit(int(LAST)))).withColumn("key", F.xxhash64("id", "text"))
     rows, size = measure(docs)
@@ -134,16 +220,23 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         docs = docs.join(F.broadcast(small), ["at", "key"], "left")
         copy = F.col("target")
     place = F.array_compact(F.array(F.struct(F.col("range").alias("range"), F.lit(0).alias("late")), F.when(copy.isNotNull(), F.struct(copy.alias("range"), F.lit(1).alias("late")))))
-    dealt = docs.withColumn("to", F.explode(place)).select(F.col("to.range").alias("range"), F.col("to.late").alias("late"), "at", "key", "id", "text")
-    dealt = dealt.repartition(max(1, len(own)), "range").sortWithinPartitions("range", "late", F.desc("at"), F.desc("key"))
+    dealt = docs.withColumn("to", F.explode(place)).select(F.col("to.range").alias("range"), F.col("to.late").alias("late"), "at", "key", "id", "text", F.lit(1).alias("kind"))
+    # a row with its class comes before the documents it belongs to
+    first = classes.select(range_of(F.col("at"), splits).alias("range"), F.lit(0).alias("late"), "at", "key", F.col("class_id").alias("id"), F.lit(None).cast("string").alias("text"), F.lit(0).alias("kind"))
+    dealt = dealt.unionByName(first)
+    dealt = dealt.repartition(max(1, len(own)), "range").sortWithinPartitions("range", "late", F.desc("at"), F.desc("key"), "kind")
 
     def run(batches):
         common = anchors()
-        held: list[tuple] = []  # (range, late, id, text) of the rows that wait for the next one
+        held: list[tuple] = []  # (range, late, id, text, class) of the rows that wait for the next one
+        named: tuple = (None, None, None)
         for batch in batches:
             for lo in range(0, batch.num_rows, 100):
-                part = batch.slice(lo, 100)
-                held += zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True)
+                for range_, late, at, key, id_, text, kind in zip(*[c.to_pylist() for c in batch.slice(lo, 100).columns], strict=True):
+                    if not kind:
+                        named = (at, key, id_)
+                    else:
+                        held.append((range_, late, id_, text, named[2] if (at, key) == named[:2] else None))
                 if len(held) > 1:
                     yield answer(held, common)
                 held = held[-1:]
@@ -158,9 +251,9 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 pa.array([a[2] for a, _ in pairs], pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
                 pa.array([written(s) for s in sets[: len(pairs)]], pa.string()), pa.array([written(s) for s in others], pa.string()),
                 pa.array([likeness(a, b) for a, b in zip(sets, others, strict=False)], pa.float64()), pa.array([likeness(a, b) for a, b in zip(sets, later, strict=False)], pa.float64()),
-                pa.array([length_class(len(s)) for s in sets[: len(pairs)]], pa.int32()),
+                pa.array([length_class(len(s)) for s in sets[: len(pairs)]], pa.int32()), pa.array([a[4] for a, _ in pairs], pa.int64()),
             ],
-            names=["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "length_class"],
+            names=["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "length_class", "class_id"],
         )
 
     def chained(pairs: list) -> bool:

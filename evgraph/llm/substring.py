@@ -1,19 +1,22 @@
 """Removal of word windows that an earlier document holds, with a count-min prefilter.
 
-1. Every task counts its windows in a sketch of two hash rows whose cells saturate at two, and sends only the cells it
-   used, cut into shards; a shard is merged from all tasks' parts. Merged counts are never below the true ones, so a
-   window whose cells aren't both two or more occurs once and needs no further look.
-2. A second pass sends the windows estimated repeated, by a 96-bit hash, and groups them exactly. Before that each
-   batch settles what it can itself: of a window it holds in several documents only the smallest document's
-   places travel, so a window that a third of all documents share sends one entry for each batch.
-3. Marks meet their documents by a hash of the row, and covered words are left out.
-
-The merged sketch is the one thing broadcast. `sketch_bits` bounds it (2 * 2**28 bits: 64 MB at most, whatever the
-input). On inputs that fill it, more single windows reach the exact pass; results stay the same.
+1. Documents are dealt to groups of bounded size by a hash of the row. Each group counts its windows in a sketch of two hash rows whose
+   cells saturate at two, and sends the cells it used to the shards that hold these cells. A shard merges the groups' parts and answers
+   each group with a bit for each cell it sent. Merged counts are never below the true ones, so a window whose cells
+   aren't both two or more occurs once and needs no further look.
+2. A second pass over the same groups sends the windows estimated repeated, by a 96-bit hash, and groups them exactly. Before that each
+   group settles what it can itself: of a window it holds in several documents only the smallest document's
+   places travel, so a window that a third of all documents share sends one entry for each group.
+3. Marks meet their documents in a third pass over the groups, and covered words are left out.
+
+The sketch has four cells for each window, whatever the input, so the share of single windows that pass doesn't grow; it is never gathered or
+broadcast. The exchange of the texts is used three times. A message is a group's cells of one shard, so groups times
+shards messages travel, as blocks do in any shuffle; shards grow with the square root of the sketch until their memory is bounded.
 
 Words are runs of bytes other than ASCII white space. A null or empty text has no words. Documents of fewer words than
-a window lose nothing. A null id counts as larger than any id. Rows with the same id never remove each other's
-words, whether they are copies or not. Columns other than id and text aren't read. An empty table gives no rows.
+a window lose nothing. A very long text is a group of its own and is worked on whole, at some 60 bytes for each of its words. A null id counts as
+larger than any id. Rows with the same id never remove each other's words, whether they are copies or not. Columns other than id and
+text aren't read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,11 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
-from evgraph.llm.common import CHUNK, binary, byte_range_hashes, covered, groups_for, joined, keyed, lean, longs, measure, pack, unpack, utf8, window_hashes
+from evgraph.llm.common import CHUNK, binary, byte_range_hashes, covered, groups_for, joined, keyed, longs, measure, pack, unpack, utf8, window_hashes
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-SHARD_BITS = 22
+#: Bits of the cells that a shard holds: fewest and most (two bytes a cell in memory).
+SHARD_BITS = (22, 25)
 SLICE = 4 << 20
 
 
@@ -67,65 +71,89 @@ def windows_of(data: np.ndarray, offsets: np.ndarray, size: int):
     return text, (at - first[text]).astype(np.int32), *out
 
 
-def sketch(docs: DataFrame, hashes_of, bits: int, sample=None) -> tuple[np.ndarray, list[bytes]]:
-    """Bits of the cells that hold two or more, for each of the two hash rows; `hashes_of(data, offsets)` gives two hashes
-    of each thing that is counted. `sample(data, offsets, hashes)` may give a packed sample of each batch on the way."""
-    shard_bits = min(bits, SHARD_BITS)
-
-    def count(batches):
-        for batch in batches:
-            cells = ([], [])
-            column = batch.column(1)
-            rows, shards, values = [], [], []
-            for lo, hi in slices(column, SLICE):
-                data, offsets = utf8(column.slice(lo, hi - lo))
-                hashes = hashes_of(data, offsets)
-                for out, h in zip(cells, hashes, strict=True):
-                    out.append((h >> np.uint64(64 - bits)).astype(np.uint32))
-                if sample and lo == 0 and len(hashes[0]):
-                    rows.append(2)
-                    shards.append(0)
-                    values.append(sample(data, offsets, hashes[0]))
-            for row, parts in enumerate(cells):
-                used = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint32)
-                new = np.concatenate(([True], used[1:] != used[:-1])) if used.size else np.zeros(0, bool)
-                twice = np.unique(used[~new])
-                used = used[new]
-                bounds = np.arange(0, (1 << (bits - shard_bits)) + 1, dtype=np.uint64) << np.uint64(shard_bits)
-                a, b = np.searchsorted(used, bounds), np.searchsorted(twice, bounds)
-                for shard in range(len(bounds) - 1):
-                    own = used[a[shard] : a[shard + 1]].astype(np.int64) - (shard << shard_bits)
-                    if own.size:
-                        step = np.diff(own, prepend=0)
-                        far = step > 254
-                        rows.append(row)
-                        shards.append(shard)
-                        values.append(pack(step=np.where(far, 255, step).astype(np.uint8), far=step[far].astype(np.uint32), twice=(twice[b[shard] : b[shard + 1]].astype(np.int64) - (shard << shard_bits)).astype(np.uint32)))
-            yield pa.record_batch([pa.array(rows, pa.int32()), pa.array(shards, pa.int32()), binary(values)], names=["row", "shard", "cells"])
-
-    def merge(key, table):
-        if key[0].as_py() == 2:
-            n = table.num_rows
-            return pa.table([pa.array([2] * n, pa.int32()), pa.array([0] * n, pa.int32()), table.column("cells")], names=["row", "shard", "bits"])
-        once, twice = np.zeros(1 << shard_bits, dtype=bool), np.zeros(1 << shard_bits, dtype=bool)
+def dealt(docs: DataFrame, groups: int) -> DataFrame:
+    """Documents in groups of about GROUP_BYTES of text; passes over the result use one exchange."""
+    return docs.withColumn("group", F.pmod(F.col("key"), F.lit(groups)).cast("int")).repartition(groups, "group")
+
+
+def shard_bits(bits: int) -> int:
+    """Bits of a shard's cells, for a sketch of `bits`."""
+    return min(bits, int(np.clip(SHARD_BITS[0] + (bits - 29) // 2, *SHARD_BITS)))
+
+
+def cells_sent(cells: np.ndarray, twice: np.ndarray) -> bytes:
+    """Sorted different cells as steps of the width that suits them (larger ones apart), and a bit for those used twice."""
+    step = np.diff(cells, prepend=np.int64(0))
+    kind = next(t for t in (np.uint8, np.uint16, np.uint32) if t is np.uint32 or np.count_nonzero(step >= np.iinfo(t).max) * 16 <= len(step))
+    most = np.iinfo(kind).max
+    far = step[step >= most].astype(np.uint32) if kind is not np.uint32 else np.zeros(0, np.uint32)
+    head = np.array([np.dtype(kind).itemsize, len(step), len(far)], dtype=np.uint32)
+    return head.tobytes() + np.minimum(step, most).astype(kind).tobytes() + far.tobytes() + np.packbits(twice).tobytes()
+
+
+def cells_got(value: bytes) -> tuple[np.ndarray, np.ndarray]:
+    width, n, more = (int(x) for x in np.frombuffer(value, np.uint32, 3))
+    kind = {1: np.uint8, 2: np.uint16, 4: np.uint32}[width]
+    step = np.frombuffer(value, kind, n, 12).astype(np.int64)
+    if more:
+        step[step == np.iinfo(kind).max] = np.frombuffer(value[12 + n * width : 12 + n * width + 4 * more], np.uint32)
+    twice = np.unpackbits(np.frombuffer(value, np.uint8, -1, 12 + n * width + 4 * more), count=n).view(bool)
+    return np.cumsum(step), twice
+
+
+def sketch(texts: DataFrame, hashes_of, bits: int) -> DataFrame:
+    """(group, shard, bits): for each group of `dealt` documents and each shard, a bit for each of the group's cells there, in
+    order: whether it holds two or more. `hashes_of(data, offsets)` gives two hashes of each thing that is counted."""
+    own = shard_bits(bits)
+    bounds = np.arange(0, (1 << (bits - own)) + 1, dtype=np.uint64) << np.uint64(own)
+
+    def count(key, table):
+        held: tuple[list, list] = ([], [])
+        column = table.column("text").combine_chunks()
+        for lo, hi in slices(column, SLICE):
+            for out, h in zip(held, hashes_of(*utf8(column.slice(lo, hi - lo))), strict=True):
+                out.append(h >> np.uint64(64 - bits))
+        shards, values = [], []
+        for row, parts in enumerate(held):
+            used = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+            new = np.concatenate(([True], used[1:] != used[:-1])) if used.size else np.zeros(0, bool)
+            many = np.diff(np.append(np.flatnonzero(new), len(used))) > 1
+            used = used[new]
+            at = np.searchsorted(used, bounds)
+            for s in np.flatnonzero(at[1:] > at[:-1]).tolist():
+                part = slice(at[s], at[s + 1])
+                shards.append(2 * s + row)
+                values.append(cells_sent((used[part] - bounds[s]).astype(np.int64), many[part]))
+        return pa.table([pa.array([key[0].as_py()] * len(shards), pa.int32()), pa.array(shards, pa.int32()), binary(values)], names=["group", "shard", "cells"])
+
+    def merge(table):
+        once, twice = np.zeros(1 << own, dtype=bool), np.zeros(1 << own, dtype=bool)
         for value in table.column("cells"):
-            part = unpack(value.as_py())
-            step = part["step"].astype(np.int64)
-            step[step == 255] = part["far"]
-            cells = np.cumsum(step)
-            twice[cells[once[cells]]] = True
+            cells, many = cells_got(value.as_py())
+            twice[cells[many | once[cells]]] = True
             once[cells] = True
-            twice[part["twice"]] = True
-        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()), binary([np.packbits(twice).tobytes()])], names=["row", "shard", "bits"])
-
-    parts = docs.select("id", "text").mapInArrow(lean(count), "row int, shard int, cells binary")
-    out, samples = np.zeros((2, 1 << (bits - shard_bits), max(1, (1 << shard_bits) // 8)), dtype=np.uint8), []
-    for r in parts.groupBy("row", "shard").applyInArrow(merge, "row int, shard int, bits binary").toLocalIterator():
-        if r["row"] == 2:
-            samples.append(bytes(r["bits"]))
-        else:
-            out[r["row"], r["shard"]] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return out.reshape(2, -1), samples
+        out = [np.packbits(twice[cells_got(value.as_py())[0]]).tobytes() for value in table.column("cells")]
+        return pa.table([table.column("group"), table.column("shard"), binary(out)], names=["group", "shard", "bits"])
+
+    parts = texts.groupBy("group").applyInArrow(count, "group int, shard int, cells binary")
+    return parts.groupBy("shard").applyInArrow(merge, "group int, shard int, bits binary")
+
+
+def repeated(hashes: tuple[np.ndarray, np.ndarray], bits: int, answers: pa.Table) -> np.ndarray:
+    """Which things of a group may occur twice, by the answers to its cells; `hashes` as they were counted."""
+    held = {s: np.frombuffer(v, np.uint8) for s, v in zip(answers.column("shard").to_pylist(), answers.column("bits").to_pylist(), strict=True)}
+    out = np.ones(len(hashes[0]), dtype=bool)
+    bounds = np.arange(0, (1 << (bits - shard_bits(bits))) + 1, dtype=np.uint64) << np.uint64(shard_bits(bits))
+    for row, h in enumerate(hashes):
+        cells = h >> np.uint64(64 - bits)
+        order = np.argsort(cells)
+        cells = cells[order]
+        new = np.concatenate(([True], cells[1:] != cells[:-1])) if cells.size else np.zeros(0, bool)
+        at = np.searchsorted(cells[new], bounds)
+        said = [np.unpackbits(held[2 * s + row], count=int(at[s + 1] - at[s])) for s in np.flatnonzero(at[1:] > at[:-1]).tolist()]
+        if said:
+            out[order] &= np.concatenate(said).view(bool)[np.cumsum(new) - 1]
+    return out
 
 
 def small(values: np.ndarray) -> np.ndarray:
@@ -134,10 +162,6 @@ def small(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
 
 
-def held(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    return (bits[cells >> np.uint64(3)] >> (np.uint8(7) - (cells & np.uint64(7)).astype(np.uint8))) & np.uint8(1) > 0
-
-
 def by_group(names: list[str], key: np.ndarray, groups: int, **columns: np.ndarray):
     """Rows (group, packed places) of marks, sorted by document."""
     if not len(key):
@@ -151,40 +175,37 @@ def by_group(names: list[str], key: np.ndarray, groups: int, **columns: np.ndarr
         yield int(group[lo]), pack(key=key[lo:hi], **{k: v[lo:hi] for k, v in columns.items()})
 
 
-def repeated_windows(docs: DataFrame, size: int, bits: int, sketch_bits: np.ndarray, shards: int, groups: int) -> DataFrame:
+def repeated_windows(texts: DataFrame, size: int, bits: int, groups: int) -> DataFrame:
     """(group, marks): packed places (key, id, first word) of windows that a document of smaller id holds too."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch_bits)
-
-    def send(batches):
-        for batch in batches:
-            column, ids, keys = batch.column(1), longs(batch.column(0)), longs(batch.column(2))
-            parts = []
-            for lo, hi in slices(column, SLICE):
-                data, offsets = utf8(column.slice(lo, hi - lo))
-                text, place, h1, h2 = windows_of(data, offsets, size)
-                shift = np.uint64(64 - bits)
-                at = np.flatnonzero(held(shared.value[0], h1 >> shift))
-                at = at[held(shared.value[1], h2[at] >> shift)]
-                parts.append({"h": h1[at], "g": (h2[at] >> np.uint64(32)).astype(np.uint32), "doc": text[at] + np.int32(lo), "place": place[at]})
-            all_ = joined(parts)
-            if not all_ or not len(all_["h"]):
-                continue
+    answers = sketch(texts, lambda data, offsets: windows_of(data, offsets, size)[2:], bits)
+
+    def send(left, right):
+        out: list[tuple[int, int, bytes]] = []
+        column = left.column("text").combine_chunks()
+        ids, keys = longs(left.column("id").combine_chunks()), longs(left.column("key").combine_chunks())
+        parts = []
+        for lo, hi in slices(column, SLICE):
+            text, place, h1, h2 = windows_of(*utf8(column.slice(lo, hi - lo)), size)
+            parts.append({"h": h1, "g": h2, "doc": text + np.int32(lo), "place": place})
+        all_ = joined(parts)
+        if all_ and len(all_["h"]):
+            at = np.flatnonzero(repeated((all_["h"], all_["g"]), bits, right))
+            all_ = {k: v[at] for k, v in all_.items()}
+            all_["g"] = (all_["g"] >> np.uint64(32)).astype(np.uint32)
             later = after_first(all_, ids[all_["doc"]])
-            out: list[tuple[int, int, bytes]] = []
             mine = all_["doc"][later]
-            out += [(g % shards, g, v) for g, v in by_group(["place"], keys[mine], groups, id=ids[mine], place=all_["place"][later])]
+            out += [(g % groups, g, v) for g, v in by_group(["place"], keys[mine], groups, id=ids[mine], place=all_["place"][later])]
             rest = {k: v[~later] for k, v in all_.items()}
-            shard = (rest["h"] % np.uint64(shards)).astype(np.int64)
+            shard = (rest["h"] % np.uint64(groups)).astype(np.int64)
             order = np.lexsort((rest["place"], rest["doc"], shard))
-            cut = np.searchsorted(shard[order], np.arange(shards + 1))
-            for s in range(shards):
+            cut = np.searchsorted(shard[order], np.arange(groups + 1))
+            for s in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
                 own = order[cut[s] : cut[s + 1]]
-                if own.size:
-                    docs_, index = np.unique(rest["doc"][own], return_inverse=True)
-                    place = rest["place"][own]  # rises within a document: its steps are small
-                    step = np.where(np.diff(index, prepend=-1) > 0, place, np.diff(place, prepend=0))
-                    out.append((s, -1, pack(h=rest["h"][own], g=rest["g"][own], doc=small(np.diff(index, prepend=0)), place=small(step), id=ids[docs_], key=keys[docs_])))
-            yield pa.record_batch([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), binary([x[2] for x in out])], names=["shard", "group", "marks"])
+                docs_, index = np.unique(rest["doc"][own], return_inverse=True)
+                place = rest["place"][own]  # rises within a document: its steps are small
+                step = np.where(np.diff(index, prepend=-1) > 0, place, np.diff(place, prepend=0))
+                out.append((s, -1, pack(h=rest["h"][own], g=rest["g"][own], doc=small(np.diff(index, prepend=0)), place=small(step), id=ids[docs_], key=keys[docs_])))
+        return pa.table([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), binary([x[2] for x in out])], names=["shard", "group", "marks"])
 
     def settle(table):
         out = []
@@ -207,8 +228,8 @@ def repeated_windows(docs: DataFrame, size: int, bits: int, sketch_bits: np.ndar
             out += by_group(["place"], keys[doc], groups, id=ids[doc], place=all_["place"][later])
         return pa.table([pa.array([g for g, _ in out], pa.int32()), binary([v for _, v in out])], names=["group", "marks"])
 
-    sent = docs.select("id", "text", "key").mapInArrow(lean(send), "shard int, group int, marks binary")
-    return sent.groupBy("shard").applyInArrow(settle, "group int, marks binary")
+    sent = texts.groupBy("group").cogroup(answers.groupBy("group")).applyInArrow(send, "shard int, group int, marks binary")
+    return sent.repartition(groups, "shard").groupBy("shard").applyInArrow(settle, "group int, marks binary")
 
 
 def after_first(windows: dict[str, np.ndarray], ids: np.ndarray) -> np.ndarray:
@@ -222,10 +243,9 @@ def after_first(windows: dict[str, np.ndarray], ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def with_marks(docs: DataFrame, marks: DataFrame, groups: int, apply, schema: str) -> DataFrame:
-    """Brings each group of documents (about 8 MB of text) and its marks together."""
-    grouped = docs.withColumn("group", F.pmod(F.col("key"), F.lit(groups)).cast("int"))
-    return grouped.groupBy("group").cogroup(marks.groupBy("group")).applyInArrow(apply, schema)
+def with_marks(texts: DataFrame, marks: DataFrame, apply, schema: str) -> DataFrame:
+    """Brings each group of documents and its marks together."""
+    return texts.groupBy("group").cogroup(marks.groupBy("group")).applyInArrow(apply, schema)
 
 
 def marks_of(table: pa.Table) -> dict[str, np.ndarray]:
@@ -247,14 +267,15 @@ def rows_of(keys: np.ndarray, ids: np.ndarray, marks: dict[str, np.ndarray]) ->
     return np.array([f[0] for f in found], dtype=np.int64), np.array([f[1] for f in found], dtype=np.int64)
 
 
-def remove_repeated_windows(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int = 28) -> DataFrame:
-    """`id, n_words, n_removed, kept`: each document without the words that a window of an earlier document covers."""
+def remove_repeated_windows(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", cells: int = 4) -> DataFrame:
+    """`id, n_words, n_removed, kept`: each document without the words that a window of an earlier document covers. The sketch
+    has `cells` cells for each window (of six-byte words)."""
     docs = keyed(docs, id_col, text_col)
     rows, size = measure(docs)
-    bits = int(np.clip(np.ceil(np.log2(max(1, size // 6) * 4)), 16, sketch_bits))
+    bits = max(16, int(np.ceil(np.log2(max(1, size // 6) * cells))))
     groups = groups_for(size)
-    counted, _ = sketch(docs, lambda data, offsets: windows_of(data, offsets, window)[2:], bits)
-    marks = repeated_windows(docs, window, bits, counted, groups, groups)
+    texts = dealt(docs, groups)
+    marks = repeated_windows(texts, window, bits, groups)
 
     def apply(left, right):
         ids, keys, none = longs(left.column("id").combine_chunks()), longs(left.column("key").combine_chunks()), left.column("no_id").combine_chunks()
@@ -281,4 +302,4 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, id_col: str = "do
         column = pa.array(ids, mask=none.to_numpy(zero_copy_only=False))
         return pa.table([column, pa.array(np.concatenate([o[1] for o in out]) if out else [], pa.int64()), pa.array(np.concatenate([o[2] for o in out]) if out else [], pa.int64()), pa.array([x for o in out for x in o[3]], pa.binary()).cast(pa.string())], names=["id", "n_words", "n_removed", "kept"])
 
-    return with_marks(docs, marks, groups, apply, "id long, n_words long, n_removed long, kept string")
+    return with_marks(texts, marks, apply, "id long, n_words long, n_removed long, kept string")

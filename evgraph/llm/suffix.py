@@ -4,8 +4,8 @@ Of all suffixes only those at anchors are sorted. An anchor of a string of `leng
 grams with the least hash, so equal strings have equal anchors at equal places, and one anchor stands for a run of
 strings that overlap: its context. Two strings can only be equal if their anchors' grams are.
 
-1. A count-min sketch of anchor grams (bounded, see `substring.sketch`) tells which anchors occur once: their strings do too.
-   The same pass samples leading tokens (16 bytes from the anchor on) for splitters.
+1. A count-min sketch of anchor grams (see `substring.sketch`; it grows with the input and is never gathered) tells which anchors occur once:
+   their strings do too. A sample of texts (SAMPLE bytes at most) gives leading tokens (16 bytes from the anchor on) for splitters.
 2. The other anchors' suffixes are range-partitioned by leading tokens. Equal contexts of one batch travel once. Splitters
    never part equal tokens, so no equal pair straddles a boundary. An anchor that the sample shows to be hot is
    not kept together: each of its strings travels on its own, by the hash of all its bytes, and is compared there.
@@ -29,10 +29,12 @@ from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
 from evgraph.llm.common import CHUNK, NO_ID, STEP, binary, byte_range_hashes, byte_windows, covered, groups_for, joined, lean, longs, measure, pack, pieces, spread, unpack, utf8
-from evgraph.llm.substring import by_group, held, marks_of, rows_of, sketch, with_marks
+from evgraph.llm.substring import by_group, dealt, marks_of, repeated, rows_of, sketch, with_marks
 
 GRAM = 64
 SLICE = 8 << 20
+#: Bytes of text from which splitters are taken.
+SAMPLE = 64 << 20
 TOKEN = 16
 #: Strings that one sorting step holds.
 BLOCK = 1 << 18
@@ -140,61 +142,62 @@ def runs(owner: np.ndarray, place: np.ndarray, length: int) -> tuple[np.ndarray,
     return owner[cut], place[cut], place[np.append(np.flatnonzero(cut)[1:] - 1, len(place) - 1)] + length
 
 
-def repeated_spans(docs: DataFrame, length: int, bits: int, bitmap: np.ndarray, splitters: np.ndarray, hot: np.ndarray, groups: int) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int, bits: int, splitters: np.ndarray, hot: np.ndarray, groups: int) -> DataFrame:
     """(group, marks): packed ranges (key, id, place, end) of strings that occur elsewhere."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    answers = sketch(texts, lambda data, offsets: contexts(data, offsets, length)[4:], bits)
     buckets = len(splitters) + 1
 
-    def send(batches):
-        for batch in batches:
-            column, ids, keys = batch.column(1), longs(batch.column(0)), longs(batch.column(2))
-            for lo, hi in slices(column, SLICE):
-                data, offsets = utf8(column.slice(lo, hi - lo))
-                doc, start, end, anchor, h1, h2 = contexts(data, offsets, length)
-                shift = np.uint64(64 - bits)
-                at = np.flatnonzero(held(shared.value[0], h1 >> shift))
-                at = at[held(shared.value[1], h2[at] >> shift)]
-                doc, start, end, anchor, h1 = doc[at], start[at], end[at], anchor[at], h1[at]
-                out: list[tuple[int, int, bytes]] = []
-                local: list[tuple[np.ndarray, ...]] = []
-                busy = np.isin(h1, hot)
-                if busy.any():
-                    n = (end - start - length + 1)[busy]
-                    place, own = spread(start[busy], n), np.repeat(doc[busy], n)
-                    a, b = string_hashes(data, place, place + length)
-                    order, head = same(a, b)
-                    first = np.flatnonzero(head)
-                    count = np.diff(np.append(first, len(order)))
-                    many = np.zeros(len(order), dtype=bool)
-                    many[order] = np.repeat(count > 1, count)
-                    local.append(runs(own[many], place[many], length))
-                    one = order[first]
-                    bucket = (b[one] % np.uint64(buckets)).astype(np.int64)
-                    for s in np.unique(bucket).tolist():
-                        mine = one[bucket == s]
-                        docs_, index = np.unique(own[mine], return_inverse=True)
-                        out.append((s, -2, pack(a=a[mine], b=b[mine], many=many[mine], doc=index.astype(np.int32), place=place[mine] - offsets[own[mine]], id=ids[docs_ + lo], key=keys[docs_ + lo])))
-                    doc, start, end, anchor, h1 = doc[~busy], start[~busy], end[~busy], anchor[~busy], h1[~busy]
-                if len(doc):
-                    a, b = string_hashes(data, start, end)
-                    order, head = same(h1, a, b)
-                    first = np.flatnonzero(head)
-                    count = np.diff(np.append(first, len(order)))
-                    many = np.zeros(len(order), dtype=bool)
-                    many[order] = np.repeat(count > 1, count)
-                    local.append((doc[many], start[many], end[many]))
-                    one = np.sort(order[first])
-                    bucket = np.searchsorted(splitters, tokens_at(data, anchor[one]), side="right")
-                    for s in np.unique(bucket).tolist():
-                        mine = one[bucket == s]
-                        docs_, index = np.unique(doc[mine], return_inverse=True)
-                        size = end[mine] - start[mine]
-                        out.append((s, -1, pack(h=h1[mine], a=a[mine], b=b[mine], many=many[mine], rel=(anchor[mine] - start[mine]).astype(np.int32), size=size.astype(np.int32), doc=index.astype(np.int32), place=start[mine] - offsets[doc[mine]], id=ids[docs_ + lo], key=keys[docs_ + lo], text=data[spread(start[mine], size)])))
-                if local:
-                    d, s, e = (np.concatenate(x) for x in zip(*local, strict=True))
-                    out += [(g % buckets, g, v) for g, v in by_group(["place"], keys[d + lo], groups, id=ids[d + lo], place=s - offsets[d], end=e - offsets[d])]
-                if out:
-                    yield pa.record_batch([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), binary([x[2] for x in out])], names=["bucket", "group", "marks"])
+    def send(left, right):
+        column = left.column("text").combine_chunks()
+        ids, keys = longs(left.column("id").combine_chunks()), longs(left.column("key").combine_chunks())
+        out: list[tuple[int, int, bytes]] = []
+        cut = list(slices(column, SLICE))
+        found = [contexts(*utf8(column.slice(lo, hi - lo)), length) for lo, hi in cut]
+        keep = repeated(tuple(np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.uint64) for i in (4, 5)), bits, right)
+        done = 0
+        for (lo, hi), (doc, start, end, anchor, h1, _) in zip(cut, found, strict=True):
+            data, offsets = utf8(column.slice(lo, hi - lo))
+            at = np.flatnonzero(keep[done : done + len(doc)])
+            done += len(doc)
+            doc, start, end, anchor, h1 = doc[at], start[at], end[at], anchor[at], h1[at]
+            local: list[tuple[np.ndarray, ...]] = []
+            busy = np.isin(h1, hot)
+            if busy.any():
+                n = (end - start - length + 1)[busy]
+                place, own = spread(start[busy], n), np.repeat(doc[busy], n)
+                a, b = string_hashes(data, place, place + length)
+                order, head = same(a, b)
+                first = np.flatnonzero(head)
+                count = np.diff(np.append(first, len(order)))
+                many = np.zeros(len(order), dtype=bool)
+                many[order] = np.repeat(count > 1, count)
+                local.append(runs(own[many], place[many], length))
+                one = order[first]
+                bucket = (b[one] % np.uint64(buckets)).astype(np.int64)
+                for s in np.unique(bucket).tolist():
+                    mine = one[bucket == s]
+                    docs_, index = np.unique(own[mine], return_inverse=True)
+                    out.append((s, -2, pack(a=a[mine], b=b[mine], many=many[mine], doc=index.astype(np.int32), place=place[mine] - offsets[own[mine]], id=ids[docs_ + lo], key=keys[docs_ + lo])))
+                doc, start, end, anchor, h1 = doc[~busy], start[~busy], end[~busy], anchor[~busy], h1[~busy]
+            if len(doc):
+                a, b = string_hashes(data, start, end)
+                order, head = same(h1, a, b)
+                first = np.flatnonzero(head)
+                count = np.diff(np.append(first, len(order)))
+                many = np.zeros(len(order), dtype=bool)
+                many[order] = np.repeat(count > 1, count)
+                local.append((doc[many], start[many], end[many]))
+                one = np.sort(order[first])
+                bucket = np.searchsorted(splitters, tokens_at(data, anchor[one]), side="right")
+                for s in np.unique(bucket).tolist():
+                    mine = one[bucket == s]
+                    docs_, index = np.unique(doc[mine], return_inverse=True)
+                    size = end[mine] - start[mine]
+                    out.append((s, -1, pack(h=h1[mine], a=a[mine], b=b[mine], many=many[mine], rel=(anchor[mine] - start[mine]).astype(np.int32), size=size.astype(np.int32), doc=index.astype(np.int32), place=start[mine] - offsets[doc[mine]], id=ids[docs_ + lo], key=keys[docs_ + lo], text=data[spread(start[mine], size)])))
+            if local:
+                d, s, e = (np.concatenate(x) for x in zip(*local, strict=True))
+                out += [(g % buckets, g, v) for g, v in by_group(["place"], keys[d + lo], groups, id=ids[d + lo], place=s - offsets[d], end=e - offsets[d])]
+        return pa.table([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), binary([x[2] for x in out])], names=["bucket", "group", "marks"])
 
     def settle(table):
         out, by_kind = [], {-1: [], -2: []}
@@ -212,8 +215,8 @@ def repeated_spans(docs: DataFrame, length: int, bits: int, bitmap: np.ndarray,
                 out += by_group(["place"], all_["key"][own], groups, id=all_["id"][own], place=place, end=end)
         return pa.table([pa.array([g for g, _ in out], pa.int32()), binary([v for _, v in out])], names=["group", "marks"])
 
-    sent = docs.select("id", "text", "key").mapInArrow(lean(send), "bucket int, group int, marks binary")
-    return sent.groupBy("bucket").applyInArrow(settle, "group int, marks binary")
+    sent = texts.groupBy("group").cogroup(answers.groupBy("group")).applyInArrow(send, "bucket int, group int, marks binary")
+    return sent.repartition(groups, "bucket").groupBy("bucket").applyInArrow(settle, "group int, marks binary")
 
 
 def settle_hot(x: dict[str, np.ndarray], doc: np.ndarray, length: int):
@@ -262,39 +265,41 @@ def settle_contexts(x: dict[str, np.ndarray], doc: np.ndarray, length: int):
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def remove_repeated(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int = 26, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
-    """`id, n_bytes, n_removed, starts, ends, kept` and the columns to carry as `c0`, `c1`, ...: each text without the bytes that a string of `length` bytes covers which
+def remove_repeated(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", cells: int = 8, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+    """`id, no_text, n_bytes, n_removed, starts, ends, kept` and the columns to carry as `c0`, `c1`, ...: each text without the bytes that a string of `length` bytes covers which
     also starts anywhere else, the removed ranges, and what is left (as bytes, for a character may be
     cut; or `as_text`, without characters that lost a byte)."""
     if length < GRAM + 1:
         raise ValueError(f"length must be over {GRAM}")
     # a row's own number isn't needed: rows of equal key are copies and lose the same bytes
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).isNull().alias("no_text"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
     more = [f"c{i}" for i in range(len(carry))]
-    docs = docs.select(F.coalesce("id", F.lit(int(NO_ID))).alias("id"), F.col("id").isNull().alias("no_id"), "text", F.xxhash64("id", "text").alias("key"), *more)
+    docs = docs.select(F.coalesce("id", F.lit(int(NO_ID))).alias("id"), F.col("id").isNull().alias("no_id"), "no_text", "text", F.xxhash64("id", "text").alias("key"), *more)
     rows, size = measure(docs)
     anchors = max(1, size * 2 // (length - GRAM + 2))
-    bits = int(np.clip(np.ceil(np.log2(anchors * 8)), 16, sketch_bits))
+    bits = max(16, int(np.ceil(np.log2(anchors * cells))))
     groups = groups_for(size)
-    each = max(8, 40_000 // (1 + size // SLICE))  # sampled anchors of a batch
 
-    def hashes(data, offsets):
-        return contexts(data, offsets, length)[4:]
-
-    def sample(data, offsets, _):
-        _, _, _, anchor, h, _ = contexts(data[: 1 << 18], np.minimum(offsets, 1 << 18), length)
-        take = np.linspace(0, max(0, len(h) - 1), min(each, len(h))).astype(np.int64)
-        return pack(h=h[take], token=np.frombuffer(tokens_at(data, anchor[take]).tobytes(), dtype=np.uint8))
+    def sample(batches):
+        for batch in batches:
+            column = batch.column(0)
+            for lo, hi in slices(column, 1 << 20):
+                data, offsets = utf8(column.slice(lo, hi - lo))
+                _, _, _, anchor, h, _ = contexts(data, offsets, length)
+                take = np.arange(0, len(h), max(1, min(anchors, anchors * SAMPLE // max(1, size)) // 40_000))
+                if len(take):
+                    yield pa.record_batch([binary([pack(h=h[take], token=np.frombuffer(tokens_at(data, anchor[take]).tobytes(), dtype=np.uint8))])], names=["sample"])
 
-    bitmap, samples = sketch(docs, hashes, bits, sample)
-    seen = joined([unpack(s) for s in samples])
+    some = docs.where(F.pmod(F.col("key"), F.lit(max(1, size // SAMPLE))) == 0) if size > SAMPLE else docs
+    seen = joined([unpack(bytes(r["sample"])) for r in some.select("text").mapInArrow(lean(sample), "sample binary").toLocalIterator()])
     splitters, hot = np.zeros(0, f"S{TOKEN}"), np.zeros(0, np.uint64)
     if seen and len(seen["h"]):
         tokens = np.sort(np.frombuffer(seen["token"].tobytes(), dtype=f"S{TOKEN}"))
         splitters = np.unique(tokens[np.linspace(0, len(tokens) - 1, groups + 1).astype(np.int64)[1:-1]])
         limit = max(8, len(tokens) // (4 * groups))
         hot = np.array([h for h, n in Counter(seen["h"].tolist()).items() if n >= limit], dtype=np.uint64)
-    marks = repeated_spans(docs, length, bits, bitmap, splitters, hot, groups)
+    texts = dealt(docs, groups)
+    marks = repeated_spans(texts, length, bits, splitters, hot, groups)
 
     def apply(left, right):
         ids, keys = longs(left.column("id").combine_chunks()), longs(left.column("key").combine_chunks())
@@ -321,7 +326,7 @@ def remove_repeated(docs: DataFrame, length: int = 200, id_col: str = "doc_id",
                 ends.append(edges[1::2].tolist())
         none = left.column("no_id").combine_chunks().to_numpy(zero_copy_only=False)
         longs_ = pa.list_(pa.int64())
-        return pa.table([pa.array(ids, mask=none), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(starts, longs_), pa.array(ends, longs_), pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if as_text else binary(kept), *[left.column(c).combine_chunks() for c in more]], names=["id", "n_bytes", "n_removed", "starts", "ends", "kept", *more])
+        return pa.table([pa.array(ids, mask=none), left.column("no_text").combine_chunks(), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(starts, longs_), pa.array(ends, longs_), pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if as_text else binary(kept), *[left.column(c).combine_chunks() for c in more]], names=["id", "no_text", "n_bytes", "n_removed", "starts", "ends", "kept", *more])
 
     types = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in more)
-    return with_marks(docs, marks, groups, apply, f"id long, n_bytes long, n_removed long, starts array<long>, ends array<long>, kept {'string' if as_text else 'binary'}{types}")
+    return with_marks(texts, marks, apply, f"id long, no_text boolean, n_bytes long, n_removed long, starts array<long>, ends array<long>, kept {'string' if as_text else 'binary'}{types}")

@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from evgraph.llm import jaccard, substring, suffix
@@ -45,8 +46,8 @@ def test_remove_repeated_windows(spark):
         gone = {p + k for p in range(len(w) - 12) if first[tuple(w[p : p + 13])] < as_id(i) for k in range(13)}
         want[i, len(w), len(gone), " ".join(x for p, x in enumerate(w) if p not in gone)] += 1
     docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
-    for bits in (28, 4):  # a sketch that is full changes nothing
-        got = substring.remove_repeated_windows(docs, sketch_bits=bits if bits > 16 else 17)
+    for cells in (4, 1e-3):  # a sketch that is full changes nothing
+        got = substring.remove_repeated_windows(docs, cells=cells)
         assert Counter(tuple(r) for r in got.select("id", "n_words", "n_removed", "kept").collect()) == want
     assert substring.remove_repeated_windows(docs.limit(0)).count() == 0
 
@@ -158,3 +159,65 @@ def test_bands():
     for threshold, recall in ((0.8, 0.999), (0.5, 0.9), (1.0, 0.99)):
         bands, rows = jaccard.choose_bands(threshold, recall)
         assert bands * rows <= jaccard.MOST_HASHES and 1 - (1 - threshold**rows) ** bands >= recall - 1e-9
+
+
+def thue_morse(n, a="a", b="b"):
+    """The word of 2**k letters and its complement: hashes that are polynomials modulo a power of two can't tell them apart."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return [(a, b)[x] for x in bits], [(b, a)[x] for x in bits]
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_thue_morse_texts_stay_apart(spark, n):
+    x, y = thue_morse(n)
+    u, v = thue_morse(n, "left ", "right ")
+    texts = ["".join(x), "".join(y), "".join(u), "".join(v), "".join(x) + " " + "".join(y), "".join(u) + "| " + "".join(v)]
+    rows = [(i, t, 1, "g", "k", 2) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = {tuple(r) for r in jaccard.join(docs, threshold=1.0, ngram=5).select("id", "class_id").collect()}
+    words = [tuple(re.findall(r"\w+", t)) for t in texts]
+    sets = [{w[i : i + 5] for i in range(max(1, len(w) - 4))} for w in words]
+    assert got == {(i, min(j for j in range(len(texts)) if sets[j] == sets[i])) for i in range(len(texts))}
+    spaced = [(i, " ".join(t) if i < 2 else t, *rest) for i, t, *rest in rows]
+    brute = {}
+    for i, t, *_ in spaced:
+        w = t.split()
+        brute |= {k: min(i, brute.get(k, i)) for k in (tuple(w[p : p + 13]) for p in range(len(w) - 12))}
+    want = Counter()
+    for i, t, *_ in spaced:
+        w = t.split()
+        gone = {p + k for p in range(len(w) - 12) if brute[tuple(w[p : p + 13])] < i for k in range(13)}
+        want[i, len(w), len(gone), " ".join(z for p, z in enumerate(w) if p not in gone)] += 1
+    got = substring.remove_repeated_windows(spark.createDataFrame(spaced, SCHEMA))
+    assert Counter(tuple(r) for r in got.select("id", "n_words", "n_removed", "kept").collect()) == want
+    left = suffix.remove_repeated(docs)
+    assert Counter((r["id"], r["n_removed"], bytes(r["kept"])) for r in left.collect()) == Counter((i, b, k) for i, b, k in brute_removed(rows))
+
+
+def brute_removed(rows, length=200):
+    data = [(i, (t or "").encode()) for i, t, *_ in rows]
+    count = Counter(b[s : s + length] for _, b in data for s in range(len(b) - length + 1))
+    for i, b in data:
+        gone = {s + k for s in range(len(b) - length + 1) if count[b[s : s + length]] > 1 for k in range(length)}
+        yield i, len(gone), bytes(x for s, x in enumerate(b) if s not in gone)
+
+
+def test_messages_of_the_sketch():
+    r = np.random.default_rng(1)
+    for gap in (1, 100, 5_000, 3_000_000):
+        cells = np.cumsum(r.integers(1, 2 * gap + 1, 500))
+        twice = r.random(500) < 0.1
+        a, b = substring.cells_got(substring.cells_sent(cells, twice))
+        assert (a == cells).all() and (b == twice).all()
+
+
+def test_single_windows_stay_home_at_any_size():
+    """With four cells a window, few single windows pass whatever the input; the messages grow by a step's width only."""
+    r = np.random.default_rng(2)
+    for n in (20_000, 320_000):
+        bits = int(np.ceil(np.log2(4 * n)))
+        h = [r.integers(0, 2**64, n, dtype=np.uint64) for _ in range(2)]
+        used = [np.bincount((x >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) >= 2 for x in h]
+        passed = np.mean([used[0][(h[0] >> np.uint64(64 - bits)).astype(np.int64)] & used[1][(h[1] >> np.uint64(64 - bits)).astype(np.int64)]])
+        own = np.unique((h[0][:2000] >> np.uint64(64 - bits)).astype(np.int64))
+        assert passed < 0.07 and len(substring.cells_sent(own, np.zeros(len(own), bool))) < 3 * len(own)

@@ -246,3 +246,38 @@ def test_fingerprints(spark):
     assert spotsigs.compare_with_next(docs.limit(0)).count() == 0
     own = {r["id"]: r["fingerprint"] for r in spotsigs.fingerprints(docs).collect()}
     assert own[12] == next(x["fingerprint"] for x in got if x["id"] == 12)
+
+
+@pytest.mark.parametrize("block", [1500, 5])
+def test_signature_join(spark, block):
+    """Classes of all pairs at the threshold, by brute force, whatever the blocks; common chains and short signatures too."""
+    r = random.Random(11)
+    words = ["the", "of", "der"] + ["t%d" % i for i in range(60)]
+    base = [[r.choice(words) for _ in range(r.choice((3, 12, 60, 150, 400)))] for _ in range(25)]
+    texts = [" ".join(w) for w in base]
+    for w in base:
+        for share in (0.01, 0.03, 0.08):
+            texts.append(" ".join(r.choice(words) if r.random() < share else x for x in w))
+    boiler = "the big red fox of some far land"
+    texts += [f"{boiler} the n{i} m{i} of k{i} l{i}" for i in range(12)] + [texts[0], None, "", "...", boiler, boiler + " the end here"]
+    rows = [(i, t, 1) for i, t in enumerate(texts)] + [(5, texts[5], 1), (None, texts[6], 1), (None, "the odd one out", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key long").repartition(4)
+    sets = [chains(t or "") for _, t, _ in rows]
+    ids = [math.inf if i is None else i for i, _, _ in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9:
+            root[find(a)] = find(b)
+    least = [min(ids[j] for j in range(len(rows)) if find(j) == find(i)) for i in range(len(rows))]
+    want = Counter((i, None if c == math.inf else c) for (i, _, _), c in zip(rows, least, strict=True))
+    got = spotsigs.near_duplicates(docs, block=block)
+    assert Counter((x["id"], x["class_id"]) for x in got.collect()) == want
+    beside = spotsigs.compare_with_next(docs)
+    assert Counter((x["id"], x["class_id"]) for x in beside.collect()) == want
+    assert spotsigs.near_duplicates(docs.limit(0)).count() == 0
