@@ -30,10 +30,11 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = suffix.remove_repeated(docs, length=200, carry=tuple(docs.columns), as_text=True)
-    text = F.when(F.col(f"c{docs.columns.index('text')}").isNotNull(), F.col("kept"))
+    others = [c for c in docs.columns if c != "text"]
+    found = suffix.remove_repeated(docs, length=200, carry=tuple(others), as_text=True)
+    text = F.when(~F.col("no_text"), F.col("kept"))
     renewed = {"text": text, "n_chars": F.length(text).cast("long")}
-    return found.select(*[renewed.get(c, F.col(f"c{i}")).alias(c) for i, c in enumerate(docs.columns)])
+    return found.select(*[(renewed[c] if c in renewed else F.col(f"c{others.index(c)}")).alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
