@@ -1,11 +1,13 @@
 """WARC archives with revisit records.
 
 Writing: only headers (page, digest, length) are shuffled by payload digest to find equal payloads; of those the largest page
-id becomes the response and the others revisits that refer to it. The payload then moves once, by page id, and each
+id becomes the response and the others revisits that refer to it. The payload then moves once, dealt by a hash of page and digest to
+as many partitions as archives are wanted: an archive holds about ARCHIVE_BYTES, and more only by its largest page. Each
 record is written with fresh headers through Spark's text sink, whose separator is the blank lines that end a record,
-so gzipped archives go to any store Spark writes to and a lost task is written again.
+so gzipped archives (one gzip stream each: that sink compresses files, not records) go to any store Spark writes to and a lost task is
+written again.
 
-Reading: archives are read whole (a writer bounds their size), records are cut by Content-Length, payload digests are
+Reading: an archive's compressed bytes are held, its records are inflated and cut by Content-Length one after another, payload digests are
 computed anew, and revisits are joined to their response by digest. Hot digests are salted on both joins.
 
 A null payload is empty, and payloads under `least` bytes are always responses. A null page id counts as smaller than any. Rows
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +30,8 @@ from evgraph.llm.common import shared_path
 END = "\r\n\r\n"
 SALTS = 32
 ARCHIVE_BYTES = 16 << 20
+#: About the bytes of a record's headers.
+HEADERS = 600
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 RECORDS = "record_id string, page_id long, record_type string, url string, payload_digest string, refers_to_id string, payload string, payload_bytes long"
 
@@ -54,15 +59,16 @@ def assign(pages: DataFrame, least: int) -> DataFrame:
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 1000, date: str = "2026-01-01T00:00:00Z") -> None:
-    """Writes deduplicated archives of about 16 MB below a path."""
+    """Writes deduplicated archives of about ARCHIVE_BYTES below a path; the path must be new."""
     pages = pages.select(F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
     pages = pages.withColumn("digest", F.sha1(F.col("payload").cast("binary")))
-    total = pages.agg(F.count("*").alias("n"), F.sum(F.octet_length("payload")).alias("b")).first()
-    each = max(1, int(ARCHIVE_BYTES // (1 + (total["b"] or 0) // max(1, total["n"]))))
+    total = pages.agg(F.sum(F.octet_length("payload") + HEADERS).alias("b")).first()["b"] or 0
+    archives = max(1, -(-total // ARCHIVE_BYTES))
     revisits = assign(pages, least)
     # null-safe on the id: rows without one may be revisits too
     key = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
-    rows = pages.withColumn("_k", F.concat_ws("|", key, F.col("digest"))).join(revisits.withColumn("_k", F.concat_ws("|", key, F.col("digest"))).drop("page_id", "digest"), "_k", "left")
+    named = revisits.withColumn("_k", F.concat_ws("|", key, F.col("digest"))).drop("page_id", "digest")
+    rows = pages.withColumn("_k", F.concat_ws("|", key, F.col("digest"))).repartition(archives, "_k").join(named.hint("merge"), "_k", "left")
     revisit = F.col("refers_to").isNotNull()
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length("payload").cast("string"), F.lit(END))
     block = F.concat(http, F.when(revisit, F.lit("")).otherwise(F.col("payload")))
@@ -76,21 +82,20 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
         F.when(revisit, F.concat(F.lit(f"\r\nWARC-Profile: {PROFILE}\r\nWARC-Refers-To: "), record_id(F.col("refers_to"), F.col("digest")), F.lit("\r\nWARC-Refers-To-Target-URI: "), uri(F.col("refers_url")))).otherwise(F.lit("")),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length("block").cast("string"), F.lit(END), F.col("block"),
     )
-    rows.withColumn("block", block).select(head.alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", each).option("compression", "gzip").mode("errorifexists").text(path)
+    rows.withColumn("block", block).select(head.alias("value")).write.option("lineSep", END).option("compression", "gzip").mode("errorifexists").text(path)
 
 
 def parse(raw: bytes):
-    """Records of one archive: header fields and the block."""
-    if raw[:2] == b"\x1f\x8b":
-        raw = gzip.decompress(raw)
-    at = 0
-    while at < len(raw):
-        top = raw.index(b"\r\n\r\n", at)
-        lines = raw[at:top].decode().split("\r\n")
-        fields = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        end = top + 4 + int(fields["content-length"])
-        yield fields, raw[top + 4 : end]
-        at = end + 4
+    """Records of one archive, one after another: header fields and the block."""
+    stream = io.BytesIO(raw) if raw[:2] != b"\x1f\x8b" else gzip.GzipFile(fileobj=io.BytesIO(raw))
+    while stream.readline():  # the version
+        fields = {}
+        while (line := stream.readline().rstrip(b"\r\n")):
+            name, _, value = line.decode().partition(":")
+            fields[name.lower()] = value.strip()
+        block = stream.read(int(fields["content-length"]))
+        stream.read(len(END))
+        yield fields, block
 
 
 def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:

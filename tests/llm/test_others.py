@@ -95,6 +95,22 @@ def test_payloads_come_back(spark, tmp_path):
     assert got[2]["refers_to_id"] == got[3]["record_id"] and got[3]["record_type"] == "response"
 
 
+def test_archives_are_bounded(spark, tmp_path, monkeypatch):
+    """Few large pages among many small ones: an archive grows by its largest page at most, and reads back whole."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1 << 20)
+    r = random.Random(4)
+    noise = lambda n: "".join(map(chr, r.choices(range(33, 127), k=n)))
+    rows = [(i, "u", noise(20_000)) for i in range(300)] + [(1000 + i, "u", noise(4_000_000)) for i in range(4)] + [(2000, "u", "z" * 100_000_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    path = str(tmp_path / "warc")
+    warc.write(pages, path)
+    files = [(f, sum(len(b) for _, b in warc.parse(f.read_bytes()))) for f in (tmp_path / "warc").glob("part-*")]
+    sizes = sorted(n for _, n in files)
+    assert sum(sizes) > 120_000_000 and sizes[-1] < 102_000_000 and all(n < 12_000_000 for n in sizes[:-1]) and len(files) > 30
+    got = {x["page_id"]: x["payload_digest"] for x in warc.read(spark, path, payloads=False).collect()}
+    assert got == {i: hashlib.sha1(h.encode()).hexdigest() for i, _, h in rows}
+
+
 # ---------------------------------------------------------------- toxicity
 
 

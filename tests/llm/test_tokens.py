@@ -171,3 +171,15 @@ def test_pack_documents(spark, library):
     want = Counter((i, zlib.crc32(np.array(library.encode(t or "", add_special_tokens=False).ids + [1], dtype="<u4").tobytes())) for i, t, _ in rows if len(t or "") < 4000)
     assert want <= Counter((r["doc_id"], r["ids_crc32"]) for r in short)
     assert packing.pack_documents(docs.limit(0), word_vocabulary()).count() == 0
+
+
+def test_pack_lengths_with_any_names(spark):
+    rows = spark.createDataFrame([(1 + i % 40, i, 2, 3, 4, 5, 6) for i in range(500)], "length long, _bucket int, _n int, _before int, _rank int, offset int, sequence_id int")
+    got = packing.pack_lengths(rows, 64, rows_a_bucket=10).collect()
+    assert sorted(r["_bucket"] for r in got) == list(range(500)) and {(r["_n"], r["_before"], r["_rank"]) for r in got} == {(2, 3, 4)}
+    by = {}
+    for r in got:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for held in by.values():
+        held.sort()
+        assert all(o == sum(n for _, n in held[:i]) for i, (o, _) in enumerate(held)) and sum(n for _, n in held) <= 64
