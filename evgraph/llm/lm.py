@@ -33,7 +33,7 @@ from evgraph.llm.words import word_hashes
 
 SLICE = 1 << 20
 #: Bytes of text in a group on average, and for each shard; SHARDS at least.
-GROUP = 8 << 20
+GROUP = 12 << 20
 SHARD = 64 << 20
 SHARDS = 96
 OUT = "id long, n_tokens long, target_loss double, background_loss double, score double"

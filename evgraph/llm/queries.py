@@ -137,6 +137,13 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def spotsigs_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other half of operator 10: the class of each document's signature among all."""
+    from evgraph.llm.spotsigs import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -148,5 +155,6 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_cross_entropy_difference": op9_cross_entropy_difference,
     "op10_spotsigs": op10_spotsigs,
+    "spotsigs_near_duplicates": spotsigs_near_duplicates,
 }
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_ngram_jaccard_join": sql.NGRAM_JACCARD_JOIN, "op4_voronoi_knn": OP4_SQL, "op5_suffix_array": sql.SUFFIX_ARRAY, "op6_warc_revisits": OP6_SQL, "op9_cross_entropy_difference": sql.CROSS_ENTROPY_DIFFERENCE}
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_ngram_jaccard_join": sql.NGRAM_JACCARD_JOIN, "op4_voronoi_knn": OP4_SQL, "op5_suffix_array": sql.SUFFIX_ARRAY, "op6_warc_revisits": OP6_SQL, "op9_cross_entropy_difference": sql.CROSS_ENTROPY_DIFFERENCE, "spotsigs_near_duplicates": sql.spotsigs_near_duplicates()}

@@ -15,8 +15,7 @@ anchors and add little to it. A fingerprint is the sorted set as hexadecimal tex
    candidate pairs. Their full sets are compared exactly and pruned by length, in blocks (as in `jaccard`).
 4. Verified links are closed to classes.
 
-`compare_with_next` compares each document with its own edit and the next document by id, and carries the class of `near_duplicates` along. For the
-next document, rows are dealt by ranges of ids and sorted there, and the first row of each range is dealt to the range before as well; a task
+`compare_with_next` compares each document with its own edit and the next document by id. For the next document, rows are dealt by ranges of ids and sorted there, and the first row of each range is dealt to the range before as well; a task
 then streams its rows and holds two texts at a time. Texts are shuffled once. Rows that share one id (or have none) are one range; they are
 streamed too, so that range takes one task's time but no more memory.
 
@@ -50,7 +49,7 @@ CHAIN = 2
 MOST_RANGES = 4096
 LENGTH_RATIO = 4.0
 #: Documents that are looked at for common chains, and the share of these that makes a chain common.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 10_000
 COMMON = 0.001
 SLICE = 1 << 20
 LAST = np.iinfo(np.int64).min
@@ -99,13 +98,18 @@ def length_class(size: int) -> int:
     return int(np.log(max(1, size)) / np.log(LENGTH_RATIO) + 1e-9)
 
 
-def index_keys(signature: np.ndarray, common: np.ndarray, threshold: float) -> np.ndarray:
-    """(partition, chain) under which a signature is indexed, as one number each."""
-    n = len(signature)
-    order = np.lexsort((signature, np.isin(signature, common)))
-    rare = signature[order[: n - int(np.ceil(threshold * n - 1e-9)) + 1]].astype(np.int64)
-    parts = sorted({length_class(n), length_class(int(n / threshold + 1e-9))})
-    return np.concatenate([rare | (p << 32) for p in parts])
+def index_keys(chains: np.ndarray, first: np.ndarray, common: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, key) of all index entries of many signatures, given one after another: each is held under its rarest chains, in its length
+    partition and, if it is near the upper bound, in the next. A key is a partition and a chain as one number."""
+    n = np.diff(first)
+    of = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((chains, np.isin(chains, common), of))
+    keep = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+    at = order[np.arange(len(of)) - first[:-1][of] < keep[of]]
+    whose, rare = of[at], chains[at].astype(np.int64)
+    part, top = (np.array([length_class(int(x)) for x in sizes], dtype=np.int64) for sizes in (n, n / threshold + 1e-9))
+    more = np.flatnonzero(top[whose] > part[whose])
+    return np.concatenate((whose, whose[more])), np.concatenate((rare | part[whose] << 32, rare[more] | top[whose[more]] << 32))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", block: int = 1500) -> DataFrame:
@@ -137,32 +141,34 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
                 first = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
                 codes = np.concatenate(sets).astype(np.uint64)
                 digests = [pa.array(range_hashes(codes, first[:-1], first[1:], k).view(np.int64)) for k in range(2)]
-                keys = [index_keys(x, hot, threshold) for x in sets]
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(k) for k in keys]))), pa.int32()), pa.array(np.concatenate(keys)))
-                yield pa.record_batch([*[batch.column(i).slice(lo, hi - lo) for i in range(3)], *digests, lists], names=["id", "no_id", "key", "d1", "d2", "keys"])
+                yield pa.record_batch([*[batch.column(i).slice(lo, hi - lo) for i in range(3)], *digests, pa.array([x.tobytes() for x in sets], pa.binary())], names=["id", "no_id", "key", "d1", "d2", "chains"])
 
-    signed = docs.select("id", "no_id", "key", "text").mapInArrow(lean(sign), "id long, no_id boolean, key long, d1 long, d2 long, keys array<long>").checkpoint()
-    classes = signed.groupBy("d1", "d2").agg(F.min(F.struct("id", "key")).alias("first"), F.max("keys").alias("keys"))
+    signed = docs.select("id", "no_id", "key", "text").mapInArrow(lean(sign), "id long, no_id boolean, key long, d1 long, d2 long, chains binary").checkpoint()
+    classes = signed.groupBy("d1", "d2").agg(F.min("id").alias("least"), F.first("chains").alias("chains"))
     classes = classes.withColumn("node", F.monotonically_increasing_id()).checkpoint()  # numbers hold once they are written
-    each = classes.select("node", F.explode("keys").alias("k"))
+
+    def index(batches):
+        for batch in batches:
+            sets = [np.frombuffer(x, np.uint32) for x in batch.column(1).to_pylist()]
+            if sets:
+                whose, keys = index_keys(np.concatenate(sets), np.concatenate(([0], np.cumsum([len(x) for x in sets]))), hot, threshold)
+                yield pa.record_batch([batch.column(0).take(pa.array(whose)), pa.array(keys)], names=["node", "k"])
+
+    each = classes.select("node", "chains").mapInArrow(lean(index), "node long, k long")
     hubs = each.groupBy("k").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("k", "hub")
     stars = each.join(hubs, "k").where("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst")).distinct()
     members, buckets = candidates(stars)
-    members = members.join(classes.select("node", F.col("first.id").alias("id"), F.col("first.key").alias("key")), "node")
 
     def sets(batches):
-        words = anchors()
         for batch in batches:
-            column = batch.column(3)
-            for lo, hi in slices(column, SLICE):
-                found = signature_sets(column.slice(lo, hi - lo).to_pylist(), words)
-                held = zip(*[batch.column(c).slice(lo, hi - lo).to_pylist() for c in range(3)], strict=True)
-                yield unit_batch([u for (node, comp, m), x in zip(held, found, strict=True) for u in units_of(node, comp, m, 1, x.astype(np.uint64).tobytes(), len(x), buckets, block, threshold)])
-
-    texts = docs.select("id", "key", "text").join(members, ["id", "key"]).select("node", "comp", "m", "text")
-    _, closed = verified(texts.mapInArrow(lean(sets), UNITS), threshold)
-    named = classes.select("d1", "d2", "node", "first").join(closed, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("first.id").alias("class_id"))
+            for lo in range(0, batch.num_rows, 1000):
+                held = zip(*[c.to_pylist() for c in batch.slice(lo, 1000).columns], strict=True)
+                yield unit_batch([u for node, comp, m, x in held for u in units_of(node, comp, m, 1, np.frombuffer(x, np.uint32).astype(np.uint64).tobytes(), len(x) // 4, buckets, block, threshold)])
+
+    units = members.join(classes.select("node", "chains"), "node").select("node", "comp", "m", "chains").mapInArrow(lean(sets), UNITS)
+    _, closed = verified(units, threshold)
+    named = classes.select("d1", "d2", "node", "least").join(closed, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = named.groupBy("component").agg(F.min("least").alias("class_id"))
     named = named.join(least, "component").select("d1", "d2", "class_id").checkpoint()
     out = signed.select("id", "no_id", "key", "d1", "d2").join(named, ["d1", "d2"])
     return out.select(F.when(~F.col("no_id"), F.col("id")).alias("id"), "key", F.when(F.col("class_id") != int(NO_ID), F.col("class_id")).alias("class_id"))
@@ -194,13 +200,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lean(run), "id long, fingerprint string, n_chains long, length_class int")
 
 
-SCHEMA = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, length_class int, class_id long"
+SCHEMA = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, length_class int"
 
 
-def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """Fingerprints of each text, of the text whose last half the next document's beginning replaces, their likeness, and the text's class
-    among all documents."""
-    classes = near_duplicates(docs, threshold, id_col, text_col).select(F.coalesce("id", F.lit(int(LAST))).alias("at"), "key", "class_id").distinct()
+def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Fingerprints of each text, of the text whose last half the next document's beginning replaces, and their likeness."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     docs = docs.withColumn("at", F.coalesce("id", F.lit(int(LAST)))).withColumn("key", F.xxhash64("id", "text"))
     rows, size = measure(docs)
@@ -220,23 +224,16 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         docs = docs.join(F.broadcast(small), ["at", "key"], "left")
         copy = F.col("target")
     place = F.array_compact(F.array(F.struct(F.col("range").alias("range"), F.lit(0).alias("late")), F.when(copy.isNotNull(), F.struct(copy.alias("range"), F.lit(1).alias("late")))))
-    dealt = docs.withColumn("to", F.explode(place)).select(F.col("to.range").alias("range"), F.col("to.late").alias("late"), "at", "key", "id", "text", F.lit(1).alias("kind"))
-    # a row with its class comes before the documents it belongs to
-    first = classes.select(range_of(F.col("at"), splits).alias("range"), F.lit(0).alias("late"), "at", "key", F.col("class_id").alias("id"), F.lit(None).cast("string").alias("text"), F.lit(0).alias("kind"))
-    dealt = dealt.unionByName(first)
-    dealt = dealt.repartition(max(1, len(own)), "range").sortWithinPartitions("range", "late", F.desc("at"), F.desc("key"), "kind")
+    dealt = docs.withColumn("to", F.explode(place)).select(F.col("to.range").alias("range"), F.col("to.late").alias("late"), "at", "key", "id", "text")
+    dealt = dealt.repartition(max(1, len(own)), "range").sortWithinPartitions("range", "late", F.desc("at"), F.desc("key"))
 
     def run(batches):
         common = anchors()
-        held: list[tuple] = []  # (range, late, id, text, class) of the rows that wait for the next one
-        named: tuple = (None, None, None)
+        held: list[tuple] = []  # (range, late, id, text) of the rows that wait for the next one
         for batch in batches:
             for lo in range(0, batch.num_rows, 100):
-                for range_, late, at, key, id_, text, kind in zip(*[c.to_pylist() for c in batch.slice(lo, 100).columns], strict=True):
-                    if not kind:
-                        named = (at, key, id_)
-                    else:
-                        held.append((range_, late, id_, text, named[2] if (at, key) == named[:2] else None))
+                part = batch.slice(lo, 100)
+                held += zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True)
                 if len(held) > 1:
                     yield answer(held, common)
                 held = held[-1:]
@@ -251,9 +248,9 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 pa.array([a[2] for a, _ in pairs], pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
                 pa.array([written(s) for s in sets[: len(pairs)]], pa.string()), pa.array([written(s) for s in others], pa.string()),
                 pa.array([likeness(a, b) for a, b in zip(sets, others, strict=False)], pa.float64()), pa.array([likeness(a, b) for a, b in zip(sets, later, strict=False)], pa.float64()),
-                pa.array([length_class(len(s)) for s in sets[: len(pairs)]], pa.int32()), pa.array([a[4] for a, _ in pairs], pa.int64()),
+                pa.array([length_class(len(s)) for s in sets[: len(pairs)]], pa.int32()),
             ],
-            names=["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "length_class", "class_id"],
+            names=["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "length_class"],
         )
 
     def chained(pairs: list) -> bool:

@@ -58,3 +58,27 @@ WITH docs AS MATERIALIZED (
 )
 SELECT doc_id, len(w)::BIGINT AS n_tokens, round(l0, 6) AS target_loss, round(l1, 6) AS background_loss, round(l1 - l0, 6) AS score FROM docs LEFT JOIN losses USING (r)
 """
+
+
+def spotsigs_near_duplicates() -> str:
+    from evgraph.llm.spotsigs import ANCHORS
+
+    common = ", ".join(f"'{w}'" for w in sorted({w for words in ANCHORS for w in words.split()}))
+    return rf"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w FROM documents
+), tokens AS (SELECT r, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM docs
+), placed AS MATERIALIZED (SELECT *, word IN ({common}) AS anchor, count(*) FILTER (word NOT IN ({common})) OVER (PARTITION BY r ORDER BY i) AS c FROM tokens
+), chains AS MATERIALIZED (
+  SELECT DISTINCT a.r, a.word || ' ' || x.word || ' ' || y.word AS g
+  FROM placed a JOIN placed x ON x.r = a.r AND x.c = a.c + 1 AND NOT x.anchor JOIN placed y ON y.r = a.r AND y.c = a.c + 2 AND NOT y.anchor WHERE a.anchor
+), sets AS MATERIALIZED (
+  SELECT r, g FROM chains UNION ALL SELECT r, 'whole ' || array_to_string(w, ' ') FROM docs WHERE r NOT IN (SELECT r FROM chains)
+), sizes AS (SELECT r, count(*) AS n FROM sets GROUP BY 1
+), pairs AS (SELECT a.r AS a, b.r AS b, count(*) AS same FROM sets a JOIN sets b ON a.g = b.g AND a.r < b.r GROUP BY 1, 2
+), near AS (SELECT a, b FROM pairs JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE same >= 0.8 * (x.n + y.n - same) - 1e-9
+), links AS MATERIALIZED (SELECT a, b FROM near UNION ALL SELECT b, a FROM near
+), reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT doc_id, least(doc_id, coalesce(m, doc_id)) AS class_id
+FROM docs LEFT JOIN (SELECT a, min(doc_id) AS m FROM reach JOIN docs ON r = b GROUP BY 1) ON a = r
+"""
