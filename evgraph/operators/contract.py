@@ -60,6 +60,21 @@ def _problems(checks: list[tuple[Column, Column | str]]) -> Column:
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
 
+def absent(rows: DataFrame, field: str) -> Column:
+    """A field is missing where it is null, or where the table has no such column."""
+    return F.col(field).isNull() if field in rows.columns else F.lit(True)
+
+
+def with_columns(rows: DataFrame, fields: list[str]) -> DataFrame:
+    return rows.withColumns({x: F.lit(None).cast("string") for x in fields if x not in rows.columns})
+
+
+def unknown_fields(rows: DataFrame) -> Column:
+    """Problems of type fields that a label requires and the table has no column for."""
+    lost = F.array_except("required", F.array(*[F.lit(x) for x in rows.columns]).cast("array<string>"))
+    return F.coalesce(F.transform(lost, lambda x: F.concat(F.lit("missing type field "), x)), F.array().cast("array<string>"))
+
+
 def provenance_checks() -> list[tuple[Column, str]]:
     c = F.col
     return [
@@ -78,23 +93,23 @@ def provenance_violations(rows: DataFrame, key: str = "uid") -> DataFrame:
 def node_violations(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """(uid, problem) of each broken rule. labels: (label, layer, species_agnostic, required ARRAY<STRING>), a few rows."""
     spec = F.broadcast(labels.select(F.col("label").alias("entity_type"), F.col("layer").alias("_layer"), "species_agnostic", "required"))
-    rows = nodes.join(spec, "entity_type", "left")
+    rows = with_columns(nodes, [*NODE_REQUIRED, "synthesis_method"]).join(spec, "entity_type", "left")
     c = F.col
     known = c("_layer").isNotNull()
     own = [x for x in nodes.columns if x not in NODE_REQUIRED]
     missing = [(known & F.array_contains("required", x) & c(x).isNull(), f"missing type field {x}") for x in own]
     checks = [
         (~known, F.concat(F.lit("unknown label "), F.coalesce("entity_type", F.lit("null")))),
-        *[(known & c(x).isNull(), f"missing {x}") for x in NODE_REQUIRED if x in nodes.columns],
+        *[(known & absent(nodes, x), f"missing {x}") for x in NODE_REQUIRED],
         (known & (c("uid") != uid(c("entity_type"), c("canonical_id"))), "uid mismatch"),
         (known & (c("layer") != c("_layer")), "layer mismatch"),
         (known & (c("updated_at") < c("created_at")), "updated before created"),
-        (known & ~c("species_agnostic") & c("species").isNull(), "missing species"),
+        (known & ~c("species_agnostic") & absent(nodes, "species"), "missing species"),
         (known & c("is_synthetic") & c("synthesis_method").isNull(), "synthetic without method"),
         (known & ~c("is_synthetic") & c("synthesis_method").isNotNull(), "method without synthetic"),
         *missing,
     ]
-    return rows.select("uid", F.explode(_problems(checks)).alias("problem"))
+    return rows.select("uid", F.explode(F.concat(_problems(checks), unknown_fields(nodes))).alias("problem"))
 
 
 def split_nodes(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -105,17 +120,16 @@ def split_nodes(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFram
     checks = [
         (~known, "unknown label"),
         (c("canonical_id").isNull() | (F.trim("canonical_id") == ""), "empty canonical id"),
-        (known & ~c("species_agnostic") & c("species").isNull(), "missing species"),
+        (known & ~c("species_agnostic") & absent(rows, "species"), "missing species"),
         *[(known & F.array_contains("required", x) & c(x).isNull(), f"missing type field {x}") for x in rows.columns if x not in ("entity_type", "canonical_id")],
     ]
-    judged = rows.join(spec, "entity_type", "left").withColumn("reasons", _problems(checks)).select(*rows.columns, "reasons")
+    judged = rows.join(spec, "entity_type", "left").withColumn("reasons", F.concat(_problems(checks), unknown_fields(rows))).select(*rows.columns, "reasons")
     return judged.where(F.size("reasons") == 0).drop("reasons"), judged.where(F.size("reasons") > 0)
 
 
 def split_edges(rows: DataFrame, required: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected with reasons): self-loops and missing fields."""
-    required = [x for x in (required or EDGE_REQUIRED) if x in rows.columns]
-    checks = [(F.col("_from") == F.col("_to"), "self-loop"), *[(F.col(x).isNull(), f"missing {x}") for x in required]]
+    """(valid, rejected with reasons): self-loops and missing fields; a field without a column is missing everywhere."""
+    checks = [(F.col("_from") == F.col("_to"), "self-loop"), *[(absent(rows, x), f"missing {x}") for x in required or EDGE_REQUIRED]]
     judged = rows.withColumn("reasons", _problems(checks))
     return judged.where(F.size("reasons") == 0).drop("reasons"), judged.where(F.size("reasons") > 0)
 

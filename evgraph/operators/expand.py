@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from evgraph.operators.upsert import dedup_edges
+from evgraph.operators.components import ensure_checkpoint_dir
 from evgraph.schema import DEFAULT_DEGREE, DEGREE_RULES
 
 
@@ -36,20 +38,57 @@ def allocate(rel_specs: DataFrame, nodes: DataFrame, edges: DataFrame, budget: i
     return rows.select("type", "from_label", "to_label", F.col("planned").cast("long").alias("planned"), F.col("target").cast("long").alias("target"), "existing", F.greatest(F.lit(0), F.col("target") - F.col("existing")).cast("long").alias("need"))
 
 
-def expand(needs: DataFrame, nodes: DataFrame, edges: DataFrame, seed: int = 42, tries: int = 6) -> DataFrame:
+def numbered(rows: DataFrame, group: str, *order: str) -> DataFrame:
+    """Adds `i`, a row's place (from 0) within its group: rows are range-partitioned, counted by partition, and numbered within it, so no
+    group is sorted in one task."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    dealt = rows.repartitionByRange(group, *order).withColumn("_p", F.spark_partition_id()).checkpoint()
+    counts = dealt.groupBy(group, "_p").agg(F.count("*").alias("_n"))
+    before = counts.select(group, "_p", (F.sum("_n").over(W.partitionBy(group).orderBy("_p")) - F.col("_n")).alias("_before"))  # a row for each partition
+    own = F.row_number().over(W.partitionBy(group, "_p").orderBy(*order)) - 1
+    return dealt.withColumn("_own", own).join(before, [group, "_p"]).withColumn("i", F.col("_before") + F.col("_own")).drop("_p", "_own", "_before")
+
+
+def expand(needs: DataFrame, nodes: DataFrame, edges: DataFrame, seed: int = 42, rounds: int = 8) -> DataFrame:
     """New edges (_type, _from, _to): uniform sources, targets biased to the head of their label's order, no self-loops, no
-    duplicates, at most `need` for each pair. The same seed gives the same edges: draws are hashes of the row's number."""
-    order = W.partitionBy("entity_type").orderBy("uid")
-    ranked = nodes.select("entity_type", "uid", (F.row_number().over(order) - 1).alias("i"))
-    counts = nodes.groupBy("entity_type").agg(F.count("*").alias("n"))
-    rows = needs.where("need > 0").join(counts.select(F.col("entity_type").alias("from_label"), F.col("n").alias("sn")), "from_label").join(counts.select(F.col("entity_type").alias("to_label"), F.col("n").alias("tn")), "to_label")
-    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("need") * tries)))
-    unit = lambda salt: (F.pmod(F.xxhash64("type", "from_label", "to_label", "k", F.lit(seed), F.lit(salt)), F.lit(1 << 40)) + 0.5) / (1 << 40)
-    gauss = F.sqrt(-2 * F.log(unit(2))) * F.cos(2 * 3.141592653589793 * unit(3))
-    rows = rows.withColumn("si", F.floor(unit(1) * F.col("sn")).cast("int")).withColumn("ti", F.least(F.col("tn") - 1, F.floor(F.abs(gauss) * F.col("tn") / 3.2)).cast("int"))
-    rows = rows.join(ranked.select(F.col("entity_type").alias("from_label"), F.col("i").alias("si"), F.col("uid").alias("_from")), ["from_label", "si"])
-    rows = rows.join(ranked.select(F.col("entity_type").alias("to_label"), F.col("i").alias("ti"), F.col("uid").alias("_to")), ["to_label", "ti"])
-    rows = dedup_edges(rows.withColumn("_type", F.col("type")), "k")
-    rows = rows.join(edges.select("_type", "_from", "_to"), ["_type", "_from", "_to"], "left_anti")
-    nth = F.row_number().over(W.partitionBy("_type", "from_label", "to_label").orderBy("k"))
-    return rows.withColumn("_nth", nth).where("_nth <= need").select("_type", "_from", "_to", "from_label", "to_label")
+    duplicates, `need` for each pair. The same seed gives the same edges: draws are hashes of a row's number. Draws are repeated, twice as many each
+    time, until each pair has what it needs or all its edges; a pair that `rounds` don't fill (its last free edges are unlikely draws) raises an error."""
+    ranked = numbered(nodes.select("entity_type", "uid"), "entity_type", "uid").checkpoint()
+    counts = {r["entity_type"]: r["n"] for r in nodes.groupBy("entity_type").agg(F.count("*").alias("n")).collect()}  # a row for each label
+    have = {(r["_type"], r["from_label"], r["to_label"]): r["n"] for r in edges.where("_from <> _to").select("_type", "_from", "_to", "from_label", "to_label").distinct().groupBy("_type", "from_label", "to_label").agg(F.count("*").alias("n")).collect()}
+    want: dict[tuple, int] = {}  # a row for each pair of the schema
+    for r in needs.where("need > 0").select("type", "from_label", "to_label", "need").collect():
+        key = (r["type"], r["from_label"], r["to_label"])
+        sources, goals = counts.get(key[1], 0), counts.get(key[2], 0)
+        want[key] = min(r["need"], sources * goals - (sources if key[1] == key[2] else 0) - have.get(key, 0))
+    taken = edges.select("_type", "_from", "_to")
+    spark, made, drawn = nodes.sparkSession, None, dict.fromkeys(want, 0)
+    open_ = {k: n for k, n in want.items() if n > 0}
+    for _ in range(rounds):
+        if not open_:
+            break
+        parts = []
+        for key, n in open_.items():
+            more = 2 * n + 2 * drawn[key]
+            sizes = [F.lit(counts[x]).cast("long") for x in key[1:]]
+            draws = spark.range(drawn[key], drawn[key] + more).withColumnRenamed("id", "k")
+            unit = lambda salt, key=key: (F.pmod(F.xxhash64(*[F.lit(x) for x in key], "k", F.lit(seed), F.lit(salt)), F.lit(1 << 40)) + 0.5) / (1 << 40)
+            gauss = F.sqrt(-2 * F.log(unit(2))) * F.cos(2 * 3.141592653589793 * unit(3))
+            parts.append(draws.select("k", *[F.lit(x).alias(c) for x, c in zip(key, ("_type", "from_label", "to_label"), strict=True)], F.floor(unit(1) * sizes[0]).alias("si"), F.least(sizes[1] - 1, F.floor(F.abs(gauss) * sizes[1] / 3.2)).alias("ti")))
+            drawn[key] += more
+        rows = reduce(DataFrame.unionByName, parts)
+        rows = rows.join(ranked.select(F.col("entity_type").alias("from_label"), F.col("i").alias("si"), F.col("uid").alias("_from")), ["from_label", "si"])
+        rows = rows.join(ranked.select(F.col("entity_type").alias("to_label"), F.col("i").alias("ti"), F.col("uid").alias("_to")), ["to_label", "ti"])
+        rows = rows.where("_from <> _to").groupBy("_type", "from_label", "to_label", "_from", "_to").agg(F.min("k").alias("k"))
+        rows = rows.join(taken if made is None else taken.unionByName(made.select("_type", "_from", "_to")), ["_type", "_from", "_to"], "left_anti")
+        made = (rows if made is None else made.unionByName(rows)).checkpoint()
+        found = {(r["_type"], r["from_label"], r["to_label"]): r["n"] for r in made.groupBy("_type", "from_label", "to_label").agg(F.count("*").alias("n")).collect()}
+        open_ = {k: n - found.get(k, 0) for k, n in want.items() if n > found.get(k, 0)}
+    if open_:
+        raise RuntimeError(f"{rounds} rounds of draws left edges open: {open_}")
+    columns = ["_type", "_from", "_to", "from_label", "to_label"]
+    if made is None:
+        return edges.select(*columns).limit(0)
+    pair = F.concat_ws("|", "_type", "from_label", "to_label")
+    need = F.create_map(*[F.lit(x) for key, n in want.items() for x in ("|".join(key), n)])
+    return numbered(made.withColumn("_pair", pair), "_pair", "k", "_from", "_to").where(F.col("i") < need[F.col("_pair")]).select(*columns)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evgraph.operators.components import connected_components, ensure_checkpoint_dir
@@ -24,15 +23,25 @@ def component_summary(edges: DataFrame, without: list[str] | None = None) -> Dat
 
 def hops(starts: DataFrame, edges: DataFrame, most: int, targets: DataFrame | None = None) -> DataFrame:
     """Least number of hops (1..most) from each start: (start, node, hops), one row for each node reached; with `targets`
-    (start, target) only these rows. Each level is one join, deduplicated and without nodes already reached."""
+    (start, target) only these rows. Each level is one join, deduplicated and without nodes already reached. With targets, a start whose targets are
+    all found goes no further, and the last level is met from the targets' side."""
     ensure_checkpoint_dir(edges.sparkSession)
     step = edges.select(F.col("_from").alias("node"), F.col("_to").alias("next")).distinct()
     front = starts.select("start", F.col("start").alias("node")).distinct()
     seen = front.withColumn("hops", F.lit(0))
+    left = targets.select("start", F.col("target").alias("node")).distinct() if targets is not None else None
     for level in range(1, most + 1):
+        if left is not None and level == most:
+            before = left.select("start", F.col("node").alias("next")).join(step, "next").select("start", "node", "next")
+            met = before.join(front, ["start", "node"], "left_semi").select("start", F.col("next").alias("node")).distinct().withColumn("hops", F.lit(level))
+            seen = seen.unionByName(met.join(seen.select("start", "node"), ["start", "node"], "left_anti"))
+            break
         new = front.join(step, "node").select("start", F.col("next").alias("node")).distinct()
         front = new.join(seen.select("start", "node"), ["start", "node"], "left_anti").checkpoint()
         seen = seen.unionByName(front.withColumn("hops", F.lit(level)))
+        if left is not None:
+            left = left.join(front, ["start", "node"], "left_anti").checkpoint()
+            front = front.join(left.select("start").distinct(), "start", "left_semi")
     found = seen.where("hops > 0")
     return found.join(targets.select("start", F.col("target").alias("node")), ["start", "node"], "left_semi") if targets is not None else found
 
@@ -135,6 +144,3 @@ def retired_counts(edges: DataFrame, retirements: DataFrame) -> DataFrame:
 def top_by_count(rows: DataFrame, key: str, limit: int) -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").alias("n")).orderBy(F.desc("n"), key).limit(limit)
 
-
-def rank_within(rows: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
-    return rows.withColumn("rank", F.row_number().over(W.partitionBy(*by).orderBy(*order)))

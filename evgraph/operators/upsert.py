@@ -7,12 +7,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def latest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The row with the largest order value of each key."""
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc(order)))
-    return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
-
-
 def first_wins(rows: DataFrame, keys: list[str], order: str | list[str]) -> DataFrame:
     """The row with the least order values of each key."""
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(*([order] if isinstance(order, str) else order)))

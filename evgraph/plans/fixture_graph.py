@@ -103,10 +103,10 @@ def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.select(F.col("user_id").alias("hypothesis_id"), F.row_number().over(W.partitionBy("user_id").orderBy("day")).alias("Hv"), rounded(F.least(F.lit(1.0), F.round("v", 6) / 100)).alias("MC"))
 
 
-#: Plan for the doubled edges below: (conflict, type, from, to, successor, reverse)
+#: Plan for the doubled edges below: (conflict, type, from, to, successor, reverse, kind)
 RETIRED = [
-    ("C-19", "PURCHASED_FROM", "Customer", "Supplier", "BUYS_FROM", False), ("C-14", "SOLD_TO", "Supplier", "Customer", "BUYS_FROM", True),
-    ("C-13", "HOSTS", "Nation", "Customer", "LOCATED_IN", True), ("C-07", "KEPT_BY", "Part", "Customer", "KEEPS", True), ("C-07", "RETURNED_BY", "Part", "Customer", "RETURNS", True),
+    ("C-19", "PURCHASED_FROM", "Customer", "Supplier", "BUYS_FROM", False, "synonym_merge"), ("C-14", "SOLD_TO", "Supplier", "Customer", "BUYS_FROM", True, "inverse_merge"),
+    ("C-13", "HOSTS", "Nation", "Customer", "LOCATED_IN", True, "inverse_merge"), ("C-07", "KEPT_BY", "Part", "Customer", "KEEPS", True, "redirect"), ("C-07", "RETURNED_BY", "Part", "Customer", "RETURNS", True, "redirect"),
 ]
 
 

@@ -6,7 +6,7 @@ from evgraph.schema import ACTION_DIRECTION, DOMAIN_MULTIPLIER, EVIDENCE_STRENGT
 
 
 def case(expr: str, table: dict, default) -> str:
-    q = lambda v: f"'{v}'" if isinstance(v, str) else repr(v)
+    q = lambda v: f"'{v}'" if isinstance(v, str) else f"{v!r}::DOUBLE" if isinstance(v, float) else repr(v)
     return f"CASE {expr} " + " ".join(f"WHEN '{k}' THEN {q(v)}" for k, v in table.items()) + f" ELSE {q(default)} END"
 
 
@@ -55,7 +55,7 @@ RECENCY = r4(f"exp(-0.05 * rate * {AGE})")
 SCORED = f"""
 SELECT _from, _type, _to, from_label, to_label, effect_size, adj_p, n, pos_count, neg_count, publication_year, evidence_type, source_type, domain, agg AS edge_aggregate_score,
   {SA} AS SA, {case("evidence_type", EVIDENCE_STRENGTH, 0.5)} AS ES_edge,
-  CASE WHEN points >= 6 THEN 1.0 WHEN points >= 4 THEN 0.8 WHEN points >= 2 THEN 0.55 ELSE 0.2 END AS ES_assertion,
+  (CASE WHEN points >= 6 THEN 1.0 WHEN points >= 4 THEN 0.8 WHEN points >= 2 THEN 0.55 ELSE 0.2 END)::DOUBLE AS ES_assertion,
   CASE WHEN agg > 1 THEN 'Tier 4' WHEN agg >= 0.85 THEN 'Tier 1' WHEN agg >= 0.6 THEN 'Tier 2' WHEN agg >= 0.4 THEN 'Tier 3' ELSE 'Tier 4' END AS edge_quality_tier,
   {RECENCY} AS recency, pos_count + neg_count AS evidence_count, {r4('least(1, (pos_count + neg_count) / 6)')} AS replication_score,
   {r4('1 - abs(pos_count - neg_count) / (pos_count + neg_count)::DOUBLE')} AS conflict_score, {SIGN} AS concordance_score,

@@ -147,6 +147,15 @@ def a1_a2_write_and_read_json(spark, d):
     return back.groupBy("entity_type").agg(F.count("*").alias("n"), F.round(F.sum("amount"), 2).alias("amount"))
 
 
+@query("SELECT c_custkey::VARCHAR AS canonical_id, '{\"segment\":\"' || c_mktsegment || '\",\"name\":\"' || c_name || '\"}' AS payload, NULL::VARCHAR AS notes FROM customer")
+def a1_properties(spark, d):
+    """Internal keys go, maps become JSON text; a field that no record has is null."""
+    path = tables.fresh_path(spark, "graph")
+    rows = fx.read(spark, d, "customer").select(F.lit("Customer").alias("_label"), F.col("c_custkey").cast("string").alias("canonical_id"), F.create_map(F.lit("segment"), F.col("c_mktsegment"), F.lit("name"), F.col("c_name")).alias("payload"))
+    rows.write.json(path)
+    return tables.read_graph(spark, path, "_label string, canonical_id string, payload map<string, string>, notes map<string, string>")
+
+
 @query("SELECT 'Customer:' || c_custkey AS uid, coalesce(p, c_acctbal) AS amount FROM customer LEFT JOIN (SELECT o_custkey, last(o_totalprice ORDER BY o_orderkey) AS p FROM orders GROUP BY 1) ON o_custkey = c_custkey")
 def a3_upsert_nodes(spark, d):
     now = fx.nodes(spark, d).where("entity_type = 'Customer'").select("uid", "amount")
@@ -255,6 +264,17 @@ def c5_rejections(spark, d):
     return both.groupBy("entity_type").agg(F.count_if("ok").alias("valid"), F.count_if(~F.col("ok")).alias("rejected"))
 
 
+@query(f"""SELECT reason, count(*) AS n FROM (SELECT unnest(CASE WHEN publication_year = 1995 THEN ['self-loop'] ELSE [] END || CASE WHEN edge_quality_tier = 'Tier 4' THEN ['missing SA'] ELSE [] END || CASE WHEN publication_year <> 1995 AND edge_quality_tier <> 'Tier 4' THEN ['valid'] ELSE [] END || ['missing formula']) AS reason FROM ({o.SCORED}))
+WHERE reason <> 'valid' GROUP BY 1 UNION ALL SELECT 'valid', count(*) FROM ({o.SCORED}) WHERE publication_year <> 1995 AND edge_quality_tier <> 'Tier 4'""")
+def c5_edge_rejections(spark, d):
+    """Reasons of rejected edges where a required field has no column, and edges that pass without it."""
+    rows = stamped_edges(spark, d)
+    rows = rows.withColumns({"_to": F.when(F.col("publication_year") == 1995, F.col("_from")).otherwise(F.col("_to")), "SA": F.when(F.col("edge_quality_tier") != "Tier 4", F.col("SA"))})
+    good, _ = contract.split_edges(rows)
+    _, bad = contract.split_edges(rows, [*schema.EDGE_REQUIRED, "formula"])
+    return bad.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n")).unionByName(good.agg(F.count("*").alias("n")).select(F.lit("valid").alias("reason"), "n"))
+
+
 @query("""SELECT o_orderkey::VARCHAR AS uid, 'source_priority must be 1 or 2' AS problem FROM orders WHERE o_orderpriority LIKE '3%' UNION ALL SELECT o_orderkey::VARCHAR, 'synthetic without method' FROM orders WHERE o_orderstatus = 'F'
 UNION ALL SELECT o_orderkey::VARCHAR, 'empty source' FROM orders WHERE o_orderkey % 9 = 0""")
 def c6_provenance_rules(spark, d):
@@ -287,7 +307,9 @@ def c9_nonconforming_edges(spark, d):
     return contract.nonconforming(contract.labelled(edges, fx.nodes(spark, d)), rel_specs(spark))
 
 
-@query("SELECT 5::BIGINT AS declared, 4::BIGINT AS built, ['OWNS|Nation|Part'] AS unbuilt FROM (SELECT count(*) FROM lineitem)")
+@query(f"""WITH declared AS (SELECT * FROM (VALUES ('BUYS_BULK', 'Customer', 'Supplier'), ('SUPPLIES', 'Supplier', 'Part'), ('LOCATED_IN', 'Customer', 'Nation'), ('IN_REGION', 'Nation', 'Region'), ('OWNS', 'Nation', 'Part')) t(type, from_label, to_label)),
+found AS (SELECT DISTINCT _type AS type, from_label, to_label, 1 AS built FROM ({o.PLACES} UNION ALL {o.BULK}))
+SELECT count(*) AS declared, count(built) AS built, coalesce(list_sort(list(type || '|' || from_label || '|' || to_label) FILTER (built IS NULL)), []) AS unbuilt FROM declared LEFT JOIN found USING (type, from_label, to_label)""")
 def c10_coverage(spark, d):
     return contract.coverage(fx.places(spark, d).unionByName(fx.bulk(spark, d)), rel_specs(spark))
 
@@ -295,7 +317,7 @@ def c10_coverage(spark, d):
 # ---------------------------------------------------------------- graph
 
 
-@query(f"SELECT (SELECT count(*) FROM ({o.NODES})) AS nodes, (SELECT count(*) FROM ({o.BULK})) AS edges, 2::BIGINT AS types")
+@query(f"SELECT (SELECT count(*) FROM ({o.NODES})) AS nodes, (SELECT count(*) FROM ({o.BULK})) AS edges, (SELECT count(DISTINCT _type) FROM ({o.BULK})) AS types")
 def e1_totals(spark, d):
     return graph.totals(fx.nodes(spark, d), fx.bulk(spark, d))
 
@@ -305,7 +327,11 @@ def e2_components_of_chains(spark, d):
     return graph.component_summary(structure(spark, d), ["BUYS_BULK", "SUPPLIES", "PREFERS"])
 
 
-@query()
+# every edge of BULK touches a supplier, so suppliers that share a neighbour tell the components
+@query(f"""WITH RECURSIVE touch AS MATERIALIZED (SELECT _to AS s, _from AS n FROM ({o.BULK}) WHERE _type = 'BUYS_BULK' UNION SELECT _from, _to FROM ({o.BULK}) WHERE _type = 'SUPPLIES'),
+near AS MATERIALIZED (SELECT DISTINCT a.s AS a, b.s AS b FROM touch a JOIN touch b USING (n)), reach(a, b) AS (SELECT a, b FROM near UNION SELECT r.a, n.b FROM reach r JOIN near n ON r.b = n.a),
+root AS MATERIALIZED (SELECT a AS s, min(b) AS r FROM reach GROUP BY 1), nodes AS (SELECT s AS node, r FROM root UNION SELECT n, r FROM touch JOIN root USING (s))
+SELECT count(*) AS components, max(n) AS largest, sum(n)::BIGINT AS covered FROM (SELECT r, count(*) AS n FROM nodes GROUP BY 1)""")
 def e2_components(spark, d):
     return graph.component_summary(fx.bulk(spark, d))
 
@@ -332,7 +358,8 @@ def e5_e6_gap_report(spark, d):
     return graph.gap_report(structure(spark, d), "PREFERS", "BUYS_BULK", "SUPPLIES", fx.read(spark, d, "part").count())
 
 
-@query("SELECT (SELECT count(*) FROM orders) AS subjects, (SELECT count(DISTINCT l_orderkey) FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS with_membership, ['Customer'] AS reachable, true AS has_customer, false AS has_place")
+@query("""WITH r AS (SELECT CASE WHEN count(*) > 0 THEN ['Customer'] ELSE [] END AS reachable FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT (SELECT count(*) FROM orders) AS subjects, (SELECT count(DISTINCT l_orderkey) FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS with_membership, reachable, list_has_any(reachable, ['Customer', 'Region']) AS has_customer, list_has_any(reachable, ['Nation']) AS has_place FROM r""")
 def e7_membership_coverage(spark, d):
     return graph.membership_coverage(fx.nodes(spark, d), fx.contents(spark, d), "Order", "CONTAINS", {"has_customer": ["Customer", "Region"], "has_place": ["Nation"]})
 
@@ -351,7 +378,12 @@ def e9_migrate_edges(spark, d):
     return migrate.migrate(fx.first_version(spark, d), plan(spark), "weight")
 
 
-@query("SELECT 'successor not active' AS problem, 'RETURNS' AS detail FROM (SELECT count(*) FROM lineitem)")
+SUCCESSORS = "(VALUES ('BUYS_FROM'), ('LOCATED_IN'), ('KEEPS'), ('RETURNS')) t(type)"
+
+
+@query(f"""WITH before AS (SELECT DISTINCT least(from_label, to_label) AS a, greatest(from_label, to_label) AS b FROM ({o.V1})), after AS (SELECT DISTINCT least(split_part(_from, ':', 1), split_part(_to, ':', 1)) AS a, greatest(split_part(_from, ':', 1), split_part(_to, ':', 1)) AS b FROM ({o.V2}))
+SELECT 'pair lost' AS problem, a || '|' || b AS detail FROM before ANTI JOIN after USING (a, b) UNION ALL SELECT 'successor not active', type FROM {SUCCESSORS} WHERE type NOT IN ('BUYS_FROM', 'LOCATED_IN', 'KEEPS')
+UNION ALL SELECT 'retired left', _type || '|' || count(*) FROM ({o.V2}) WHERE _type IN ('PURCHASED_FROM', 'SOLD_TO', 'HOSTS', 'KEPT_BY', 'RETURNED_BY') GROUP BY _type""")
 def e10_migration_coverage(spark, d):
     before = fx.first_version(spark, d)
     active = spark.createDataFrame([("BUYS_FROM",), ("LOCATED_IN",), ("KEEPS",)], "type string")
@@ -454,7 +486,7 @@ def m3_cluster_volume(spark, d):
     return report.cluster_volume(fx.places(spark, d).unionByName(fx.bulk(spark, d)), clusters)
 
 
-@query(f"WITH e AS ({o.PLACES} UNION ALL {o.BULK}) SELECT 5::BIGINT AS pairs, count(DISTINCT _type) AS types, 2::BIGINT AS layer_pairs, count(*) AS edges, (SELECT count(DISTINCT l) FROM (SELECT from_label AS l FROM e UNION ALL SELECT to_label FROM e)) AS labels FROM e")
+@query(f"WITH e AS ({o.PLACES} UNION ALL {o.BULK}) SELECT count(DISTINCT _type || '|' || from_label || '|' || to_label) AS pairs, count(DISTINCT _type) AS types, count(DISTINCT _type || '|' || from_label || '|' || to_label) FILTER (_type IN ('BUYS_BULK', 'SUPPLIES')) AS layer_pairs, count(*) AS edges, (SELECT count(DISTINCT l) FROM (SELECT from_label AS l FROM e UNION ALL SELECT to_label FROM e)) AS labels FROM e")
 def m4_profile(spark, d):
     return report.profile(fx.places(spark, d).withColumn("layer", F.lit("place")).unionByName(fx.bulk(spark, d).withColumn("layer", F.lit("extension"))), "extension")
 
@@ -544,6 +576,19 @@ def x2_expand_edges(spark, d):
     return expand.expand(expand.allocate(rel_specs(spark), nodes, edges, 2_000_000, RULES), nodes, edges)
 
 
+MANY = PLANNED.replace("10000 -", "2000000 -")
+
+
+@query(f"""WITH p AS ({MANY}), n AS (SELECT entity_type, count(*) AS n FROM ({o.NODES}) GROUP BY 1)
+SELECT type AS _type, least(need, a.n * b.n - existing)::BIGINT AS made, 0::BIGINT AS loops, 0::BIGINT AS repeated, 0::BIGINT AS known FROM p JOIN n a ON a.entity_type = from_label JOIN n b ON b.entity_type = to_label WHERE need > 0""")
+def x2_expansion_counts(spark, d):
+    """What the expansion promises: as many edges as needed, none of them a loop, a repetition or an edge that was there."""
+    nodes, edges = fx.nodes(spark, d), fx.places(spark, d).unionByName(fx.bulk(spark, d))
+    made = expand.expand(expand.allocate(rel_specs(spark), nodes, edges, 2_000_000, RULES), nodes, edges)
+    each = made.groupBy("_type", "_from", "_to").agg(F.count("*").alias("n")).join(edges.select("_type", "_from", "_to", F.lit(1).alias("was")).distinct(), ["_type", "_from", "_to"], "left")
+    return each.groupBy("_type").agg(F.sum("n").alias("made"), F.count_if(F.col("_from") == F.col("_to")).alias("loops"), F.sum(F.col("n") - 1).alias("repeated"), F.count("was").alias("known"))
+
+
 # ---------------------------------------------------------------- seeds
 
 

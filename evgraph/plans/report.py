@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -58,20 +59,30 @@ class Checks:
         c = lambda r: self.of(n, r)
         is_ = lambda r: n["entity_type"] == self.name(r)
         num = lambda cond: F.count_if(F.coalesce(cond, F.lit(False)))
-        kinds = lambda label, r: F.countDistinct(F.when(is_(label), c(r).cast("string")))
         whole = lambda label, *rs: num(is_(label) & _all(*[c(r).isNotNull() for r in rs]))
         missing = lambda *rs: num(~_all(*[c(r).isNotNull() for r in rs]))
         return {
             "nodes": F.count("*"), "bad_metadata": missing("entity_type", "canonical_id", "synonyms", "ontology_refs", "created_at"), "bad_provenance": missing("source", "is_synthetic", "valid_from", "updated_at"),
-            "datasets": num(is_("Dataset")), "cohorts": num(is_("Cohort")), "cohort_states": kinds("Cohort", "cohort_state"), "assertions": num(is_("Assertion")), "decisions": kinds("Assertion", "promotion_decision"),
-            "evidence": num(is_("Evidence")), "evidence_modalities": kinds("Evidence", "modality"), "stages": kinds("Evidence", "disease_stage"), "batches": whole("Evidence", "batch_id", "platform", "lab_id"),
-            "clinical": num(is_("Evidence") & (c("is_clinical").cast("boolean"))), "publications": num(is_("Publication")), "publication_types": kinds("Publication", "source_type"),
+            "datasets": num(is_("Dataset")), "cohorts": num(is_("Cohort")), "assertions": num(is_("Assertion")),
+            "evidence": num(is_("Evidence")), "batches": whole("Evidence", "batch_id", "platform", "lab_id"),
+            "clinical": num(is_("Evidence") & (c("is_clinical").cast("boolean"))), "publications": num(is_("Publication")),
             "variants": whole("Variant", "chromosome", "base_position", "p_raw", "effect_weight"), "species": num(is_("Species")), "hypotheses": whole("Hypothesis", "biological_domain", "decision_context"),
             "deltas": whole("HypothesisVersion", "delta_MC"), "converged": num(is_("HypothesisVersion") & (F.abs(c("delta_MC").cast("double")) < 0.02)),
-            "components": whole("ConfidenceScore", "component_C", "component_dS", "component_R", "component_P", "component_K"), "lifecycle_states": kinds("LifecycleState", "name"), "chains": whole("ReasoningChain", "path_traceability"),
+            "components": whole("ConfidenceScore", "component_C", "component_dS", "component_R", "component_P", "component_K"), "chains": whole("ReasoningChain", "path_traceability"),
             "states": whole("BiologicalState", "snapshot_hash"), "results": whole("ScanResult", "Dv", "Tv", "Hv", "snapshot_hash"), "events": num(is_("AuditEvent")), "tissues": num(is_("Tissue")), "cell_types": num(is_("CellType")), "compounds": whole("Compound", "morgan_fp"),
         }
 
+    def node_kinds(self) -> dict[str, Column]:
+        """Properties of which different values are counted."""
+        of = lambda label, r: F.when(self.nodes["entity_type"] == self.name(label), self.of(self.nodes, r).cast("string"))
+        return {
+            "cohort_states": of("Cohort", "cohort_state"), "decisions": of("Assertion", "promotion_decision"), "evidence_modalities": of("Evidence", "modality"), "stages": of("Evidence", "disease_stage"),
+            "publication_types": of("Publication", "source_type"), "lifecycle_states": of("LifecycleState", "name"),
+        }
+
+    def edge_kinds(self) -> dict[str, Column]:
+        return {k: self.of(self.edges, r).cast("string") for k, r in (("tiers", "edge_quality_tier"), ("modalities", "modality"), ("years", "publication_year"))}
+
     def edge_aggregates(self) -> dict[str, Column]:
         e = self.edges
         c = lambda r: self.of(e, r)
@@ -79,9 +90,9 @@ class Checks:
         kind = lambda *rs: e["_type"].isin(*[self.name(r) for r in rs])
         ends = lambda a, b: (e["from_label"] == self.name(a)) & (e["to_label"] == self.name(b))
         return {
-            "edges": F.count("*"), "scored": num(_all(*[c(r).isNotNull() for r in ("SA", "ES_edge", "edge_aggregate_score")])), "tiers": F.countDistinct(c("edge_quality_tier").cast("string")), "tiered": F.count(c("edge_quality_tier")),
+            "edges": F.count("*"), "scored": num(_all(*[c(r).isNotNull() for r in ("SA", "ES_edge", "edge_aggregate_score")])), "tiered": F.count(c("edge_quality_tier")),
             "conflicts": num(c("pos_count").isNotNull() & (c("neg_count") > 0)), "directed": num(c("direction").isin(-1, 1)), "traced": num(_all(*[c(r).isNotNull() for r in ("dataset_ids", "source_type", "publication_year", "formula_version")])),
-            "modalities": F.countDistinct(c("modality").cast("string")), "years": F.countDistinct(c("publication_year").cast("string")), "year_lo": F.min(c("publication_year").cast("int")), "year_hi": F.max(c("publication_year").cast("int")),
+            "year_lo": F.min(c("publication_year").cast("int")), "year_hi": F.max(c("publication_year").cast("int")),
             "locus": num(kind("MAPS_TO_LOCUS") & ends("Variant", "Gene")), "qtl": num(kind("eQTL_MODULATES", "pQTL_MODULATES", "mQTL_MODULATES")), "conserved": num(kind("ORTHOLOG_OF", "CONSERVED_IN")),
             "memberships": num(kind("HYPOTHESIS_INCLUDES_NODE") & (e["from_label"] == self.name("Hypothesis"))), "hierarchy": num(kind("ONTOLOGICALLY_INCLUDES") & ends("OntologyTerm", "OntologyTerm")),
             "signed_drugs": num(kind("PHARMACOLOGICALLY_ACTIVATES", "PHARMACOLOGICALLY_INHIBITS")), "off_targets": num(kind("EXERTS_OFF_TARGET_EFFECT", "OFF_TARGET_INTERACTION")), "encodes": num(kind("ENCODES") & ends("Gene", "Protein")),
@@ -95,9 +106,17 @@ def _all(*conds: Column) -> Column:
     return out
 
 
-def rules() -> list[tuple[str, str, Column, Column]]:
+def different(rows: DataFrame, kinds: dict[str, Column]) -> DataFrame:
+    """One row: the number of different values of each property. Values are collapsed in each task first; several distinct counts in one
+    aggregate would multiply all rows instead."""
+    named = F.array(*[F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in kinds.items()])
+    pairs = rows.select(F.explode(F.filter(named, lambda x: x["v"].isNotNull())).alias("x")).select("x.k", "x.v").distinct()
+    return pairs.agg(*[F.count_if(F.col("k") == k).alias(k) for k in kinds])
+
+
+def rules(figures: set[str]) -> list[tuple[str, str, Column, Column]]:
     """(capability, description, passes, detail) over the joined aggregates."""
-    c, s = F.col, lambda *xs: F.concat(*[F.format_number(F.col(x), 0) if x in FIGURES else F.lit(x) for x in xs])
+    c, s = F.col, lambda *xs: F.concat(*[F.format_number(F.col(x), 0) if x in figures else F.lit(x) for x in xs])
     least = lambda k, n, *d: (c(k) >= n, s(k, *d))
     out = {
         "topology": ("enough nodes and directed edges to traverse", (c("nodes") > 100) & (c("edges") > 500), F.when(c("edges") > 0, s("nodes", " nodes / ", "edges", " edges"))),
@@ -120,68 +139,82 @@ def rules() -> list[tuple[str, str, Column, Column]]:
     return [(k, *v) for k, v in out.items()]
 
 
-FIGURES: set[str] = set()
-
-
 def capabilities(nodes: DataFrame, edges: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
-    """(capability, status, description, detail): one pass over nodes and one over edges (with labels)."""
+    """(capability, status, description, detail): conditional aggregates over nodes and over edges (with labels)."""
     checks = Checks(nodes, edges, names)
     a, b = checks.node_aggregates(), checks.edge_aggregates()
     history = edges.where((F.col("_type") == checks.name("HAS_VERSION")) & (F.col("from_label") == checks.name("Hypothesis"))).groupBy("_from").agg(F.count("*").alias("v")).agg(F.count_if(F.col("v") >= 2).alias("with_history"))
-    FIGURES.update(a, b, {"with_history"})
-    one = nodes.agg(*[v.alias(k) for k, v in a.items()]).crossJoin(edges.agg(*[v.alias(k) for k, v in b.items()])).crossJoin(history)  # single rows
+    figures = {*a, *b, *checks.node_kinds(), *checks.edge_kinds(), "with_history"}
+    one = nodes.agg(*[v.alias(k) for k, v in a.items()])
+    for row_ in (edges.agg(*[v.alias(k) for k, v in b.items()]), different(nodes, checks.node_kinds()), different(edges, checks.edge_kinds()), history):  # single rows
+        one = one.crossJoin(row_)
     row = lambda k, st, d, x: F.struct(F.lit(k).alias("capability"), st.alias("status"), F.lit(d).alias("description"), x.alias("detail"))
-    found = [row(k, F.when(F.coalesce(ok, F.lit(False)), "PASS").otherwise("FAIL"), d, F.coalesce(x, F.lit("no rows"))) for k, d, ok, x in rules()]
+    found = [row(k, F.when(F.coalesce(ok, F.lit(False)), "PASS").otherwise("FAIL"), d, F.coalesce(x, F.lit("no rows"))) for k, d, ok, x in rules(figures)]
     found += [row(k, F.lit("UNSUPPORTED"), k.replace("_", " "), F.lit(why)) for k, why in UNSUPPORTED.items()]
     return one.select(F.explode(F.array(*found)).alias("r")).select("r.*")
 
 
 # fixed values: what each primitive needs
 PRIMITIVES = {
-    "N01": "topology", "N02": "topology", "N03": "topology", "N04": "topology", "N05": "topology", "N06": "edge_scores", "N07": "node_metadata",
-    "N08": "node_metadata", "N09": "topology", "N10": "cohorts topology",
-    "E01": "edge_provenance edge_recency", "E02": "edge_scores", "E03": "edge_scores", "E04": "edge_scores", "E05": "edge_conflict",
-    "E06": "edge_conflict", "E07": "edge_conflict", "E08": "edge_scores", "E09": "edge_scores", "E10": "embeddings", "E11": "edge_provenance datasets",
-    "E12": "topology", "E13": "datasets", "E14": "edge_scores", "E15": "edge_provenance assertions", "E16": "edge_modality", "E17": "edge_modality",
-    "E18": "edge_direction", "E19": "edge_recency", "E20": "edge_scores", "E21": "evidence_stage", "E22": "evidence_batch",
-    "T01": "topology", "T02": "topology", "T03": "topology", "T04": "topology", "T05": "topology", "T06": "topology", "T07": "topology edge_direction",
-    "T08": "topology", "T09": "hypothesis_subgraph", "T10": "topology", "T11": "topology", "T12": "topology edge_direction", "T13": "topology",
-    "T14": "topology", "T15": "orthologs", "T16": "biological_state", "T17": "datasets", "T18": "biological_state", "T19": "node_metadata",
-    "T20": "topology", "T21": "topology",
-    "R01": "embeddings", "R02": "embeddings", "R03": "embeddings", "R04": "embeddings", "R05": "embeddings", "R06": "confidence_components",
-    "R07": "topology edge_scores", "R08": "version_history mc_trajectory", "R09": "topology", "R10": "topology edge_scores", "R11": "embeddings",
-    "R12": "topology", "R13": "edge_scores", "R14": "embeddings", "R15": "topology edge_scores", "R16": "embeddings", "R17": "topology",
-    "R18": "topology", "R19": "variant_stats qtl", "R20": "cohorts variant_stats", "R21": "qtl", "R22": "orthologs", "R23": "edge_scores",
-    "S01": "provenance_fields", "S02": "provenance_fields", "S03": "version_history", "S04": "edge_scores", "S05": "topology",
-    "S06": "confidence_components", "S07": "biological_state", "S08": "confidence_components", "S09": "version_history", "S10": "scan_results",
-    "S11": "mc_trajectory", "S12": "embeddings", "S13": "audit_log", "S14": "hypotheses", "S15": "hypotheses", "S16": "assertions",
-    "S17": "assertions", "S18": "assertions", "S19": "hypotheses", "S20": "hypotheses", "S20H": "topology", "S21": "biological_state",
-    "S22": "hypotheses",
-    "I01": "datasets", "I02": "assertions", "I03": "node_metadata", "I04": "assertions", "I05": "assertions", "I06": "edge_conflict",
-    "I07": "datasets", "I08": "assertions", "I09": "topology", "I10": "edge_modality",
-    "G01": "variant_stats variant_locus", "G02": "variant_stats cohorts", "G03": "qtl", "G04": "variant_stats", "G05": "cohorts variant_stats",
-    "H01": "node_metadata", "H02": "version_history mc_trajectory", "H03": "assertions", "H04": "topology", "H05": "hypotheses", "H06": "scan_results",
-    "TEMP_01": "version_history", "TEMP_02": "edge_recency", "TEMP_03": "embeddings",
-    "SEM_01": "embeddings", "SEM_02": "embeddings", "SEM_03": "edge_conflict", "SEM_04": "hypotheses", "SEM_05": "embeddings", "SEM_06": "hypotheses",
-    "SEM_07": "edge_scores", "SEM_08": "embeddings", "SEM_09": "edge_scores", "SEM_10": "topology edge_direction",
-    "PRIM_SEM_07": "edge_scores", "PRIM_SEM_08": "embeddings", "PRIM_SEM_09": "edge_scores", "PRIM_SEM_10": "topology edge_direction",
-    "CLIN_01": "ontology_dag", "CLIN_02": "clinical_evidence", "CLIN_03": "off_target", "CLIN_04": "clinical_evidence orthologs",
-    "SIM_01": "topology", "SIM_02": "drug_directional", "SIM_03": "compound_fingerprints", "SIM_04": "topology", "SIM_05": "topology",
-    "SIM_06": "embeddings", "SIM_07": "embeddings", "SIM_08": "topology",
-    "READ": "scan_results",
+    "N01": ("topology",), "N02": ("topology",), "N03": ("topology",), "N04": ("topology",), "N05": ("topology",), "N06": ("edge_scores",),
+    "N07": ("node_metadata",), "N08": ("node_metadata",), "N09": ("topology",), "N10": ("cohorts", "topology"),
+    "E01": ("edge_provenance", "edge_recency"), "E02": ("edge_scores",), "E03": ("edge_scores",), "E04": ("edge_scores",), "E05": ("edge_conflict",),
+    "E06": ("edge_conflict",), "E07": ("edge_conflict",), "E08": ("edge_scores",), "E09": ("edge_scores",), "E10": ("embeddings",),
+    "E11": ("edge_provenance", "datasets"), "E12": ("topology",), "E13": ("datasets",), "E14": ("edge_scores",),
+    "E15": ("edge_provenance", "assertions"), "E16": ("edge_modality",), "E17": ("edge_modality",), "E18": ("edge_direction",),
+    "E19": ("edge_recency",), "E20": ("edge_scores",), "E21": ("evidence_stage",), "E22": ("evidence_batch",),
+    "T01": ("topology",), "T02": ("topology",), "T03": ("topology",), "T04": ("topology",), "T05": ("topology",), "T06": ("topology",),
+    "T07": ("topology", "edge_direction"), "T08": ("topology",), "T09": ("hypothesis_subgraph",), "T10": ("topology",), "T11": ("topology",),
+    "T12": ("topology", "edge_direction"), "T13": ("topology",), "T14": ("topology",), "T15": ("orthologs",), "T16": ("biological_state",),
+    "T17": ("datasets",), "T18": ("biological_state",), "T19": ("node_metadata",), "T20": ("topology",), "T21": ("topology",),
+    "R01": ("embeddings",), "R02": ("embeddings",), "R03": ("embeddings",), "R04": ("embeddings",), "R05": ("embeddings",),
+    "R06": ("confidence_components",), "R07": ("topology", "edge_scores"), "R08": ("version_history", "mc_trajectory"), "R09": ("topology",),
+    "R10": ("topology", "edge_scores"), "R11": ("embeddings",), "R12": ("topology",), "R13": ("edge_scores",), "R14": ("embeddings",),
+    "R15": ("topology", "edge_scores"), "R16": ("embeddings",), "R17": ("topology",), "R18": ("topology",), "R19": ("variant_stats", "qtl"),
+    "R20": ("cohorts", "variant_stats"), "R21": ("qtl",), "R22": ("orthologs",), "R23": ("edge_scores",),
+    "S01": ("provenance_fields",), "S02": ("provenance_fields",), "S03": ("version_history",), "S04": ("edge_scores",), "S05": ("topology",),
+    "S06": ("confidence_components",), "S07": ("biological_state",), "S08": ("confidence_components",), "S09": ("version_history",),
+    "S10": ("scan_results",), "S11": ("mc_trajectory",), "S12": ("embeddings",), "S13": ("audit_log",), "S14": ("hypotheses",),
+    "S15": ("hypotheses",), "S16": ("assertions",), "S17": ("assertions",), "S18": ("assertions",), "S19": ("hypotheses",), "S20": ("hypotheses",),
+    "S20H": ("topology",), "S21": ("biological_state",), "S22": ("hypotheses",),
+    "I01": ("datasets",), "I02": ("assertions",), "I03": ("node_metadata",), "I04": ("assertions",), "I05": ("assertions",),
+    "I06": ("edge_conflict",), "I07": ("datasets",), "I08": ("assertions",), "I09": ("topology",), "I10": ("edge_modality",),
+    "G01": ("variant_stats", "variant_locus"), "G02": ("variant_stats", "cohorts"), "G03": ("qtl",), "G04": ("variant_stats",),
+    "G05": ("cohorts", "variant_stats"),
+    "H01": ("node_metadata",), "H02": ("version_history", "mc_trajectory"), "H03": ("assertions",), "H04": ("topology",), "H05": ("hypotheses",),
+    "H06": ("scan_results",),
+    "TEMP_01": ("version_history",), "TEMP_02": ("edge_recency",), "TEMP_03": ("embeddings",),
+    "SEM_01": ("embeddings",), "SEM_02": ("embeddings",), "SEM_03": ("edge_conflict",), "SEM_04": ("hypotheses",), "SEM_05": ("embeddings",),
+    "SEM_06": ("hypotheses",), "SEM_07": ("edge_scores",), "SEM_08": ("embeddings",), "SEM_09": ("edge_scores",),
+    "SEM_10": ("topology", "edge_direction"),
+    "PRIM_SEM_07": ("edge_scores",), "PRIM_SEM_08": ("embeddings",), "PRIM_SEM_09": ("edge_scores",), "PRIM_SEM_10": ("topology", "edge_direction"),
+    "CLIN_01": ("ontology_dag",), "CLIN_02": ("clinical_evidence",), "CLIN_03": ("off_target",), "CLIN_04": ("clinical_evidence", "orthologs"),
+    "SIM_01": ("topology",), "SIM_02": ("drug_directional",), "SIM_03": ("compound_fingerprints",), "SIM_04": ("topology",), "SIM_05": ("topology",),
+    "SIM_06": ("embeddings",), "SIM_07": ("embeddings",), "SIM_08": ("topology",),
+    "READ": ("scan_results",),
 }
 # fixed values: families whose primitives, numbered from 1, all need the same
 FAMILIES = [
-    ("V", 16, "embeddings"), ("P", 16, ""), ("EDIT_", 4, "agriculture_data"), ("BREED_", 6, "agriculture_data"), ("EPI_", 4, "agriculture_data"), ("MICRO_", 4, "agriculture_data"),
-    ("ONC_", 6, "topology cell_types"), ("IMM_", 6, "topology cell_types"), ("NEURO_", 5, "topology tissues"), ("CARDIO_", 4, "topology tissues"), ("GENE_", 5, "topology clinical_evidence"),
-    ("RARE_", 4, "variant_stats cohorts"), ("INF_", 4, "topology orthologs"), ("AGE_", 4, "topology tissues"),
-]
+    ("V", 16, ("embeddings",)),
+    ("P", 16, ()),
+    ("EDIT_", 4, ("agriculture_data",)),
+    ("BREED_", 6, ("agriculture_data",)),
+    ("EPI_", 4, ("agriculture_data",)),
+    ("MICRO_", 4, ("agriculture_data",)),
+    ("ONC_", 6, ("topology", "cell_types")),
+    ("IMM_", 6, ("topology", "cell_types")),
+    ("NEURO_", 5, ("topology", "tissues")),
+    ("CARDIO_", 4, ("topology", "tissues")),
+    ("GENE_", 5, ("topology", "clinical_evidence")),
+    ("RARE_", 4, ("variant_stats", "cohorts")),
+    ("INF_", 4, ("topology", "orthologs")),
+    ("AGE_", 4, ("topology", "tissues")),
+]
 
 
 def primitive_table() -> dict[str, tuple[str, ...]]:
     """Capabilities that each primitive needs."""
-    out = {k: tuple(v.split()) for k, v in PRIMITIVES.items()}
-    return out | {f"{prefix}{i:02d}": tuple(v.split()) for prefix, last, v in FAMILIES for i in range(1, last + 1)}
+    return PRIMITIVES | {f"{prefix}{i:02d}": v for prefix, last, v in FAMILIES for i in range(1, last + 1)}
 
 
 def primitive_capabilities(spark: SparkSession) -> DataFrame:
@@ -209,8 +242,8 @@ def verdicts(scans: DataFrame, table: DataFrame, status: DataFrame) -> DataFrame
 
 
 def verdict_summary(found: DataFrame) -> DataFrame:
-    total = found.agg(F.count("*").alias("_t"))
-    return found.groupBy("verdict").agg(F.count("*").alias("n")).crossJoin(total).select("verdict", "n", F.round(100.0 * F.col("n") / F.greatest("_t", F.lit(1)), 1).alias("pct"))  # a single row of totals
+    total = F.sum("n").over(W.partitionBy(F.lit(1)))  # of three rows at most
+    return found.groupBy("verdict").agg(F.count("*").alias("n")).select("verdict", "n", F.round(100.0 * F.col("n") / F.greatest(total, F.lit(1)), 1).alias("pct"))
 
 
 def verdicts_by_family(found: DataFrame) -> DataFrame:

@@ -53,50 +53,43 @@ DEGREE_RULES = [
 ]
 DEFAULT_DEGREE = 1.2
 
-# fixed values: retired relations (conflict, type, from, to, successor) and the conflicts whose rows run opposite to the kept triple
+# fixed values: retired relations (conflict, type, from, to, successor, whether the row runs opposite to it, kind of retirement)
 RETIRED = [
-    ("C-01", "CAUSES", "BiologicalProcess", "Disease", "DRIVES_DISEASE_PATHOLOGY"),
-    ("C-01", "DRIVES_PATHOLOGY", "BiologicalProcess", "Disease", "DRIVES_DISEASE_PATHOLOGY"),
-    ("C-02", "PRECEDES", "BiologicalProcess", "BiologicalProcess", "TEMPORALLY_PRECEDES"),
-    ("C-03", "RESULTS_IN", "BiologicalProcess", "Phenotype", "PRODUCES_CLINICAL_PHENOTYPE"),
-    ("C-03", "PRODUCES_OUTCOME", "BiologicalProcess", "Phenotype", "PRODUCES_CLINICAL_PHENOTYPE"),
-    ("C-04", "EVOLUTIONARILY_CONSERVED_IN", "BiologicalProcess", "Species", "CONSERVED_IN"),
-    ("C-05", "SERVES_AS_BIOMARKER_FOR", "BiologicalProcess", "Disease", "BIOMARKER_FOR"),
-    ("C-06", "PART_OF", "BiologicalProcess", "Pathway", "CONSTITUTES_PATHWAY"),
-    ("C-07", "ACTIVATED_BY", "BiologicalProcess", "Drug", "PHARMACOLOGICALLY_ACTIVATES"),
-    ("C-07", "SUPPRESSED_BY", "BiologicalProcess", "Drug", "PHARMACOLOGICALLY_INHIBITS"),
-    ("C-08", "INVOLVES", "BiologicalProcess", "Variant", "mQTL_MODULATES"),
-    ("C-09", "OCCURS_IN", "BiologicalProcess", "Tissue", "OPERATES_WITHIN_CONTEXT"),
-    ("C-09", "CONTEXTUALIZES", "Tissue", "BiologicalProcess", "OPERATES_WITHIN_CONTEXT"),
-    ("C-09", "OCCURS_IN", "ProteinComplex", "Tissue", "OPERATES_WITHIN_CONTEXT"),
-    ("C-10", "SUPPORTED_BY", "BiologicalProcess", "Publication", "EVIDENCED_BY"),
-    ("C-10", "PROCESS_EVIDENCED_BY", "BiologicalProcess", "Publication", "EVIDENCED_BY"),
-    ("C-10", "SUPPORTED_BY", "Gene", "Publication", "EVIDENCED_BY"),
-    ("C-10", "SUPPORTED_BY", "Tissue", "Publication", "EVIDENCED_BY"),
-    ("C-10", "SUPPORTED_BY", "ProteinComplex", "Publication", "EVIDENCED_BY"),
-    ("C-10", "PHENOTYPICALLY_SUPPORTED_BY", "Phenotype", "Publication", "EVIDENCED_BY"),
-    ("C-10", "DISEASE_EVIDENCED_BY", "Disease", "Publication", "EVIDENCED_BY"),
-    ("C-10", "SUPPORTED_BY_PROVENANCE", "Hypothesis", "Publication", "EVIDENCED_BY"),
-    ("C-10", "DRUG_EVIDENCED_BY", "Drug", "Publication", "EVIDENCED_BY"),
-    ("C-12", "STANDARDIZES_DISEASE", "Disease", "OntologyTerm", "STANDARDIZED_BY_ONTOLOGY"),
-    ("C-13", "REGULATED_BY_QTL", "Gene", "Variant", "eQTL_MODULATES"),
-    ("C-14", "EXPRESSES", "Tissue", "Gene", "EXPRESSED_IN"),
-    ("C-15", "EXHIBITS_PATHOLOGY_OF", "Tissue", "Disease", "LOCALIZES_PATHOLOGY_IN"),
-    ("C-16", "ACCUMULATES", "Tissue", "Drug", "DISTRIBUTED_IN_CONTEXT"),
-    ("C-17", "CAUSALLY_DRIVES", "Variant", "Disease", "MR_VALIDATES_RISK_FOR"),
-    ("C-18", "AMELIORATES", "Drug", "Phenotype", "AMELIORATES_TRAIT"),
-    ("C-19", "TREATS_INDICATION", "Drug", "Disease", "CLINICALLY_TREATS"),
+    ("C-01", "CAUSES", "BiologicalProcess", "Disease", "DRIVES_DISEASE_PATHOLOGY", False, "synonym_merge"),
+    ("C-01", "DRIVES_PATHOLOGY", "BiologicalProcess", "Disease", "DRIVES_DISEASE_PATHOLOGY", False, "synonym_merge"),
+    ("C-02", "PRECEDES", "BiologicalProcess", "BiologicalProcess", "TEMPORALLY_PRECEDES", False, "synonym_merge"),
+    ("C-03", "RESULTS_IN", "BiologicalProcess", "Phenotype", "PRODUCES_CLINICAL_PHENOTYPE", False, "synonym_merge"),
+    ("C-03", "PRODUCES_OUTCOME", "BiologicalProcess", "Phenotype", "PRODUCES_CLINICAL_PHENOTYPE", False, "synonym_merge"),
+    ("C-04", "EVOLUTIONARILY_CONSERVED_IN", "BiologicalProcess", "Species", "CONSERVED_IN", False, "synonym_merge"),
+    ("C-05", "SERVES_AS_BIOMARKER_FOR", "BiologicalProcess", "Disease", "BIOMARKER_FOR", False, "synonym_merge"),
+    ("C-06", "PART_OF", "BiologicalProcess", "Pathway", "CONSTITUTES_PATHWAY", False, "synonym_merge"),
+    ("C-07", "ACTIVATED_BY", "BiologicalProcess", "Drug", "PHARMACOLOGICALLY_ACTIVATES", True, "redirect"),
+    ("C-07", "SUPPRESSED_BY", "BiologicalProcess", "Drug", "PHARMACOLOGICALLY_INHIBITS", True, "redirect"),
+    ("C-08", "INVOLVES", "BiologicalProcess", "Variant", "mQTL_MODULATES", True, "inverse_merge"),
+    ("C-09", "OCCURS_IN", "BiologicalProcess", "Tissue", "OPERATES_WITHIN_CONTEXT", False, "inverse_merge"),
+    ("C-09", "CONTEXTUALIZES", "Tissue", "BiologicalProcess", "OPERATES_WITHIN_CONTEXT", True, "inverse_merge"),
+    ("C-09", "OCCURS_IN", "ProteinComplex", "Tissue", "OPERATES_WITHIN_CONTEXT", False, "inverse_merge"),
+    ("C-10", "SUPPORTED_BY", "BiologicalProcess", "Publication", "EVIDENCED_BY", False, "collapse"),
+    ("C-10", "PROCESS_EVIDENCED_BY", "BiologicalProcess", "Publication", "EVIDENCED_BY", False, "collapse"),
+    ("C-10", "SUPPORTED_BY", "Gene", "Publication", "EVIDENCED_BY", False, "collapse"),
+    ("C-10", "SUPPORTED_BY", "Tissue", "Publication", "EVIDENCED_BY", False, "collapse"),
+    ("C-10", "SUPPORTED_BY", "ProteinComplex", "Publication", "EVIDENCED_BY", False, "collapse"),
+    ("C-10", "PHENOTYPICALLY_SUPPORTED_BY", "Phenotype", "Publication", "EVIDENCED_BY", False, "collapse"),
+    ("C-10", "DISEASE_EVIDENCED_BY", "Disease", "Publication", "EVIDENCED_BY", False, "collapse"),
+    ("C-10", "SUPPORTED_BY_PROVENANCE", "Hypothesis", "Publication", "EVIDENCED_BY", False, "collapse"),
+    ("C-10", "DRUG_EVIDENCED_BY", "Drug", "Publication", "EVIDENCED_BY", False, "collapse"),
+    ("C-12", "STANDARDIZES_DISEASE", "Disease", "OntologyTerm", "STANDARDIZED_BY_ONTOLOGY", False, "synonym_merge"),
+    ("C-13", "REGULATED_BY_QTL", "Gene", "Variant", "eQTL_MODULATES", True, "inverse_merge"),
+    ("C-14", "EXPRESSES", "Tissue", "Gene", "EXPRESSED_IN", True, "inverse_merge"),
+    ("C-15", "EXHIBITS_PATHOLOGY_OF", "Tissue", "Disease", "LOCALIZES_PATHOLOGY_IN", True, "inverse_merge"),
+    ("C-16", "ACCUMULATES", "Tissue", "Drug", "DISTRIBUTED_IN_CONTEXT", True, "inverse_merge"),
+    ("C-17", "CAUSALLY_DRIVES", "Variant", "Disease", "MR_VALIDATES_RISK_FOR", False, "synonym_merge"),
+    ("C-18", "AMELIORATES", "Drug", "Phenotype", "AMELIORATES_TRAIT", False, "synonym_merge"),
+    ("C-19", "TREATS_INDICATION", "Drug", "Disease", "CLINICALLY_TREATS", False, "synonym_merge"),
 ]
-REVERSED_CONFLICTS = {"C-07", "C-08", "C-13", "C-14", "C-15", "C-16"}
-RETIREMENT_SCHEMA = "conflict string, type string, from_label string, to_label string, superseded_by string, reverse boolean"
+RETIREMENT_SCHEMA = "conflict string, type string, from_label string, to_label string, superseded_by string, reverse boolean, kind string"
 
 
 def retirements(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
-    """Retired triples and their successors; `rows` (with `reverse` as the last field) replace the built-in ones."""
-    if rows is None:
-        rows = [(*r, r[0] in REVERSED_CONFLICTS or r[1] == "CONTEXTUALIZES") for r in RETIRED]
-    return spark.createDataFrame(rows, RETIREMENT_SCHEMA)
-
-
-def lookup(spark: SparkSession, table: dict, key: str, value: str, kind: str) -> DataFrame:
-    return spark.createDataFrame(list(table.items()), f"{key} string, {value} {kind}")
+    """Retired triples and their successors; `rows` replace the built-in ones."""
+    return spark.createDataFrame(rows or RETIRED, RETIREMENT_SCHEMA)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import MapType, StructType
 
 from evgraph.operators.components import ensure_checkpoint_dir
 from evgraph.schema import TEMPORAL_FIELDS
@@ -20,6 +20,11 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> Data
     return lines.select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
+def read_graph(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The properties of records: without internal keys, maps as JSON text."""
+    return properties(read_jsonl(spark, path, schema))
+
+
 def properties(rows: DataFrame) -> DataFrame:
     """Own properties only; maps as JSON text."""
     out = rows.drop(*INTERNAL)
@@ -47,12 +52,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def replace(rows: DataFrame, root: str, partition: str) -> tuple[str, int]:
-    """Replaces a table: writes a new version beside the old ones, checks it was empty before and whole after, and
-    returns the path that readers switch to."""
+    """Replaces a table: writes a new version beside the old ones, to a path of its own (the write fails where anything is), checks that
+    it holds the rows that went into the write, and returns the path that readers switch to."""
     spark = rows.sparkSession
     path = f"{root}/v-{uuid.uuid4().hex}"
-    write_graph(rows, path, partition)
-    n, want = spark.read.parquet(path).count(), rows.count()
+    given = Observation()
+    write_graph(rows.observe(given, F.count(F.lit(1)).alias("n")), path, partition)
+    n, want = spark.read.parquet(path).count(), given.get["n"]
     if n != want:
         raise ValueError(f"{path} holds {n} rows of {want}")
     return path, n
@@ -62,7 +68,3 @@ def write_report(rows: DataFrame, path: str) -> None:
     """A small report as one JSON file."""
     rows.coalesce(1).write.mode("overwrite").json(path)
 
-
-def text_columns(rows: DataFrame) -> DataFrame:
-    """Arrays as JSON text, for sinks without nesting."""
-    return rows.withColumns({f.name: F.to_json(f.name) for f in rows.schema if isinstance(f.dataType, ArrayType)})

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from evgraph.operators import contract, expand, upsert
+from evgraph.operators import contract, expand, graph, upsert
 from evgraph.plans import report
 from evgraph.sources import seeds, tables
 
@@ -59,6 +59,10 @@ def test_contract(spark):
     with pytest.raises(ValueError, match="contract"):
         contract.gate(upsert.duplicate_ids(nodes), contract.node_violations(nodes, specs))
     assert nodes.first()["synonyms"] == []
+    # a field without a column is missing everywhere
+    lost = nodes.where("uid = 'Gene:1'").drop("record_hash", "symbol", "species")
+    assert {r["problem"] for r in contract.node_violations(lost, specs).collect()} == {"missing record_hash", "missing species", "missing type field symbol"}
+    assert contract.split_nodes(raw.drop("symbol"), specs)[1].where("array_contains(reasons, 'missing type field symbol')").count() == 4
 
 
 def test_hash_and_edge_id(spark):
@@ -68,7 +72,7 @@ def test_hash_and_edge_id(spark):
     ids = spark.range(1).select(contract.edge_id(F.lit("a"), F.lit("T"), F.lit("b")).alias("x"), contract.edge_id(F.lit("b"), F.lit("T"), F.lit("a")).alias("y")).first()
     assert ids["x"] != ids["y"] and len(ids["x"]) == 32
     e = spark.createDataFrame([("a", "T", "a", None), ("a", "T", "b", 1.0)], "_from string, _type string, _to string, SA double")
-    ok, bad = contract.split_edges(e)
+    ok, bad = contract.split_edges(e, ["_from", "_to", "_type", "SA"])
     assert ok.count() == 1 and bad.first()["reasons"] == ["self-loop", "missing SA"]
 
 
@@ -87,6 +91,56 @@ def test_capabilities_without_edges(spark):
     assert got["node_metadata"][0] == "PASS" and got["embeddings"][0] == "UNSUPPORTED"
 
 
+def everything(spark, share=1.0):
+    """Nodes and edges with which every capability that a graph can have is there, or a share of these rows."""
+    fields = {
+        "Dataset": (10, {}), "Cohort": (4, {"cohort_state": "s{2}"}), "Assertion": (60, {"promotion_decision": "d{2}"}), "Evidence": (60, {"modality": "m{4}", "disease_stage": "t{2}", "batch_id": "b", "platform": "p", "lab_id": "l", "is_clinical": "true"}),
+        "Publication": (60, {"source_type": "journal"}), "Variant": (100, {"chromosome": "1", "base_position": "5", "p_raw": "0.1", "effect_weight": "0.2"}), "Gene": (30, {}), "Protein": (30, {}), "Species": (3, {}),
+        "Hypothesis": (12, {"biological_domain": "x", "decision_context": "y"}), "HypothesisVersion": (30, {"delta_MC": "0.01"}), "ConfidenceScore": (5, {f"component_{c}": "0.5" for c in ("C", "dS", "R", "P", "K")}),
+        "LifecycleState": (3, {"name": "n{3}"}), "ReasoningChain": (5, {"path_traceability": "1"}), "BiologicalState": (5, {"snapshot_hash": "h"}), "ScanResult": (20, {"Dv": "1", "Tv": "1", "Hv": "1", "snapshot_hash": "h"}),
+        "AuditEvent": (25, {"event_type": "e{2}"}), "Tissue": (5, {}), "CellType": (3, {}), "Compound": (20, {"morgan_fp": "1"}), "OntologyTerm": (20, {}), "Drug": (20, {}),
+    }
+    names = sorted({k for _, f in fields.values() for k in f})
+    base = {"synonyms": "", "ontology_refs": "", "created_at": "t", "source": "s", "is_synthetic": "false", "valid_from": "t", "updated_at": "t"}
+    rows = []
+    for label, (n, own) in fields.items():
+        for i in range(int(n * share)):
+            value = lambda v, i=i: v.split("{")[0] + str(i % int(v.split("{")[1][:-1])) if "{" in v else v
+            rows.append((f"{label}:{i}", str(i), label, *base.values(), *[value(own[k]) if k in own else None for k in names]))
+    nodes = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in ["uid", "canonical_id", "entity_type", *base, *names]))
+    pairs = [
+        ("MAPS_TO_LOCUS", "Variant", "Gene", 10), ("eQTL_MODULATES", "Variant", "Gene", 60), ("ORTHOLOG_OF", "Gene", "Gene", 12), ("HYPOTHESIS_INCLUDES_NODE", "Hypothesis", "Gene", 20), ("HAS_VERSION", "Hypothesis", "HypothesisVersion", 24),
+        ("ONTOLOGICALLY_INCLUDES", "OntologyTerm", "OntologyTerm", 10), ("PHARMACOLOGICALLY_INHIBITS", "Drug", "Gene", 20), ("EXERTS_OFF_TARGET_EFFECT", "Drug", "Gene", 10), ("ENCODES", "Gene", "Protein", 20), ("LINKS", "Gene", "Gene", 600),
+    ]
+    made = [(f"{a}:{i % 12}", t, f"{b}:{i}", a, b, 0.5, 0.5, 0.5, f"Tier {i % 2 + 1}", 1, 1, 1 if i % 2 else -1, "d", "s", 1990 + i % 10, "v1", f"m{i % 3}") for t, a, b, n in pairs for i in range(int(n * share))]
+    return nodes, spark.createDataFrame(made, "_from string, _type string, _to string, from_label string, to_label string, SA double, ES_edge double, edge_aggregate_score double, edge_quality_tier string, pos_count long, neg_count long, direction int, dataset_ids string, source_type string, publication_year int, formula_version string, modality string")
+
+
+def test_every_capability_can_pass_and_fail(spark):
+    nodes, edges = everything(spark)
+    got = {r["capability"]: (r["status"], r["detail"]) for r in report.capabilities(nodes, edges).collect()}
+    assert len(got) == 41 and {k for k, (s, _) in got.items() if s != "PASS"} == {"agriculture_data", "embeddings"}, {k: v for k, v in got.items() if v[0] != "PASS"}
+    few = {r["capability"]: r["status"] for r in report.capabilities(*everything(spark, 0.1)).collect()}
+    kept = {"node_metadata", "provenance_fields"}  # no node lacks a field, however few there are
+    spread = {"edge_tiers", "edge_modality", "edge_recency", "evidence_modality", "evidence_stage", "cohorts"}  # different values, not rows
+    assert all(few[k] == "FAIL" for k in few if k not in kept | spread | {"agriculture_data", "embeddings"})
+    plain = nodes.withColumns({c: F.lit("same") for c in ("modality", "disease_stage", "cohort_state", "promotion_decision")}).withColumn("source", F.lit(None).cast("string")).drop("synonyms")
+    same = {r["capability"]: r["status"] for r in report.capabilities(plain, edges.withColumns({"edge_quality_tier": F.lit("Tier 1"), "modality": F.lit("m"), "publication_year": F.lit(2000)})).collect()}
+    assert all(same[k] == "FAIL" for k in kept | spread | {"assertions"})
+
+
+def test_gap_report(spark):
+    """Composition of pairs, paths, reach, components and verdict on a graph whose figures are known."""
+    rows = [("a", "T", "b"), ("c", "T", "d"), ("a", "E", "1"), ("1", "E", "b"), ("c", "A", "hub"), ("hub", "B", "d"), ("z1", "T", "z2")]
+    edges = spark.createDataFrame(rows, "_from string, _type string, _to string")
+    got = graph.gap_report(edges, "T", "A", "B", 10).first().asDict()
+    assert got["cognate_edges"] == 3 and (got["pairs"], got["with_path"], got["mean_length"]) == (3, 2, 2.0) and got["pct_with_path"] == 66.7
+    assert (got["sources"], got["reaching"], got["mean_reach"], got["reach_pct"]) == (1, 1, 1.0, 10.0)
+    assert (got["components_with"], got["components_without"], got["verdict"]) == (3, 2, "NOT CONFIRMED")
+    two = graph.gap_report(edges.where("_from <> 'z1'"), "T", "A", "B", 10).first()
+    assert two["pct_with_path"] == 100.0 and two["verdict"] == "SEVERE" and (two["components_with"], two["components_without"]) == (2, 2)
+
+
 def test_seeds_of_bad_records(spark):
     raw = spark.createDataFrame([("t", "u1", None, '{"data": {"target": {"id": "E1", "associatedDiseases": {"rows": [{"score": 0.5, "disease": {"id": "MONDO_1_2"}, "datatypeScores": [{"id": "x", "score": 1.0}, {"id": "x", "score": 2.0}]}, {"disease": null}]}}}}'), ("t", "u2", None, "{}"), ("t", "u3", None, "not json"), ("t", "u4", None, None)], "source string, url string, retrieved_at timestamp, data string")
     got = seeds.target_diseases(raw).collect()
