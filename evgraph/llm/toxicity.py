@@ -126,7 +126,7 @@ def learn_insults(rows: DataFrame, n1: int, n0: int, least_share: float, least_o
     words = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}_']+)"), F.lit(1))
     before = F.concat(F.array(F.lit("")), F.col("w"))
     each = rows.select("toxic", words.alias("w")).where(F.size("w") > 0)
-    pairs = F.array_distinct(F.zip_with("w", F.slice(before, 1, F.size("w")), lambda w, b: F.struct(w.alias("w"), b.alias("b"))))
+    pairs = F.zip_with("w", F.slice(before, 1, F.size("w")), lambda w, b: F.struct(w.alias("w"), b.alias("b")))  # grouped next, so repeats don't count
     each = each.select("toxic", F.explode(pairs).alias("x")).select("toxic", "x.w", "x.b")
     contexts = each.groupBy("w", "b").agg(F.max("toxic").alias("p"), F.max(1 - F.col("toxic")).alias("n"))
     counts = contexts.groupBy("w").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).persist()
