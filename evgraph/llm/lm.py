@@ -34,8 +34,8 @@ from evgraph.llm.words import word_hashes
 SLICE = 1 << 20
 #: Bytes of text in a group on average, and for each shard; SHARDS at least.
 GROUP = 12 << 20
-SHARD = 64 << 20
-SHARDS = 96
+SHARD = 8 << 20
+SHARDS = 8
 OUT = "id long, n_tokens long, target_loss double, background_loss double, score double"
 
 
@@ -199,6 +199,6 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return scored(ids, Group(left.column("text").combine_chunks()), target, [r for r in replies if r[0] >= 0], pair_weight, floor)
 
     messages = texts.groupBy("group").cogroup(named.groupBy("to")).applyInArrow(send, "group int, shard int, data binary")
-    replies = messages.groupBy("shard").applyInArrow(answers, "group int, shard int, data binary")
+    replies = messages.repartition(shards, "shard").groupBy("shard").applyInArrow(answers, "group int, shard int, data binary")
     marked = named.select(F.col("to").alias("group"), F.lit(-1).alias("shard"), F.encode(F.col("good").cast("string"), "utf-8").alias("data"))
     return texts.groupBy("group").cogroup(replies.unionByName(marked).groupBy("group")).applyInArrow(receive, OUT)
