@@ -3,9 +3,8 @@
 Writing: only headers (page, digest, length) are shuffled by payload digest to find equal payloads; of those the largest page
 id becomes the response and the others revisits that refer to it. The payload then moves once, dealt by a hash of page and digest to
 as many partitions as archives are wanted: an archive holds about ARCHIVE_BYTES, and more only by its largest page. Each
-record is written with fresh headers through Spark's text sink, whose separator is the blank lines that end a record,
-so gzipped archives (one gzip stream each: that sink compresses files, not records) go to any store Spark writes to and a lost task is
-written again.
+record gets fresh headers and is a gzip member of its own, so that a reader can begin at any record. Spark's text sink
+writes the members, so archives go to any store Spark writes to and a lost task is written again, with the same bytes.
 
 Reading: an archive's compressed bytes are held, its records are inflated and cut by Content-Length one after another, payload digests are
 computed anew, and revisits are joined to their response by digest. Hot digests are salted on both joins.
@@ -25,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evgraph.llm.common import shared_path
+from evgraph.llm.bpe import slices
+from evgraph.llm.common import lean, shared_path
 
 END = "\r\n\r\n"
 SALTS = 32
@@ -58,6 +58,20 @@ def assign(pages: DataFrame, least: int) -> DataFrame:
     return found.where(~F.col("page_id").eqNullSafe(F.col("keeper.page_id"))).select("page_id", "digest", F.col("keeper.page_id").alias("refers_to"), F.col("keeper.url").alias("refers_url")).distinct()
 
 
+def member(record: bytes) -> bytes:
+    """A record as a gzip member without its last byte, which the sink's separator (a zero byte) puts back. That byte is the top one of the
+    record's length, so a record of 16 MB or more gets an empty member behind it, whose length does end in zero."""
+    out = gzip.compress(record, 6, mtime=0)
+    return (out if out[-1] == 0 else out + gzip.compress(b"", 6, mtime=0))[:-1]
+
+
+def members(batches):
+    for batch in batches:
+        column = batch.column(0)
+        for lo, hi in slices(column, 4 << 20):
+            yield pa.record_batch([pa.array([member(r) for r in column.slice(lo, hi - lo).cast(pa.binary()).to_pylist()], pa.binary())], names=["value"])
+
+
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 1000, date: str = "2026-01-01T00:00:00Z") -> None:
     """Writes deduplicated archives of about ARCHIVE_BYTES below a path; the path must be new."""
     pages = pages.select(F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
@@ -80,9 +94,10 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
         F.coalesce(F.concat(F.lit("\r\nX-Page-ID: "), F.col("page_id").cast("string")), F.lit("")),
         F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("digest"),
         F.when(revisit, F.concat(F.lit(f"\r\nWARC-Profile: {PROFILE}\r\nWARC-Refers-To: "), record_id(F.col("refers_to"), F.col("digest")), F.lit("\r\nWARC-Refers-To-Target-URI: "), uri(F.col("refers_url")))).otherwise(F.lit("")),
-        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length("block").cast("string"), F.lit(END), F.col("block"),
+        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length("block").cast("string"), F.lit(END), F.col("block"), F.lit(END),
     )
-    rows.withColumn("block", block).select(head.alias("value")).write.option("lineSep", END).option("compression", "gzip").mode("errorifexists").text(path)
+    packed = rows.withColumn("block", block).select(head.alias("value")).mapInArrow(lean(members), "value binary")
+    packed.select(F.col("value").cast("string")).write.option("lineSep", "\0").mode("errorifexists").text(path)
 
 
 def parse(raw: bytes):

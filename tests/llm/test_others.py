@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -95,6 +96,25 @@ def test_payloads_come_back(spark, tmp_path):
     assert got[2]["refers_to_id"] == got[3]["record_id"] and got[3]["record_type"] == "response"
 
 
+def test_each_record_is_a_gzip_member(spark, tmp_path):
+    """Members of an archive are read one by one: each holds one whole record, whatever its size (16 MB and more: an empty member follows)."""
+    rows = [(1, "u", "a" * 3000), (2, "v", "a" * 3000), (3, "w", "é\0\n" * 5_000_000), (4, "x", ""), (5, "y", None)]
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "w"))
+    found = []
+    for file in (tmp_path / "w").glob("part-*"):
+        raw = file.read_bytes()
+        while raw:
+            one = zlib.decompressobj(31)
+            record = one.decompress(raw)
+            assert one.eof
+            raw = one.unused_data
+            if record:
+                fields, block = next(warc.parse(record))
+                assert record.startswith(b"WARC/1.0\r\n") and record.endswith(block + b"\r\n\r\n") and record.count(b"WARC-Record-ID") == 1
+                found.append((int(fields["x-page-id"]), fields["warc-type"], len(block.partition(b"\r\n\r\n")[2])))
+    assert sorted(found) == [(1, "revisit", 0), (2, "response", 3000), (3, "response", 20_000_000), (4, "response", 0), (5, "response", 0)]
+
+
 def test_archives_are_bounded(spark, tmp_path, monkeypatch):
     """Few large pages among many small ones: an archive grows by its largest page at most, and reads back whole."""
     monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1 << 20)
