@@ -49,12 +49,13 @@ def network_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def variant_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One response for each nation, its customers as variants."""
+    """One response for each page of 1,000 customer keys of a nation, its customers as variants."""
     k = F.col("c_custkey")
+    page = F.floor(k / 1000).alias("page")
     loc = F.when(k % 7 == 0, F.array().cast("array<struct<chromosomeName:string,chromosomePosition:bigint>>")).otherwise(F.array(F.struct(F.col("c_nationkey").cast("string").alias("chromosomeName"), (k * 100).alias("chromosomePosition"))))
     v = F.struct(null_if(k % 10 == 0, F.concat(F.lit("rs"), k.cast("string"))).alias("rsId"), F.col("c_mktsegment").alias("functionalClass"), loc.alias("locations"))
-    g = read(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.collect_list(v).alias("v"))
-    return raw(g, "variants", F.concat(F.lit("v/"), F.col("c_nationkey").cast("string")), F.struct(F.struct(F.col("v").alias("singleNucleotidePolymorphisms")).alias("_embedded")))
+    g = read(spark, sf_dir, "customer").groupBy("c_nationkey", page).agg(F.collect_list(v).alias("v"))
+    return raw(g, "variants", F.concat_ws("/", F.lit("v"), F.col("c_nationkey").cast("string"), F.col("page").cast("string")), F.struct(F.struct(F.col("v").alias("singleNucleotidePolymorphisms")).alias("_embedded")))
 
 
 def association_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
