@@ -5,8 +5,8 @@
 2. Signatures are shuffled by band hash. A bucket links each class to its least class only (a star), and components
    of these stars hold all candidate pairs.
 3. Each component's full n-gram sets are compared exactly, as products of incidence matrices. A component of more than
-   `block` classes is split by set length (partitions in which only neighbours can reach the threshold) and hash into blocks,
-   and pairs of blocks are tasks of their own. Tasks give a count of links and a root for each class, never pairs.
+   `block` classes is split by set length (length classes of which only neighbours can reach the threshold), a length class of more than
+   `block` members by hash into blocks, and pairs of blocks are tasks of their own. Tasks give a count of links and a root for each class, never pairs.
 4. Verified links are closed to classes; each document gets its class and its number of links.
 
 The result has a row for each document: `id, class_id` (the least id of the class), `n_links` (documents at the
@@ -70,8 +70,14 @@ def signatures(grams: np.ndarray, begin: np.ndarray, bands: int, rows: int) -> n
     return out
 
 
-def sign(docs: DataFrame, ngram: int, bands: int, rows: int) -> DataFrame:
-    """id, no_id, key, two hashes of the text's words, and its band hashes (null without n-grams)."""
+def length_classes(counts: np.ndarray, threshold: float) -> np.ndarray:
+    """Length class of each set size: two sets that reach the threshold are of one class or of neighbouring ones."""
+    counts = np.maximum(1, counts)
+    return (np.log(counts) / np.log(1 / threshold) + 1e-9).astype(np.int64) if threshold < 1 else counts
+
+
+def sign(docs: DataFrame, ngram: int, bands: int, rows: int, threshold: float) -> DataFrame:
+    """id, no_id, key, two hashes of the text's words, its set's length class, and its band hashes (null without n-grams)."""
 
     def run(batches):
         for batch in batches:
@@ -82,11 +88,12 @@ def sign(docs: DataFrame, ngram: int, bands: int, rows: int) -> DataFrame:
                 sig = signatures(grams, begin, bands, rows)
                 s = [range_hashes(hashes, first[:-1], first[1:], k).view(np.int64) for k in range(2)]
                 none = begin[1:] == begin[:-1]
+                n = np.array([len(np.unique(grams[a:b])) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)], dtype=np.int64)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(sig.view(np.int64).ravel()), bands).cast(pa.list_(pa.int64()))
                 lists = pa.compute.if_else(pa.array(none), pa.scalar(None, pa.list_(pa.int64())), lists)
-                yield pa.record_batch([*[batch.column(i).slice(lo, hi - lo) for i in range(3)], pa.array(s[0]), pa.array(s[1]), lists], names=["id", "no_id", "key", "s1", "s2", "bands"])
+                yield pa.record_batch([*[batch.column(i).slice(lo, hi - lo) for i in range(3)], pa.array(s[0]), pa.array(s[1]), pa.array(length_classes(n, threshold)), lists], names=["id", "no_id", "key", "s1", "s2", "p", "bands"])
 
-    return docs.select("id", "no_id", "key", "text").mapInArrow(lean(run), "id long, no_id boolean, key long, s1 long, s2 long, bands array<long>")
+    return docs.select("id", "no_id", "key", "text").mapInArrow(lean(run), "id long, no_id boolean, key long, s1 long, s2 long, p long, bands array<long>")
 
 
 def linked(n: np.ndarray, m: np.ndarray, overlap: np.ndarray, threshold: float) -> np.ndarray:
@@ -155,19 +162,29 @@ def compare(unit: pa.Table, threshold: float) -> pa.Table:
     return pa.table([pa.array(np.concatenate(x).astype(np.int64) if x else [], pa.int64()) for x in out], names=["node", "links", "root"])
 
 
-def units_of(node: int, comp: int, m: int, size: int, value: bytes, count: int, buckets: int, block: int, threshold: float) -> list[tuple]:
-    """The tasks that a set of `count` members takes part in: its component's, or where that has more than `block` classes, one for each
-    pair of blocks of its own length class and the neighbouring ones."""
+def with_neighbours(members: DataFrame, block: int) -> DataFrame:
+    """Adds to members (node, comp, m, p, ...) of components of more than `block` how many there are in their length class and in the
+    ones below and above it; nothing (0) to the others, which aren't split."""
+    sizes = members.where(F.col("m") > block).groupBy("comp", "p").agg(F.count("*").alias("n"))
+    seen = sizes.select("comp", "n", F.explode(F.array(*[F.struct((F.col("p") + d).alias("p"), F.lit(d).alias("d")) for d in (-1, 0, 1)])).alias("x"))
+    counts = [F.max(F.when(F.col("x.d") == d, F.col("n"))).alias(c) for c, d in (("below", 1), ("own", 0), ("above", -1))]
+    seen = seen.groupBy("comp", F.col("x.p").alias("p")).agg(*counts)
+    return members.join(seen, ["comp", "p"], "left").na.fill(0, ["below", "own", "above"])
+
+
+def units_of(node: int, comp: int, m: int, p: int, beside: tuple[int, int, int], size: int, value: bytes, buckets: int, block: int) -> list[tuple]:
+    """The tasks that a set takes part in: its component's, or where that has more than `block` classes, one for each
+    pair of a block of its own length class (p) and one of that class or of those beside it (of which there are `beside` members: below, own, above)."""
     if m <= block:
         return [(f"s{comp % buckets}", 2, node, comp, size, value)]
-    parts, out = -(-m // block), []
-    mine = int(mix(np.array([node], dtype=np.uint64))[0] % np.uint64(parts))
-    p = int(np.log(max(1, count)) / np.log(1 / threshold) + 1e-9) if threshold < 1 else count
-    for x in range(parts):
+    below, own, above = (-(-n // block) for n in beside)
+    out = []
+    mine = int(mix(np.array([node], dtype=np.uint64))[0] % np.uint64(own))
+    for x in range(own):
         a, b = min(mine, x), max(mine, x)
         out.append((f"{comp}:{p}:{p}:{a}:{b}", 2 if a == b else int(mine == b), node, comp, size, value))
-        out.append((f"{comp}:{p}:{p + 1}:{mine}:{x}", 0, node, comp, size, value))
-        out.append((f"{comp}:{p - 1}:{p}:{x}:{mine}", 1, node, comp, size, value))
+    out += [(f"{comp}:{p}:{p + 1}:{mine}:{x}", 0, node, comp, size, value) for x in range(above)]
+    out += [(f"{comp}:{p - 1}:{p}:{x}:{mine}", 1, node, comp, size, value) for x in range(below)]
     return out
 
 
@@ -197,26 +214,27 @@ def join(docs: DataFrame, threshold: float = 0.8, ngram: int = 5, recall: float
     with_checkpoint_dir(docs.sparkSession)
     bands, rows = choose_bands(threshold, recall)
     docs = keyed(docs, id_col, text_col)
-    signed = sign(docs, ngram, bands, rows).checkpoint()
-    classes = signed.groupBy("s1", "s2").agg(F.min(F.struct("id", "key")).alias("first"), F.count("*").alias("size"), F.max("bands").alias("bands"))
+    signed = sign(docs, ngram, bands, rows, threshold).checkpoint()
+    classes = signed.groupBy("s1", "s2").agg(F.min(F.struct("id", "key")).alias("first"), F.count("*").alias("size"), F.max("p").alias("p"), F.max("bands").alias("bands"))
     classes = classes.withColumn("node", F.monotonically_increasing_id()).checkpoint()  # numbers hold once they are written
     each = classes.where("bands is not null").select("node", F.posexplode("bands").alias("band", "h"))
     hubs = each.groupBy("band", "h").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("band", "h", "hub")
     stars = each.join(hubs, ["band", "h"]).where("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst")).distinct()
     members, buckets = candidates(stars)
-    members = members.join(classes.select("node", "first", "size"), "node").select("node", "comp", "m", "size", F.col("first.id").alias("id"), F.col("first.key").alias("key"))
+    members = with_neighbours(members.join(classes.select("node", "p", "size"), "node"), block)
+    members = members.join(classes.select("node", F.col("first.id").alias("id"), F.col("first.key").alias("key")), "node")
 
     def sets(batches):
         for batch in batches:
-            column = batch.column(4)
+            column = batch.column(8)
             for lo, hi in slices(column, SLICE):
                 hashes, first = word_hashes(column.slice(lo, hi - lo).to_pylist())
                 grams, begin = shingles(hashes, first, ngram)
-                rows_ = zip(*[batch.column(c).slice(lo, hi - lo).to_pylist() for c in range(4)], strict=True)
+                rows_ = zip(*[batch.column(c).slice(lo, hi - lo).to_pylist() for c in range(8)], strict=True)
                 own = (np.unique(grams[a:b]) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True))
-                yield unit_batch([u for (node, comp, m, size), x in zip(rows_, own, strict=True) for u in units_of(node, comp, m, size, x.tobytes(), len(x), buckets, block, threshold)])
+                yield unit_batch([u for (node, comp, m, p, *beside, size), x in zip(rows_, own, strict=True) for u in units_of(node, comp, m, p, beside, size, x.tobytes(), buckets, block)])
 
-    texts = docs.select("id", "key", "text").join(members, ["id", "key"]).select("node", "comp", "m", "size", "text")
+    texts = docs.select("id", "key", "text").join(members, ["id", "key"]).select("node", "comp", "m", "p", "below", "own", "above", "size", "text")
     links, closed = verified(texts.mapInArrow(lean(sets), UNITS), threshold)
     named = classes.select("s1", "s2", "node", "first", "size").join(links, "node", "left").join(closed, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.where("links is not null").groupBy("component").agg(F.min("first").alias("least"))

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
 from evgraph.llm.common import GROUP_BYTES, NO_ID, keyed, lean, measure, mix, range_hashes, with_checkpoint_dir
-from evgraph.llm.jaccard import UNITS, candidates, unit_batch, units_of, verified
+from evgraph.llm.jaccard import UNITS, candidates, length_classes, unit_batch, units_of, verified, with_neighbours
 from evgraph.llm.words import hash_word, word_hashes
 
 ANCHORS = (
@@ -141,10 +141,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
                 first = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
                 codes = np.concatenate(sets).astype(np.uint64)
                 digests = [pa.array(range_hashes(codes, first[:-1], first[1:], k).view(np.int64)) for k in range(2)]
-                yield pa.record_batch([*[batch.column(i).slice(lo, hi - lo) for i in range(3)], *digests, pa.array([x.tobytes() for x in sets], pa.binary())], names=["id", "no_id", "key", "d1", "d2", "chains"])
+                p = pa.array(length_classes(np.diff(first), threshold))
+                yield pa.record_batch([*[batch.column(i).slice(lo, hi - lo) for i in range(3)], *digests, p, pa.array([x.tobytes() for x in sets], pa.binary())], names=["id", "no_id", "key", "d1", "d2", "p", "chains"])
 
-    signed = docs.select("id", "no_id", "key", "text").mapInArrow(lean(sign), "id long, no_id boolean, key long, d1 long, d2 long, chains binary").checkpoint()
-    classes = signed.groupBy("d1", "d2").agg(F.min("id").alias("least"), F.first("chains").alias("chains"))
+    signed = docs.select("id", "no_id", "key", "text").mapInArrow(lean(sign), "id long, no_id boolean, key long, d1 long, d2 long, p long, chains binary").checkpoint()
+    classes = signed.groupBy("d1", "d2").agg(F.min("id").alias("least"), F.max("p").alias("p"), F.first("chains").alias("chains"))
     classes = classes.withColumn("node", F.monotonically_increasing_id()).checkpoint()  # numbers hold once they are written
 
     def index(batches):
@@ -163,9 +164,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 held = zip(*[c.to_pylist() for c in batch.slice(lo, 1000).columns], strict=True)
-                yield unit_batch([u for node, comp, m, x in held for u in units_of(node, comp, m, 1, np.frombuffer(x, np.uint32).astype(np.uint64).tobytes(), len(x) // 4, buckets, block, threshold)])
+                yield unit_batch([u for node, comp, m, p, *beside, x in held for u in units_of(node, comp, m, p, beside, 1, np.frombuffer(x, np.uint32).astype(np.uint64).tobytes(), buckets, block)])
 
-    units = members.join(classes.select("node", "chains"), "node").select("node", "comp", "m", "chains").mapInArrow(lean(sets), UNITS)
+    members = with_neighbours(members.join(classes.select("node", "p"), "node"), block)
+    units = members.join(classes.select("node", "chains"), "node").select("node", "comp", "m", "p", "below", "own", "above", "chains").mapInArrow(lean(sets), UNITS)
     _, closed = verified(units, threshold)
     named = classes.select("d1", "d2", "node", "least").join(closed, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("class_id"))

@@ -139,6 +139,14 @@ def test_jaccard_join(spark, block):
     assert got == classes(rows)
 
 
+def test_links_across_length_classes(spark):
+    """One candidate component of many lengths, in blocks of three: each text is a beginning of the next, so links run within and between classes."""
+    words = [f"w{i}" for i in range(80)]
+    rows = [(k, " ".join(words[:k]), 1) for k in range(9, 81)] + [(100 + k, " ".join(words[:k] + [f"x{k}"]), 1) for k in range(40, 80, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, p int").repartition(3)
+    assert Counter(tuple(r) for r in jaccard.join(docs, block=3).select("id", "class_id", "n_links").collect()) == classes(rows)
+
+
 def test_keep_first(spark):
     rows = [r for r in corpus(4) if r[0] != 4]  # an id of two texts can name two classes
     docs = spark.createDataFrame(rows, SCHEMA)
