@@ -59,6 +59,31 @@ WITH docs AS MATERIALIZED (
 SELECT doc_id, len(w)::BIGINT AS n_tokens, round(l0, 6) AS target_loss, round(l1, 6) AS background_loss, round(l1 - l0, 6) AS score FROM docs LEFT JOIN losses USING (r)
 """
 
+FILTER_AUDIT = r"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), first AS (SELECT t, min(doc_id) AS m FROM docs GROUP BY 1
+), good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1), toxic AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1
+), failed AS MATERIALIZED (
+  SELECT part, doc_id IN (SELECT doc_id FROM good) AS good, doc_id IN (SELECT doc_id FROM toxic) AS toxic,
+    [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * len(t), regexp_matches(t, '[#$%&*|]'), doc_id > m] AS f
+  FROM docs JOIN first USING (t)
+), cells AS MATERIALIZED (SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY 1, 2
+), walk(prefix) AS (SELECT '' UNION ALL SELECT prefix || l FROM walk, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) WHERE NOT contains(prefix, l)
+), met AS (
+  SELECT prefix, part, n, good, toxic, f[ord(prefix[-1]) - 64] AS fails, list_bool_or(list_prepend(false, [f[ord(c) - 64] FOR c IN string_split(prefix[:-2], '') IF c <> ''])) AS before,
+    len(list_filter(f, lambda x: x)) AS failing
+  FROM walk, cells WHERE prefix <> ''
+), steps AS MATERIALIZED (
+  SELECT prefix, part, sum(n) FILTER (NOT before AND NOT fails) AS kept, sum(n) FILTER (fails AND NOT before) AS removed, sum(n) FILTER (fails AND before) AS redundant,
+    sum(n) FILTER (fails AND failing = 1) AS only_this, sum(good) FILTER (fails AND NOT before) AS good_lost, sum(toxic) FILTER (fails AND NOT before) AS toxic_lost
+  FROM met GROUP BY 1, 2
+), orders AS (SELECT prefix AS filter_order, unnest(range(1, 6)) AS step FROM walk WHERE len(prefix) = 5)
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant, coalesce(only_this, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, coalesce(sum(removed) OVER (PARTITION BY part, filter_order[step]), 0)::BIGINT AS shapley
+FROM orders JOIN steps ON prefix = filter_order[:step]
+"""
+
 
 def spotsigs_near_duplicates() -> str:
     from evgraph.llm.spotsigs import ANCHORS
