@@ -137,6 +137,12 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evgraph.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from evgraph.llm.variants import group
 
@@ -167,8 +173,9 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_cross_entropy_difference": op9_cross_entropy_difference,
     "op10_spotsigs": op10_spotsigs,
+    "op11_license_scan": op11_license_scan,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_filter_audit": op13_filter_audit,
     "spotsigs_near_duplicates": spotsigs_near_duplicates,
 }
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_ngram_jaccard_join": sql.NGRAM_JACCARD_JOIN, "op4_voronoi_knn": OP4_SQL, "op5_suffix_array": sql.SUFFIX_ARRAY, "op6_warc_revisits": OP6_SQL, "op9_cross_entropy_difference": sql.CROSS_ENTROPY_DIFFERENCE, "op12_spelling_variants": sql.SPELLING_VARIANTS, "op13_filter_audit": sql.FILTER_AUDIT, "spotsigs_near_duplicates": sql.spotsigs_near_duplicates()}
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_ngram_jaccard_join": sql.NGRAM_JACCARD_JOIN, "op4_voronoi_knn": OP4_SQL, "op5_suffix_array": sql.SUFFIX_ARRAY, "op6_warc_revisits": OP6_SQL, "op9_cross_entropy_difference": sql.CROSS_ENTROPY_DIFFERENCE, "op11_license_scan": sql.license_scan(), "op12_spelling_variants": sql.SPELLING_VARIANTS, "op13_filter_audit": sql.FILTER_AUDIT, "spotsigs_near_duplicates": sql.spotsigs_near_duplicates()}

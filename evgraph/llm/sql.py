@@ -128,3 +128,33 @@ WITH RECURSIVE docs AS MATERIALIZED (
 SELECT doc_id, least(doc_id, coalesce(m, doc_id)) AS class_id
 FROM docs LEFT JOIN (SELECT a, min(doc_id) AS m FROM reach JOIN docs ON r = b GROUP BY 1) ON a = r
 """
+
+
+def license_scan() -> str:
+    from evgraph.llm.license_rules import CONFIDENCE, rules
+    from evgraph.llm.licenses import BASE, MENTION, spaced
+
+    table = ", ".join(f"({r.number}, {r.tier}, '{r.label}', '{r.keyword}', '{spaced(r.pattern)}')" for r in rules())
+    phrase = lambda p: f"l[i:i + {p.count(' ')}] = {p.split(' ')!r}"
+    sure = "CASE min(tier) " + " ".join(f"WHEN {t} THEN {c}" for t, c in CONFIDENCE.items()) + " END"
+    words = lambda x: f"len(list_filter(string_split({x}, ' '), lambda y: y <> ''))"
+    return rf"""
+WITH rules AS MATERIALIZED (SELECT * FROM (VALUES {table}) t(number, tier, label, keyword, pattern)
+), docs AS MATERIALIZED (
+  SELECT *, ' ' || array_to_string(l, '  ') || ' ' AS w FROM (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS l FROM documents)
+), base AS MATERIALIZED (
+  SELECT r, unnest(list_filter(range(1, len(l) + 1), lambda i: {" OR ".join(map(phrase, BASE))})) - 1 AS place FROM docs
+), named AS (SELECT r, place, CASE l[place + 1] {" ".join(f"WHEN '{p.split(' ')[0]}' THEN '{label}'" for p, label in BASE.items())} END AS label FROM base JOIN docs USING (r)
+), met AS (SELECT r, number, tier, label, regexp_extract_all(w, pattern) AS m, string_split_regex(w, pattern) AS p FROM docs JOIN rules ON contains(w, ' ' || keyword || ' ')
+), places AS (SELECT r, number, tier, label, i, {words("p[i]")} AS gap, {words("m[i]")} AS size FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM met)
+), spans AS MATERIALIZED (SELECT r, number, tier, label, e - size AS s, e FROM (SELECT *, sum(gap + size) OVER (PARTITION BY r, number ORDER BY i) AS e FROM places)
+), stands AS MATERIALIZED (
+  SELECT * FROM spans d WHERE NOT EXISTS (FROM spans x WHERE x.r = d.r AND x.s <= d.s AND x.e >= d.e AND (x.tier < d.tier OR x.tier = d.tier AND (x.e - x.s > d.e - d.s OR x.e - x.s = d.e - d.s AND x.number < d.number)))
+), firm AS (SELECT r, count(*) AS n_detections, {sure}::DOUBLE AS sure FROM stands GROUP BY 1
+), placed AS (SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM named GROUP BY 1
+), labelled AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM named UNION ALL SELECT r, label FROM stands) GROUP BY 1)
+SELECT doc_id, len(l)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(n_detections, 0)::BIGINT AS n_detections,
+  coalesce(sure, CASE WHEN n_base > 0 THEN {MENTION} ELSE 0 END)::DOUBLE AS score
+FROM docs LEFT JOIN placed USING (r) LEFT JOIN labelled USING (r) LEFT JOIN firm USING (r)
+"""

@@ -8,7 +8,7 @@ from collections import Counter
 
 import pytest
 
-from evgraph.llm import filter_audit, variants
+from evgraph.llm import filter_audit, license_rules, licenses, variants
 
 SCHEMA = "doc_id long, text string, lang string, key string, mask string, part int"
 
@@ -135,3 +135,57 @@ def test_shared_reduced_words_are_split_by_halves(spark):
     pairs = variants.near_pairs(table, symbols=1)
     assert {tuple(sorted((x["a"], x["b"]))) for x in pairs.collect()} == {(a, b) for a, b in itertools.combinations(sorted({w for w, _ in words}), 2) if near(a, b)}
     assert sum(n * n for n in met.values()) < len(set(words)) ** 2 / 100
+
+
+# ---------------------------------------------------------------- licence scan
+
+LINES = [
+    "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3.", "Licensed under CC BY-NC 4.0.", "Released under the MIT License.", "SPDX-License-Identifier: BSD-3-Clause",
+    "SPDX-License-Identifier: GPL-2.0-or-later", "see http://www.apache.org/licenses/LICENSE-2.0.txt", "https://creativecommons.org/licenses/by-sa/4.0/ CC BY", "mit license MIT LICENSE mit-license", "apache license mit license cc by cc  by",
+    "GNU Lesser General Public License v2.1 or later", "All rights reserved. Public domain.", "the GNU general public licence", "GNU\u00a0General Public License", "permission is hereby granted, free of charge, to any person",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version.",
+    "Licensed under the MIT license. Licensed under the MIT license. Apache License 2.0 or MIT license", "the mit licenses and apache licensed cc bye", "gnu gnu general public license license", "MİT LICENSE mit LICENSE\u212a", "Expat License; ISC License",
+]
+
+
+def scanned(text):
+    """Every rule over every text, every pair of detections."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    base = [(i, label) for i in range(len(w)) for p, label in licenses.BASE.items() if w[i : i + p.count(" ") + 1] == p.split(" ")]
+    spaced, found = "".join(f" {x} " for x in w), []
+    for r in license_rules.rules():
+        for m in re.finditer(licenses.spaced(r.pattern), spaced):
+            found.append((spaced[: m.start()].count(" ") // 2, spaced[: m.end()].count(" ") // 2, r.tier, r.number, r.label))
+    rank = lambda x: (x[2], x[0] - x[1], x[3])
+    stands = [d for d in found if not any(e[0] <= d[0] and e[1] >= d[1] and rank(e) < rank(d) for e in found)]
+    labels = {x[1] for x in base} | {x[4] for x in stands}
+    sure = max([license_rules.CONFIDENCE[x[2]] for x in stands] + [licenses.MENTION if base else 0.0])
+    at = [i for i, _ in base]
+    return (len(w), len(base), min(at, default=None), max(at, default=None), ",".join(sorted({x[1] for x in base})), ",".join(sorted(labels)), len(stands), sure), {(s, e, t, label) for s, e, t, _, label in stands}
+
+
+def test_license_scan(spark):
+    r = random.Random(3)
+    filler = lambda n: " ".join(r.choice(["ere", "License", "apache", "mit", "cc", "by", "éà", "gnu", "日本", "x1"]) for _ in range(n))
+    texts = [*LINES, *[f"{filler(20)} {x}\n{filler(9)}" for x in LINES], "\n".join(LINES), " ".join(LINES[:9] * 300), *[filler(400) for _ in range(8)], "", None, " .,; ", "apache"]
+    rows = [(i, t, "en", "k", "m", 1) for i, t in enumerate(texts)] + [(None, LINES[0], "en", "k", "m", 1), (None, LINES[0], "en", "k", "m", 1), (None, None, "en", "k", "m", 1), (3, texts[4], "en", "k", "m", 1), (5, texts[5], "x", "k", "m", 2)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = licenses.scan(docs).collect()
+    key = lambda x: str(x)
+    assert sorted(map(tuple, got), key=key) == sorted(((i, *scanned(t)[0]) for i, t, *_ in rows), key=key)
+    one = {(x["start"], x["end"], x["tier"], x["label"]) for x in licenses.detections(docs.where("doc_id = 42")).collect()}
+    assert one == scanned(texts[42])[1] and len(one) > 15
+    assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_license_rules():
+    rules = license_rules.rules()
+    assert len(rules) > 300 and [r.tier for r in rules] == sorted(r.tier for r in rules) and [r.number for r in rules] == list(range(len(rules)))
+    assert all(re.search(rf"(^|[^a-z0-9]){r.keyword}([^a-z0-9]|$)", r.pattern) for r in rules)
+
+
+def test_detections_of_one_text_stay_linear(spark):
+    """A text of 20,000 licence lines is sorted, not compared pair by pair."""
+    docs = spark.createDataFrame([(1, " ".join(["Licensed under the MIT License"] * 20000))], "doc_id long, text string")
+    x = licenses.scan(docs).first()
+    assert (x["n_words"], x["n_base"], x["first_word"], x["last_word"], x["labels"], x["n_detections"]) == (100000, 20000, 3, 99998, "mit", 20000)
