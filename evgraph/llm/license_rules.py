@@ -2,11 +2,12 @@
 
 A pattern is written over words: lower case, one space between words, nothing but letters, digits and `(?: | )?` around them.
 Each line of a table below gives rules of one tier; tiers and then lines are the order of the rules. The keyword is a word
-that stands in every match.
+that stands in every match; the word license is another one where a pattern can't do without it.
 """
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 
@@ -14,7 +15,7 @@ class Rule(NamedTuple):
     number: int
     tier: int
     label: str
-    keyword: str
+    keywords: list[str]
     pattern: str
 
 
@@ -167,6 +168,16 @@ NOTICES = [
 ]
 
 
+def always(word: str, pattern: str) -> bool:
+    """Whether the word stands in every choice of a pattern, not counting what is optional."""
+    bare, before = pattern, ""
+    while bare != before:
+        before, bare = bare, re.sub(r"\(\?:[^()]*\)\?", "", bare)
+    whole = bare.removeprefix("(?:").removesuffix(")") if bare.count("(") == 1 and bare.startswith("(?:") and bare.endswith(")") else bare
+    choices = whole.split("|") if "(" not in whole else [whole]
+    return all(word in re.sub(r"\(\?:[^()]*\)", " ", x).split(" ") for x in choices)
+
+
 def rules() -> list[Rule]:
     """All rules in order. What stands first wins where two detections of equal place and tier disagree."""
     out: list[tuple[int, str, str, str]] = []
@@ -188,4 +199,4 @@ def rules() -> list[Rule]:
     out += [(2, label, keyword, words) for label, keyword, words in TEXTS]
     out += [(tier, label, keyword, words) for label, tier, keyword, words in NOTICES]
     out.sort(key=lambda r: r[0])  # by tier, else as written
-    return [Rule(i, tier, label, keyword, words) for i, (tier, label, keyword, words) in enumerate(out)]
+    return [Rule(i, tier, label, [keyword, "license"] if always("license", words) else [keyword], words) for i, (tier, label, keyword, words) in enumerate(out)]

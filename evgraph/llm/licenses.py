@@ -1,8 +1,9 @@
 """Licence scan: ordered signature rules over words, with functions of Spark SQL alone.
 
-1. Texts become words (letters and digits, A-Z lowered, other characters separate). Each word stands between two blanks, so that patterns
+1. Keyword prefilter: which of the rules' keywords are among a text's words, by one hash lookup for each word. Only texts with a keyword go on, and of
+   the rules only those whose keywords are all there.
+2. Such a text is written as words (letters and digits, A-Z lowered, other characters separate), each between two blanks, so that patterns
    begin and end at words and what lies between two matches is whole words too.
-2. Keyword prefilter: which of the rules' keywords a text holds, by plain search. Only rules whose keyword is there run.
 3. A rule's places: the words between its matches and in them, summed up in the order of the text.
 4. Detections of a text are sorted by place. One is suppressed by another that contains its interval and is of a stronger tier, of the same tier and
    longer, or, for equal intervals of a tier, of an earlier rule. As containers come first in the order, a running maximum of ends for
@@ -29,7 +30,7 @@ from evgraph.llm.common import with_checkpoint_dir
 from evgraph.llm.license_rules import CONFIDENCE, Rule, rules
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD, BETWEEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 #: Score of a text that has base phrases and nothing surer.
 MENTION = 0.5
@@ -60,19 +61,23 @@ def matches(words: Column, rule: Column) -> Column:
 
 def detect(docs: DataFrame, ordered: list[Rule], id_col: str, text_col: str) -> DataFrame:
     """id, text_key, the base columns, and places: the raw (number, place, gap, size) of all rules that match."""
-    table = F.array(*[F.struct(F.lit(r.number).alias("number"), F.lit(r.keyword).alias("keyword"), F.lit(spaced(r.pattern)).alias("pattern")) for r in ordered])
-    keywords = F.array(*[F.lit(k) for k in sorted({r.keyword for r in ordered})])
-    own = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_key"), in_words(F.col(text_col)).alias("w"))
-    held = F.filter(keywords, lambda k: F.contains(F.col("w"), F.concat(F.lit(" "), k, F.lit(" "))))
-    base = F.split("w", " (?=(?:%s) )" % "|".join(p.replace(" ", "  ") for p in BASE), -1)
-    own = own.select("id", "text_key", "w", count_words(F.col("w")).alias("n_words"), held.alias("held"), base.alias("base"))
-    active = F.filter(table, lambda r: F.array_contains("held", r["keyword"]))
+    table = F.array(*[F.struct(F.lit(r.number).alias("number"), F.array(*map(F.lit, r.keywords)).alias("keywords"), F.lit(spaced(r.pattern)).alias("pattern")) for r in ordered])
+    keywords = F.array(*[F.lit(k) for k in sorted({k for r in ordered for k in r.keywords} | {p.split(" ")[0] for p in BASE})])
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    # lower() lowers other letters too, but none of them is left out of a word or becomes a keyword
+    own = own.withColumn("each", F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(WORD), F.lit(0)))
+    own = own.select("id", "text_key", "text", F.size("each").cast("long").alias("n_words"), F.array_intersect("each", keywords).alias("held"))
+    own = own.select("id", "text_key", "n_words", "held", F.when(F.size("held") > 0, in_words(F.col("text"))).otherwise("").alias("w"))
+    base = F.when(F.col("w") == "", F.array(F.lit(""))).otherwise(F.split("w", " (?=(?:%s) )" % "|".join(p.replace(" ", "  ") for p in BASE), -1))
+    own = own.select("*", base.alias("base"))
+    active = F.filter(table, lambda r: F.size(F.array_except(r["keywords"], F.col("held"))) == 0)
     places = F.flatten(F.transform(active, lambda r: F.transform(matches(F.col("w"), r), lambda x, i: F.struct(r["number"].alias("number"), i.alias("place"), x["gap"].alias("gap"), x["size"].alias("size")))))
     n = F.size("base") - 1
     labels = F.array_sort(F.array_compact(F.array(*[F.when(F.contains(F.col("w"), F.lit(spaced(p))), label) for p, label in BASE.items()])))
     return own.select(
         "id", "text_key", "n_words", n.cast("long").alias("n_base"), F.when(n > 0, count_words(F.element_at("base", 1))).alias("first_word"),
-        F.when(n > 0, F.col("n_words") - count_words(F.element_at("base", -1))).alias("last_word"), labels.alias("base_labels"), F.when(F.size("held") > 0, places).alias("places"),
+        F.when(n > 0, F.col("n_words") - count_words(F.element_at("base", -1))).alias("last_word"), F.when(n > 0, labels).otherwise(F.array().cast("array<string>")).alias("base_labels"),
+        F.when(F.col("w") != "", places).alias("places"),
     )
 
 

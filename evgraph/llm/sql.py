@@ -134,19 +134,19 @@ def license_scan() -> str:
     from evgraph.llm.license_rules import CONFIDENCE, rules
     from evgraph.llm.licenses import BASE, MENTION, spaced
 
-    table = ", ".join(f"({r.number}, {r.tier}, '{r.label}', '{r.keyword}', '{spaced(r.pattern)}')" for r in rules())
+    table = ", ".join(f"({r.number}, {r.tier}, '{r.label}', {r.keywords}, '{spaced(r.pattern)}')" for r in rules())
     phrase = lambda p: f"l[i:i + {p.count(' ')}] = {p.split(' ')!r}"
     sure = "CASE min(tier) " + " ".join(f"WHEN {t} THEN {c}" for t, c in CONFIDENCE.items()) + " END"
     words = lambda x: f"len(list_filter(string_split({x}, ' '), lambda y: y <> ''))"
     return rf"""
-WITH rules AS MATERIALIZED (SELECT * FROM (VALUES {table}) t(number, tier, label, keyword, pattern)
+WITH rules AS MATERIALIZED (SELECT * FROM (VALUES {table}) t(number, tier, label, keywords, pattern)
 ), docs AS MATERIALIZED (
   SELECT *, ' ' || array_to_string(l, '  ') || ' ' AS w FROM (
     SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS l FROM documents)
 ), base AS MATERIALIZED (
   SELECT r, unnest(list_filter(range(1, len(l) + 1), lambda i: {" OR ".join(map(phrase, BASE))})) - 1 AS place FROM docs
 ), named AS (SELECT r, place, CASE l[place + 1] {" ".join(f"WHEN '{p.split(' ')[0]}' THEN '{label}'" for p, label in BASE.items())} END AS label FROM base JOIN docs USING (r)
-), met AS (SELECT r, number, tier, label, regexp_extract_all(w, pattern) AS m, string_split_regex(w, pattern) AS p FROM docs JOIN rules ON contains(w, ' ' || keyword || ' ')
+), met AS (SELECT r, number, tier, label, regexp_extract_all(w, pattern) AS m, string_split_regex(w, pattern) AS p FROM docs JOIN rules ON list_has_all(l, keywords)
 ), places AS (SELECT r, number, tier, label, i, {words("p[i]")} AS gap, {words("m[i]")} AS size FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM met)
 ), spans AS MATERIALIZED (SELECT r, number, tier, label, e - size AS s, e FROM (SELECT *, sum(gap + size) OVER (PARTITION BY r, number ORDER BY i) AS e FROM places)
 ), stands AS MATERIALIZED (

@@ -148,13 +148,16 @@ LINES = [
 ]
 
 
+COMPILED = [(r, re.compile(licenses.spaced(r.pattern))) for r in license_rules.rules()]
+
+
 def scanned(text):
     """Every rule over every text, every pair of detections."""
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     base = [(i, label) for i in range(len(w)) for p, label in licenses.BASE.items() if w[i : i + p.count(" ") + 1] == p.split(" ")]
     spaced, found = "".join(f" {x} " for x in w), []
-    for r in license_rules.rules():
-        for m in re.finditer(licenses.spaced(r.pattern), spaced):
+    for r, pattern in COMPILED:
+        for m in pattern.finditer(spaced):
             found.append((spaced[: m.start()].count(" ") // 2, spaced[: m.end()].count(" ") // 2, r.tier, r.number, r.label))
     rank = lambda x: (x[2], x[0] - x[1], x[3])
     stands = [d for d in found if not any(e[0] <= d[0] and e[1] >= d[1] and rank(e) < rank(d) for e in found)]
@@ -181,7 +184,23 @@ def test_license_scan(spark):
 def test_license_rules():
     rules = license_rules.rules()
     assert len(rules) > 300 and [r.tier for r in rules] == sorted(r.tier for r in rules) and [r.number for r in rules] == list(range(len(rules)))
-    assert all(re.search(rf"(^|[^a-z0-9]){r.keyword}([^a-z0-9]|$)", r.pattern) for r in rules)
+    assert all(re.search(rf"(^|[^a-z0-9]){k}([^a-z0-9]|$)", r.pattern) for r in rules for k in r.keywords)
+    assert sum(len(r.keywords) == 2 for r in rules) > 100
+
+
+def sample(pattern, r):
+    """A text that a pattern matches."""
+    while "(" in pattern:
+        pattern = re.sub(r"\(\?:([^()]*)\)(\?|\{0,6\})?", lambda m: r.choice(m[1].split("|")) if not m[2] or r.random() < 0.5 else "", pattern, count=1)
+    return re.sub(r"\[([^\]])[^\]]*\]\+?", r"\1", re.sub(r"(.)\?", lambda m: r.choice((m[1], "")), r.choice(pattern.split("|"))))
+
+
+def test_every_rule_finds_its_samples(spark):
+    r = random.Random(11)
+    texts = [sample(rule.pattern, r) for rule in license_rules.rules() for _ in range(2)]
+    got = {x["id"]: tuple(x)[1:] for x in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == scanned(t)[0] and got[i][6] > 0, t
 
 
 def test_detections_of_one_text_stay_linear(spark):
