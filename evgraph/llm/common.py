@@ -13,7 +13,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes or characters that one numpy step works on.
@@ -269,10 +269,15 @@ def joined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
 # ---------------------------------------------------------------- documents by key
 
 
+def row_key(id_col: Column, text_col: Column) -> Column:
+    """The key of a row: rows of equal key have the same id (or none) and text."""
+    return F.xxhash64(id_col.cast("long"), F.coalesce(text_col, F.lit("")))
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id (a null id counts as larger than any), text (null: empty), and a key of the row: rows of equal key are copies."""
     out = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return out.select(F.coalesce("id", F.lit(int(NO_ID))).alias("id"), F.col("id").isNull().alias("no_id"), "text", F.xxhash64("id", "text").alias("key"))
+    return out.select(F.coalesce("id", F.lit(int(NO_ID))).alias("id"), F.col("id").isNull().alias("no_id"), "text", row_key(F.col("id"), F.col("text")).alias("key"))
 
 
 def measure(docs: DataFrame) -> tuple[int, int]:

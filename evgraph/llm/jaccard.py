@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
-from evgraph.llm.common import NO_ID, keyed, lean, mix, range_hashes, with_checkpoint_dir
+from evgraph.llm.common import NO_ID, keyed, lean, mix, range_hashes, row_key, with_checkpoint_dir
 from evgraph.llm.words import shingles, word_hashes
 from evgraph.operators.components import connected_components
 
@@ -246,12 +246,13 @@ def join(docs: DataFrame, threshold: float = 0.8, ngram: int = 5, recall: float
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that are the least of their class, each once, with all their columns. Of rows of equal id and text the one stays
-    whose other columns are least as JSON."""
+    whose other columns are least as JSON. A document without an id stays unless its class has another; columns may have any names."""
     found = join(docs, id_col=id_col, text_col=text_col, **options)
-    first = found.where(F.col("key") == F.col("class_key")).select(F.col("key").alias("_key"), F.coalesce("id", F.lit(int(NO_ID))).alias("_id")).distinct()
-    own = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(int(NO_ID))))
-    own = own.withColumn("_key", F.xxhash64("_id", F.coalesce(F.col(text_col), F.lit("")))).join(first, ["_id", "_key"])
+    mark = "x" * (1 + max(map(len, docs.columns)))  # names of its own are longer than those of all columns
+    key, own_id, place = (f"{mark}{c}" for c in ("key", "id", "place"))
+    first = found.where(F.col("key") == F.col("class_key")).select(F.col("key").alias(key), F.coalesce("id", F.lit(int(NO_ID))).alias(own_id)).distinct()
+    own = docs.withColumns({key: row_key(F.col(id_col), F.col(text_col)), own_id: F.coalesce(F.col(id_col).cast("long"), F.lit(int(NO_ID)))}).join(first, [own_id, key])
     others = [c for c in docs.columns if c not in (id_col, text_col)]
     tie = [F.col(id_col).isNull(), F.col(text_col).isNull(), *([F.to_json(F.struct(*others))] if others else [])]
-    once = own.withColumn("_n", F.row_number().over(W.partitionBy("_id", "_key").orderBy(*tie)))
-    return once.where("_n = 1").select(*docs.columns)
+    once = own.withColumn(place, F.row_number().over(W.partitionBy(own_id, key).orderBy(*tie)))
+    return once.where(F.col(place) == 1).select(*docs.columns)

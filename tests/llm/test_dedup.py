@@ -156,6 +156,16 @@ def test_keep_first(spark):
     assert jaccard.join(docs.limit(0)).count() == 0 and jaccard.keep_first(docs.limit(0)).count() == 0
 
 
+def test_keep_first_of_rows_without_id(spark):
+    schema = "doc_id long, text string, _id string, _key string, _n int, key string"
+    lone = [(None, "one two three four five six", "A", "B", 7, "k"), (None, "quite another text of some words", "A", "C", 8, "k")]
+    twice = [(None, "nobody has given this text a number", "D", x, 9, "k") for x in "FE"]
+    known = [(2, "seven eight nine ten eleven twelve", "G", "H", 1, "k"), (None, "seven eight nine ten eleven twelve", "I", "J", 2, "k"), (1, "short", "K", "L", 3, "k"), (None, None, "M", "N", 4, "k")]
+    kept = jaccard.keep_first(spark.createDataFrame(lone + twice + known, schema).repartition(3))
+    assert kept.columns == [c.split()[0] for c in schema.split(", ")]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([*lone, twice[1], known[0], known[2], known[3]], key=str)
+
+
 def test_ties_of_equal_rows(spark):
     rows = [(1, "a b c", c, "g", "k", 2) for c in (3, 1, 2)]
     for order in (rows, rows[::-1], rows[1:] + rows[:1]):

@@ -36,6 +36,17 @@ def test_each_stage_is_written(spark, monkeypatch):
     assert out.count() == 5 and "/one-" in read[1][0] and "/two-" in out.inputFiles()[0]
 
 
+def test_documents_without_id_stay(spark):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(20)
+    rows = [(None, f"words of number {i} that stand nowhere else in this table", "en", "s", 60) for i in ("one", "two")] + [(None, None, "en", "s", 0)]
+    given = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    for _, stage in p.STAGES[:3]:
+        given = stage(spark, given, SMALL)
+        assert {r["text"] for r in given.where("doc_id is null").collect()} >= {rows[0][1], rows[1][1]}
+
+
 def test_clean_documents_stay(spark, stages):
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
     kept = {r["doc_id"] for r in stages[1].select("doc_id").collect()}
