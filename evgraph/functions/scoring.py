@@ -147,3 +147,18 @@ def score_edges(edges: DataFrame, current_year: int = CURRENT_YEAR) -> DataFrame
         "concordance_flag": agree["flag"],
         "edge_class": F.concat_ws("_", "from_label", "_type", "to_label"),
     })
+
+
+#: Version of the formulas above, as scored edges carry it.
+FORMULA_VERSION = "v2.0"
+
+
+def edge_bundle(scored: DataFrame, relations: DataFrame) -> DataFrame:
+    """Adds what else an edge carries beside its scores: direction (its own, else its relation's default, else 0), modality, observed_families, dataset_ids and
+    assertion_ids (its own, else null or empty) and formula_version. relations: (type, from_label, to_label, direction_default), one row for each triple."""
+    triple = ["_type", "from_label", "to_label"]
+    own = lambda c, kind: F.col(c).cast(kind) if c in scored.columns else F.lit(None).cast(kind)
+    ids = lambda c: F.coalesce(own(c, "array<string>"), F.array().cast("array<string>"))
+    given = scored.withColumns({"direction": own("direction", "int"), "modality": own("modality", "string"), "observed_families": own("observed_families", "long"), "dataset_ids": ids("dataset_ids"), "assertion_ids": ids("assertion_ids"), "formula_version": F.lit(FORMULA_VERSION)})
+    defaults = relations.select(F.col("type").alias("_type"), "from_label", "to_label", F.col("direction_default").cast("int").alias("_default"))
+    return given.join(defaults, triple, "left").withColumn("direction", F.coalesce("direction", "_default", F.lit(0))).drop("_default").select(*given.columns)

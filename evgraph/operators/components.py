@@ -45,7 +45,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", r
             break
         both = e.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(e.select(F.col("v").alias("a"), F.col("u").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).checkpoint()
-        large = both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("u"), F.col("m").alias("v"))
+        large = both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("u"), F.col("m").alias("v")).checkpoint()  # read twice
         least = large.groupBy("u").agg(F.min("v").alias("m")).checkpoint()
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct().checkpoint()

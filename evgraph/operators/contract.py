@@ -26,8 +26,13 @@ def lifecycle(now: Column, created: Column | None = None) -> dict[str, Column]:
     return {"created_at": start, "updated_at": now, "ingested_at": now, "valid_from": start, "valid_to": F.lit(None).cast("timestamp")}
 
 
-def provenance(source: Column, priority: Column, synthetic: Column, method: Column, url: Column | None = None) -> dict[str, Column]:
-    return {"source": source, "source_priority": priority.cast("long"), "is_synthetic": synthetic, "synthesis_method": method, "source_url": url if url is not None else F.lit(None).cast("string")}
+def provenance(source: Column, priority: Column, synthetic: Column, method: Column, url: Column | None = None, ids: Column | None = None, retrieved: Column | None = None) -> dict[str, Column]:
+    """`ids` are the record's ids at its source; where there are none, the source itself stands for them."""
+    given = F.coalesce(ids, F.array().cast("array<string>")) if ids is not None else F.array().cast("array<string>")
+    return {
+        "source": source, "source_priority": priority.cast("long"), "source_ids": F.when(F.size(given) > 0, given).otherwise(F.array(source)), "is_synthetic": synthetic, "synthesis_method": method,
+        "source_url": url if url is not None else F.lit(None).cast("string"), "source_retrieved_at": retrieved if retrieved is not None else F.lit(None).cast("timestamp"),
+    }
 
 
 def derived(method: str, parent: Column) -> dict[str, Column]:
@@ -35,10 +40,18 @@ def derived(method: str, parent: Column) -> dict[str, Column]:
     return {"is_synthetic": F.lit(True), "synthesis_method": F.lit(method), "synthesis_seed_uid": parent}
 
 
+def own_ids(rows: DataFrame, prov: dict[str, Column]) -> dict[str, Column]:
+    """prov, but ids that a row has itself go first."""
+    if "source_ids" not in rows.columns:
+        return prov
+    return prov | {"source_ids": F.when(F.size("source_ids") > 0, F.col("source_ids")).otherwise(prov["source_ids"])}
+
+
 def stamp_nodes(rows: DataFrame, label: Column, now: Column, prov: dict[str, Column], own: list[str], layer: str = "core", versions: tuple[int, int, int] = (1, 1, 2), created: Column | None = None) -> DataFrame:
     """Adds identity, provenance, lifecycle, versions and hash to rows that have canonical_id; `own` names their own properties."""
-    arrays = {c: F.coalesce(F.col(c), F.array().cast("array<string>")) if c in rows.columns else F.array().cast("array<string>") for c in ("synonyms", "ontology_refs", "source_ids")}
-    out = rows.withColumns({"entity_type": label, **arrays, **prov, **lifecycle(now, created)})
+    arrays = {c: F.coalesce(F.col(c), F.array().cast("array<string>")) if c in rows.columns else F.array().cast("array<string>") for c in ("synonyms", "ontology_refs")}
+    seed = {} if "synthesis_seed_uid" in rows.columns else {"synthesis_seed_uid": F.lit(None).cast("string")}
+    out = rows.withColumns({"entity_type": label, **arrays, **seed, **own_ids(rows, prov), **lifecycle(now, created)})
     return out.withColumns({
         "uid": uid(F.col("entity_type"), F.col("canonical_id")), "Dv_created": F.lit(versions[0]).cast("long"), "Tv_created": F.lit(versions[1]).cast("long"),
         "schema_version": F.lit(versions[2]).cast("long"), "record_hash": record_hash(*own), "layer": F.lit(layer),
@@ -49,7 +62,7 @@ def stamp_edges(rows: DataFrame, now: Column, prov: dict[str, Column], own: list
     """The same for rows that have _from, _type and _to; the id follows from these."""
     datasets = F.coalesce(F.col("dataset_ids"), F.array().cast("array<string>")) if "dataset_ids" in rows.columns else F.array().cast("array<string>")
     return rows.withColumns({
-        "edge_id": edge_id(F.col("_from"), F.col("_type"), F.col("_to")), "dataset_ids": datasets, **prov, **lifecycle(now, created),
+        "edge_id": edge_id(F.col("_from"), F.col("_type"), F.col("_to")), "dataset_ids": datasets, **own_ids(rows, prov), **lifecycle(now, created),
         "Dv_created": F.lit(versions[0]).cast("long"), "Tv_created": F.lit(versions[1]).cast("long"), "schema_version": F.lit(versions[2]).cast("long"),
         "record_hash": record_hash(*own), "layer": F.lit(layer),
     })
@@ -92,21 +105,21 @@ def provenance_violations(rows: DataFrame, key: str = "uid") -> DataFrame:
 
 def node_violations(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """(uid, problem) of each broken rule. labels: (label, layer, species_agnostic, required ARRAY<STRING>), a few rows."""
-    spec = F.broadcast(labels.select(F.col("label").alias("entity_type"), F.col("layer").alias("_layer"), "species_agnostic", "required"))
+    spec = labels.select(F.col("label").alias("entity_type"), F.col("layer").alias("_layer"), "species_agnostic", "required")
     rows = with_columns(nodes, [*NODE_REQUIRED, "synthesis_method"]).join(spec, "entity_type", "left")
     c = F.col
-    known = c("_layer").isNotNull()
+    known, has_method = c("_layer").isNotNull(), F.coalesce(c("synthesis_method") != "", F.lit(False))  # an empty method is none
     own = [x for x in nodes.columns if x not in NODE_REQUIRED]
     missing = [(known & F.array_contains("required", x) & c(x).isNull(), f"missing type field {x}") for x in own]
     checks = [
-        (~known, F.concat(F.lit("unknown label "), F.coalesce("entity_type", F.lit("null")))),
-        *[(known & absent(nodes, x), f"missing {x}") for x in NODE_REQUIRED],
-        (known & (c("uid") != uid(c("entity_type"), c("canonical_id"))), "uid mismatch"),
-        (known & (c("layer") != c("_layer")), "layer mismatch"),
+        *[(absent(nodes, x), f"missing {x}") for x in NODE_REQUIRED],
+        (~known, F.concat(F.lit("unknown label "), F.coalesce("entity_type", F.lit("null")))),  # such a node has no rules beyond the required fields
+        (known & ~c("uid").eqNullSafe(uid(c("entity_type"), c("canonical_id"))), "uid mismatch"),
+        (known & ~c("layer").eqNullSafe(c("_layer")), "layer mismatch"),
         (known & (c("updated_at") < c("created_at")), "updated before created"),
         (known & ~c("species_agnostic") & absent(nodes, "species"), "missing species"),
-        (known & c("is_synthetic") & c("synthesis_method").isNull(), "synthetic without method"),
-        (known & ~c("is_synthetic") & c("synthesis_method").isNotNull(), "method without synthetic"),
+        (known & c("is_synthetic") & ~has_method, "synthetic without method"),
+        (known & ~c("is_synthetic") & has_method, "method without synthetic"),
         *missing,
     ]
     return rows.select("uid", F.explode(F.concat(_problems(checks), unknown_fields(nodes))).alias("problem"))
@@ -114,7 +127,7 @@ def node_violations(nodes: DataFrame, labels: DataFrame) -> DataFrame:
 
 def split_nodes(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected with reasons) before stamping: unknown label, empty id, missing type field or species."""
-    spec = F.broadcast(labels.select(F.col("label").alias("entity_type"), "species_agnostic", "required"))
+    spec = labels.select(F.col("label").alias("entity_type"), "species_agnostic", "required")
     c = F.col
     known = c("required").isNotNull()
     checks = [
@@ -152,7 +165,7 @@ def labelled(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def nonconforming(edges: DataFrame, rel_specs: DataFrame) -> DataFrame:
     """Edges (with labels) whose triple isn't an allowed one."""
-    allowed = F.broadcast(rel_specs.select(F.col("type").alias("_type"), "from_label", "to_label"))
+    allowed = rel_specs.select(F.col("type").alias("_type"), "from_label", "to_label")
     return edges.join(allowed, ["_type", "from_label", "to_label"], "left_anti")
 
 

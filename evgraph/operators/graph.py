@@ -137,7 +137,7 @@ def undirected_paths(edges: DataFrame, start: str, to_label: str, avoid: list[st
 
 def retired_counts(edges: DataFrame, retirements: DataFrame) -> DataFrame:
     """Edges (with labels) on retired triples, by type, most first."""
-    triples = F.broadcast(retirements.select(F.col("type").alias("_type"), "from_label", "to_label"))  # a row for each retired triple of the schema
+    triples = retirements.select(F.col("type").alias("_type"), "from_label", "to_label")
     return edges.join(triples, ["_type", "from_label", "to_label"], "left_semi").groupBy("_type").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_type")
 
 

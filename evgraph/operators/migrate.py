@@ -13,7 +13,7 @@ def migrate(edges: DataFrame, retirements: DataFrame, order: str = "edge_id") ->
     """Edges (with labels) after synonym, inverse, collapse and redirect moves. A retired edge keeps its properties under its
     successor's triple, with ends swapped where the plan says so, unless the target edge exists; then that one's
     properties stay. Always by the full triple, never by name alone. Running it twice changes nothing."""
-    plan = F.broadcast(retirements.select(F.col("type").alias("_type"), "from_label", "to_label", "superseded_by", "reverse"))  # rows of the schema
+    plan = retirements.select(F.col("type").alias("_type"), "from_label", "to_label", "superseded_by", "reverse")
     rows = edges.join(plan, ["_type", "from_label", "to_label"], "left")
     moved, swap = F.col("superseded_by").isNotNull(), F.coalesce("reverse", F.lit(False))
     new = rows.select(
@@ -36,7 +36,7 @@ def label_pairs(edges: DataFrame) -> DataFrame:
 def coverage_problems(before: DataFrame, after: DataFrame, retirements: DataFrame, active: DataFrame) -> DataFrame:
     """(problem, detail): label pairs that lost their connection, retired triples left, successors that aren't active types."""
     lost = label_pairs(before).join(label_pairs(after), ["a", "b"], "left_anti").select(F.lit("pair lost").alias("problem"), F.concat_ws("|", "a", "b").alias("detail"))
-    triples = F.broadcast(retirements.select(F.col("type").alias("_type"), "from_label", "to_label"))
+    triples = retirements.select(F.col("type").alias("_type"), "from_label", "to_label")
     left = after.join(triples, ["_type", "from_label", "to_label"], "left_semi").groupBy("_type").agg(F.count("*").alias("n")).select(F.lit("retired left").alias("problem"), F.concat_ws("|", "_type", F.col("n").cast("string")).alias("detail"))
     unknown = retirements.select(F.col("superseded_by").alias("type")).distinct().join(active.select("type").distinct(), "type", "left_anti").select(F.lit("successor not active").alias("problem"), F.col("type").alias("detail"))
     return lost.unionByName(left).unionByName(unknown)
@@ -44,7 +44,7 @@ def coverage_problems(before: DataFrame, after: DataFrame, retirements: DataFram
 
 def impact(before: DataFrame, after: DataFrame, retirements: DataFrame) -> DataFrame:
     """edges before and after, removed, removed_pct and the count of retired edges: one row."""
-    triples = F.broadcast(retirements.select(F.col("type").alias("_type"), "from_label", "to_label"))
+    triples = retirements.select(F.col("type").alias("_type"), "from_label", "to_label")
     retired = before.join(triples, ["_type", "from_label", "to_label"], "left_semi").agg(F.count("*").alias("retired"))
     one = before.agg(F.count("*").alias("before")).crossJoin(after.agg(F.count("*").alias("after"))).crossJoin(retired)  # single rows
     return one.withColumn("removed", F.col("before") - F.col("after")).withColumn("removed_pct", F.round(F.coalesce(100 * F.try_divide(F.col("removed").cast("double"), F.col("before").cast("double")), F.lit(0.0)), 2))

@@ -68,12 +68,22 @@ def bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(rows, "BUYS_BULK", ("Customer", "o_custkey"), ("Supplier", "l_suppkey")).unionByName(edge(line, "SUPPLIES", ("Supplier", "l_suppkey"), ("Part", "l_partkey")))
 
 
+#: Keys of a brand's chain that one task sorts at most.
+CHAIN_KEYS = 4096
+
+
 def brand_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """NEXT_IN_BRAND Part -> Part."""
+    """NEXT_IN_BRAND Part -> Part. A brand is sorted in pieces of its key range; each piece's last part is joined to the first one of the next."""
     from pyspark.sql import Window as W
 
-    rows = read(spark, sf_dir, "part").select("p_partkey", F.lead("p_partkey").over(W.partitionBy("p_brand").orderBy("p_partkey")).alias("next"))
-    return edge(rows, "NEXT_IN_BRAND", ("Part", "p_partkey"), ("Part", "next"))
+    piece = ["p_brand", "piece"]
+    rows = read(spark, sf_dir, "part").select("p_partkey", "p_brand", F.floor(F.col("p_partkey") / CHAIN_KEYS).alias("piece"))
+    firsts = rows.groupBy(*piece).agg(F.min("p_partkey").alias("first"))
+    after = firsts.select(F.col("p_brand").alias("brand"), F.col("piece").alias("of"), F.lead("first").over(W.partitionBy("p_brand").orderBy("piece")).alias("after"))
+    rows = rows.withColumn("next", F.lead("p_partkey").over(W.partitionBy(*piece).orderBy("p_partkey")))
+    inner = rows.where("next is not null").select("p_partkey", "next")
+    outer = rows.where("next is null").join(after, F.col("p_brand").eqNullSafe(F.col("brand")) & (F.col("piece") == F.col("of"))).select("p_partkey", F.col("after").alias("next"))
+    return edge(inner.unionByName(outer), "NEXT_IN_BRAND", ("Part", "p_partkey"), ("Part", "next"))
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +105,26 @@ def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(read(spark, sf_dir, "lineitem"), "CONTAINS", ("Order", "l_orderkey"), ("Part", "l_partkey")).unionByName(edge(read(spark, sf_dir, "orders"), "PLACED_BY", ("Order", "o_orderkey"), ("Customer", "o_custkey")))
 
 
+def strengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SUPPLIES Supplier -> Part of all lines, the stronger the larger their discount, and NEXT_IN_BRAND: _from, _type, _to, ES_edge."""
+    rows = read(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.round(0.5 + 5 * F.max("l_discount"), 6).alias("ES_edge"))
+    supplies = rows.select(uid("Supplier", "l_suppkey").alias("_from"), F.lit("SUPPLIES").alias("_type"), uid("Part", "l_partkey").alias("_to"), "ES_edge")
+    return supplies.unionByName(brand_chain(spark, sf_dir).select("_from", "_type", "_to", F.lit(0.9).alias("ES_edge")))
+
+
+#: Bits of a folded fingerprint.
+FOLDED = 2048
+
+
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, bits of every part: its features and pairs of them, folded into FOLDED bits by a hash."""
+    word = lambda i: F.split_part("p_name", F.lit(" "), F.lit(i))
+    own = {"a": [word(1)], "b": [word(2)], "c": [F.col("p_brand")], "d": [F.col("p_type")], "e": [F.col("p_size")], "f": [word(1), word(2)], "g": [F.col("p_brand"), F.col("p_type")], "h": [word(2), F.col("p_type")], "i": [word(2), F.col("p_size") % 10]}
+    features = F.array(*[F.concat_ws("|", F.lit(k), *[x.cast("string") for x in columns]) for k, columns in own.items()])
+    bits = F.transform(features, lambda x: (F.conv(F.substring(F.md5(x.cast("binary")), 1, 4), 16, 10).cast("int") % FOLDED))
+    return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), bits.alias("bits"))
+
+
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """hypothesis_id, Hv, MC: each user's days in order."""
     from pyspark.sql import Window as W

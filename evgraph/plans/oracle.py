@@ -95,3 +95,37 @@ SELECT * EXCLUDE (r) FROM (
   ) WHERE score >= 0.4 AND b IS NOT NULL) WHERE r = 1
 """
 EXPRESSION = f"SELECT 'P' || l_partkey AS gene_symbol, 'T' || l_suppkey AS tissue, 'UBERON:' || l_suppkey AS tissue_uberon, max(l_quantity) / 10 AS median_tpm FROM {LINES} GROUP BY l_partkey, l_suppkey HAVING max(l_quantity) % 7 <> 0"
+STRENGTHS = f"""
+SELECT 'Supplier:' || l_suppkey AS _from, 'Part:' || l_partkey AS _to, round(0.5 + 5 * max(l_discount), 6)::DOUBLE AS es FROM lineitem WHERE l_suppkey IS NOT NULL AND l_partkey IS NOT NULL GROUP BY l_suppkey, l_partkey
+UNION ALL SELECT _from, _to, 0.9::DOUBLE FROM ({CHAIN})
+"""
+FINGERPRINTS = """
+SELECT p_partkey AS id, list_sort(list_distinct([('0x' || md5(x)[1:4])::INTEGER % 2048 FOR x IN [concat_ws('|', 'a', split_part(p_name, ' ', 1)), concat_ws('|', 'b', split_part(p_name, ' ', 2)), concat_ws('|', 'c', p_brand), concat_ws('|', 'd', p_type),
+  concat_ws('|', 'e', p_size), concat_ws('|', 'f', split_part(p_name, ' ', 1), split_part(p_name, ' ', 2)), concat_ws('|', 'g', p_brand, p_type), concat_ws('|', 'h', split_part(p_name, ' ', 2), p_type), concat_ws('|', 'i', split_part(p_name, ' ', 2), p_size % 10)]])) AS bits
+FROM part
+"""
+
+
+def near(edges: str, hubs: list[str]) -> str:
+    """Each node with each of its neighbours of these labels."""
+    of = ", ".join(f"'{x}'" for x in hubs)
+    return f"SELECT _from AS a, _to AS hub FROM ({edges}) WHERE to_label IN ({of}) UNION SELECT _to, _from FROM ({edges}) WHERE from_label IN ({of})"
+
+
+def betweenness(edges: str, sources: str, most: int) -> str:
+    """node, d, paths through it from the sources: levels forth, dependencies back."""
+    known = lambda i: " UNION ALL ".join(f"SELECT s, node FROM l{j}" for j in range(i))
+    forth = "".join(
+        f"), n{i} AS (SELECT s, b AS node, sum(paths) AS paths FROM l{i - 1} JOIN both_ways ON node = a GROUP BY ALL), l{i} AS MATERIALIZED (SELECT * FROM n{i} ANTI JOIN ({known(i)}) USING (s, node)\n"
+        for i in range(1, most + 1)
+    )
+    back = f"), d{most} AS MATERIALIZED (SELECT s, node, paths, 0::DOUBLE AS d FROM l{most}\n" + "".join(
+        f"), d{i} AS MATERIALIZED (SELECT l.s, l.node, l.paths, coalesce(sum(l.paths / x.paths * (1 + x.d)), 0)::DOUBLE AS d FROM l{i} l JOIN both_ways ON l.node = a LEFT JOIN d{i + 1} x ON x.s = l.s AND x.node = b GROUP BY ALL\n"
+        for i in range(most - 1, -1, -1)
+    )
+    every = " UNION ALL ".join(f"SELECT s, node, d FROM d{i}" for i in range(most + 1))
+    return f"""WITH both_ways AS MATERIALIZED (SELECT DISTINCT a, b FROM (SELECT _from AS a, _to AS b FROM ({edges}) UNION ALL SELECT _to, _from FROM ({edges})) WHERE a <> b
+), sources AS MATERIALIZED (SELECT DISTINCT node FROM ({sources}) JOIN both_ways ON node = a
+), l0 AS MATERIALIZED (SELECT node AS s, node, 1::DOUBLE AS paths FROM sources
+{forth}{back}), deps AS (SELECT node, sum(d) AS d FROM ({every}) WHERE s <> node GROUP BY 1)
+SELECT node, coalesce(d, 0) * (SELECT count(DISTINCT a) FROM both_ways) / (2 * (SELECT count(*) FROM sources)) AS betweenness FROM (SELECT DISTINCT a AS node FROM both_ways) LEFT JOIN deps USING (node)"""

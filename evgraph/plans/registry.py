@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from evgraph import schema
 from evgraph.functions import scoring
-from evgraph.operators import contract, expand, graph, history, migrate, upsert
+from evgraph.operators import centrality, contract, expand, graph, history, migrate, neighbours, paths, similarity, upsert
 from evgraph.plans import adhoc, fixture_seeds, oracle as o, report
 from evgraph.plans import fixture_graph as fx
-from evgraph.sources import seeds, tables
+from evgraph.sources import seeds, tables, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,6 +72,22 @@ def d15_score_edges(spark, d):
     return scored(spark, d).drop("adj_p")
 
 
+DEFAULTS = [("BUYS_FROM", "Customer", "Supplier", 1), ("SUPPLIES", "Supplier", "Part", -1)]
+
+
+def bundled(spark, d):
+    """Scored edges with their whole bundle: the priority stands for the modality, and a direction is only known where the effect is clear."""
+    e, relations = scored(spark, d), spark.createDataFrame(DEFAULTS, "type string, from_label string, to_label string, direction_default int")
+    clear = F.when(F.col("effect_size") > 0.2, 1).when(F.col("effect_size") < -0.2, -1)
+    return scoring.edge_bundle(e.withColumns({"direction": clear, "modality": F.col("domain"), "dataset_ids": F.when(F.col("n") >= 50, F.array("evidence_type"))}), relations)
+
+
+@query(f"""SELECT _from, _type, _to, CASE WHEN effect_size > 0.2 THEN 1 WHEN effect_size < -0.2 THEN -1 ELSE 1 END AS direction, domain AS modality, NULL::BIGINT AS observed_families, CASE WHEN n >= 50 THEN [evidence_type] ELSE [] END AS dataset_ids,
+[]::VARCHAR[] AS assertion_ids, 'v2.0' AS formula_version FROM ({o.SCORED})""")
+def d15_edge_bundle(spark, d):
+    return bundled(spark, d).select("_from", "_type", "_to", "direction", "modality", "observed_families", "dataset_ids", "assertion_ids", "formula_version")
+
+
 @query(f"SELECT agg > 0.1 AS kept, count(*) AS n FROM (SELECT {o.SCORE} AS agg FROM ({o.BUYS})) GROUP BY 1")
 def d14_ingestion_filter(spark, d):
     e = fx.purchases(spark, d).select(scoring.aggregate(F.col("effect_size"), F.col("adj_p"), F.col("n")).alias("agg"))
@@ -172,6 +188,17 @@ def a3_patch_nodes(spark, d):
     return upsert.patch(now, new, ["uid"])
 
 
+@query("""SELECT 'Customer:' || c_custkey AS uid, coalesce(p, c_acctbal) AS amount, c_acctbal AS amount_before, 2::INTEGER AS versions FROM customer LEFT JOIN (SELECT o_custkey, last(o_totalprice ORDER BY o_orderkey) AS p FROM orders GROUP BY 1) ON o_custkey = c_custkey""")
+def a3_a7_versioned_merge(spark, d):
+    """The same upsert into a stored table: a second version, read beside the first one."""
+    held = versions.VersionedTable(spark, tables.fresh_path(spark, "versioned"))
+    now = fx.nodes(spark, d).where("entity_type = 'Customer'").select("uid", "amount")
+    held.replace(now, ["uid"])
+    new = fx.read(spark, d, "orders").select(fx.uid("Customer", "o_custkey").alias("uid"), F.col("o_totalprice").alias("amount"), F.col("o_orderkey").alias("seq"))
+    held.merge(new.join(now.select("uid"), "uid", "left_semi"), lambda rows, updates: upsert.upsert(rows, updates, ["uid"]))
+    return held.read().join(held.read(0).withColumnRenamed("amount", "amount_before"), "uid").withColumn("versions", F.lit(len(held.versions())))
+
+
 BROKEN = "(SELECT 'Customer:' || (CASE WHEN o_orderkey % 10 = 0 THEN -o_custkey ELSE o_custkey END) AS _from, 'PLACES' AS _type, 'Order:' || (CASE WHEN o_orderkey % 15 = 0 THEN -o_orderkey ELSE o_orderkey END) AS _to, o_orderkey AS seq FROM orders)"
 
 
@@ -229,14 +256,37 @@ def a11_report_sink(spark, d):
 # ---------------------------------------------------------------- contract
 
 
-@query(f"SELECT uid, entity_type, canonical_id, 'star' AS source, false AS is_synthetic, 2::BIGINT AS schema_version, entity_type || ':' || canonical_id AS check_uid FROM ({o.NODES})")
+STAMPED = """1::BIGINT AS Dv_created, 1::BIGINT AS Tv_created, 2::BIGINT AS schema_version, '2002-06-01 00:00:00' AS created_at, '2002-06-01 00:00:00' AS updated_at, '2002-06-01 00:00:00' AS ingested_at, '2002-06-01 00:00:00' AS valid_from, NULL::VARCHAR AS valid_to,
+'star' AS source, NULL::VARCHAR AS source_url, NULL::VARCHAR AS source_retrieved_at"""
+TIMES = ("created_at", "updated_at", "ingested_at", "valid_from", "valid_to", "source_retrieved_at")
+
+
+def text(x: str) -> str:
+    return f"coalesce('\"' || {x} || '\"', 'null')"
+
+
+def plain_times(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({t: F.date_format(t, "yyyy-MM-dd HH:mm:ss") for t in TIMES})
+
+
+@query(f"""SELECT * EXCLUDE (name, category, amount), entity_type || ':' || canonical_id AS check_uid, [] ::VARCHAR[] AS synonyms, []::VARCHAR[] AS ontology_refs, CASE WHEN name IS NULL THEN ['star'] ELSE [name] END AS source_ids, 1::BIGINT AS source_priority, false AS is_synthetic, NULL::VARCHAR AS synthesis_method,
+NULL::VARCHAR AS synthesis_seed_uid, 'core' AS layer, {STAMPED}, sha256('{{"category":' || {text("category")} || ',"name":' || {text("name")} || '}}') AS record_hash FROM ({o.NODES})""")
 def c1_stamp_nodes(spark, d):
-    return stamped_nodes(spark, d).select("uid", "entity_type", "canonical_id", "source", "is_synthetic", "schema_version", F.concat_ws(":", "entity_type", "canonical_id").alias("check_uid"))
+    """Every stamped column. The name stands for the id at the source; where there is none, the source does."""
+    now = F.to_timestamp(F.lit("2002-06-01 00:00:00"))
+    prov = contract.provenance(F.lit("star"), F.lit(1), F.lit(False), F.lit(None).cast("string"), ids=F.array_compact(F.array("name")))
+    rows = plain_times(contract.stamp_nodes(fx.nodes(spark, d), F.col("entity_type"), now, prov, ["name", "category"]))
+    return rows.drop("name", "category", "amount").withColumn("check_uid", F.concat_ws(":", "entity_type", "canonical_id"))
 
 
-@query(f"SELECT substr(sha256(_from || '|' || _type || '|' || _to), 1, 32) AS edge_id, publication_year < 1998 AS is_synthetic, CASE WHEN publication_year < 1998 THEN 'statistical_distribution' END AS synthesis_method, 'evidence' AS layer FROM ({o.SCORED})")
+@query(f"""SELECT _from, _type, _to, substr(sha256(_from || '|' || _type || '|' || _to), 1, 32) AS edge_id, 2::BIGINT AS source_priority, ['star'] AS source_ids, []::VARCHAR[] AS dataset_ids, publication_year < 1998 AS is_synthetic, CASE WHEN publication_year < 1998 THEN 'statistical_distribution' END AS synthesis_method,
+'evidence' AS layer, {STAMPED}, sha256('{{"n":' || n || ',"neg_count":' || neg_count || ',"pos_count":' || pos_count || '}}') AS record_hash FROM ({o.SCORED})""")
 def c2_stamp_edges(spark, d):
-    return stamped_edges(spark, d).select("edge_id", "is_synthetic", "synthesis_method", "layer")
+    synthetic = F.col("publication_year") < 1998
+    prov = contract.provenance(F.lit("star"), F.lit(2), synthetic, F.when(synthetic, "statistical_distribution"))
+    rows = contract.stamp_edges(scored(spark, d), F.to_timestamp(F.lit("2002-06-01 00:00:00")), prov, ["n", "pos_count", "neg_count"], layer="evidence")
+    names = ["_from", "_type", "_to", "edge_id", "source_priority", "source_ids", "dataset_ids", "is_synthetic", "synthesis_method", "layer", "Dv_created", "Tv_created", "schema_version", *TIMES, "source", "source_url", "record_hash"]
+    return plain_times(rows).select(*names)
 
 
 @query(f"""SELECT uid, sha256('{{"canonical_id":"' || canonical_id || '","entity_type":"' || entity_type || '"}}') AS record_hash FROM ({o.NODES})""")
@@ -249,10 +299,18 @@ def label_specs(spark):
     return spark.createDataFrame(rows, "label string, layer string, species_agnostic boolean, required array<string>")
 
 
-@query(f"""SELECT uid, 'missing type field category' AS problem FROM ({o.NODES}) WHERE entity_type = 'Supplier' UNION ALL SELECT uid, 'missing species' FROM ({o.NODES}) WHERE entity_type = 'Part'
-UNION ALL SELECT uid, 'layer mismatch' FROM ({o.NODES}) WHERE entity_type = 'Order' UNION ALL SELECT uid, 'unknown label Region' FROM ({o.NODES}) WHERE entity_type = 'Region'""")
+BARE = "entity_type IN ('Region', 'Nation') AND canonical_id::INT % 2 = 0"
+
+
+@query(f"""WITH n AS ({o.NODES}) SELECT uid, 'missing type field category' AS problem FROM n WHERE entity_type = 'Supplier' UNION ALL SELECT uid, 'missing species' FROM n WHERE entity_type = 'Part'
+UNION ALL SELECT uid, 'layer mismatch' FROM n WHERE entity_type = 'Order' UNION ALL SELECT uid, 'unknown label Region' FROM n WHERE entity_type = 'Region' UNION ALL SELECT uid, 'missing ' || unnest(['source', 'layer', 'record_hash', 'updated_at']) FROM n WHERE {BARE}
+UNION ALL SELECT uid, 'layer mismatch' FROM n WHERE {BARE} AND entity_type = 'Nation' UNION ALL SELECT uid, 'synthetic without method' FROM n WHERE entity_type = 'Customer' AND canonical_id::INT % 3 = 0""")
 def c4_node_violations(spark, d):
-    return contract.node_violations(stamped_nodes(spark, d).withColumn("species", F.lit(None).cast("long")), label_specs(spark))
+    """Some nodes of a known and of an unknown label lack required fields; some are synthetic with an empty method."""
+    bare, rows = F.expr(BARE), stamped_nodes(spark, d).withColumn("species", F.lit(None).cast("long"))
+    fake = F.expr("entity_type = 'Customer' AND canonical_id::INT % 3 = 0")
+    rows = rows.withColumns({c: F.when(~bare, F.col(c)) for c in ("source", "layer", "record_hash", "updated_at")}).withColumns({"is_synthetic": F.col("is_synthetic") | fake, "synthesis_method": F.when(fake, "")})
+    return contract.node_violations(rows, label_specs(spark))
 
 
 @query(f"""SELECT entity_type, count(*) FILTER (ok) AS valid, count(*) FILTER (NOT ok) AS rejected FROM (SELECT entity_type, entity_type NOT IN ('Supplier', 'Part', 'Region') AND canonical_id <> '7' AS ok
@@ -353,7 +411,19 @@ def e4_hub_reach(spark, d):
     return graph.hub_reach(fx.bulk(spark, d), "BUYS_BULK", "SUPPLIES", fx.read(spark, d, "part").count())
 
 
-@query()
+def hubs(with_preferred: bool) -> str:
+    """Components of the structure: every edge touches a supplier or a part, and the parts of a brand are one chain; so suppliers and brands that share a neighbour tell them."""
+    preferred = "UNION SELECT p_brand, _from FROM pref JOIN brand USING (_to)" if with_preferred else ""
+    return f"""WITH RECURSIVE b AS MATERIALIZED ({o.BULK}), pref AS MATERIALIZED ({o.PREFERS}), brand AS MATERIALIZED (SELECT 'Part:' || p_partkey AS _to, p_brand FROM part),
+touch AS MATERIALIZED (SELECT _to AS h, _from AS x FROM b WHERE _type = 'BUYS_BULK' UNION SELECT _from, _from FROM b WHERE _type = 'SUPPLIES' UNION SELECT p_brand, _from FROM b JOIN brand USING (_to) WHERE _type = 'SUPPLIES'
+  UNION SELECT p_brand, p_brand FROM part GROUP BY 1 HAVING count(*) > 1 {preferred}),
+near AS MATERIALIZED (SELECT DISTINCT a.h AS a, b.h AS b FROM touch a JOIN touch b USING (x)), reach(a, b) AS (SELECT a, b FROM near UNION SELECT r.a, n.b FROM reach r JOIN near n ON r.b = n.a)
+SELECT count(DISTINCT m) AS n FROM (SELECT a, min(b) AS m FROM reach GROUP BY 1)"""
+
+
+@query(f"""WITH r AS (SELECT (SELECT count(*) FROM ({o.PREFERS})) AS cognate_edges, p.*, h.*, (SELECT n FROM ({hubs(True)})) AS components_with, (SELECT n FROM ({hubs(False)})) AS components_without, round(100 * with_path / pairs, 1) AS pct_with_path
+FROM ({SQL["e3_alternative_paths"]}) p, ({SQL["e4_hub_reach"]}) h)
+SELECT *, CASE WHEN pct_with_path <= 80 THEN 'NOT CONFIRMED' WHEN mean_length <= 2.2 OR reach_pct > 20 THEN 'SEVERE' ELSE 'CONFIRMED BUT BOUNDED' END AS verdict FROM r""")
 def e5_e6_gap_report(spark, d):
     return graph.gap_report(structure(spark, d), "PREFERS", "BUYS_BULK", "SUPPLIES", fx.read(spark, d, "part").count())
 
@@ -411,6 +481,123 @@ def e14_projection(spark, d):
     return graph.projection_size(fx.places(spark, d).unionByName(fx.bulk(spark, d)), ["Nation"])
 
 
+SUPPLIED = o.near(o.BULK, ["Supplier"])
+
+
+def shared_suppliers(spark, d):
+    return neighbours.adjacency(fx.bulk(spark, d), hub_labels=["Supplier"])
+
+
+@query(f"WITH near AS MATERIALIZED ({SUPPLIED}) SELECT x.a, y.a AS b, count(*) AS n_common FROM near x JOIN near y USING (hub) WHERE x.a < y.a GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 100")
+def t10_common_neighbours(spark, d):
+    return neighbours.top_common(shared_suppliers(spark, d), 100)
+
+
+@query(f"WITH near AS MATERIALIZED ({SUPPLIED}), pairs AS (SELECT x.a, y.a AS b, count(*) AS n_common FROM near x JOIN near y USING (hub) WHERE x.a < y.a GROUP BY 1, 2) SELECT n_common, count(*) AS pairs FROM pairs GROUP BY 1")
+def t10_shared_counts(spark, d):
+    return neighbours.pair_counts(shared_suppliers(spark, d))
+
+
+HUBS = ["Nation", "Supplier"]
+
+
+@query(f"WITH near AS MATERIALIZED ({o.near(f'{o.PLACES} UNION ALL {o.BULK}', HUBS)}), pairs AS (SELECT x.a, y.a AS b, count(*) AS n FROM near x JOIN near y USING (hub) WHERE x.a < y.a GROUP BY 1, 2) SELECT count(*) AS pairs, sum(n)::BIGINT AS incidences FROM pairs")
+def e13_exact_pairs(spark, d):
+    edges = fx.places(spark, d).unionByName(fx.bulk(spark, d))
+    return neighbours.shared_pairs(neighbours.adjacency(edges, HUBS))
+
+
+ALIKE = 0.5
+TANIMOTO = f"""f AS MATERIALIZED ({o.FINGERPRINTS}), classes AS MATERIALIZED (SELECT bits, min(id) AS c, count(*) AS size FROM f WHERE len(bits) > 0 GROUP BY 1), each AS MATERIALIZED (SELECT c, unnest(bits) AS bit, len(bits) AS n FROM classes),
+met AS (SELECT x.c AS a, y.c AS b, count(*) AS same, any_value(x.n + y.n) AS n FROM each x JOIN each y USING (bit) WHERE x.c < y.c GROUP BY 1, 2), pairs AS MATERIALIZED (SELECT a, b, round(same / (n - same)::DOUBLE, 6) AS similarity FROM met WHERE same >= {ALIKE} * (n - same) - 1e-9)"""
+
+
+@query(f"WITH {TANIMOTO} SELECT a, b, similarity FROM pairs")
+def sim03_tanimoto_pairs(spark, d):
+    return similarity.similar_classes(similarity.Fingerprints(fx.fingerprints(spark, d)), ALIKE)
+
+
+@query(f"""WITH {TANIMOTO}, ends AS (SELECT a AS c, b AS x, similarity FROM pairs UNION ALL SELECT b, a, similarity FROM pairs), near AS (SELECT ends.c, sum(size) AS n, max(similarity) AS s FROM ends JOIN classes k ON k.c = x GROUP BY 1)
+SELECT id, c AS class_id, len(f.bits)::INTEGER AS n_bits, (size - 1 + coalesce(n, 0))::BIGINT AS n_similar, CASE WHEN size > 1 THEN 1 ELSE s END::DOUBLE AS best FROM f JOIN classes USING (bits) LEFT JOIN near USING (c)""")
+def sim03_tanimoto_members(spark, d):
+    return similarity.members(similarity.Fingerprints(fx.fingerprints(spark, d)), ALIKE)
+
+
+@query(f"""WITH RECURSIVE e AS MATERIALIZED ({o.STRENGTHS}), walk(start, node, hops, product) AS (SELECT 'Supplier:' || s_suppkey, 'Supplier:' || s_suppkey, 0, 1::DOUBLE FROM supplier UNION ALL SELECT start, _to, hops + 1, product * es FROM walk JOIN e ON node = _from WHERE hops < 4)
+SELECT start, node, arg_max(hops, (product / hops, -hops))::INTEGER AS hops, round(max(product / hops), 6) AS score FROM walk WHERE hops > 0 AND start <> node GROUP BY 1, 2""")
+def r15_best_paths(spark, d):
+    starts = fx.read(spark, d, "supplier").select(fx.uid("Supplier", "s_suppkey").alias("start"))
+    return paths.best_paths(fx.strengths(spark, d), starts).select("start", "node", "hops", F.round("score", 6).alias("score"))
+
+
+NET = f"{o.BULK} UNION ALL {o.CHAIN}"
+SAMPLE = "SELECT 'Supplier:' || s_suppkey AS node FROM supplier ORDER BY md5('Supplier:' || s_suppkey), 1 LIMIT 20"
+REACH = 6
+
+
+def sampled_betweenness(spark, d):
+    """Estimated from 20 sources, by paths of up to REACH hops."""
+    sources = fx.read(spark, d, "supplier").select(fx.uid("Supplier", "s_suppkey").alias("node"))
+    edges = fx.bulk(spark, d).unionByName(fx.brand_chain(spark, d))
+    return edges, centrality.betweenness(edges, sources.orderBy(F.md5(F.col("node").cast("binary")), "node").limit(20), REACH)
+
+
+BETWEEN = f"SELECT node, {o.r4('betweenness')} AS betweenness FROM ({o.betweenness(NET, SAMPLE, REACH)})"
+
+
+@query(BETWEEN)
+def n02_betweenness(spark, d):
+    return sampled_betweenness(spark, d)[1].withColumn("betweenness", scoring.rounded(F.col("betweenness")))
+
+
+CENTRAL = 0.9
+
+
+def quantile(table: str, column: str) -> str:
+    return f"(SELECT {column} FROM (SELECT {column}, row_number() OVER (ORDER BY {column}) AS r, count(*) OVER () AS n FROM {table}) WHERE r = ceil(round({CENTRAL} * n, 9)))"
+
+
+@query(f"""WITH degree AS MATERIALIZED (SELECT a AS node, count(DISTINCT b) AS degree FROM (SELECT _from AS a, _to AS b FROM ({NET}) UNION ALL SELECT _to, _from FROM ({NET})) WHERE a <> b GROUP BY 1), c AS MATERIALIZED (SELECT * FROM degree JOIN ({BETWEEN}) USING (node)),
+t AS (SELECT {quantile("c", "degree")} AS d, {quantile("c", "betweenness")} AS b)
+SELECT CASE WHEN degree >= d AND betweenness >= b THEN 'hub' WHEN degree >= d THEN 'local hub' WHEN betweenness >= b THEN 'structural bottleneck' ELSE 'peripheral' END AS role, split_part(node, ':', 1) AS label, count(*) AS n FROM c, t GROUP BY 1, 2""")
+def n01_n02_role_matrix(spark, d):
+    edges, between = sampled_betweenness(spark, d)
+    found = centrality.role_matrix(edges, between.withColumn("betweenness", scoring.rounded(F.col("betweenness"))), CENTRAL)
+    return found.groupBy("role", F.split_part("node", F.lit(":"), F.lit(1)).alias("label")).agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH e AS MATERIALIZED (SELECT _from AS a, _to AS b, c_mktsegment AS m FROM ({o.BUYS}) JOIN customer ON _from = 'Customer:' || c_custkey WHERE c_mktsegment IN ('BUILDING', 'HOUSEHOLD')), w AS (SELECT DISTINCT * FROM (SELECT a, b, m FROM e UNION ALL SELECT b, a, m FROM e)),
+d AS MATERIALIZED (SELECT a AS node, count(DISTINCT b) FILTER (m = 'BUILDING') AS x, count(DISTINCT b) FILTER (m = 'HOUSEHOLD') AS y FROM w GROUP BY 1), n AS (SELECT count(*) FILTER (x > 0) AS n, count(*) FILTER (y > 0) AS k FROM d)
+SELECT node, round(x / (n - 1), 6) AS first, round(y / (k - 1), 6) AS second, round(abs(x / (n - 1) - y / (k - 1)), 6) AS separation FROM d, n""")
+def n10_separation(spark, d):
+    """Two segments of customers stand for the cohorts of disease and control."""
+    segment = fx.read(spark, d, "customer").select(fx.uid("Customer", "c_custkey").alias("_from"), "c_mktsegment")
+    edges = fx.purchases(spark, d).join(segment, "_from").select("_from", "_to", (F.col("c_mktsegment") == "BUILDING").alias("ill"), (F.col("c_mktsegment") == "HOUSEHOLD").alias("well"))
+    found = centrality.separation(edges, "ill", "well")
+    return found.select("node", *[F.round(c, 6).alias(c) for c in ("first", "second", "separation")])
+
+
+# the best score of a customer, through each supplier it bought from, to each of that supplier's parts
+@query(f"""WITH q AS (SELECT _from AS a, _to AS s, -log10(greatest(adj_p, 1e-300)) AS logp FROM ({o.BUYS}) WHERE adj_p > 0 AND adj_p < 1e-10), p AS (SELECT _from AS s, _to AS node, es FROM ({o.STRENGTHS}) WHERE _from LIKE 'Supplier:%' AND es >= 0.9)
+SELECT a AS _from, node, {o.r4("max(logp * es)")} AS score FROM q JOIN p USING (s) GROUP BY 1, 2""")
+def r21_trait_scores(spark, d):
+    """Purchases of clear evidence stand for trait loci, a supplier's strongest parts for the pathway nodes behind them."""
+    loci = fx.purchases(spark, d).where("adj_p < 1e-10").select("_from", "_to", "adj_p")
+    reach = paths.best_paths(fx.strengths(spark, d).where("_type = 'SUPPLIES'"), loci.select(F.col("_to").alias("start")), most=1, least=0.9)
+    return paths.trait_scores(loci, reach).select("_from", "node", scoring.rounded(F.col("score")).alias("score"))
+
+
+@query(f"""WITH c AS (SELECT node, betweenness / max(betweenness) OVER () AS influence FROM ({BETWEEN})), p AS (SELECT _from AS node, _to AS outcome, es FROM ({o.STRENGTHS}) WHERE _from LIKE 'Supplier:%'), m AS (SELECT node, max(es) AS cr FROM p GROUP BY 1),
+e AS (SELECT _to AS node, avg(ES_edge) AS mean_es FROM ({o.SCORED}) GROUP BY 1) SELECT node, {o.r4("influence * cr * mean_es")} AS score FROM c JOIN m USING (node) JOIN e USING (node)""")
+def r10_biomarker_scores(spark, d):
+    """Influence of a supplier in the network, its best path to any part it supplies, and the mean strength of its evidence."""
+    influence = sampled_betweenness(spark, d)[1].select("node", scoring.rounded(F.col("betweenness")).alias("influence"))
+    starts = fx.read(spark, d, "supplier").select(fx.uid("Supplier", "s_suppkey").alias("start"))
+    reach = paths.best_paths(fx.strengths(spark, d).where("_type = 'SUPPLIES'"), starts, most=1)
+    evidence = scored(spark, d).select(F.col("_to").alias("node"), "ES_edge")
+    return paths.biomarker_scores(influence, reach, evidence).select("node", scoring.rounded(F.col("score")).alias("score"))
+
+
 UADJ = f"SELECT DISTINCT _from, _to FROM (SELECT _from, _to FROM ({o.BULK}) UNION ALL SELECT _to, _from FROM ({o.BULK}))"
 
 
@@ -498,14 +685,17 @@ ROLES = {
 
 
 def capability_status(spark, d):
-    edges = stamped_edges(spark, d).unionByName(fx.bulk(spark, d), allowMissingColumns=True).unionByName(fx.places(spark, d), allowMissingColumns=True)
-    return report.capabilities(stamped_nodes(spark, d), edges, ROLES)
+    signed = F.when(F.col("effect_size") > 0.2, 1).when(F.col("effect_size") < -0.2, -1).otherwise(0)
+    edges = bundled(spark, d).withColumn("direction", signed).unionByName(fx.bulk(spark, d), allowMissingColumns=True).unionByName(fx.places(spark, d), allowMissingColumns=True)
+    nodes = stamped_nodes(spark, d).withColumn("source", F.when(F.col("category").isNotNull(), F.col("source")))  # what has no category has no known source
+    return report.capabilities(nodes, edges, ROLES)
 
 
 CAPABILITIES = f"""WITH s AS MATERIALIZED ({SIGNED}), n AS MATERIALIZED ({o.NODES}), b AS MATERIALIZED ({o.BULK}), p AS MATERIALIZED ({o.PLACES}),
 ok AS (
   SELECT 'topology' AS c, (SELECT count(*) FROM n) > 100 AND (SELECT count(*) FROM s) + (SELECT count(*) FROM b) + (SELECT count(*) FROM p) > 500 AS ok
-  UNION ALL SELECT 'node_metadata', true UNION ALL SELECT 'provenance_fields', true UNION ALL SELECT 'edge_scores', count(*) >= 500 FROM s UNION ALL SELECT 'edge_tiers', count(DISTINCT edge_quality_tier) >= 2 FROM s
+  UNION ALL SELECT 'node_metadata', count(*) FILTER (entity_type IS NULL OR canonical_id IS NULL) = 0 FROM n UNION ALL SELECT 'provenance_fields', count(*) FILTER (category IS NULL) = 0 FROM n UNION ALL SELECT 'edge_scores', count(*) >= 500 FROM s UNION ALL SELECT 'edge_tiers', count(DISTINCT edge_quality_tier) >= 2 FROM s
+  UNION ALL SELECT 'edge_provenance', count(*) >= 500 FROM s UNION ALL SELECT 'edge_modality', count(DISTINCT domain) >= 3 FROM s
   UNION ALL SELECT 'edge_conflict', count(*) FILTER (neg_count > 0) >= 100 FROM s UNION ALL SELECT 'edge_direction', count(*) FILTER (direction <> 0) >= 100 FROM s UNION ALL SELECT 'edge_recency', count(DISTINCT publication_year) >= 8 FROM s
   UNION ALL SELECT 'datasets', count(*) >= 10 FROM nation UNION ALL SELECT 'cohorts', count(DISTINCT c_mktsegment) >= 2 FROM customer UNION ALL SELECT 'assertions', count(*) > 50 AND count(DISTINCT o_orderstatus) >= 2 FROM orders
   UNION ALL SELECT 'publications', count(*) > 50 FROM supplier UNION ALL SELECT 'variant_locus', count(*) >= 10 FROM b WHERE _type = 'SUPPLIES' UNION ALL SELECT 'orthologs', (SELECT count(*) FROM region) >= 2 AND count(*) > 10 FROM p WHERE _type = 'LOCATED_IN'
@@ -521,9 +711,38 @@ def k_capabilities(spark, d):
     return capability_status(spark, d).select("capability", "status")
 
 
-@query()
+def figures(**of: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{k}' AS capability, {v} AS detail" for k, v in of.items())
+
+
+def whole(x: str) -> str:
+    return f"format('{{:,}}', ({x}))"
+
+
+def in_table(t: str, where: str = "true", what: str = "count(*)") -> str:
+    return whole(f"SELECT {what} FROM {t} WHERE {where}")
+
+
+NONE = {
+    "evidence_modality": "0 modalities / 0 records", "evidence_stage": "0 stages / 0 records", "evidence_batch": "0 with batch data", "clinical_evidence": "0 clinical records", "variant_stats": "0 variants", "qtl": "0 edges, 0 kinds", "hypotheses": "0 hypotheses, 0 domains",
+    "hypothesis_subgraph": "0 edges", "version_history": "no rows", "mc_trajectory": "0 changes, 0 converged", "confidence_components": "0 sets", "reasoning_chains": "0 chains", "biological_state": "0 states", "scan_results": "0 results", "audit_log": "0 events, 0 types",
+    "ontology_dag": "0 edges", "drug_directional": "0 edges", "off_target": "0 edges", "agriculture_data": "no entity types for agriculture", "embeddings": "no vector layer",
+}
+DETAILS = figures(
+    topology=f"{in_table('n')} || ' nodes / ' || {whole('SELECT (SELECT count(*) FROM s) + (SELECT count(*) FROM b) + (SELECT count(*) FROM p)')} || ' edges'", node_metadata=f"{in_table('n', 'entity_type IS NULL OR canonical_id IS NULL')} || ' nodes lack fields'",
+    provenance_fields=f"{in_table('n', 'category IS NULL')} || ' nodes lack fields'", edge_scores=f"{in_table('s')} || ' scored edges'", edge_tiers=f"{in_table('s', what='count(DISTINCT edge_quality_tier)')} || ' tiers over ' || {in_table('s')} || ' edges'",
+    edge_conflict=f"{in_table('s', 'neg_count > 0')} || ' edges with contradiction'", edge_direction=f"{in_table('s', 'direction <> 0')} || ' directional edges'", edge_provenance=f"{in_table('s')} || ' edges with full provenance'",
+    edge_modality=f"{in_table('s', what='count(DISTINCT domain)')} || ' modalities over ' || {in_table('s', what='count(domain)')} || ' edges'", edge_recency=f"{in_table('s', what='count(DISTINCT publication_year)')} || ' distinct years (' || (SELECT min(publication_year) || '-' || max(publication_year) FROM s) || ')'",
+    datasets=f"{in_table('nation')} || ' data sets'", cohorts=f"{in_table('customer')} || ' cohorts, ' || {in_table('customer', what='count(DISTINCT c_mktsegment)')} || ' states'", assertions=f"{in_table('orders')} || ' assertions, ' || {in_table('orders', what='count(DISTINCT o_orderstatus)')} || ' decisions'",
+    publications=f"{in_table('supplier')} || ' publications, 0 types'", variant_locus=f"{in_table('b', "_type = 'SUPPLIES'")} || ' edges'", orthologs=f"{in_table('region')} || ' species, ' || {in_table('p', "_type = 'LOCATED_IN'")} || ' edges'",
+    lifecycle=f"{in_table('part', what='count(DISTINCT p_name)')} || ' states'", tissues=f"{in_table('nation')} || ' tissues'", cell_types=f"{in_table('region')} || ' cell types'", compound_fingerprints=f"{in_table('part', what='count(p_retailprice)')} || ' compounds'",
+    gene_protein_link=f"{in_table('b', 'false')} || ' edges'", **{k: f"'{v}'" for k, v in NONE.items()},
+)
+
+
+@query(f"WITH s AS MATERIALIZED ({SIGNED}), n AS MATERIALIZED ({o.NODES}), b AS MATERIALIZED ({o.BULK}), p AS MATERIALIZED ({o.PLACES}), k AS ({CAPABILITIES}) SELECT capability, status, detail FROM k JOIN ({DETAILS}) USING (capability)")
 def k_capability_details(spark, d):
-    return capability_status(spark, d)
+    return capability_status(spark, d).select("capability", "status", "detail")
 
 
 SCANS = [
@@ -694,9 +913,9 @@ def b13_first_wins(spark, d):
     return upsert.first_wins(x, ["disease_id"], ["at", "name"]).select("disease_id", "name")
 
 
-@query("SELECT p_brand AS protein_id, min_by('g' || p_partkey, p_partkey) AS gene_symbol, count(*) AS symbols, list_slice(list_concat(['s'], list_slice(list('g' || p_partkey ORDER BY p_partkey), 2, 1000000)), 1, 15) AS synonyms FROM part GROUP BY 1")
+@query("SELECT p_brand || '-' || p_partkey // 100 AS protein_id, min_by('g' || p_partkey, p_partkey) AS gene_symbol, count(*) AS symbols, list_slice(list_concat(['s'], list_slice(list('g' || p_partkey ORDER BY p_partkey), 2, 1000000)), 1, 15) AS synonyms FROM part GROUP BY 1")
 def b14_collapse_proteins(spark, d):
-    rows = fx.read(spark, d, "part").select("p_partkey", F.col("p_brand").alias("protein_id"), F.concat(F.lit("g"), F.col("p_partkey").cast("string")).alias("symbol"), F.col("p_name").alias("name"), F.array(F.lit("s")).alias("synonyms"))
+    rows = fx.read(spark, d, "part").select("p_partkey", F.concat_ws("-", "p_brand", F.floor(F.col("p_partkey") / 100).cast("string")).alias("protein_id"), F.concat(F.lit("g"), F.col("p_partkey").cast("string")).alias("symbol"), F.col("p_name").alias("name"), F.array(F.lit("s")).alias("synonyms"))
     return seeds.collapse_proteins(rows, "p_partkey").select("protein_id", "gene_symbol", F.size("encoded_by_symbols").cast("long").alias("symbols"), "synonyms")
 
 

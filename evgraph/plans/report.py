@@ -23,8 +23,7 @@ def split_totals(rows: DataFrame) -> DataFrame:
 
 def cluster_volume(edges: DataFrame, clusters: DataFrame) -> DataFrame:
     """Edges between label clusters, counted for each endpoint pair. clusters(label, cluster): a row for each label."""
-    c = F.broadcast(clusters)
-    rows = edges.join(c.select(F.col("label").alias("from_label"), F.col("cluster").alias("a")), "from_label").join(c.select(F.col("label").alias("to_label"), F.col("cluster").alias("b")), "to_label")
+    rows = edges.join(clusters.select(F.col("label").alias("from_label"), F.col("cluster").alias("a")), "from_label").join(clusters.select(F.col("label").alias("to_label"), F.col("cluster").alias("b")), "to_label")
     return rows.groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
@@ -41,6 +40,9 @@ def profile(edges: DataFrame, layer: str) -> DataFrame:
 UNSUPPORTED = {"agriculture_data": "no entity types for agriculture", "embeddings": "no vector layer"}
 
 
+QTL = ("eQTL_MODULATES", "pQTL_MODULATES", "mQTL_MODULATES")
+
+
 class Checks:
     """Conditional aggregates of all checks; roles may be played by other labels, types and properties."""
 
@@ -64,7 +66,7 @@ class Checks:
         return {
             "nodes": F.count("*"), "bad_metadata": missing("entity_type", "canonical_id", "synonyms", "ontology_refs", "created_at"), "bad_provenance": missing("source", "is_synthetic", "valid_from", "updated_at"),
             "datasets": num(is_("Dataset")), "cohorts": num(is_("Cohort")), "assertions": num(is_("Assertion")),
-            "evidence": num(is_("Evidence")), "batches": whole("Evidence", "batch_id", "platform", "lab_id"),
+            "evidence": num(is_("Evidence")), "staged": whole("Evidence", "disease_stage"), "batches": whole("Evidence", "batch_id", "platform", "lab_id"),
             "clinical": num(is_("Evidence") & (c("is_clinical").cast("boolean"))), "publications": num(is_("Publication")),
             "variants": whole("Variant", "chromosome", "base_position", "p_raw", "effect_weight"), "species": num(is_("Species")), "hypotheses": whole("Hypothesis", "biological_domain", "decision_context"),
             "deltas": whole("HypothesisVersion", "delta_MC"), "converged": num(is_("HypothesisVersion") & (F.abs(c("delta_MC").cast("double")) < 0.02)),
@@ -77,11 +79,13 @@ class Checks:
         of = lambda label, r: F.when(self.nodes["entity_type"] == self.name(label), self.of(self.nodes, r).cast("string"))
         return {
             "cohort_states": of("Cohort", "cohort_state"), "decisions": of("Assertion", "promotion_decision"), "evidence_modalities": of("Evidence", "modality"), "stages": of("Evidence", "disease_stage"),
-            "publication_types": of("Publication", "source_type"), "lifecycle_states": of("LifecycleState", "name"),
+            "publication_types": of("Publication", "source_type"), "lifecycle_states": of("LifecycleState", "name"), "event_types": of("AuditEvent", "event_type"),
+            "domains": F.when(self.of(self.nodes, "decision_context").isNotNull(), of("Hypothesis", "biological_domain")),
         }
 
     def edge_kinds(self) -> dict[str, Column]:
-        return {k: self.of(self.edges, r).cast("string") for k, r in (("tiers", "edge_quality_tier"), ("modalities", "modality"), ("years", "publication_year"))}
+        kinds = {k: self.of(self.edges, r).cast("string") for k, r in (("tiers", "edge_quality_tier"), ("modalities", "modality"), ("years", "publication_year"))}
+        return kinds | {"qtl_kinds": F.when(self.edges["_type"].isin(*map(self.name, QTL)), self.edges["_type"])}
 
     def edge_aggregates(self) -> dict[str, Column]:
         e = self.edges
@@ -93,7 +97,7 @@ class Checks:
             "edges": F.count("*"), "scored": num(_all(*[c(r).isNotNull() for r in ("SA", "ES_edge", "edge_aggregate_score")])), "tiered": F.count(c("edge_quality_tier")),
             "conflicts": num(c("pos_count").isNotNull() & (c("neg_count") > 0)), "directed": num(c("direction").isin(-1, 1)), "traced": num(_all(*[c(r).isNotNull() for r in ("dataset_ids", "source_type", "publication_year", "formula_version")])),
             "year_lo": F.min(c("publication_year").cast("int")), "year_hi": F.max(c("publication_year").cast("int")),
-            "locus": num(kind("MAPS_TO_LOCUS") & ends("Variant", "Gene")), "qtl": num(kind("eQTL_MODULATES", "pQTL_MODULATES", "mQTL_MODULATES")), "conserved": num(kind("ORTHOLOG_OF", "CONSERVED_IN")),
+            "locus": num(kind("MAPS_TO_LOCUS") & ends("Variant", "Gene")), "modal": F.count(c("modality")), "qtl": num(kind(*QTL)), "conserved": num(kind("ORTHOLOG_OF", "CONSERVED_IN")),
             "memberships": num(kind("HYPOTHESIS_INCLUDES_NODE") & (e["from_label"] == self.name("Hypothesis"))), "hierarchy": num(kind("ONTOLOGICALLY_INCLUDES") & ends("OntologyTerm", "OntologyTerm")),
             "signed_drugs": num(kind("PHARMACOLOGICALLY_ACTIVATES", "PHARMACOLOGICALLY_INHIBITS")), "off_targets": num(kind("EXERTS_OFF_TARGET_EFFECT", "OFF_TARGET_INTERACTION")), "encodes": num(kind("ENCODES") & ends("Gene", "Protein")),
         }
@@ -124,16 +128,16 @@ def rules(figures: set[str]) -> list[tuple[str, str, Column, Column]]:
         "provenance_fields": ("provenance and validity on every node", c("bad_provenance") == 0, s("bad_provenance", " nodes lack fields")),
         "edge_scores": ("scored edges", *least("scored", 500, " scored edges")), "edge_tiers": ("tiers span more than one band", c("tiers") >= 2, s("tiers", " tiers over ", "tiered", " edges")),
         "edge_conflict": ("counts for and against", *least("conflicts", 100, " edges with contradiction")), "edge_direction": ("signed edges", *least("directed", 100, " directional edges")),
-        "edge_provenance": ("provenance of edges", *least("traced", 500, " edges with full provenance")), "edge_modality": ("modalities", *least("modalities", 3, " modalities")),
-        "edge_recency": ("spread of years", c("years") >= 8, s("years", " distinct years")), "datasets": ("data sets", *least("datasets", 10, " data sets")), "cohorts": ("paired cohorts", c("cohort_states") >= 2, s("cohorts", " cohorts, ", "cohort_states", " states")),
-        "assertions": ("assertions with decisions", (c("assertions") > 50) & (c("decisions") >= 2), s("assertions", " assertions, ", "decisions", " decisions")), "evidence_modality": ("modalities of evidence", c("evidence_modalities") >= 4, s("evidence_modalities", " modalities")),
-        "evidence_stage": ("stages of evidence", *least("stages", 2, " stages")), "evidence_batch": ("batch, platform and lab", *least("batches", 50, " with batch data")), "clinical_evidence": ("clinical evidence", *least("clinical", 10, " clinical records")),
+        "edge_provenance": ("provenance of edges", *least("traced", 500, " edges with full provenance")), "edge_modality": ("modalities", *least("modalities", 3, " modalities over ", "modal", " edges")),
+        "edge_recency": ("spread of years", c("years") >= 8, F.concat(s("years", " distinct years ("), c("year_lo").cast("string"), F.lit("-"), c("year_hi").cast("string"), F.lit(")"))), "datasets": ("data sets", *least("datasets", 10, " data sets")), "cohorts": ("paired cohorts", c("cohort_states") >= 2, s("cohorts", " cohorts, ", "cohort_states", " states")),
+        "assertions": ("assertions with decisions", (c("assertions") > 50) & (c("decisions") >= 2), s("assertions", " assertions, ", "decisions", " decisions")), "evidence_modality": ("modalities of evidence", c("evidence_modalities") >= 4, s("evidence_modalities", " modalities / ", "evidence", " records")),
+        "evidence_stage": ("stages of evidence", *least("stages", 2, " stages / ", "staged", " records")), "evidence_batch": ("batch, platform and lab", *least("batches", 50, " with batch data")), "clinical_evidence": ("clinical evidence", *least("clinical", 10, " clinical records")),
         "publications": ("publications", c("publications") > 50, s("publications", " publications, ", "publication_types", " types")), "variant_stats": ("variants with all attributes", *least("variants", 100, " variants")), "variant_locus": ("variants mapped to loci", *least("locus", 10, " edges")),
-        "qtl": ("trait loci", c("qtl") > 50, s("qtl", " edges")), "orthologs": ("conservation across species", (c("species") >= 2) & (c("conserved") > 10), F.when(c("conserved") > 0, s("species", " species, ", "conserved", " edges"))),
-        "hypotheses": ("hypotheses with context", *least("hypotheses", 10, " hypotheses")), "hypothesis_subgraph": ("typed membership", *least("memberships", 20, " edges")), "version_history": ("two versions or more", *least("with_history", 5, " hypotheses with history")),
+        "qtl": ("trait loci", c("qtl") > 50, s("qtl", " edges, ", "qtl_kinds", " kinds")), "orthologs": ("conservation across species", (c("species") >= 2) & (c("conserved") > 10), F.when(c("conserved") > 0, s("species", " species, ", "conserved", " edges"))),
+        "hypotheses": ("hypotheses with context", *least("hypotheses", 10, " hypotheses, ", "domains", " domains")), "hypothesis_subgraph": ("typed membership", *least("memberships", 20, " edges")), "version_history": ("two versions or more", c("with_history") >= 5, F.when(c("with_history") > 0, F.concat(s("with_history", " hypotheses with history (avg "), F.format_number("avg_versions", 1), F.lit(" versions)")))),
         "mc_trajectory": ("changes, some of them converged", (c("deltas") > 20) & (c("converged") > 0), s("deltas", " changes, ", "converged", " converged")), "confidence_components": ("all five components", *least("components", 5, " sets")),
         "lifecycle": ("lifecycle states", *least("lifecycle_states", 3, " states")), "reasoning_chains": ("reasoning chains", *least("chains", 5, " chains")), "biological_state": ("states with snapshots", *least("states", 5, " states")), "scan_results": ("results with versions", *least("results", 20, " results")),
-        "audit_log": ("audit events", c("events") > 20, s("events", " events")), "tissues": ("tissues", *least("tissues", 5, " tissues")), "cell_types": ("cell types", *least("cell_types", 3, " cell types")), "ontology_dag": ("term hierarchy", *least("hierarchy", 10, " edges")),
+        "audit_log": ("audit events", c("events") > 20, s("events", " events, ", "event_types", " types")), "tissues": ("tissues", *least("tissues", 5, " tissues")), "cell_types": ("cell types", *least("cell_types", 3, " cell types")), "ontology_dag": ("term hierarchy", *least("hierarchy", 10, " edges")),
         "drug_directional": ("signed drug edges", *least("signed_drugs", 20, " edges")), "off_target": ("off-target edges", *least("off_targets", 10, " edges")), "compound_fingerprints": ("fingerprints", *least("compounds", 20, " compounds")), "gene_protein_link": ("genes linked to proteins", *least("encodes", 20, " edges")),
     }
     return [(k, *v) for k, v in out.items()]
@@ -143,7 +147,7 @@ def capabilities(nodes: DataFrame, edges: DataFrame, names: dict[str, str] | Non
     """(capability, status, description, detail): conditional aggregates over nodes and over edges (with labels)."""
     checks = Checks(nodes, edges, names)
     a, b = checks.node_aggregates(), checks.edge_aggregates()
-    history = edges.where((F.col("_type") == checks.name("HAS_VERSION")) & (F.col("from_label") == checks.name("Hypothesis"))).groupBy("_from").agg(F.count("*").alias("v")).agg(F.count_if(F.col("v") >= 2).alias("with_history"))
+    history = edges.where((F.col("_type") == checks.name("HAS_VERSION")) & (F.col("from_label") == checks.name("Hypothesis"))).groupBy("_from").agg(F.count("*").alias("v")).agg(F.count_if(F.col("v") >= 2).alias("with_history"), F.avg(F.when(F.col("v") >= 2, F.col("v"))).alias("avg_versions"))
     figures = {*a, *b, *checks.node_kinds(), *checks.edge_kinds(), "with_history"}
     one = nodes.agg(*[v.alias(k) for k, v in a.items()])
     for row_ in (edges.agg(*[v.alias(k) for k, v in b.items()]), different(nodes, checks.node_kinds()), different(edges, checks.edge_kinds()), history):  # single rows
@@ -223,9 +227,8 @@ def primitive_capabilities(spark: SparkSession) -> DataFrame:
 
 def needs(primitives: DataFrame, table: DataFrame) -> DataFrame:
     """Adds capabilities to rows with `primitive`: without its prefix, as it is, else the graph itself."""
-    t = F.broadcast(table)
     rows = primitives.withColumn("_bare", F.regexp_replace("primitive", "^PRIM_", ""))
-    rows = rows.join(t.select(F.col("primitive").alias("_bare"), F.col("capabilities").alias("_a")), "_bare", "left").join(t.select("primitive", F.col("capabilities").alias("_b")), "primitive", "left")
+    rows = rows.join(table.select(F.col("primitive").alias("_bare"), F.col("capabilities").alias("_a")), "_bare", "left").join(table.select("primitive", F.col("capabilities").alias("_b")), "primitive", "left")
     return rows.withColumn("capabilities", F.coalesce("_a", "_b", F.array(F.lit("topology")))).drop("_bare", "_a", "_b")
 
 

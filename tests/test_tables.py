@@ -120,6 +120,11 @@ def test_every_capability_can_pass_and_fail(spark):
     nodes, edges = everything(spark)
     got = {r["capability"]: (r["status"], r["detail"]) for r in report.capabilities(nodes, edges).collect()}
     assert len(got) == 41 and {k for k, (s, _) in got.items() if s != "PASS"} == {"agriculture_data", "embeddings"}, {k: v for k, v in got.items() if v[0] != "PASS"}
+    details = {
+        "edge_modality": "3 modalities over 786 edges", "edge_recency": "10 distinct years (1990-1999)", "evidence_modality": "4 modalities / 60 records", "evidence_stage": "2 stages / 60 records", "qtl": "60 edges, 1 kinds",
+        "hypotheses": "12 hypotheses, 1 domains", "version_history": "12 hypotheses with history (avg 2.0 versions)", "audit_log": "25 events, 2 types",
+    }
+    assert {k: got[k][1] for k in details} == details
     few = {r["capability"]: r["status"] for r in report.capabilities(*everything(spark, 0.1)).collect()}
     kept = {"node_metadata", "provenance_fields"}  # no node lacks a field, however few there are
     spread = {"edge_tiers", "edge_modality", "edge_recency", "evidence_modality", "evidence_stage", "cohorts"}  # different values, not rows
