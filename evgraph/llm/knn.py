@@ -6,7 +6,9 @@
 3. From the summaries alone the driver derives which data groups a query group can need: no member x of a group of radius r around p scores more with
    a query q of a group of radius s around c than c.p + |c| r + s (|p| + r). The other data groups are skipped as a whole. A row of a needed group is
    copied to the query group only if c.x + s |x| reaches its bound.
-4. The rows that a query group may need, a number known from the summaries, are split into blocks of about BLOCK_ROWS, and its queries
+4. Query groups that need much the same data are put together, up to CELL_QUERIES queries: a row then travels once for all of them. Where bounds prune little
+   that leaves a grid of query and data blocks, in which a row travels n / CELL_QUERIES times for n queries, not once for each group.
+5. The rows that such a union may need, a number known from the summaries, are split into blocks of about BLOCK_ROWS, and its queries
    go to just these blocks, so no key or group of copies is held in one task. Blocks are solved by exact integer products and merged.
 
 Pivots (PIVOTS at most, which bounds what is broadcast and not the results), summaries and the sample (SAMPLE at most) are all that reaches the driver.
@@ -29,7 +31,11 @@ from evgraph.llm.common import binary, pack, unpack, with_checkpoint_dir
 
 BLOCK_ROWS = 40_000
 #: Queries that one task holds at most on average; a group of more is dealt to several.
-CELL_QUERIES = 4096
+CELL_QUERIES = 32_768
+#: Queries that one product takes.
+STEP_QUERIES = 2048
+#: Inner products that cost about as much as sending a row once.
+SENDING = 1000.0
 PIVOTS = 4096
 SAMPLE = 16_384
 EXACT = 2.0**53
@@ -109,6 +115,26 @@ def nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return cell, np.sqrt(((x - centres[cell]) ** 2).sum(1))
 
 
+def together(needed: np.ndarray, weight: np.ndarray, queries: np.ndarray, most: int) -> list[list[int]]:
+    """Unions of query groups (rows of `needed`, which tells the data groups they need, of so many rows): groups are put together while the rows that then
+    travel only once outweigh the products with rows that a group alone wouldn't have met."""
+    out: list[list[int]] = []
+    union, held, n = np.zeros_like(needed), np.zeros(len(needed)), np.zeros(len(needed))
+    alone = needed @ weight
+    for g in np.argsort(-alone, kind="stable").tolist():
+        k = len(out)
+        shared = union[:k] @ (needed[g] * weight)
+        more = queries[g] * (held[:k] - shared) + n[:k] * (alone[g] - shared)
+        gain = np.where(n[:k] + queries[g] <= most, SENDING * shared - more, -1.0)
+        at = int(gain.argmax()) if k and gain.max() >= 0 else k
+        if at == k:
+            out.append([])
+        out[at].append(g)
+        union[at] |= needed[g]
+        held[at], n[at] = union[at] @ weight, n[at] + queries[g]
+    return out
+
+
 def search(table: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int | None = None, queries_a_cell: int = 256) -> DataFrame:
     """`query_id, rank, vec_id, score`; a component x counts as floor(scale * x)."""
     spark = table.sparkSession
@@ -165,10 +191,15 @@ def search(table: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0,
     most = np.where(np.isnan(most), np.inf, most)  # of components too large to square
     needed = np.zeros((len(asks), len(data_centres)), dtype=bool)
     needed[:, [h["cell"] for h in holds]] = most >= bound[:, None]
-    # from here on a query group is known by its first part: a group of many queries is dealt to several parts
-    parts = np.array([-(-a["n"] // CELL_QUERIES) for a in asks])
+    counts, inside = np.array([a["n"] for a in asks]), needed[:, [h["cell"] for h in holds]]
+    unions = together(inside, weight, counts, CELL_QUERIES)
+    union_of = np.zeros(len(asks), dtype=np.int64)
+    for i, members in enumerate(unions):
+        union_of[members] = i
+    # from here on a union is known by its first part: one of many queries is dealt to several parts
+    parts = np.array([-(-counts[m].sum() // CELL_QUERIES) for m in unions])
     base = np.cumsum(parts) - parts
-    blocks = np.maximum(1, -(-(needed[:, [h["cell"] for h in holds]] @ weight) // BLOCK_ROWS)).astype(np.int64)
+    blocks = np.array([max(1, -(-(inside[m].any(0) @ weight) // BLOCK_ROWS)) for m in unions]).astype(np.int64)
 
     def copies(batches):
         for batch in batches:
@@ -182,22 +213,25 @@ def search(table: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0,
             # by the row's place too: copies of one id and vector needn't share a block
             spread = ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.arange(len(ids), dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(33)
             out = []
-            for g in range(len(asks)):
-                need = np.flatnonzero(needed[g, cell])
-                limit = x[need] @ middle[g] + reach[g] * size[need] + 1e-9 * (long(middle[g : g + 1]) + reach[g]) * size[need] + 1e-6
-                need = need[~(limit < bound[g])]
-                block = (spread[need] % np.uint64(blocks[g])).astype(np.int64)
+            for i, members in enumerate(unions):
+                wanted = np.zeros(len(ids), dtype=bool)
+                for g in members:
+                    need = np.flatnonzero(needed[g, cell] & ~wanted)
+                    limit = x[need] @ middle[g] + reach[g] * size[need] + 1e-9 * (long(middle[g : g + 1]) + reach[g]) * size[need] + 1e-6
+                    wanted[need[~(limit < bound[g])]] = True
+                need = np.flatnonzero(wanted)
+                block = (spread[need] % np.uint64(blocks[i])).astype(np.int64)
                 for b in np.unique(block).tolist():
                     own = need[block == b]
                     value = pack(id=ids[own], v=(x[own].astype(np.int32) if np.abs(x[own]).max() < 2**31 else x[own]).ravel())
-                    out += [(int(base[g]) + j, b, value) for j in range(int(parts[g]))]
+                    out += [(int(base[i]) + j, b, value) for j in range(int(parts[i]))]
             if out:
                 yield pa.record_batch([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int32()), binary([o[2] for o in out])], names=["part", "block", "data"])
 
     def deal(batches):
         cells = {a["cell"]: i for i, a in enumerate(asks)}
         for batch in batches:
-            g = np.array([cells[c] for c in batch.column("cell").to_pylist()], dtype=np.int64)
+            g = union_of[np.array([cells[c] for c in batch.column("cell").to_pylist()], dtype=np.int64)]
             ids = batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
             part = base[g] + (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % parts[g]
             index = np.repeat(np.arange(len(g)), blocks[g])
@@ -212,8 +246,9 @@ def search(table: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0,
         for value in right.column("data") if left.num_rows else ():
             part = unpack(value.as_py())
             x = part["v"].astype(np.float64).reshape(len(part["id"]), -1)
-            r_, i_, s_ = top(products(q, x), part["id"], own, k)
-            row, ids, scores = best(np.concatenate((row, r_)), np.concatenate((ids, i_)), np.concatenate((scores, s_)), k)
+            found = [top(products(q[lo : lo + STEP_QUERIES], x), part["id"], own[lo : lo + STEP_QUERIES], k) for lo in range(0, len(own), STEP_QUERIES)]
+            row = np.concatenate((row, *[r + i * STEP_QUERIES for i, (r, _, _) in enumerate(found)]))
+            row, ids, scores = best(row, np.concatenate((ids, *[f[1] for f in found])), np.concatenate((scores, *[f[2] for f in found])), k)
         # the score as text sorts no better; its exact rank goes along as a number of any size
         return pa.table([pa.array(own[row], pa.int64()), pa.array(ids, pa.int64()), pa.array(as_longs(scores), pa.int64()), pa.array([str(int(s)) for s in scores], pa.string())], names=["query_id", "vec_id", "score", "exact"])
 
