@@ -29,17 +29,15 @@ def _libc():
     return ctypes.CDLL("libc.so.6") if sys.platform == "linux" else None
 
 
-# Spark reuses its Python workers, so memory that a worker frees should go back at once: arrays of 1 MB and more get pages of their own.
-with contextlib.suppress(OSError, AttributeError):
-    if _libc():
-        _libc().mallopt(-3, 1 << 20)
-
-
 def lean(run):
-    """For a function over a task's batches: gives memory back when the task ends."""
+    """For a function over a task's batches: gives memory back when the task ends. Spark reuses its Python workers, so memory that a worker frees
+    should go back at once: there arrays of 1 MB and more get pages of their own."""
 
     @functools.wraps(run)
     def wrapped(batches):
+        with contextlib.suppress(OSError, AttributeError):
+            if _libc():
+                _libc().mallopt(-3, 1 << 20)
         try:
             yield from run(batches)
         finally:
@@ -247,19 +245,28 @@ def binary(values: list) -> pa.Array:
 # ---------------------------------------------------------------- packed arrays
 
 
+_LZ4 = pa.Codec("lz4")
+
+
 def pack(**arrays: np.ndarray) -> bytes:
-    """Arrays as one Arrow-compressed value."""
-    sink = pa.BufferOutputStream()
+    """Arrays as one compressed value: a line that names them (a few bytes for each), and their contents from multiples of eight bytes on."""
     names = sorted(arrays)
-    head = pa.schema([pa.field(k, pa.list_(pa.from_numpy_dtype(arrays[k].dtype))) for k in names])
-    with pa.ipc.new_stream(sink, head, options=pa.ipc.IpcWriteOptions(compression="lz4")) as w:
-        w.write_batch(pa.record_batch([pa.ListArray.from_arrays(pa.array([0, len(arrays[k])], pa.int32()), pa.array(arrays[k])) for k in names], schema=head))
-    return sink.getvalue().to_pybytes()
+    head = ",".join(f"{k}:{arrays[k].dtype.str[1:]}:{len(arrays[k])}" for k in names).encode() + b"\n"
+    body = b"".join(x for k in names for x in (arrays[k].tobytes(), bytes(-arrays[k].nbytes % 8)))
+    return head + (_LZ4.compress(body, asbytes=True) if body else b"")
 
 
 def unpack(value: bytes) -> dict[str, np.ndarray]:
-    batch = pa.ipc.open_stream(value).read_next_batch()
-    return {k: batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in batch.schema.names}
+    end = value.index(b"\n")
+    fields = [(k, np.dtype(kind), int(n)) for k, kind, n in (x.split(":") for x in value[:end].decode().split(",") if x)]
+    sizes = [kind.itemsize * n for _, kind, n in fields]
+    total = sum(-(-x // 8) * 8 for x in sizes)
+    raw = _LZ4.decompress(memoryview(value)[end + 1 :], decompressed_size=total) if total else b""
+    out, at = {}, 0
+    for (k, kind, n), size in zip(fields, sizes, strict=True):
+        out[k] = np.frombuffer(raw, dtype=kind, count=n, offset=at) if n else np.zeros(0, kind)
+        at += -(-size // 8) * 8
+    return out
 
 
 def joined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:

@@ -93,13 +93,16 @@ def bounds(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def sent(number: int, group: Group, target: np.ndarray, shards: int) -> pa.Table:
-    """A message to each shard, also where it holds nothing, for each shard's answer has a part of the totals."""
+    """A message to each shard; one without words and pairs is empty, for each shard's answer has a part of the totals."""
     mine = np.repeat(target, group.n)
     every, good = group.counts(np.ones(len(mine), bool)), group.counts(mine)
     w, p = bounds(group.words, shards), bounds(group.pairs, shards)
     out = []
     for s in range(shards):
         a, b = slice(w[s], w[s + 1]), slice(p[s], p[s + 1])
+        if w[s] == w[s + 1] and p[s] == p[s + 1]:
+            out.append(b"")
+            continue
         held = {}
         for kind, x in ((0, good), (1, every)):
             for name, i, at in (("w", 0, a), ("c", 1, a), ("p", 2, b)):
@@ -110,13 +113,14 @@ def sent(number: int, group: Group, target: np.ndarray, shards: int) -> pa.Table
 
 def answers(messages: pa.Table) -> pa.Table:
     """The shard's totals of each message's words and pairs, its part of the two models' tokens, and its words."""
-    values = messages.column("data")
+    full = pa.compute.binary_length(messages.column("data")).to_numpy() > 0
+    values = messages.column("data").filter(pa.array(full))
     keys = {k: [] for k in ("words", "pairs")}
     for v in values:
         part = unpack(v.as_py())
         for k, held in keys.items():
             held.append(unplaned(part[k]))
-    have = {k: np.unique(np.concatenate(held)) for k, held in keys.items()}
+    have = {k: np.unique(np.concatenate([np.zeros(0, np.uint64), *held])) for k, held in keys.items()}
     total = {f"{name}{kind}": np.zeros(len(have["pairs" if name == "p" else "words"]), np.int64) for name in "wcp" for kind in range(2)}
     places = {k: [np.searchsorted(have[k], x) for x in held] for k, held in keys.items()}
     del keys
@@ -125,13 +129,14 @@ def answers(messages: pa.Table) -> pa.Table:
         for name, x in total.items():
             x[places["pairs" if name[0] == "p" else "words"][i]] += decoded(name, part)  # distinct within a message
     figures = np.array([total["w0"].sum(), total["w1"].sum(), np.count_nonzero(have["words"])], dtype=np.int64)
-    out = []
+    out, none = [], pack(figures=figures)
     for i in range(len(values)):
         held: dict[str, np.ndarray] = {}
         for name, x in total.items():
             held |= coded(name, x[places["pairs" if name[0] == "p" else "words"][i]])
         out.append(pack(figures=figures, **held))
-    return pa.table([messages.column("group"), messages.column("shard"), binary(out)], names=["group", "shard", "data"])
+    told = iter(out)
+    return pa.table([messages.column("group"), messages.column("shard"), binary([next(told) if x else none for x in full.tolist()])], names=["group", "shard", "data"])
 
 
 def own_counts(text: np.ndarray, number: np.ndarray) -> np.ndarray:
@@ -160,7 +165,7 @@ def losses(group: Group, tables: dict[str, np.ndarray], figures: np.ndarray, tar
 def scored(ids: pa.Array, group: Group, target: np.ndarray, replies: list[tuple[int, bytes]], pair_weight: float, floor: float) -> pa.Table:
     parts = [unpack(data) for _, data in sorted(replies, key=lambda r: r[0])]
     figures = np.sum([p["figures"] for p in parts], axis=0)
-    tables = {f"{name}{kind}": np.concatenate([decoded(f"{name}{kind}", p) for p in parts]) for name in "wcp" for kind in range(2)}
+    tables = {f"{name}{kind}": np.concatenate([np.zeros(0, np.int64), *[decoded(f"{name}{kind}", p) for p in parts if f"{name}{kind}" in p]]) for name in "wcp" for kind in range(2)}
     n = group.n
     first = np.concatenate(([0], np.cumsum(n)))
     loss = losses(group, tables, figures, target, pair_weight, floor)
