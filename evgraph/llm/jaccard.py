@@ -218,7 +218,8 @@ def join(docs: DataFrame, threshold: float = 0.8, ngram: int = 5, recall: float
     classes = signed.groupBy("s1", "s2").agg(F.min(F.struct("id", "key")).alias("first"), F.count("*").alias("size"), F.max("p").alias("p"), F.max("bands").alias("bands"))
     classes = classes.withColumn("node", F.monotonically_increasing_id()).checkpoint()  # numbers hold once they are written
     each = classes.where("bands is not null").select("node", F.posexplode("bands").alias("band", "h"))
-    hubs = each.groupBy("band", "h").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("band", "h", "hub")
+    # written first, so that both sides of the join are plain exchanges and a hot band can be split
+    hubs = each.groupBy("band", "h").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("band", "h", "hub").checkpoint()
     stars = each.join(hubs, ["band", "h"]).where("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst")).distinct()
     members, buckets = candidates(stars)
     members = with_neighbours(members.join(classes.select("node", "p", "size"), "node"), block)
