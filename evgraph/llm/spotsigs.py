@@ -4,15 +4,15 @@ At each anchor (a common word of its language, such as an article) a chain is fo
 that aren't anchors themselves. The set of all chains of a text is its signature; navigation, lists and junk have few
 anchors and add little to it. A fingerprint is the sorted set as hexadecimal text, eight digits a chain.
 
-`near_duplicates` is the join of all documents:
-
-1. Equal signatures are one class. Signatures are partitioned by set length: LENGTH_RATIO is the ratio of a partition's bounds, and a set near
-   the upper bound is in the next partition too, so sets that can reach the threshold always share one.
-2. Within a partition an inverted index holds a signature under its rarest chains alone: of n chains n - ceil(t n) + 1, for two sets
-   that reach the threshold t must share one of these. Chains that a sample of documents shows to be common come last in that order, so no common
-   chain is an index key unless a signature has hardly any other. The sample only sets an order; results are the same for any.
-3. A key links each signature to its least one only (a star), so a key that many share is no list of pairs; components of the stars hold all
-   candidate pairs. Their full sets are compared exactly and pruned by length, in blocks (as in `jaccard`).
+`near_duplicates` is the join of all documents, on chains of 64 bits:
+
+1. Equal signatures are one class. Signatures are partitioned by set length: a length class spans a factor of 1 / t, and a set meets its own class and
+   the one above, so sets that can reach the threshold t always meet.
+2. Within a partition an inverted index holds a signature under its rarest chains alone, by their count over all signatures: of n chains n - ceil(t n) + 1,
+   for two sets that reach t must share one of these. A chain that many have is an index key only where a signature has hardly any other.
+3. Jaccard is computed pair by pair for what shares a key, pruned by both lengths and by the chains left behind the shared one. A key's members are first
+   compared with its least one; then only what that left apart meets the others (`operators.similarity.clusters`). So neither a chain that many share nor a
+   large group of copies is a list of all pairs, and candidates aren't closed to components before they are verified.
 4. Verified links are closed to classes.
 
 `compare_with_next` compares each document with its own edit and the next document by id. For the next document, rows are dealt by ranges of ids and sorted there, and the first row of each range is dealt to the range before as well; a task
@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
 from evgraph.llm.common import GROUP_BYTES, NO_ID, keyed, lean, measure, mix, range_hashes, with_checkpoint_dir
-from evgraph.llm.jaccard import UNITS, candidates, length_classes, unit_batch, units_of, verified, with_neighbours
 from evgraph.llm.words import hash_word, word_hashes
+from evgraph.operators.similarity import clusters
 
 ANCHORS = (
     "a an the of and to in is was be are that it for with on as by at from this which",
@@ -47,10 +47,8 @@ ANCHORS = (
 )
 CHAIN = 2
 MOST_RANGES = 4096
+#: Ratio of the bounds of a length class that a fingerprint is reported with.
 LENGTH_RATIO = 4.0
-#: Documents that are looked at for common chains, and the share of these that makes a chain common.
-SAMPLE_ROWS = 10_000
-COMMON = 0.001
 SLICE = 1 << 20
 LAST = np.iinfo(np.int64).min
 
@@ -59,8 +57,8 @@ def anchors() -> np.ndarray:
     return np.unique(np.array([hash_word(w) for words in ANCHORS for w in words.split()], dtype=np.uint64))
 
 
-def signature_sets(texts: list[str], common: np.ndarray, chain: int = CHAIN) -> list[np.ndarray]:
-    """Sorted 32-bit hashes of the chains of each text."""
+def chains_of(texts: list[str], common: np.ndarray, chain: int = CHAIN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text and 64-bit hash of each chain, and for each text the hash of all its words."""
     hashes, first = word_hashes(texts)
     at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
     anchor = common[at] == hashes
@@ -76,13 +74,32 @@ def signature_sets(texts: list[str], common: np.ndarray, chain: int = CHAIN) ->
     for j in range(chain):
         h *= np.uint64(0x9E3779B97F4A7C15)
         h += hashes[content[nth + j]]
-    pair = np.unique((text[spots].astype(np.uint64) << np.uint64(32)) | (mix(h) >> np.uint64(32)))
+    return text[spots], mix(h), range_hashes(hashes, first[:-1], first[1:])
+
+
+def signature_sets(texts: list[str], common: np.ndarray, chain: int = CHAIN) -> list[np.ndarray]:
+    """Sorted 32-bit hashes of the chains of each text."""
+    text, h, whole = chains_of(texts, common, chain)
+    pair = np.unique((text.astype(np.uint64) << np.uint64(32)) | (h >> np.uint64(32)))
     bounds = np.searchsorted(pair >> np.uint64(32), np.arange(len(texts) + 1))
     chains = (pair & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    whole = (range_hashes(hashes, first[:-1], first[1:]) >> np.uint64(32)).astype(np.uint32)
+    whole = (whole >> np.uint64(32)).astype(np.uint32)
     return [chains[a:b] if b > a else whole[i : i + 1] for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))]
 
 
+def wide_sets(texts: list[str], common: np.ndarray, chain: int = CHAIN) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted 64-bit hashes of the chains of each text, one text after another, and the first of each text (one more at the end)."""
+    text, h, whole = chains_of(texts, common, chain)
+    none = np.setdiff1d(np.arange(len(texts)), text)
+    text, h = np.concatenate((text, none)), np.concatenate((h, whole[none]))
+    order = np.lexsort((h, text))
+    text, h = text[order], h[order]
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = (text[1:] != text[:-1]) | (h[1:] != h[:-1])
+    text, h = text[new], h[new]
+    return h, np.searchsorted(text, np.arange(len(texts) + 1))
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Jaccard index of two sets."""
     same = len(np.intersect1d(a, b, assume_unique=True))
@@ -98,78 +115,27 @@ def length_class(size: int) -> int:
     return int(np.log(max(1, size)) / np.log(LENGTH_RATIO) + 1e-9)
 
 
-def index_keys(chains: np.ndarray, first: np.ndarray, common: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, key) of all index entries of many signatures, given one after another: each is held under its rarest chains, in its length
-    partition and, if it is near the upper bound, in the next. A key is a partition and a chain as one number."""
-    n = np.diff(first)
-    of = np.repeat(np.arange(len(n)), n)
-    order = np.lexsort((chains, np.isin(chains, common), of))
-    keep = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
-    at = order[np.arange(len(of)) - first[:-1][of] < keep[of]]
-    whose, rare = of[at], chains[at].astype(np.int64)
-    part, top = (np.array([length_class(int(x)) for x in sizes], dtype=np.int64) for sizes in (n, n / threshold + 1e-9))
-    more = np.flatnonzero(top[whose] > part[whose])
-    return np.concatenate((whose, whose[more])), np.concatenate((rare | part[whose] << 32, rare[more] | top[whose[more]] << 32))
-
-
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", block: int = 1500) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`id, key, class_id` of each document (key: hash of the row): the least id among documents whose signatures are linked by a
     Jaccard index of the threshold or more."""
     with_checkpoint_dir(docs.sparkSession)
     docs = keyed(docs, id_col, text_col)
-    rows, size = measure(docs)
-    some = docs.where(F.pmod("key", F.lit(max(1, rows // SAMPLE_ROWS))) == 0) if rows > SAMPLE_ROWS else docs
-
-    def chains(batches):
-        words = anchors()
-        for batch in batches:
-            for lo, hi in slices(batch.column(0), SLICE):
-                sets = signature_sets(batch.column(0).slice(lo, hi - lo).to_pylist(), words)
-                if sets:
-                    yield pa.record_batch([pa.array(np.concatenate(sets).astype(np.int64))], names=["chain"])
-
-    seen = some.select("text").mapInArrow(lean(chains), "chain long").groupBy("chain").agg(F.count("*").alias("n"))
-    # each has a share of the sample, so the list is no longer than 1 / COMMON times a signature
-    hot = np.array([r["chain"] for r in seen.where(F.col("n") >= max(20, int(COMMON * min(rows, SAMPLE_ROWS)))).collect()], dtype=np.uint32)
 
     def sign(batches):
         words = anchors()
         for batch in batches:
             column = batch.column(3)
             for lo, hi in slices(column, SLICE):
-                sets = signature_sets(column.slice(lo, hi - lo).to_pylist(), words)
-                first = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
-                codes = np.concatenate(sets).astype(np.uint64)
+                codes, first = wide_sets(column.slice(lo, hi - lo).to_pylist(), words)
                 digests = [pa.array(range_hashes(codes, first[:-1], first[1:], k).view(np.int64)) for k in range(2)]
-                p = pa.array(length_classes(np.diff(first), threshold))
-                yield pa.record_batch([*[batch.column(i).slice(lo, hi - lo) for i in range(3)], *digests, p, pa.array([x.tobytes() for x in sets], pa.binary())], names=["id", "no_id", "key", "d1", "d2", "p", "chains"])
-
-    signed = docs.select("id", "no_id", "key", "text").mapInArrow(lean(sign), "id long, no_id boolean, key long, d1 long, d2 long, p long, chains binary").checkpoint()
-    classes = signed.groupBy("d1", "d2").agg(F.min("id").alias("least"), F.max("p").alias("p"), F.first("chains").alias("chains"))
-    classes = classes.withColumn("node", F.monotonically_increasing_id()).checkpoint()  # numbers hold once they are written
-
-    def index(batches):
-        for batch in batches:
-            sets = [np.frombuffer(x, np.uint32) for x in batch.column(1).to_pylist()]
-            if sets:
-                whose, keys = index_keys(np.concatenate(sets), np.concatenate(([0], np.cumsum([len(x) for x in sets]))), hot, threshold)
-                yield pa.record_batch([batch.column(0).take(pa.array(whose)), pa.array(keys)], names=["node", "k"])
-
-    each = classes.select("node", "chains").mapInArrow(lean(index), "node long, k long")
-    hubs = each.groupBy("k").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("k", "hub")
-    stars = each.join(hubs, "k").where("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst")).distinct()
-    members, buckets = candidates(stars)
-
-    def sets(batches):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                held = zip(*[c.to_pylist() for c in batch.slice(lo, 1000).columns], strict=True)
-                yield unit_batch([u for node, comp, m, p, *beside, x in held for u in units_of(node, comp, m, p, beside, 1, np.frombuffer(x, np.uint32).astype(np.uint64).tobytes(), buckets, block)])
-
-    members = with_neighbours(members.join(classes.select("node", "p"), "node"), block)
-    units = members.join(classes.select("node", "chains"), "node").select("node", "comp", "m", "p", "below", "own", "above", "chains").mapInArrow(lean(sets), UNITS)
-    _, closed = verified(units, threshold)
-    named = classes.select("d1", "d2", "node", "least").join(closed, "node", "left").withColumn("component", F.coalesce("component", "node"))
+                chains = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(codes.view(np.int64)))
+                yield pa.record_batch([*[batch.column(i).slice(lo, hi - lo) for i in range(3)], *digests, chains], names=["id", "no_id", "key", "d1", "d2", "chains"])
+
+    signed = docs.select("id", "no_id", "key", "text").mapInArrow(lean(sign), "id long, no_id boolean, key long, d1 long, d2 long, chains array<long>").checkpoint()
+    # the first row of each digest has the set of all of them
+    sets = signed.groupBy("d1", "d2").agg(F.min("id").alias("least"), F.first("chains").alias("bits"))
+    classes = sets.withColumn("n", F.size("bits")).withColumn("key", F.monotonically_increasing_id()).checkpoint()  # numbers hold once they are written
+    named = classes.select("d1", "d2", "key", "least").join(clusters(classes.select("key", "bits", "n"), threshold), "key", "left").withColumn("component", F.coalesce("component", "key"))
     least = named.groupBy("component").agg(F.min("least").alias("class_id"))
     named = named.join(least, "component").select("d1", "d2", "class_id").checkpoint()
     out = signed.select("id", "no_id", "key", "d1", "d2").join(named, ["d1", "d2"])

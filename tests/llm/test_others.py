@@ -37,6 +37,30 @@ def test_search(spark, cells, monkeypatch):
     assert knn.search(table.limit(0), F.lit(True)).count() == 0 and knn.search(table.where("vec_id = 3"), F.pmod(F.col("id"), F.lit(50)) == 0).count() == 0
 
 
+def test_query_groups_that_need_the_same_rows_travel_together():
+    weight, queries = np.full(10, 1000.0), np.full(6, 256)
+    everything = np.ones((6, 10), dtype=bool)
+    assert sorted(map(sorted, knn.together(everything, weight, queries, 10_000))) == [[0, 1, 2, 3, 4, 5]]
+    assert sorted(map(len, knn.together(everything, weight, queries, 600))) == [2, 2, 2]  # a union is no larger than a task may hold
+    apart = np.zeros((6, 10), dtype=bool)
+    for g in range(6):
+        apart[g, g] = True
+    assert sorted(knn.together(apart, weight, queries, 10_000)) == [[g] for g in range(6)]
+    half = apart.copy()
+    half[:3, 6:] = True
+    found = sorted(map(sorted, knn.together(half, weight, queries, 10_000)))
+    assert found == [[0, 1, 2], [3], [4], [5]]
+    # rows that travel: never more than once for each group, nor more than all rows for each task of queries
+    r = np.random.default_rng(5)
+    for share in (0.02, 0.3, 0.9, 1.0):
+        needed, weight, queries = r.random((60, 200)) < share, r.integers(1, 500, 200).astype(float), r.integers(1, 400, 60)
+        unions = knn.together(needed, weight, queries, 2000)
+        sent = sum(needed[m].any(0) @ weight for m in unions)
+        assert sorted(g for m in unions for g in m) == list(range(60)) and sent <= (needed @ weight).sum() and all(queries[m].sum() <= 2000 for m in unions)
+        if share >= 0.9:
+            assert sent <= weight.sum() * (2 * queries.sum() / 2000 + 1)
+
+
 @pytest.mark.parametrize("block", [40_000, 8])
 def test_search_with_repeated_rows(spark, block, monkeypatch):
     monkeypatch.setattr(knn, "BLOCK_ROWS", block)
@@ -284,10 +308,10 @@ def test_fingerprints(spark):
     assert own[12] == next(x["fingerprint"] for x in got if x["id"] == 12)
 
 
-@pytest.mark.parametrize("block", [1500, 5])
-def test_signature_join(spark, block):
-    """Classes of all pairs at the threshold, by brute force, whatever the blocks; common chains and short signatures too."""
-    r = random.Random(11)
+@pytest.mark.parametrize("seed", [11, 12])
+def test_signature_join(spark, seed):
+    """Classes of all pairs at the threshold, by brute force; a chain that most texts have, a large group of near copies and short signatures too."""
+    r = random.Random(seed)
     words = ["the", "of", "der"] + ["t%d" % i for i in range(60)]
     base = [[r.choice(words) for _ in range(r.choice((3, 12, 60, 150, 400)))] for _ in range(25)]
     texts = [" ".join(w) for w in base]
@@ -296,6 +320,8 @@ def test_signature_join(spark, block):
             texts.append(" ".join(r.choice(words) if r.random() < share else x for x in w))
     boiler = "the big red fox of some far land"
     texts += [f"{boiler} the n{i} m{i} of k{i} l{i}" for i in range(12)] + [texts[0], None, "", "...", boiler, boiler + " the end here"]
+    copy = [r.choice(words) for _ in range(300)]
+    texts += [" ".join(w for j, w in enumerate(copy) if j not in (7 * i, 7 * i + 1)) for i in range(40)]
     rows = [(i, t, 1) for i, t in enumerate(texts)] + [(5, texts[5], 1), (None, texts[6], 1), (None, "the odd one out", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, key long").repartition(4)
     sets = [chains(t or "") for _, t, _ in rows]
@@ -312,6 +338,35 @@ def test_signature_join(spark, block):
             root[find(a)] = find(b)
     least = [min(ids[j] for j in range(len(rows)) if find(j) == find(i)) for i in range(len(rows))]
     want = Counter((i, None if c == math.inf else c) for (i, _, _), c in zip(rows, least, strict=True))
-    got = spotsigs.near_duplicates(docs, block=block)
+    got = spotsigs.near_duplicates(docs)
     assert Counter((x["id"], x["class_id"]) for x in got.collect()) == want
     assert spotsigs.near_duplicates(docs.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- messages
+
+
+def test_packed_arrays():
+    from evgraph.llm.common import pack, unpack
+
+    r = np.random.default_rng(1)
+    given = {"a": r.integers(0, 255, 1001).astype(np.uint8), "b": r.integers(-(2**60), 2**60, 77), "c": np.zeros(0, np.float64), "d": r.random(5) > 0.5, "e": r.random(9), "f": np.arange(3, dtype=np.uint16)}
+    back = unpack(pack(**given))
+    assert back.keys() == given.keys() and all(back[k].dtype == given[k].dtype and (back[k] == given[k]).all() for k in given)
+    assert all(len(x) == 0 for x in unpack(pack(x=np.zeros(0, np.uint64), y=np.zeros(0, np.int8))).values()) and unpack(pack()) == {}
+    assert len(pack(word=np.arange(1, dtype=np.uint64), place=np.zeros(1, np.int32))) < 100
+
+
+@pytest.mark.parametrize("scale", [1, 4])
+def test_messages_of_the_language_model_grow_with_their_contents(scale):
+    """As many words spread over more shards: empty messages are empty, and a shard's share of the rest shrinks with it."""
+    import pyarrow as pa
+
+    group = lm.Group(pa.array([" ".join(f"w{i}" for i in range(50 * k, 50 * k + 50)) for k in range(2)]))
+    target = np.array([True, False])
+    sizes = {n: [len(v.as_py()) for v in lm.sent(0, group, target, n).column("data")] for n in (8 * scale, 4000 * scale)}
+    assert all(len(x) == n for n, x in sizes.items())
+    few, many = sizes.values()
+    assert sum(x == 0 for x in many) >= len(many) - 202 and sum(many) < 202 * 400 and max(few) < 20_000
+    replies = lm.answers(lm.sent(0, group, target, 4000 * scale).filter(pa.compute.field("shard") > -1))
+    assert max(len(v.as_py()) for v, s in zip(replies.column("data"), many, strict=True) if not s) < 60
