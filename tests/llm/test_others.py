@@ -179,6 +179,47 @@ def test_composition_equals_one_transducer_after_another():
     assert all(after[s][grammar.KINDS.index("end")] == 0 for s in range(len(after)))
 
 
+def clause_events(kinds):
+    """What a clause's words say, told from the words around each and not by states."""
+    out, insults = [], 0
+    near = lambda kind, i, reach: kind in kinds[max(0, i - reach) : i]
+    hurts = [i for i, k in enumerate(kinds) if k in grammar.HURTS]
+    marks = {i: frozenset(["reported"] * ("report" in kinds[:i]) + ["negated"] * near("negation", i, grammar.REACH) + ["targeted"] * near("target", i, grammar.TARGET_REACH)) for i in hurts}
+    for i, kind in enumerate(kinds):
+        if kind == "insult":
+            out.append((kind, marks[i] | ({"again"} if insults else set())))
+            insults += 1
+        if kind == "threat" and "targeted" in marks[i]:
+            out.append((kind, marks[i]))
+        last = max((j for j in hurts if j < i), default=None)
+        if kind == "target" and last is not None and i - last <= grammar.TARGET_REACH and "target" not in kinds[last:i] and "targeted" not in marks[last]:
+            out.append((kinds[last], marks[last] | {"targeted", "late"}))
+    return out
+
+
+def test_scores_by_brute_force(spark):
+    """Scores of random clauses: words told from their neighbours, fixed weights, the logistic curve."""
+    words = {"insult": ["idiot", "losers", "grimox"], "threat": ["kill", "burning"], "target": ["you", "tú"], "negation": ["not", "kein"], "report": ["said", "wrote"], "other": ["lamp", "über", "x1", "killjoy"], "end": [".", "!", "\n", ";"]}
+    g, r = toxicity.Grammar(frozenset({"idiot", "loser"}), frozenset({"grimo"})), random.Random(8)
+    weight = dict(zip(toxicity.EVENTS, g.weights[1:], strict=True))
+    rows, want = [], {}
+    for n in range(1500):
+        kinds = r.choices(list(words), weights=r.choice(((3, 3, 3, 2, 2, 9, 2), (1, 1, 1, 1, 1, 30, 4))), k=r.choice((1, 5, 12, 60)))
+        rows.append((n, " ".join(r.choice(words[k]) for k in kinds)))
+        found, clause = Counter(), []
+        for k in [*kinds, "end"]:
+            if k == "end":
+                found.update(clause_events(clause))
+                clause = []
+            else:
+                clause.append(k)
+        odds = g.weights[0] + sum(weight[e] * (1 + math.log(c)) for e, c in found.items())
+        want[n] = 1 / (1 + math.exp(-max(-30, min(30, odds))))
+    got = {x["id"]: x["score"] for x in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), g).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[n], want[n], rel_tol=1e-9) for n in want)
+    assert sum(v >= 0.5 for v in want.values()) > 300 and sum(v < 0.5 for v in want.values()) > 300
+
+
 def test_clauses():
     g = toxicity.Grammar(frozenset({"idiot", "worthless", "loser"}), frozenset({"grimo"}))
     f = lambda t: float(g.score(g.counts([t]))[0])
