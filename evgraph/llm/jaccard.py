@@ -223,10 +223,15 @@ def join(docs: DataFrame, threshold: float = 0.8, ngram: int = 5, recall: float
     stars = each.join(hubs, ["band", "h"]).where("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst")).distinct()
     members, buckets = candidates(stars)
     members = with_neighbours(members.join(classes.select("node", "p", "size"), "node"), block)
-    members = members.join(classes.select("node", F.col("first.id").alias("id"), F.col("first.key").alias("key")), "node")
+    # written first, so that the rows of a representative that repeats can be split in the join below
+    members = members.join(classes.select("node", F.col("first.id").alias("id"), F.col("first.key").alias("key")), "node").checkpoint()
 
     def sets(batches):
+        met: set[int] = set()  # nodes that this task has sent: a representative's copies meet here, and one set is enough
         for batch in batches:
+            nodes = batch.column(0).to_pylist()
+            new = [i for i, node in enumerate(nodes) if node not in met and not met.add(node)]
+            batch = batch.take(pa.array(new, pa.int64())) if len(new) < len(nodes) else batch
             column = batch.column(8)
             for lo, hi in slices(column, SLICE):
                 hashes, first = word_hashes(column.slice(lo, hi - lo).to_pylist())

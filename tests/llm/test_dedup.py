@@ -156,6 +156,19 @@ def test_keep_first(spark):
     assert jaccard.join(docs.limit(0)).count() == 0 and jaccard.keep_first(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("same_id", [1, None])
+def test_copies_of_a_row_send_one_set(spark, same_id, monkeypatch):
+    """5,000 equal rows and a near copy: the task that they meet in sends two sets, and all rows get their class."""
+    sent = []
+    real = jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda units, threshold: sent.append(units.count()) or real(units, threshold))
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.range(5000).selectExpr(f"CAST({'NULL' if same_id is None else same_id} AS LONG) AS doc_id", f"'{text}' AS text").unionByName(spark.createDataFrame([(2, text + " more"), (3, "something else")], "doc_id long, text string"))
+    got = Counter((x["id"], x["class_id"], x["n_links"]) for x in jaccard.join(docs.repartition(7)).select("id", "class_id", "n_links").collect())
+    least = 2 if same_id is None else 1
+    assert got == {(same_id, least, 5000): 5000, (2, least, 5000): 1, (3, 3, 0): 1} and sent[0] <= 16
+
+
 def test_keep_first_of_rows_without_id(spark):
     schema = "doc_id long, text string, _id string, _key string, _n int, key string"
     lone = [(None, "one two three four five six", "A", "B", 7, "k"), (None, "quite another text of some words", "A", "C", 8, "k")]
