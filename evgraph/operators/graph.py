@@ -26,7 +26,7 @@ def hops(starts: DataFrame, edges: DataFrame, most: int, targets: DataFrame | No
     (start, target) only these rows. Each level is one join, deduplicated and without nodes already reached. With targets, a start whose targets are
     all found goes no further, and the last level is met from the targets' side."""
     ensure_checkpoint_dir(edges.sparkSession)
-    step = edges.select(F.col("_from").alias("node"), F.col("_to").alias("next")).distinct()
+    step = edges.select(F.col("_from").alias("node"), F.col("_to").alias("next")).distinct().checkpoint()  # every level reads it
     front = starts.select("start", F.col("start").alias("node")).distinct()
     seen = front.withColumn("hops", F.lit(0))
     left = targets.select("start", F.col("target").alias("node")).distinct() if targets is not None else None
@@ -53,7 +53,8 @@ def cognate_pairs(edges: DataFrame, kind: str, pairs: int = 150) -> DataFrame:
 
 def alternative_paths(edges: DataFrame, kind: str, pairs: int = 150, most: int = 4) -> DataFrame:
     """pairs, with_path, mean_length: how the pairs joined by a type are connected without it, in 1..most directed hops."""
-    chosen = cognate_pairs(edges, kind, pairs)
+    ensure_checkpoint_dir(edges.sparkSession)
+    chosen = cognate_pairs(edges, kind, pairs).checkpoint()  # `pairs` rows that several joins read
     found = hops(chosen, edges.where(F.col("_type") != kind), most, chosen)
     joined = chosen.join(found, (chosen["start"] == found["start"]) & (chosen["target"] == found["node"]), "left")
     return joined.agg(F.count("*").alias("pairs"), F.count("hops").alias("with_path"), F.round(F.avg("hops"), 4).alias("mean_length"))

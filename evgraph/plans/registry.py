@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from evgraph import schema
 from evgraph.functions import scoring
 from evgraph.operators import centrality, contract, expand, graph, history, migrate, neighbours, paths, similarity, upsert
+from evgraph.operators.components import ensure_checkpoint_dir
 from evgraph.plans import adhoc, fixture_seeds, oracle as o, report
 from evgraph.plans import fixture_graph as fx
 from evgraph.sources import seeds, tables, versions
@@ -425,7 +426,8 @@ SELECT count(DISTINCT m) AS n FROM (SELECT a, min(b) AS m FROM reach GROUP BY 1)
 FROM ({SQL["e3_alternative_paths"]}) p, ({SQL["e4_hub_reach"]}) h)
 SELECT *, CASE WHEN pct_with_path <= 80 THEN 'NOT CONFIRMED' WHEN mean_length <= 2.2 OR reach_pct > 20 THEN 'SEVERE' ELSE 'CONFIRMED BUT BOUNDED' END AS verdict FROM r""")
 def e5_e6_gap_report(spark, d):
-    return graph.gap_report(structure(spark, d), "PREFERS", "BUYS_BULK", "SUPPLIES", fx.read(spark, d, "part").count())
+    ensure_checkpoint_dir(spark)
+    return graph.gap_report(structure(spark, d).checkpoint(), "PREFERS", "BUYS_BULK", "SUPPLIES", fx.read(spark, d, "part").count())
 
 
 @query("""WITH r AS (SELECT CASE WHEN count(*) > 0 THEN ['Customer'] ELSE [] END AS reachable FROM orders JOIN customer ON o_custkey = c_custkey)
@@ -687,6 +689,8 @@ ROLES = {
 def capability_status(spark, d):
     signed = F.when(F.col("effect_size") > 0.2, 1).when(F.col("effect_size") < -0.2, -1).otherwise(0)
     edges = bundled(spark, d).withColumn("direction", signed).unionByName(fx.bulk(spark, d), allowMissingColumns=True).unionByName(fx.places(spark, d), allowMissingColumns=True)
+    ensure_checkpoint_dir(spark)
+    edges = edges.checkpoint()  # three passes read them: scored once
     nodes = stamped_nodes(spark, d).withColumn("source", F.when(F.col("category").isNotNull(), F.col("source")))  # what has no category has no known source
     return report.capabilities(nodes, edges, ROLES)
 

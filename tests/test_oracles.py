@@ -13,6 +13,7 @@ from evgraph.plans import registry
 NAMES = [
     "m1_edges_by_tier_and_flag", "d15_score_edges", "w1_w2_changes_and_stability", "a4_upsert_edges", "a5_dangling_edges", "c4_node_violations", "e2_components_of_chains", "e3_alternative_paths", "e4_hub_reach", "e9_migrate_edges",
     "e15_undirected_paths", "q5_breadth", "k_capabilities", "r1_r2_verdicts", "x1_edge_budget", "b1_diseases", "b4_interactions", "b9_annotations", "b17_drug_edges",
+    "t10_common_neighbours", "sim03_tanimoto_members", "r15_best_paths", "n01_n02_role_matrix", "k_capability_details", "d15_edge_bundle",
 ]
 
 
