@@ -13,6 +13,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,15 +30,19 @@ def _libc():
     return ctypes.CDLL("libc.so.6") if sys.platform == "linux" else None
 
 
+# Spark reuses its Python workers, so memory that one frees should go back at once: in a worker, which imports this within a task,
+# arrays of 1 MB and more get pages of their own. The driver's process is left as it is.
+if TaskContext.get() is not None:
+    with contextlib.suppress(OSError, AttributeError):
+        if _libc():
+            _libc().mallopt(-3, 1 << 20)
+
+
 def lean(run):
-    """For a function over a task's batches: gives memory back when the task ends. Spark reuses its Python workers, so memory that a worker frees
-    should go back at once: there arrays of 1 MB and more get pages of their own."""
+    """For a function over a task's batches: gives memory back when the task ends."""
 
     @functools.wraps(run)
     def wrapped(batches):
-        with contextlib.suppress(OSError, AttributeError):
-            if _libc():
-                _libc().mallopt(-3, 1 << 20)
         try:
             yield from run(batches)
         finally:
