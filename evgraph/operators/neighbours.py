@@ -22,7 +22,9 @@ from evgraph.operators.components import ensure_checkpoint_dir
 
 def adjacency(edges: DataFrame, hub_labels: list[str] | None = None, without: list[str] = ()) -> DataFrame:
     """a, hub: each node with each of its neighbours, once. With `hub_labels` only neighbours of these labels count, and none of
-    those in `without` (context labels, which tell nothing of their neighbours); labels need from_label and to_label."""
+    those in `without` (context labels, which tell nothing of their neighbours); labels need from_label and to_label. Written, as all that follows
+    reads it several times."""
+    ensure_checkpoint_dir(edges.sparkSession)
     labels = [F.col(c) if c in edges.columns else F.lit(None).cast("string") for c in ("from_label", "to_label")]
     out = edges.select(F.col("_from").alias("a"), F.col("_to").alias("hub"), labels[1].alias("l")).unionByName(edges.select(F.col("_to").alias("a"), F.col("_from").alias("hub"), labels[0].alias("l")))
     out = out.where("a <> hub")
@@ -30,7 +32,7 @@ def adjacency(edges: DataFrame, hub_labels: list[str] | None = None, without: li
         out = out.where(F.col("l").isin(*hub_labels))
     if without:
         out = out.where(F.col("l").isNull() | ~F.col("l").isin(*without))
-    return out.select("a", "hub").distinct()
+    return out.select("a", "hub").distinct().checkpoint()
 
 
 def with_degrees(near: DataFrame) -> DataFrame:

@@ -133,7 +133,7 @@ class VersionedTable:
         never_replace = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
         never_replace[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").NONE
         try:
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration()).rename(draft, target, never_replace)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration()).rename(draft, target, never_replace)
         except Py4JJavaError as e:
             fs.delete(draft, False)
             if "FileAlreadyExistsException" in str(e.java_exception):
