@@ -70,6 +70,32 @@ def test_no_unit_of_wedges_grows_with_its_hub(spark):
     assert neighbours.wedges(neighbours.with_degrees(near), 50).distinct().count() == 400 * 399 // 2
 
 
+def shuffled_rows(spark):
+    context = spark.sparkContext
+    stages = context._jsc.sc().statusStore().stageList(None, False, False, context._gateway.new_array(context._jvm.double, 0), None)
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_pairs_are_not_shuffled(spark):
+    """40 hubs of 200 nodes make 796,000 pairs; what travels is a list for each node and hub."""
+    near = spark.range(8000).selectExpr("concat('n', id % 2000) AS a", "concat('h', id * 7 % 40, '-', id div 8000) AS hub").distinct().checkpoint()
+    before = shuffled_rows(spark)
+    counts = {x["n_common"]: x["pairs"] for x in neighbours.pair_counts(near).collect()}
+    pairs = defaultdict(set)
+    for x in near.collect():
+        pairs[x["hub"]].add(x["a"])
+    shared_hubs = Counter(p for nodes in pairs.values() for p in itertools.combinations(sorted(nodes), 2))
+    assert counts == Counter(shared_hubs.values())
+    assert shuffled_rows(spark) - before < len(shared_hubs) / 2
+
+
+def test_large_hubs_make_no_pairs_of_nodes_that_differ(spark):
+    """Each two of 100,000 leaves have a hub of their own beside the large one: five thousand million pairs are counted, not made."""
+    of = "concat('x', id) AS a"
+    near = spark.range(100_000).selectExpr(of, "'hub' AS hub").unionByName(spark.range(100_000).selectExpr(of, "concat('h', id div 2) AS hub"))
+    assert {x["n_common"]: x["pairs"] for x in neighbours.pair_counts(near).collect()} == {1: 100_000 * 99_999 // 2 - 50_000, 2: 50_000}
+
+
 def prints(seed):
     r = random.Random(seed)
     base = [r.sample(range(300), r.randint(1, 40)) for _ in range(60)]
