@@ -166,3 +166,11 @@ def test_expansion(spark):
     assert sum(r[0] == "R" for r in rows) == 59 and sorted(rows) == sorted(tuple(r) for r in expand.expand(needs, nodes, none).collect())
     head = sum(r[2] < "B:020" for r in rows if r[0] == "R")
     assert head > 59 / 2
+
+
+def test_each_response_is_parsed_once(spark):
+    """Filters on parsed values aren't pushed below the parser with copies of it."""
+    raw = spark.createDataFrame([("s", "u", None, '{"data": {"target": {"id": "E1", "homologues": [{"targetGeneSymbol": "g", "speciesId": "1"}]}}}')], "source string, url string, retrieved_at timestamp, data string")
+    for parse in (seeds.target_diseases, seeds.target_drugs, seeds.target_homologues):
+        assert parse(raw)._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert [x["target_symbol"] for x in seeds.target_homologues(raw).collect()] == ["g"] and not seeds.target_drugs(raw).count()
