@@ -82,3 +82,13 @@ def test_history(spark):
     assert got["h", 1]["delta_MC"] is None and got["h", 1]["stability"] == 1.0 and got["one", 1]["stability"] == 1.0
     assert got["h", 4]["delta_MC"] == 0.4 and got["h", 4]["stability"] == pytest.approx(1 - (0.5 / 3) / 0.2, abs=1e-4)
     assert got["h", 6]["stability"] == pytest.approx(max(0, 1 - (0.0 + 0.4 + 0.01 + 0.01) / 4 / 0.2), abs=1e-4)
+
+
+def test_components_broadcast_nothing(spark):
+    """Nothing is gathered in the driver, where tables are small enough for it, either."""
+    chain = spark.createDataFrame([(i, i + 1) for i in range(20)], "src long, dst long")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1b")
+    try:
+        assert {r["component"] for r in connected_components(chain).collect()} == {0}
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
