@@ -152,3 +152,24 @@ def test_clusters(spark, threshold):
     want = {x["node"]: x["component"] for x in connected_components(similar(classes, threshold), "x", "y").collect()}
     assert {x["key"]: x["component"] for x in clusters(classes, threshold).collect()} == want and len(set(want.values())) > 3
     assert clusters(classes.limit(0), threshold).count() == 0
+
+
+def test_pairs_are_told_where_they_meet(spark, monkeypatch):
+    """Pairs that share several indexed bits come once, without being shuffled to be made distinct, and entries of more than a block lose none."""
+    from evgraph.operators import similarity as module
+
+    monkeypatch.setattr(module, "BLOCK", 3)
+    rng = random.Random(5)
+    sets = {i: frozenset(rng.sample(range(14), rng.randint(2, 7))) for i in range(150)}
+    rows = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "id int, bits array<int>")
+    found = Fingerprints(rows)
+    pairs = similar_classes(found, 0.5)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan.split("Join")[0] and "Deduplicate" not in plan  # nothing is collapsed above the join
+    first = {}
+    for i, s in sets.items():
+        first.setdefault(s, i)
+    want = Counter((i, j) for s, i in first.items() for t, j in first.items() if i < j and len(s & t) >= 0.5 * len(s | t) - 1e-9)
+    assert Counter((r["a"], r["b"]) for r in pairs.collect()) == want and len(want) > 300
+    n = {r["id"]: r["n_similar"] for r in members(found, 0.5).collect()}
+    assert n == {i: sum(len(s & t) >= 0.5 * len(s | t) - 1e-9 for t in sets.values()) - 1 for i, s in sets.items()}
