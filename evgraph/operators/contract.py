@@ -105,7 +105,7 @@ def provenance_violations(rows: DataFrame, key: str = "uid") -> DataFrame:
 
 def node_violations(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """(uid, problem) of each broken rule. labels: (label, layer, species_agnostic, required ARRAY<STRING>), a few rows."""
-    spec = labels.select(F.col("label").alias("entity_type"), F.col("layer").alias("_layer"), "species_agnostic", "required")
+    spec = F.broadcast(labels.select(F.col("label").alias("entity_type"), F.col("layer").alias("_layer"), "species_agnostic", "required"))
     rows = with_columns(nodes, [*NODE_REQUIRED, "synthesis_method"]).join(spec, "entity_type", "left")
     c = F.col
     known, has_method = c("_layer").isNotNull(), F.coalesce(c("synthesis_method") != "", F.lit(False))  # an empty method is none
@@ -125,9 +125,10 @@ def node_violations(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select("uid", F.explode(F.concat(_problems(checks), unknown_fields(nodes))).alias("problem"))
 
 
-def split_nodes(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected with reasons) before stamping: unknown label, empty id, missing type field or species."""
-    spec = labels.select(F.col("label").alias("entity_type"), "species_agnostic", "required")
+def judged_nodes(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Adds reasons (empty if valid) before stamping: unknown label, empty id, missing type field or species. The specs are broadcast: nodes
+    shuffled by their label would all land in as many tasks as there are labels."""
+    spec = F.broadcast(labels.select(F.col("label").alias("entity_type"), "species_agnostic", "required"))
     c = F.col
     known = c("required").isNotNull()
     checks = [
@@ -136,14 +137,23 @@ def split_nodes(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFram
         (known & ~c("species_agnostic") & absent(rows, "species"), "missing species"),
         *[(known & F.array_contains("required", x) & c(x).isNull(), f"missing type field {x}") for x in rows.columns if x not in ("entity_type", "canonical_id")],
     ]
-    judged = rows.join(spec, "entity_type", "left").withColumn("reasons", F.concat(_problems(checks), unknown_fields(rows))).select(*rows.columns, "reasons")
+    return rows.join(spec, "entity_type", "left").withColumn("reasons", F.concat(_problems(checks), unknown_fields(rows))).select(*rows.columns, "reasons")
+
+
+def split_nodes(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected with reasons) of `judged_nodes`."""
+    judged = judged_nodes(rows, labels)
     return judged.where(F.size("reasons") == 0).drop("reasons"), judged.where(F.size("reasons") > 0)
 
 
+def edge_reasons(rows: DataFrame, required: list[str] | None = None) -> Column:
+    """Why an edge is rejected (empty if valid): self-loops and missing fields; a field without a column is missing everywhere."""
+    return _problems([(F.col("_from") == F.col("_to"), "self-loop"), *[(absent(rows, x), f"missing {x}") for x in required or EDGE_REQUIRED]])
+
+
 def split_edges(rows: DataFrame, required: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected with reasons): self-loops and missing fields; a field without a column is missing everywhere."""
-    checks = [(F.col("_from") == F.col("_to"), "self-loop"), *[(absent(rows, x), f"missing {x}") for x in required or EDGE_REQUIRED]]
-    judged = rows.withColumn("reasons", _problems(checks))
+    """(valid, rejected with reasons) by `edge_reasons`."""
+    judged = rows.withColumn("reasons", edge_reasons(rows, required))
     return judged.where(F.size("reasons") == 0).drop("reasons"), judged.where(F.size("reasons") > 0)
 
 
