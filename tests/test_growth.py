@@ -4,6 +4,7 @@ from conftest import SMALL
 
 from evgraph.operators import contract
 from evgraph.plans import registry
+from evgraph.sources import seeds
 
 
 def optimized(df):
@@ -22,3 +23,12 @@ def test_specs_are_broadcast(spark):
 
 def test_edges_are_judged_in_one_pass(spark):
     assert optimized(registry.queries()["c5_edge_rejections"](spark, SMALL)).count("Join ") == 1
+
+def test_memberships_are_distinct_before_they_are_edges(spark):
+    rows = spark.createDataFrame([("a", "p", "1"), ("a", "q", "1"), ("a", "q", "1"), (None, "p", "2"), ("b", None, "2"), ("b", "p", None)], "gene_symbol string, protein_id string, pathway_id string")
+    edges = seeds.membership_edges(rows)
+    keys = [x.split("Aggregate [")[1].split("]")[0] for x in optimized(edges).splitlines() if "Aggregate [" in x]
+    assert len(keys) == 2 and not any("_from" in k for k in keys)
+    got = [tuple(r) for r in edges.collect()]
+    g, p = "PARTICIPATES_IN", "PROTEIN_PARTICIPATES_IN"
+    assert sorted(got, key=str) == sorted([("Gene:a", g, "Pathway:1"), ("Gene:b", g, "Pathway:2"), ("Gene:b", g, None), ("Protein:p", p, "Pathway:1"), ("Protein:q", p, "Pathway:1"), ("Protein:p", p, "Pathway:2"), ("Protein:p", p, None)], key=str)
