@@ -1,8 +1,10 @@
 """Steps whose tasks or passes grew faster than their input: plans without them, and the same rows as before."""
 
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from evgraph.operators import contract
+from evgraph.operators.paths import best_paths, trait_scores
 from evgraph.plans import registry
 from evgraph.sources import seeds
 
@@ -32,3 +34,15 @@ def test_memberships_are_distinct_before_they_are_edges(spark):
     got = [tuple(r) for r in edges.collect()]
     g, p = "PARTICIPATES_IN", "PROTEIN_PARTICIPATES_IN"
     assert sorted(got, key=str) == sorted([("Gene:a", g, "Pathway:1"), ("Gene:b", g, "Pathway:2"), ("Gene:b", g, None), ("Protein:p", p, "Pathway:1"), ("Protein:q", p, "Pathway:1"), ("Protein:p", p, "Pathway:2"), ("Protein:p", p, None)], key=str)
+
+
+def test_scores_are_shuffled_as_lists(spark):
+    """No row for each trait and node is shuffled, and paths need no sort for their best hops."""
+    edges = spark.createDataFrame([("s", "a", 0.9), ("s", "b", 1.0), ("t", "b", 0.95)], "_from string, _to string, ES_edge double")
+    loci = spark.createDataFrame([("x", "s", 1e-12), ("x", "t", 1e-20), ("y", "t", 1e-11), ("y", "s", 0.0)], "_from string, _to string, adj_p double")
+    reach = best_paths(edges, loci.select(F.col("_to").alias("start")), most=1)
+    found = trait_scores(loci, reach)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_from" in plan and not any("Exchange hashpartitioning" in x and "node" in x for x in plan.splitlines())
+    assert "SortAggregate" not in reach._jdf.queryExecution().executedPlan().toString()
+    assert {(r["_from"], r["node"]): round(r["score"], 6) for r in found.collect()} == {("x", "a"): 10.8, ("x", "b"): 19.0, ("y", "b"): 10.45}
