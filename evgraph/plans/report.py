@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from evgraph.operators.components import ensure_checkpoint_dir
+
 
 def counts_by(rows: DataFrame, *columns: str) -> DataFrame:
     """(dimension, value, n) of each column in one pass; nulls dropped."""
@@ -144,13 +146,19 @@ def rules(figures: set[str]) -> list[tuple[str, str, Column, Column]]:
 
 
 def capabilities(nodes: DataFrame, edges: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
-    """(capability, status, description, detail): conditional aggregates over nodes and over edges (with labels)."""
+    """(capability, status, description, detail): conditional aggregates over nodes and over edges (with labels), these in one pass."""
     checks = Checks(nodes, edges, names)
-    a, b = checks.node_aggregates(), checks.edge_aggregates()
+    a, b, kinds = checks.node_aggregates(), checks.edge_aggregates(), checks.edge_kinds()
     history = edges.where((F.col("_type") == checks.name("HAS_VERSION")) & (F.col("from_label") == checks.name("Hypothesis"))).groupBy("_from").agg(F.count("*").alias("v")).agg(F.count_if(F.col("v") >= 2).alias("with_history"), F.avg(F.when(F.col("v") >= 2, F.col("v"))).alias("avg_versions"))
-    figures = {*a, *b, *checks.node_kinds(), *checks.edge_kinds(), "with_history"}
+    figures = {*a, *b, *checks.node_kinds(), *kinds, "with_history"}
+    # edges are read once: their figures are kept for each combination of the kinds, and both sums and different kinds follow from these rows
+    cells = edges.groupBy(*[v.alias(f"_{k}") for k, v in kinds.items()]).agg(*[v.alias(k) for k, v in b.items()])
+    ensure_checkpoint_dir(edges.sparkSession)
+    cells = cells.checkpoint()
+    over = {"year_lo": F.min, "year_hi": F.max}
+    whole = cells.agg(*[over[k](k).alias(k) if k in over else F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in b])
     one = nodes.agg(*[v.alias(k) for k, v in a.items()])
-    for row_ in (edges.agg(*[v.alias(k) for k, v in b.items()]), different(nodes, checks.node_kinds()), different(edges, checks.edge_kinds()), history):  # single rows
+    for row_ in (whole, different(nodes, checks.node_kinds()), different(cells, {k: F.col(f"_{k}") for k in kinds}), history):  # single rows
         one = one.crossJoin(row_)
     row = lambda k, st, d, x: F.struct(F.lit(k).alias("capability"), st.alias("status"), F.lit(d).alias("description"), x.alias("detail"))
     found = [row(k, F.when(F.coalesce(ok, F.lit(False)), "PASS").otherwise("FAIL"), d, F.coalesce(x, F.lit("no rows"))) for k, d, ok, x in rules(figures)]
