@@ -1,7 +1,7 @@
 """Removal of byte strings that occur more than once, through a sparse suffix array.
 
 Of all suffixes only those at anchors are sorted. An anchor of a string of `length` bytes is the leftmost of its 64-byte
-grams with the least hash, so equal strings have equal anchors at equal places, and one anchor stands for a run of
+grams with the least rank (a short hash), so equal strings have equal anchors at equal places, and one anchor stands for a run of
 strings that overlap: its context. Two strings can only be equal if their anchors' grams are.
 
 1. A count-min sketch of anchor grams (see `substring.sketch`; it grows with the input and is never gathered) tells which anchors occur once:
@@ -10,7 +10,7 @@ strings that overlap: its context. Two strings can only be equal if their anchor
    never part equal tokens, so no equal pair straddles a boundary. An anchor that the sample shows to be hot is
    not kept together: each of its strings travels on its own, by the hash of all its bytes, and is compared there.
 3. A bucket settles equal contexts at once. For anchors with several contexts it sorts the strings by a multikey quicksort
-   over 8-byte characters (ties go on to the next character), which leaves exactly the equal ones.
+   over 8-byte characters (ties go on to the next character; a group is sorted only by characters that part it), which leaves exactly the equal ones.
 4. Marks meet their documents by a hash of the row, and covered bytes are left out.
 
 A null text is empty. A text shorter than `length` loses nothing. Texts of any size are worked on in pieces that overlap.
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evgraph.llm.bpe import slices
-from evgraph.llm.common import CHUNK, NO_ID, STEP, binary, byte_range_hashes, byte_windows, covered, groups_for, joined, lean, longs, measure, pack, pieces, spread, unpack, utf8
+from evgraph.llm.common import CHUNK, NO_ID, STEP, binary, byte_range_hashes, covered, eights, groups_for, joined, lean, longs, measure, pack, pieces, spread, unpack, utf8
 from evgraph.llm.substring import by_group, dealt, marks_of, repeated, rows_of, sketch, with_marks
 
 GRAM = 64
@@ -37,44 +37,70 @@ SLICE = 8 << 20
 SAMPLE = 64 << 20
 TOKEN = 16
 #: Strings that one sorting step holds.
-BLOCK = 1 << 18
+BLOCK = 1 << 16
+#: For the ranks of grams: they only choose anchors, so what collides loses nothing.
+_RANK = (np.uint64(0x9E3779B97F4A7C15), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
+
+
+def least_grams(data: np.ndarray, width: int, gram: int, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places where the leftmost least gram of `width` in a row isn't that of the place before, or that are in `heads` (sorted), and that gram.
+    Grams are ranked by the upper bits of a 32-bit hash, whose lower ones are the place (17 and 15 for strings of 200 bytes)."""
+    n = len(data) - gram - width + 2
+    bits = (STEP + width).bit_length()  # of a place within a step
+    place = np.arange(1 << bits, dtype=np.uint32)
+    last = np.uint32(place[-1])
+    words, at, anchors, before = eights(data), [], [], -1
+    bounds = np.searchsorted(heads, np.arange(0, n + STEP, STEP)).tolist()
+    for k, x in enumerate(range(0, n, STEP)):
+        y = min(n, x + STEP)
+        h = (words[x : y + width + gram - 9] * _RANK[0] >> np.uint64(32)).astype(np.uint32)
+        size = 8
+        while size < gram:  # the last one overlaps, if gram is no power of two
+            step = min(size, gram - size)
+            left = h[:-step] * _RANK[1]
+            left ^= left >> np.uint32(15)
+            left += h[step:]
+            left *= _RANK[2]
+            h, size = left, size + step
+        h &= ~last
+        h |= place[: len(h)]
+        step = 1
+        while step * 2 <= width:
+            h = np.minimum(h[:-step], h[step:])
+            step *= 2
+        if width > step:
+            h = np.minimum(h[: len(h) - (width - step)], h[width - step :])
+        new = np.empty(y - x, dtype=bool)
+        new[0] = x + int(h[0] & last) != before
+        np.not_equal(h[1:], h[:-1], out=new[1:])
+        new[heads[bounds[k] : bounds[k + 1]] - x] = True
+        before = x + int(h[-1] & last)
+        here = np.flatnonzero(new)
+        at.append(here + x)
+        anchors.append((h[here] & last).astype(np.int64) + x)
+    return np.concatenate(at), np.concatenate(anchors)
 
 
 def contexts(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM):
     """For each anchor of each text: text, start and end of its context, the anchor, and two hashes of its gram."""
     out: list[list[np.ndarray]] = [[] for _ in range(6)]
-    width = length - gram + 1
     for part in pieces(offsets, length - 1):
         base, top = part[0][1], part[-1][3]
         here = data[base:top]
         if len(here) < length:
             continue
-        grams = byte_windows(here, gram)
-        least = np.empty(len(grams) - width + 1, dtype=np.int64)
-        for x in range(0, len(least), STEP):  # where the least gram of each string is
-            y = min(len(least), x + STEP)
-            part_ = (grams[x : y + width - 1] & np.uint64(0xFFFFFFFF00000000)) | np.arange(x, y + width - 1, dtype=np.uint64)
-            step = 1
-            while step * 2 <= width:
-                part_ = np.minimum(part_[:-step], part_[step:])
-                step *= 2
-            if width > step:
-                part_ = np.minimum(part_[: len(part_) - (width - step)], part_[width - step :])
-            least[x:y] = (part_ & np.uint64(0xFFFFFFFF)).view(np.int64)
         rows, lo, own, end = (np.array(x, dtype=np.int64) for x in zip(*part, strict=True))
-        n = np.maximum(0, np.minimum(own, end - length + 1) - lo)  # strings that start in each piece
-        total = int(n.sum())
-        if not total:
+        n = np.minimum(own, end - length + 1) - lo  # strings that start in each piece
+        rows, lo, n = rows[n > 0], lo[n > 0] - base, n[n > 0]
+        if not len(n):
             continue
-        starts = np.repeat(lo - base - (np.cumsum(n) - n), n) + np.arange(total)
-        of = np.repeat(np.arange(len(n)), n)
-        anchor = least[starts]
-        head = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (of[1:] != of[:-1])))
-        first = np.flatnonzero(head)
-        last = np.append(first[1:], total) - 1
-        anchor = anchor[first]
-        other = byte_range_hashes(here, anchor, anchor + gram, 1)
-        for x, y in zip(out, (rows[of[first]], starts[first] + base, starts[last] + base + length, anchor + base, grams[anchor], other), strict=True):
+        first, anchor = least_grams(here, length - gram + 1, gram, lo)
+        of = np.searchsorted(lo, first, side="right") - 1
+        inside = (of >= 0) & (first < (lo + n)[of])
+        first, anchor, of = first[inside], anchor[inside], of[inside]
+        last = np.minimum(np.append(first[1:], len(here)) - 1, (lo + n)[of] - 1)
+        one, other = (byte_range_hashes(here, anchor, anchor + gram, kind) for kind in range(2))
+        for x, y in zip(out, (rows[of], first + base, last + base + length, anchor + base, one, other), strict=True):
             x.append(y)
     return [np.concatenate(x) if x else np.zeros(0, np.uint64 if i > 3 else np.int64) for i, x in enumerate(out)]
 
@@ -112,25 +138,31 @@ def same(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def equal_strings(text: np.ndarray, starts: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
     """Which strings (of `length` bytes at `starts`) equal another of their group. Multikey quicksort: sort by one 8-byte
-    character, drop those that stand alone, go on with the next character among ties."""
+    character, drop those that stand alone, go on with the next character among ties. Groups that agree in a character are in order already."""
     out = np.zeros(len(starts), dtype=bool)
-    active = np.arange(len(starts))
-    order, head = same(group)
-    label = np.empty(len(group), dtype=np.int64)
-    label[order] = np.cumsum(head)
+    active, head = same(group)
     words = np.ndarray((max(0, len(text) - 7),), dtype="<u8", buffer=text, strides=(1,))
-    at = 0
-    while active.size:
-        word = words[starts[active] + min(at, length - 8)]
-        order, head = same(label, word)
-        tail = np.append(head[1:], True)
-        tied = ~(head & tail)
-        active = active[order[tied]]
-        label = np.cumsum(head)[tied]
-        at += 8
-        if at >= length:
-            out[active] = True
+    at, mixed = 0, True
+    while True:
+        if mixed:
+            tied = ~(head & np.append(head[1:], True))
+            active, head = active[tied], head[tied]
+            places = starts[active]
+        if at >= length or not active.size:
             break
+        word = words[places + min(at, length - 8)]
+        other = np.flatnonzero((word[1:] != word[:-1]) & ~head[1:])
+        mixed = other.size > 0
+        if mixed:
+            label = np.cumsum(head)
+            some = np.zeros(label[-1] + 1, dtype=bool)
+            some[label[other]] = True
+            mine = np.flatnonzero(some[label])
+            order = mine[np.lexsort((word[mine], label[mine]))]
+            active[mine], word[mine] = active[order], word[order]
+            head[1:] |= word[1:] != word[:-1]
+        at += 8
+    out[active] = True
     return out
 
 

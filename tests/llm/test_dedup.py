@@ -95,6 +95,57 @@ def test_small_pieces(spark, monkeypatch):
     assert windows() == whole and len(whole) == 2 * (9000 - 199)
 
 
+def test_suffix_work(monkeypatch):
+    """Anchors are hashed where they stand and not at all places, and strings are sorted only where a character parts them."""
+    from evgraph.llm import common
+
+    r = random.Random(11)
+    data = np.frombuffer(bytes(r.choices(range(97, 123), k=200_000)), dtype=np.uint8)
+    hashed, both, sorted_, lexsort = [], common._both, [], np.lexsort
+    monkeypatch.setattr(common, "_both", lambda left, right, kind: (hashed.append(left.size), both(left, right, kind))[1])
+    monkeypatch.setattr(np, "lexsort", lambda keys, *a, **k: (sorted_.append(len(keys[0])), lexsort(keys, *a, **k))[1])
+    _, start, end, *_ = suffix.contexts(data, np.array([0, len(data)]), 200)
+    assert sum(hashed) < len(data)
+    suffix.string_hashes(data, start, end)
+    assert sum(hashed) < 4 * len(data)
+    assert suffix.equal_strings(np.tile(data, 2), np.concatenate([np.arange(9000)] * 2 + [np.arange(9000) + len(data)]), np.tile(np.arange(9000), 3), 200).all()
+    assert sum(sorted_) < 2 * 27_000
+
+
+@pytest.mark.parametrize("length", [65, 200, 201, 331])
+def test_anchors_and_equal_strings(length):
+    """Against brute force: contexts hold each string once with an anchor that depends on it alone, and ties of any size are parted."""
+    r = random.Random(length)
+    base = [bytes(r.choices(b"ab", k=700)) for _ in range(3)] + [b"x" * 500, b"", b"ab" * 300]
+    texts = [*base, *[t[: len(t) // 2] + b"-" + t[len(t) // 2 :] for t in base], bytes(r.choices(b"abc", k=40_000)) + base[0], base[1] + base[0]]
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    offsets = np.cumsum([0] + [len(t) for t in texts])
+    seen, met = {}, Counter()
+    for d, s, e, a, h, g in zip(*(x.tolist() for x in suffix.contexts(data, offsets, length)), strict=True):
+        for p in range(s, e - length + 1):
+            met[d, p - int(offsets[d])] += 1
+            assert seen.setdefault(data[p : p + length].tobytes(), (a - p, h, g)) == (a - p, h, g) and 0 <= a - p <= length - suffix.GRAM
+    assert met == Counter((d, p) for d, t in enumerate(texts) for p in range(len(t) - length + 1))
+    starts = np.array(r.choices(range(len(data) - length + 1), k=3000) + list(range(1500)) * 2, dtype=np.int64)
+    group = np.array(r.choices(range(7), k=len(starts)), dtype=np.int64)
+    keys = [(g, data[p : p + length].tobytes()) for g, p in zip(group.tolist(), starts.tolist(), strict=True)]
+    count = Counter(keys)
+    assert suffix.equal_strings(data, starts, group, length).tolist() == [count[k] > 1 for k in keys]
+
+
+def test_range_hashes_by_both_ways():
+    """A range's hash doesn't depend on what else is hashed with it."""
+    from evgraph.llm import common
+
+    r = np.random.default_rng(3)
+    data = r.integers(97, 100, 5000).astype(np.uint8)
+    start = np.arange(4000)
+    for size in (17, 31, 32, 64, 65, 200, 336, 999):
+        for kind in range(2):
+            every = common.byte_range_hashes(data, start, start + size, kind)  # overlap much
+            assert (every[::500] == common.byte_range_hashes(data, start[::500], start[::500] + size, kind)).all()
+
+
 def test_carry_and_text(spark):
     docs = spark.createDataFrame([(1, "é" * 300, "a"), (2, "z" + "é" * 300, "b"), (3, None, None)], "doc_id long, text string, id string")
     got = {r["id"]: r for r in suffix.remove_repeated(docs, carry=("id", "doc_id"), as_text=True).collect()}
