@@ -4,6 +4,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from evgraph.operators import contract
+from evgraph.operators.components import connected_components
 from evgraph.operators.paths import best_paths, trait_scores
 from evgraph.plans import registry
 from evgraph.sources import seeds
@@ -46,3 +47,11 @@ def test_scores_are_shuffled_as_lists(spark):
     assert "hashpartitioning(_from" in plan and not any("Exchange hashpartitioning" in x and "node" in x for x in plan.splitlines())
     assert "SortAggregate" not in reach._jdf.queryExecution().executedPlan().toString()
     assert {(r["_from"], r["node"]): round(r["score"], 6) for r in found.collect()} == {("x", "a"): 10.8, ("x", "b"): 19.0, ("y", "b"): 10.45}
+
+
+def test_rounds_do_not_carry_guessed_sizes(spark):
+    """A join's guessed size is the product of both sides; carried through checkpoints, its digits doubled with each join of a round and filled the driver."""
+    chain = spark.createDataFrame([(f"v{i:03}", f"v{i + 1:03}") for i in range(99)], "src string, dst string")
+    found = connected_components(chain)
+    assert found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1 << 1000  # whole numbers
+    assert {r["component"] for r in found.collect()} == {"v000"} and found.count() == 100
