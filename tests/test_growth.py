@@ -2,8 +2,9 @@
 
 from conftest import SMALL
 from pyspark.sql import functions as F
+from test_centrality import EDGE, brute_paths, random_edges
 
-from evgraph.operators import contract
+from evgraph.operators import contract, paths
 from evgraph.operators.components import connected_components
 from evgraph.operators.paths import best_paths, trait_scores
 from evgraph.plans import registry
@@ -49,6 +50,28 @@ def test_scores_are_shuffled_as_lists(spark):
     assert {(r["_from"], r["node"]): round(r["score"], 6) for r in found.collect()} == {("x", "a"): 10.8, ("x", "b"): 19.0, ("y", "b"): 10.45}
 
 
+def test_paths_ship_states_once_a_level(spark):
+    """What a level finds is shuffled once, by its node alone, and never checkpointed; edges that no path can take further are not met again."""
+    edges = spark.createDataFrame([("s", "a", 0.9), ("s", "b", 1.0), ("t", "b", 0.95), ("a", "b", 0.5), ("b", "c", 0.9), ("c", "d", 1.0)], "_from string, _to string, ES_edge double")
+    starts = spark.createDataFrame([("s",), ("t",)], "start string")
+    reach = best_paths(edges, starts, most=3)
+    states = [x for x in optimized(reach).splitlines() if "LogicalRDD" in x]
+    assert not any("start" in x and "p1" in x for x in states)
+    got = {(r["start"], r["node"]): (r["hops"], round(r["score"], 6)) for r in reach.collect()}
+    assert got == {("s", "a"): (1, 0.9), ("s", "b"): (1, 1.0), ("s", "c"): (2, 0.45), ("s", "d"): (3, 0.3), ("t", "b"): (1, 0.95), ("t", "c"): (2, 0.4275), ("t", "d"): (3, 0.285)}
+    plan = reach._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and not any("Exchange hashpartitioning(start" in x and "node" in x.split("Exchange", 1)[1] for x in plan.splitlines())
+
+
+def test_paths_of_many_groups_and_levels(spark, monkeypatch):
+    monkeypatch.setattr(paths, "GROUP", 3)
+    rows, names = random_edges(5), [f"v{i}" for i in range(14)]
+    reach = best_paths(spark.createDataFrame(rows, EDGE), spark.createDataFrame([(x,) for x in names], "start string"), most=6)
+    want = brute_paths(rows, names, 6)
+    got = {(r["start"], r["node"]): (r["hops"], r["score"]) for r in reach.collect()}
+    assert got.keys() == want.keys() and all(g[0] == want[k][0] and abs(g[1] - want[k][1]) < 1e-12 for k, g in got.items())
+
+
 def test_rounds_do_not_carry_guessed_sizes(spark):
     """A join's guessed size is the product of both sides; carried through checkpoints, its digits doubled with each join of a round and filled the driver."""
     chain = spark.createDataFrame([(f"v{i:03}", f"v{i + 1:03}") for i in range(99)], "src string, dst string")
