@@ -2,14 +2,18 @@
 
 import itertools
 import math
+import pathlib
 import random
 from collections import Counter, defaultdict, deque
 
 import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
 
 from evgraph.operators import centrality
 from evgraph.operators.paths import best_paths, biomarker_scores, trait_scores
+from evgraph.plans import fixture_graph as fx
+from evgraph.plans import registry
 
 EDGE = "_from string, _type string, _to string, ES_edge double, s string, node string, product int"
 
@@ -144,3 +148,27 @@ def test_trait_and_biomarker_scores(spark):
     assert {x["node"]: round(x["score"], 9) for x in biomarker_scores(influence, reach, evidence).collect()} == {"a": 0.2, "b": 0.225}
     assert {x["score"] for x in biomarker_scores(influence.withColumn("influence", F.lit(0.0)), reach, evidence).collect()} == {0.0}
     assert biomarker_scores(influence.limit(0), reach, evidence).count() == 0 and trait_scores(loci.limit(0), reach).count() == 0
+
+
+def test_betweenness_in_rounds(spark, monkeypatch):
+    """Rounds of a few sources add up to the same; their levels are deleted."""
+    monkeypatch.setattr(centrality, "ROWS", 1)
+    rows = random_edges(9, n=12, m=20)
+    edges = spark.createDataFrame(rows, EDGE)
+    at = pathlib.Path(spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:"))
+    before = set(at.iterdir()) if at.exists() else set()
+    found = centrality.betweenness(edges)
+    left = set(at.iterdir()) - before
+    same({x["node"]: x["betweenness"] for x in found.collect()}, brute_betweenness(rows))
+    assert len(left) < 10  # the graph, its numbers and the sum
+
+
+def test_roles_come_from_all_sources_and_paths(spark):
+    net = fx.bulk(spark, SMALL).unionByName(fx.brand_chain(spark, SMALL))
+    rows = [(x["_from"], "", x["_to"]) for x in net.select("_from", "_to").collect()]
+    degree, between = Counter(itertools.chain(*{frozenset((a, b)) for a, _, b in rows})), {k: round(v, 4) for k, v in brute_betweenness(rows).items()}
+    at = lambda xs: sorted(xs)[math.ceil(round(0.9 * len(degree), 9)) - 1]
+    many, central = at(degree.values()), at(between.values())
+    role = {(True, True): "hub", (True, False): "local hub", (False, True): "structural bottleneck", (False, False): "peripheral"}
+    want = Counter((role[degree[n] >= many, between[n] >= central], n.split(":")[0]) for n in degree)
+    assert {(x["role"], x["label"]): x["n"] for x in registry.queries()["n01_n02_role_matrix"](spark, SMALL).collect()} == want
